@@ -361,7 +361,7 @@ FROM ev JOIN ids USING (user_id)""",
 SELECT shard, run_no, op, count(*) AS records, min(n) AS first_n, max(n) AS last_n,
   min(ms) AS first_ms, max(ms) AS last_ms
 FROM (
-  SELECT *, sum(starts) OVER (PARTITION BY shard ORDER BY ms, n) AS run_no FROM (
+  SELECT *, CAST(sum(starts) OVER (PARTITION BY shard ORDER BY ms, n) AS BIGINT) AS run_no FROM (
     SELECT *, CASE WHEN lag(op) OVER (PARTITION BY shard ORDER BY ms, n) IS NOT DISTINCT FROM op
       THEN 0 ELSE 1 END AS starts FROM rep))
 GROUP BY shard, run_no, op"""

@@ -13,9 +13,11 @@ def document_fields(doc: Column) -> Column:
     return F.from_json(doc, FIELDS)
 
 
-def document_error(doc: Column) -> Column:
-    """Why a document is refused, null if it is absent or a proper JSON object."""
-    fields = document_fields(doc)
+def document_error(doc: Column, fields: Column) -> Column:
+    """Why a document is refused, null if it is absent or a proper JSON object.
+
+    ``fields`` are its :func:`document_fields`.
+    """
     return F.when(doc.isNotNull() & fields.isNull(), F.lit("not a JSON object")).when(
         F.size(F.array_distinct(F.map_keys(fields))) != F.size(fields),
         F.lit("repeated field in the JSON object"),

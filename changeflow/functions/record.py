@@ -64,12 +64,24 @@ def operation_error(text: Column) -> Column:
 
 
 def without_reserved(fields: Column) -> Column:
-    """Drop the control field and every field that starts with ``_``."""
+    """Drop the control field, every field that starts with ``_``, and nulls.
+
+    Hashes have no null values; where a table holds some they mean that there is
+    no such field.
+    """
     return F.map_filter(
-        fields, lambda name, _: ~name.startswith(RESERVED_PREFIX) & (name != OP_FIELD)
+        fields,
+        lambda name, value: ~name.startswith(RESERVED_PREFIX)
+        & (name != OP_FIELD)
+        & value.isNotNull(),
     )
 
 
+def without_control(fields: Column) -> Column:
+    """Drop the control field and nulls: what the source keeps of a hash."""
+    return F.map_filter(fields, lambda name, value: (name != OP_FIELD) & value.isNotNull())
+
+
 def log_id(ms: Column | None = None, n: Column | None = None) -> Column:
     """Log position as a struct; structs compare part by part, numerically."""
     return F.struct(
@@ -92,3 +104,13 @@ def compare_ids(left: Column, right: Column) -> Column:
 def ack_key(key: Column, uuid: Column) -> Column:
     """Name under which an acknowledgement is published: ``{key}uuid``."""
     return F.concat(F.lit("{"), key, F.lit("}"), uuid)
+
+
+def once(column: Column) -> Column:
+    """The column, computed once per row.
+
+    Catalyst moves a filter below the projection it reads and repeats its
+    expressions there. It does not move one below a generator, so an expression
+    that is dear (a parse, a map that is put together) is better generated.
+    """
+    return F.explode(F.array(column))

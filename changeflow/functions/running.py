@@ -31,17 +31,19 @@ def log_position(ms: str = "ms", n: str = "n") -> Column:
 
 def _segments(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
     """Rows with a segment number, or None where no key is hot."""
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    most = 4 * parts
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = per_key.agg(F.sum("_rows")).first()[0] or 0
-    # A hot key has more than total / most rows, so there are fewer than `most` of them.
-    share = max(total // most, rows_per_task)
-    if total <= share:
-        return None
-    hot = per_key.where(F.col("_rows") > share).select(*keys, F.lit(True).alias("_hot"))
-    if hot.isEmpty():
-        return None
+    spark = df.sparkSession
+    most = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).persist()
+    try:
+        total, largest = per_key.agg(F.sum("_rows"), F.max("_rows")).first()
+        share = max((total or 0) // most, rows_per_task)
+        if (largest or 0) <= share:
+            return None
+        # Each holds more than total / most rows, so there are fewer than `most` of them.
+        rows = per_key.where(F.col("_rows") > share).select(*keys, F.lit(True).alias("_hot"))
+        hot = spark.createDataFrame(rows.collect(), rows.schema)
+    finally:
+        per_key.unpersist()
     marked = df.join(F.broadcast(hot), list(keys), "left").withColumn(_POSITION, log_position())
     pieces = min(most, -(-total // share) * 2)
     borders = marked.where("_hot").approxQuantile(
@@ -64,7 +66,9 @@ def running(
     """Add, per row, aggregates over the rows of its key that lie before it.
 
     ``maxima`` ignore nulls and are null where nothing came before; ``sums``
-    start at zero. Order is ``(ms, n)``, ids must be unique within a key.
+    start at zero. Order is ``(ms, n)``, ids must be unique within a key. The
+    input is read once to count and, where a key is hot, three more times, so it
+    had better be a stored table.
     """
     maxima, sums = maxima or {}, sums or {}
     before = (W.unboundedPreceding, -1)

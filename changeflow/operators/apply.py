@@ -56,7 +56,8 @@ def upsert_merge_small(target: DataFrame, net: DataFrame, spec: ReplicationSpec)
     """The same result where the changes are few beside the target.
 
     No outer join: the target is only probed, so Spark can broadcast the changes
-    by their measured size and leave the target where it lies.
+    by their measured size and leave the target where it lies. ``net`` is read
+    three times: give one that is checkpointed or stored.
     """
     keys = net.select(F.col("pk").alias(spec.pk))
     present = target.select(spec.pk).join(keys, spec.pk, "left_semi")

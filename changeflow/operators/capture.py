@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions import record as R
-from changeflow.functions.documents import document_error
+from changeflow.functions.documents import document_error, document_fields
 from changeflow.spec import DELETE_REPLICATE, UPDATE_REPLICATE, ReplicationSpec
 
 REPLICATE, LOCAL, REJECT = "replicate", "local", "reject"
@@ -38,8 +38,16 @@ def validate(df: DataFrame) -> DataFrame:
 
 
 def validate_documents(df: DataFrame) -> DataFrame:
-    """The same for documents: present means update, absent means delete."""
-    return _with_control(df, R.document_control(F.col("doc")), F.lit(None).cast("string"))
+    """The same for documents: present means update, absent means delete.
+
+    Adds the parsed ``fields``.
+    """
+    parsed = df.select("*", R.once(document_fields(F.col("doc"))).alias("fields"))
+    return _with_control(
+        parsed,
+        R.document_control(F.col("doc")),
+        document_error(F.col("doc"), F.col("fields")),
+    )
 
 
 def _with_control(df: DataFrame, text: Column, error: Column) -> DataFrame:
@@ -56,7 +64,7 @@ def missing_field(spec: ReplicationSpec) -> Column:
     """Name of the first mapped field the record lacks, null if it has them all."""
     return F.coalesce(
         F.lit(None).cast("string"),
-        *[F.when(~F.map_contains_key("fields", s), F.lit(s)) for s in spec.fields],
+        *[F.when(F.col("fields")[s].isNull(), F.lit(s)) for s in spec.fields],
     )
 
 
@@ -84,12 +92,18 @@ def map_fields(spec: ReplicationSpec) -> list[Column]:
     ]
 
 
+def no_key_part() -> Column:
+    """Complaint about a replicated record whose key has no primary key part."""
+    lacking = is_replicated(F.col("op")) & F.col("pk").isNull()
+    return F.when(lacking, F.lit("no primary key in the key"))
+
+
 def record_error(spec: ReplicationSpec) -> Column:
     """First reason to refuse a record: control text, then key, then fields, then values."""
     update = F.col("op") == UPDATE_REPLICATE
     return F.coalesce(
         F.col("error"),
-        F.when(is_replicated(F.col("op")) & F.col("pk").isNull(), F.lit("no primary key in the key")),
+        no_key_part(),
         F.when(update, F.concat(F.lit("missing field "), missing_field(spec))),
         F.when(update, F.concat(F.lit("bad value for "), bad_value(spec))),
     )
@@ -115,7 +129,7 @@ def normalize(df: DataFrame, spec: ReplicationSpec) -> DataFrame:
         .withColumn("pk", R.primary_key(F.col("key")))
         .withColumn("error", record_error(spec))
     )
-    return _log_record(checked, spec, map_fields(spec), F.col("fields").alias("raw"))
+    return _log_record(checked, spec, map_fields(spec), F.col("fields"))
 
 
 def normalize_copies(df: DataFrame, spec: ReplicationSpec) -> DataFrame:
@@ -126,23 +140,17 @@ def normalize_copies(df: DataFrame, spec: ReplicationSpec) -> DataFrame:
         .withColumn("error", record_error(replace(spec, mappings={})))
     )
     plain = F.when(F.col("op") == UPDATE_REPLICATE, R.without_reserved(F.col("fields")))
-    return _log_record(checked, spec, [plain.alias("fields")], F.col("fields").alias("raw"))
+    return _log_record(checked, spec, [plain.alias("fields")], F.col("fields"))
 
 
 def normalize_documents(df: DataFrame, spec: ReplicationSpec) -> DataFrame:
-    """Selected document records to log records; the document stays JSON text in ``doc``."""
+    """Selected document records to log records, the documents as maps of their fields."""
     checked = (
         validate_documents(df)
         .withColumn("pk", R.primary_key(F.col("key")))
-        .withColumn(
-            "error",
-            F.coalesce(
-                F.when(F.col("pk").isNull(), F.lit("no primary key in the key")),
-                document_error(F.col("doc")),
-            ),
-        )
+        .withColumn("error", F.coalesce(no_key_part(), F.col("error")))
     )
-    return _log_record(checked, spec, [F.col("doc")], F.col("doc").alias("raw"))
+    return _log_record(checked, spec, [F.col("fields")], F.col("doc"))
 
 
 def _log_record(

@@ -10,11 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.record import log_id
+from changeflow.functions.record import log_id, without_control
 from changeflow.spec import (
     DELETE_LOCAL,
     DELETE_REPLICATE,
-    OP_FIELD,
     UPDATE_REPLICATE,
     ReplicationSpec,
 )
@@ -47,30 +46,27 @@ def net_fields(changes: DataFrame, key: str = "pk") -> DataFrame:
     :func:`net_change`, and ``fields``, the last value of each field that no
     later delete took away.
     """
-    deleted = F.col("op") == DELETE_REPLICATE
-    at = F.struct("ms", "n", "at")
-    # One marker row (null field) per record keeps keys whose records have no fields.
-    marker = F.when(deleted, F.lit(None)).otherwise(F.col("fields"))
-    entries = changes.select(key, "ms", "n", "op", F.posexplode_outer(marker).alias("at", "field", "value"))
-    entries = entries.withColumn("at", F.coalesce("at", F.lit(0)))
-    per_field = entries.groupBy(key, "field").agg(
-        F.max(at).alias("id"),
-        F.max_by(F.struct("value"), at).alias("last"),
-        F.max(F.when(deleted, log_id())).alias("deleted_at"),
-        F.max(log_id()).alias("seen_at"),
+    deletes = F.col("op") == DELETE_REPLICATE
+    # A record without fields still makes one entry, with a null field; so does a delete.
+    entries = changes.select(
+        key,
+        "ms",
+        "n",
+        deletes.alias("deletes"),
+        F.posexplode_outer(F.when(~deletes, F.col("fields"))).alias("at", "field", "value"),
     )
+    last = F.max_by(F.struct("ms", "n", "value"), F.struct("ms", "n", "at"))
+    per_field = entries.groupBy(key, "field", "deletes").agg(last.alias("last"))
+    at = F.struct("last.ms", "last.n")
     per_key = per_field.groupBy(key).agg(
-        F.max("deleted_at").alias("deleted_at"),
-        F.max("seen_at").alias("seen_at"),
+        F.max(F.when(F.col("deletes"), at)).alias("deleted_at"),
+        F.max(at).alias("seen_at"),
         F.collect_list(
-            F.when(
-                F.col("field").isNotNull(),
-                F.struct("field", F.col("last.value").alias("value"), F.struct("id.ms", "id.n").alias("id")),
-            )
+            F.when(F.col("field").isNotNull(), F.struct("field", "last.value", at.alias("at")))
         ).alias("entries"),
     )
     alive = F.filter(
-        "entries", lambda e: F.col("deleted_at").isNull() | (e["id"] > F.col("deleted_at"))
+        "entries", lambda e: F.col("deleted_at").isNull() | (e["at"] > F.col("deleted_at"))
     )
     gone = F.coalesce(F.col("seen_at") == F.col("deleted_at"), F.lit(False))
     return per_key.select(
@@ -95,10 +91,9 @@ def last_image(records: DataFrame) -> DataFrame:
     ``fields`` is null where the last operation removes the key from the source.
     """
     removed = F.col("op").isin(DELETE_REPLICATE, DELETE_LOCAL)
-    image = F.when(~removed, F.map_filter("fields", lambda k, _: k != OP_FIELD))
     return (
-        records.select("key", "ms", "n", image.alias("fields"))
+        records.select("key", "ms", "n", F.when(~removed, F.col("fields")).alias("fields"))
         .groupBy("key")
         .agg(F.max_by(F.struct("fields"), log_id()).alias("last"))
-        .select("key", "last.fields")
+        .select("key", without_control(F.col("last.fields")).alias("fields"))
     )

@@ -18,19 +18,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.functions import record as R
-from changeflow.functions.documents import document_error, document_fields, overlaid
+from changeflow.functions.documents import overlaid
 from changeflow.functions.running import ROWS_PER_TASK, running
 from changeflow.operators import capture
 from changeflow.session import new_dir
 from changeflow.spec import (
     DELETE_LOCAL,
     DELETE_REPLICATE,
-    OP_FIELD,
     UPDATE_LOCAL,
     UPDATE_REPLICATE,
     ReplicationSpec,
 )
 
+NO_REAL_KEY = "no real key in the staging key"
 TARGET_DOWN = "target not available"
 
 
@@ -45,9 +45,10 @@ def select_staged(staged: DataFrame, spec: ReplicationSpec) -> DataFrame:
 def overlay(staged: DataFrame, source: DataFrame) -> DataFrame:
     """Each staged write over the record that the source holds now; staged fields win."""
     current = source.select("key", F.col("fields").alias("_current"))
+    over = F.map_filter("fields", lambda _, value: value.isNotNull())
     return (
         staged.join(current, "key", "left")
-        .withColumn("fields", overlaid(F.col("_current"), F.col("fields")))
+        .withColumn("fields", overlaid(F.col("_current"), over))
         .drop("_current")
     )
 
@@ -57,12 +58,9 @@ def validate_staged(staged: DataFrame) -> DataFrame:
     return checked.withColumn(
         "error",
         F.coalesce(
-            F.when(F.col("key").isNull(), F.lit("no real key in the staging key")),
+            F.when(F.col("key").isNull(), F.lit(NO_REAL_KEY)),
             F.col("error"),
-            F.when(
-                capture.is_replicated(F.col("op")) & F.col("pk").isNull(),
-                F.lit("no primary key in the key"),
-            ),
+            capture.no_key_part(),
         ),
     )
 
@@ -90,7 +88,7 @@ def decide(
     removes = F.col("op") == DELETE_LOCAL
     if target_up:
         removes = removes | (F.col("op") == DELETE_REPLICATE)
-    has = {c: F.map_contains_key("fields", s) for s, c in fields.items()}
+    has = {c: F.col("fields")[s].isNotNull() for s, c in fields.items()}
     own = {c: F.col("fields")[s] for s, c in fields.items()}
     fit = {c: _fits(own[c], spec.type_of(c)) for c in spec.columns}
 
@@ -265,7 +263,7 @@ def source_changes(decided: DataFrame) -> DataFrame:
         "ms",
         "n",
         F.when(removes, DELETE_REPLICATE).otherwise(UPDATE_REPLICATE).alias("op"),
-        F.map_filter("fields", lambda k, _: k != OP_FIELD).alias("fields"),
+        R.without_control(F.col("fields")).alias("fields"),
     )
 
 
@@ -275,9 +273,9 @@ def decide_documents(
     """Outcome of staged documents; any JSON object succeeds."""
     checked = capture.validate_documents(staged).withColumn("pk", R.primary_key(F.col("key")))
     error = F.coalesce(
-        F.when(F.col("key").isNull(), F.lit("no real key in the staging key")),
-        F.when(F.col("pk").isNull(), F.lit("no primary key in the key")),
-        document_error(F.col("doc")),
+        F.when(F.col("key").isNull(), F.lit(NO_REAL_KEY)),
+        capture.no_key_part(),
+        F.col("error"),
         F.lit(None if target_up else TARGET_DOWN),
     )
     return checked.select(
@@ -291,5 +289,5 @@ def decide_documents(
         "uuid",
         error.isNull().alias("done"),
         error.alias("error"),
-        F.when(error.isNull(), document_fields(F.col("doc"))).alias("fields"),
+        "fields",
     )

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from changeflow.functions.record import once
 from changeflow.spec import DOCUMENT_EVENTS, STAGED_EVENTS, ReplicationSpec
 
 SHARDS = 4
@@ -67,7 +68,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def _millis(ts: Column) -> Column:
     """Milliseconds since 1970 of a time without zone, whatever the session zone."""
     seconds = (ts - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")).cast("interval second")
-    return F.floor(seconds.cast("decimal(20,6)") * 1000).cast("bigint")
+    # Exact: a double holds the microseconds of some 280 years.
+    micros = F.rint(seconds.cast("decimal(18,6)").cast("double") * 1_000_000).cast("bigint")
+    return F.call_function("div", micros, F.lit(1000))
 
 
 def _every(n: int) -> Column:
@@ -102,9 +105,10 @@ def _control_text() -> Column:
     )
 
 
-def _hash(control: Column) -> Column:
-    value = F.when(_every(101), F.lit("n/a")).otherwise(F.col("value").cast("string"))
-    fields = F.create_map(
+def _hash(control: Column, unfit: Column) -> Column:
+    """The changed hash; a field with a null value counts as absent."""
+    value = F.when(_every(101), unfit).otherwise(F.col("value").cast("string"))
+    return F.create_map(
         F.lit("type"),
         F.col("event_type"),
         F.lit("value"),
@@ -116,7 +120,6 @@ def _hash(control: Column) -> Column:
         F.lit("#"),
         control,
     )
-    return F.map_filter(fields, lambda _, v: v.isNotNull())
 
 
 def hash_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,7 +142,7 @@ def hash_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         event.alias("event"),
         key.alias("key"),
         F.when(_every(83), F.lit("string")).otherwise(F.lit("hash")).alias("kind"),
-        F.when(~gone, _hash(_control_text())).alias("fields"),
+        once(F.when(~gone, _hash(_control_text(), F.lit("n/a")))).alias("fields"),
     )
 
 
@@ -169,24 +172,21 @@ def document_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ms",
         event.alias("event"),
         F.concat(F.lit("user:"), F.col("account")).alias("key"),
-        doc.alias("doc"),
+        once(doc).alias("doc"),
     )
 
 
 def staged_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same events as writes to staging keys; only replicated ones have unfit values."""
     control = _control_text()
-    fields = _hash(control)
-    clean = F.when(
-        F.substring(control, 1, 1) == "+",
-        F.map_filter(fields, lambda k, v: ~((k == "value") & (v == "n/a"))),
-    ).otherwise(fields)
+    unfit = F.when(F.coalesce(F.substring(control, 1, 1) != "+", F.lit(True)), F.lit("n/a"))
+    fields = _hash(control, unfit)
     key = F.when(_every(79), F.lit("__")).otherwise(
         F.concat(F.lit("__{user:"), F.col("account"), F.lit("}"))
     )
     event = F.when(_every(11), F.lit("expire")).when(_every(2), F.lit("hmset")).otherwise(F.lit("hset"))
     return _events(spark, sf_dir).select(
-        "n", "ms", event.alias("event"), key.alias("key"), clean.alias("fields")
+        "n", "ms", event.alias("event"), key.alias("key"), once(fields).alias("fields")
     )
 
 
@@ -223,7 +223,7 @@ def source_hashes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return table(spark, sf_dir, "customer").select(
         F.concat(F.lit("user:"), F.col("c_custkey")).alias("key"),
-        F.map_filter(fields, lambda _, v: v.isNotNull()).alias("fields"),
+        fields.alias("fields"),
     )
 
 

@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.functions import record as R
-from changeflow.functions.documents import document_error, document_fields, lift
+from changeflow.functions.documents import lift
 from changeflow.operators import apply, batches, capture, delivery, fold, through
 from changeflow.plans import change_views as V
 from changeflow.plans.recipes import DocumentWriteBehind, WriteBehind, WriteThrough
-from changeflow.session import new_dir
+from changeflow.session import new_dir, shared_dir
 from changeflow.sinks.table import TableSink
 from changeflow.sources import log as log_source
 from changeflow.streaming.apply_log import apply_batch
@@ -144,7 +144,7 @@ def b6_validate_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def b7_validate_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = capture.validate_documents(V.document_changes(spark, sf_dir))
-    return checked.select("n", "op", "uuid", document_error(F.col("doc")).alias("error"))
+    return checked.select("n", "op", "uuid", "error")
 
 
 @_query
@@ -226,9 +226,8 @@ def b17_dead_letter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _batched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batches.number_batches(
-        _log(spark, sf_dir).select("target", "shard", "ms", "n", "pk"), V.USERS.batch
-    )
+    log = _written_log(spark, sf_dir).select("target", "shard", "ms", "n", "pk")
+    return batches.number_batches(log, V.USERS.batch)
 
 
 @_query
@@ -250,7 +249,7 @@ def c3_batch_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def c4_op_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batches.op_runs(_log(spark, sf_dir)).drop("target")
+    return batches.op_runs(_written_log(spark, sf_dir)).drop("target")
 
 
 @_query
@@ -273,7 +272,9 @@ def d2_upsert_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def d2_upsert_merge_small(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return apply.upsert_merge_small(V.customers(spark, sf_dir), _net(spark, sf_dir), V.USERS)
+    shared_dir(spark)
+    net = _net(spark, sf_dir).checkpoint()
+    return apply.upsert_merge_small(V.customers(spark, sf_dir), net, V.USERS)
 
 
 @_query
@@ -283,7 +284,7 @@ def d3_upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     captured = capture.capture_documents(V.document_changes(spark, sf_dir), V.DOCUMENTS)
-    return capture.replicated(captured).withColumn("fields", document_fields(F.col("doc")))
+    return capture.replicated(captured)
 
 
 @_query
@@ -296,7 +297,11 @@ def d4_doc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def d5_json_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     changes = capture.select_events(V.document_changes(spark, sf_dir), V.DOCUMENTS)
-    good = capture.normalize_documents(changes, V.DOCUMENTS).where("error IS NULL AND op = '='")
+    good = (
+        capture.validate_documents(changes)
+        .withColumn("pk", R.primary_key(F.col("key")))
+        .where("error IS NULL AND op = '='")
+    )
     columns = F.create_map(
         F.lit("user_id"), F.col("pk"), F.lit("event"), F.lit("json.set"), F.lit("payload"), F.col("doc")
     )

@@ -14,7 +14,7 @@ from changeflow.spec import ReplicationSpec
 
 def log_schema(spec: ReplicationSpec, documents: bool = False) -> T.StructType:
     if documents:
-        payload, raw = ["doc string"], "raw string"
+        payload, raw = ["fields map<string,variant>"], "raw string"
     else:
         payload = [f"`{c}` {spec.type_of(c)}" for c in spec.columns]
         raw = "raw map<string,string>"

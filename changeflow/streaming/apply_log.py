@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.functions.documents import document_fields
 from changeflow.operators import delivery
 from changeflow.operators.capture import REPLICATE, replicated
 from changeflow.operators.fold import net_change, net_fields
@@ -21,9 +20,7 @@ Trigger = dict[str, object]
 
 
 def net_of(log: DataFrame, spec: ReplicationSpec) -> DataFrame:
-    """Net changes of a log, by what it carries: documents, whole hashes or mapped columns."""
-    if "doc" in log.columns:
-        return net_fields(log.withColumn("fields", document_fields(F.col("doc"))))
+    """Net changes of a log, by what it carries: fields (documents, whole hashes) or columns."""
     if "fields" in log.columns:
         return net_fields(log)
     return net_change(log, spec.columns)

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from changeflow.functions import record as R
-from changeflow.functions.documents import document_error, lift
+from changeflow.functions.documents import document_error, document_fields, lift
 from changeflow.operators import capture
 from changeflow.spec import ReplicationSpec
 
@@ -156,7 +156,8 @@ def test_shards_stay_in_range(spark):
 )
 def test_documents(spark, doc, error):
     df = spark.createDataFrame([(doc,)], "doc string")
-    assert df.select(document_error(F.col("doc"))).first()[0] == error
+    text = F.col("doc")
+    assert df.select(document_error(text, document_fields(text))).first()[0] == error
 
 
 def test_lift_decodes_and_lifts(spark):

@@ -401,12 +401,14 @@ def test_document_store(spark, tmp_path):
         (5, "3", '{"old": true}'),
     ]
     frame = spark.createDataFrame(docs, "ms bigint, pk string, doc string").selectExpr(
-        "'persons' AS target", "0 AS shard", "ms", "0L AS n", "pk", "if(doc IS NULL, '~', '=') AS op", "doc"
+        "'persons' AS target", "0 AS shard", "ms", "0L AS n", "pk", "if(doc IS NULL, '~', '=') AS op",
+        "from_json(doc, 'map<string,variant>') AS fields",
     )
     apply_batch(frame, spec, sink)
     later = [(6, "3", None), (7, "3", '{"new": true}'), (8, "1", '{"some": null}')]
     frame = spark.createDataFrame(later, "ms bigint, pk string, doc string").selectExpr(
-        "'persons' AS target", "0 AS shard", "ms", "0L AS n", "pk", "if(doc IS NULL, '~', '=') AS op", "doc"
+        "'persons' AS target", "0 AS shard", "ms", "0L AS n", "pk", "if(doc IS NULL, '~', '=') AS op",
+        "from_json(doc, 'map<string,variant>') AS fields",
     )
     apply_batch(frame, spec, sink)
     got = {p.name.split(".", 1)[1]: json.loads(p.read_text()) for p in tmp_path.glob("persons.*")}
@@ -506,7 +508,8 @@ def test_document_table(spark, tmp_path):
     sink.create(old.select("id", document_fields(F.col("doc")).alias("fields")))
     rows = [(1, "1", '{"set": "it\'s"}'), (2, "9", None), (3, "9", "{}"), (4, "5", '{"n": null}')]
     frame = spark.createDataFrame(rows, "ms bigint, pk string, doc string").selectExpr(
-        "'persons' AS target", "0 AS shard", "ms", "0L AS n", "pk", "if(doc IS NULL, '~', '=') AS op", "doc"
+        "'persons' AS target", "0 AS shard", "ms", "0L AS n", "pk", "if(doc IS NULL, '~', '=') AS op",
+        "from_json(doc, 'map<string,variant>') AS fields",
     )
     apply_batch(frame, spec, sink)
     got = {r["id"]: json.loads(r["f"]) for r in sink.read(spark).select("id", F.to_json("fields").alias("f")).collect()}

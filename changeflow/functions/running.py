@@ -16,7 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 ROWS_PER_TASK = 1_000_000
-_SEGMENT = "_segment"
+SEGMENT = "_segment"
 _POSITION = "_position"
 
 
@@ -29,8 +29,13 @@ def log_position(ms: str = "ms", n: str = "n") -> Column:
     return F.col(ms).cast("double") + F.log2(F.col(n).cast("double") + 1) / 64
 
 
-def _segments(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFrame | None:
-    """Rows with a segment number, or None where no key is hot."""
+def cut_hot_keys(
+    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> tuple[DataFrame, bool]:
+    """Rows with a segment number, and whether any key is hot.
+
+    Counts the rows of each key, so ``df`` had better be cheap to read.
+    """
     spark = df.sparkSession
     most = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).persist()
@@ -38,7 +43,7 @@ def _segments(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFra
         total, largest = per_key.agg(F.sum("_rows"), F.max("_rows")).first()
         share = max((total or 0) // most, rows_per_task)
         if (largest or 0) <= share:
-            return None
+            return df.withColumn(SEGMENT, F.lit(-1)), False
         # Each holds more than total / most rows, so there are fewer than `most` of them.
         rows = per_key.where(F.col("_rows") > share).select(*keys, F.lit(True).alias("_hot"))
         hot = spark.createDataFrame(rows.collect(), rows.schema)
@@ -51,57 +56,55 @@ def _segments(df: DataFrame, keys: Sequence[str], rows_per_task: int) -> DataFra
     )
     splits = [float("-inf"), *sorted(set(borders)), float("inf")]
     cut = Bucketizer(splits=splits, inputCol=_POSITION, outputCol="_bucket").transform(marked)
-    return cut.withColumn(
-        _SEGMENT, F.when(F.col("_hot"), F.col("_bucket").cast("int")).otherwise(-1)
-    ).drop("_hot", "_bucket", _POSITION)
+    segment = F.when(F.col("_hot"), F.col("_bucket").cast("int")).otherwise(-1)
+    return cut.withColumn(SEGMENT, segment).drop("_hot", "_bucket", _POSITION), True
 
 
 def running(
     df: DataFrame,
     keys: Sequence[str],
+    hot: bool,
     maxima: dict[str, Column] | None = None,
     sums: dict[str, Column] | None = None,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add, per row, aggregates over the rows of its key that lie before it.
 
-    ``maxima`` ignore nulls and are null where nothing came before; ``sums``
-    start at zero. Order is ``(ms, n)``, ids must be unique within a key. The
-    input is read once to count and, where a key is hot, three more times, so it
-    had better be a stored table.
+    ``df`` and ``hot`` come from :func:`cut_hot_keys`. ``maxima`` ignore nulls
+    and are null where nothing came before; ``sums`` start at zero. Order is
+    ``(ms, n)``, ids must be unique within a key. Where a key is hot the input is
+    read twice.
     """
     maxima, sums = maxima or {}, sums or {}
     before = (W.unboundedPreceding, -1)
-    cut = _segments(df, keys, rows_per_task)
-    if cut is None:
+    if not hot:
         w = W.partitionBy(*keys).orderBy("ms", "n").rowsBetween(*before)
         return df.select(
             "*",
             *[F.max(c).over(w).alias(name) for name, c in maxima.items()],
             *[F.coalesce(F.sum(c).over(w), F.lit(0)).alias(name) for name, c in sums.items()],
         )
-    w = W.partitionBy(*keys, _SEGMENT).orderBy("ms", "n").rowsBetween(*before)
-    across = W.partitionBy(*keys).orderBy(_SEGMENT).rowsBetween(*before)
-    within = cut.select(
+    w = W.partitionBy(*keys, SEGMENT).orderBy("ms", "n").rowsBetween(*before)
+    across = W.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(*before)
+    within = df.select(
         "*",
         *[F.max(c).over(w).alias(name) for name, c in maxima.items()],
         *[F.sum(c).over(w).alias(name) for name, c in sums.items()],
     )
     carried = (
-        cut.where(F.col(_SEGMENT) >= 0)
-        .groupBy(*keys, _SEGMENT)
+        df.where(F.col(SEGMENT) >= 0)
+        .groupBy(*keys, SEGMENT)
         .agg(
             *[F.max(c).alias(name) for name, c in maxima.items()],
             *[F.sum(c).alias(name) for name, c in sums.items()],
         )
         .select(
             *keys,
-            _SEGMENT,
+            SEGMENT,
             *[F.max(name).over(across).alias(f"_carry_{name}") for name in maxima],
             *[F.sum(name).over(across).alias(f"_carry_{name}") for name in sums],
         )
     )
-    joined = within.join(carried, [*keys, _SEGMENT], "left")
+    joined = within.join(carried, [*keys, SEGMENT], "left")
     return joined.select(
         *df.columns,
         *[F.greatest(name, f"_carry_{name}").alias(name) for name in maxima],

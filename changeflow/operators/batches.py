@@ -5,15 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.running import ROWS_PER_TASK, running
+from changeflow.functions.running import ROWS_PER_TASK, SEGMENT, cut_hot_keys, running
 
 _SHARD = ["target", "shard"]
 
 
 def number_batches(log: DataFrame, size: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Number the log of each shard in batches of ``size`` records, from 0."""
-    counted = running(log, _SHARD, sums={"_before": F.lit(1)}, rows_per_task=rows_per_task)
-    return counted.withColumn("batch_no", F.floor(F.col("_before") / size)).drop("_before")
+    cut, hot = cut_hot_keys(log, _SHARD, rows_per_task)
+    counted = running(cut, _SHARD, hot, sums={"_before": F.lit(1)})
+    return counted.withColumn("batch_no", F.floor(F.col("_before") / size)).drop("_before", SEGMENT)
 
 
 def changed_keys(batched: DataFrame) -> DataFrame:
@@ -29,16 +30,12 @@ def count_batches(batched: DataFrame) -> DataFrame:
 
 def op_runs(log: DataFrame, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
     """Runs of equal operation in each shard: number, operation, length and ends."""
-    slim = log.select(*_SHARD, "ms", "n", "op")
-    previous = running(
-        slim, _SHARD, maxima={"_previous": F.struct("ms", "n", "op")}, rows_per_task=rows_per_task
-    )
+    cut, hot = cut_hot_keys(log.select(*_SHARD, "ms", "n", "op"), _SHARD, rows_per_task)
+    previous = running(cut, _SHARD, hot, maxima={"_previous": F.struct("ms", "n", "op")})
     starts = previous.withColumn(
         "_starts", (~F.col("op").eqNullSafe(F.col("_previous.op"))).cast("int")
     ).drop("_previous")
-    numbered = running(
-        starts, _SHARD, sums={"_started": F.col("_starts")}, rows_per_task=rows_per_task
-    )
+    numbered = running(starts, _SHARD, hot, sums={"_started": F.col("_starts")})
     ends = F.struct("ms", "n")
     return (
         numbered.groupBy(*_SHARD, (F.col("_started") + F.col("_starts")).alias("run_no"), "op")

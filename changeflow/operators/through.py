@@ -19,9 +19,9 @@ from pyspark.sql import functions as F
 
 from changeflow.functions import record as R
 from changeflow.functions.documents import overlaid
-from changeflow.functions.running import ROWS_PER_TASK, running
+from changeflow.functions.running import ROWS_PER_TASK, cut_hot_keys, running
 from changeflow.operators import capture
-from changeflow.session import new_dir
+from changeflow.session import stored
 from changeflow.spec import (
     DELETE_LOCAL,
     DELETE_REPLICATE,
@@ -93,12 +93,14 @@ def decide(
     fit = {c: _fits(own[c], spec.type_of(c)) for c in spec.columns}
 
     base = source.select("key", *[own[c].alias(f"_base_{c}") for c in spec.columns])
-    rows = validate_staged(staged).join(base, "key", "left")
+    valid_writes, hot = cut_hot_keys(validate_staged(staged), ["key"], rows_per_task)
+    rows = valid_writes.join(base, "key", "left")
 
     # The last delete and the last local write of each field before the record.
     rows = running(
         rows,
         ["key"],
+        hot,
         maxima={
             "_barrier": F.when(valid & removes, R.log_id()),
             **{
@@ -108,8 +110,10 @@ def decide(
                 for c in spec.columns
             },
         },
-        rows_per_task=rows_per_task,
     )
+    if hot:
+        # Each running aggregate reads its input twice then, so keep the inputs short.
+        rows = stored(rows, "through")
     before_all = R.log_id(F.lit(-1).cast("bigint"), F.lit(-1).cast("bigint"))
 
     def deficit(c: str) -> Column:
@@ -129,18 +133,23 @@ def decide(
         unfilled.append(F.when(~has[c], deficit(c)))
     candidate = valid & (F.col("op") == UPDATE_REPLICATE) & ~own_unfit & F.lit(target_up)
     rows = rows.withColumns({"_deficit": F.greatest(*unfilled), "_may": candidate})
-    rows = _successes(rows, spec, fit, has, rows_per_task)
+    unfit_local = F.lit(False)
+    for c in spec.columns:
+        if spec.type_of(c) != "string":
+            unfit_local = unfit_local | (is_plus & has[c] & ~fit[c])
+    settled_at_once = valid_writes.where(valid & unfit_local).isEmpty()
+    rows = _successes(rows, hot, settled_at_once)
 
     # The value of each mapped field before the record: its last write since the last delete.
     writes = F.col("_ok") | (valid & is_plus)
     rows = running(
         rows,
         ["key"],
+        hot,
         maxima={
             f"_last_{c}": F.when(writes & has[c], F.struct("ms", "n", own[c].alias("value")))
             for c in spec.columns
         },
-        rows_per_task=rows_per_task,
     )
 
     def image(c: str) -> Column:
@@ -195,13 +204,7 @@ def decide(
     )
 
 
-def _successes(
-    rows: DataFrame,
-    spec: ReplicationSpec,
-    fit: dict[str, Column],
-    has: dict[str, Column],
-    rows_per_task: int,
-) -> DataFrame:
+def _successes(rows: DataFrame, hot: bool, settled_at_once: bool) -> DataFrame:
     """Mark the replicated updates that succeed as ``_ok``.
 
     Without unfit local updates all deficits of a key start at one point, and the
@@ -210,32 +213,17 @@ def _successes(
     """
 
     def step(known: DataFrame) -> DataFrame:
-        after = running(
-            known,
-            ["key"],
-            maxima={"_won": F.when(F.col("_ok"), R.log_id())},
-            rows_per_task=rows_per_task,
-        )
+        after = running(known, ["key"], hot, maxima={"_won": F.when(F.col("_ok"), R.log_id())})
         reached = F.col("_deficit").isNull() | F.coalesce(
             F.col("_won") > F.col("_deficit"), F.lit(False)
         )
         return after.withColumn("_ok", F.col("_may") & reached).drop("_won")
 
     settled = step(rows.withColumn("_ok", F.col("_may") & F.col("_deficit").isNull()))
-    unfit = F.lit(False)
-    for c in spec.columns:
-        if spec.type_of(c) != "string":
-            unfit = unfit | (has[c] & ~fit[c])
-    if all(spec.type_of(c) == "string" for c in spec.columns):
-        return settled
-    if rows.where((F.col("op") == UPDATE_LOCAL) & unfit).isEmpty():
-        return settled
-    spark = rows.sparkSession
+    if settled_at_once:
+        return stored(settled, "through") if hot else settled
     while True:
-        # Written out, so that the steps do not pile up in one plan.
-        path = new_dir(spark, "through")
-        settled.write.parquet(path)
-        settled = spark.read.parquet(path)
+        settled = stored(settled, "through")
         following = step(settled.withColumn("_was", F.col("_ok")))
         if following.where(F.col("_ok") != F.col("_was")).isEmpty():
             return settled

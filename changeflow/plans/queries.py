@@ -81,10 +81,15 @@ def a3_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.skip_applied(log, V.watermark(spark, sf_dir)).select(*_LOG)
 
 
-def _written_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The captured records as a log table: all three routes."""
     path = new_dir(spark, "log")
     log_source.append(_captured(spark, sf_dir), path)
-    return capture.replicated(log_source.read(spark, path, V.USERS))
+    return log_source.read(spark, path, V.USERS)
+
+
+def _written_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return capture.replicated(_written(spark, sf_dir))
 
 
 # Validation and projection
@@ -421,7 +426,7 @@ def _plain_times(acks: DataFrame) -> DataFrame:
 
 
 def _all_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captured = _captured(spark, sf_dir)
+    captured = _written(spark, sf_dir)
     done = delivery.acks_done(capture.replicated(captured), _at())
     local = delivery.acks_local(capture.local_only(captured), _at())
     failed = delivery.acks_failed(capture.dead_letters(captured), _at())

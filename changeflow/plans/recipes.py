@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators import delivery, through
 from changeflow.operators.fold import net_change, net_fields
+from changeflow.session import stored
 from changeflow.sinks.base import Sink
 from changeflow.sinks.table import TableSink
 from changeflow.spec import (
@@ -188,7 +189,7 @@ class WriteThrough:
         spark = staged.sparkSession
         # The source as it was before the batch: later versions leave its files alone.
         current = self.source.read(spark)
-        decided = self.decide(staged, current)
+        decided = stored(self.decide(staged, current), "decided")
         failure = None
         try:
             log = through.replicated_log(decided)
@@ -199,7 +200,7 @@ class WriteThrough:
             with_retries(lambda: self.sink.apply(self.net(fresh), positions), self.spec)
         except Exception as error:
             failure = str(error)
-            decided = self.decide(staged, current, target_up=False)
+            decided = stored(self.decide(staged, current, target_up=False), "decided")
         changes = through.source_changes(decided)
         self.source.apply(net_fields(changes, "key").withColumnRenamed("key", "pk"), None)
         done = delivery.acks_done(decided.where("done"), F.current_timestamp())

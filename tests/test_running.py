@@ -8,8 +8,7 @@ import pytest
 import replay
 from pyspark.sql import functions as F
 
-from changeflow.functions import running as running_module
-from changeflow.functions.running import running
+from changeflow.functions.running import cut_hot_keys, running
 from changeflow.operators import batches
 
 
@@ -28,17 +27,18 @@ def rows(seed=1, count=4000, same_ms=False):
 def test_running_equals_a_loop(spark, rows_per_task, same_ms):
     data = rows(same_ms=same_ms)
     frame = spark.createDataFrame(data, "key string, ms bigint, n bigint, v int").repartition(5)
-    if rows_per_task == 10:
-        cut = running_module._segments(frame, ["key"], rows_per_task)
+    cut, hot = cut_hot_keys(frame, ["key"], rows_per_task)
+    assert hot == (rows_per_task == 10)
+    if hot:
         sizes = {(r[0], r[1]): r[2] for r in cut.groupBy("key", "_segment").count().collect()}
         assert {s for k, s in sizes if k != "hot"} == {-1}
         assert max(c for (k, _), c in sizes.items() if k == "hot") < 700
     out = running(
-        frame,
+        cut,
         ["key"],
+        hot,
         maxima={"top": F.struct("v"), "high": F.col("v")},
         sums={"total": F.col("v"), "seen": F.lit(1)},
-        rows_per_task=rows_per_task,
     )
     got = {(r["key"], r["ms"], r["n"]): (r["high"], r["total"], r["seen"]) for r in out.collect()}
     state: dict[str, list[int | None]] = {}

@@ -7,8 +7,6 @@ touches the source, ``reject`` is a dead letter with its ``error``.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -134,10 +132,12 @@ def normalize(df: DataFrame, spec: ReplicationSpec) -> DataFrame:
 
 def normalize_copies(df: DataFrame, spec: ReplicationSpec) -> DataFrame:
     """Like :func:`normalize` without a mapping: updates carry every plain field."""
+    if spec.transform is not None:
+        df = df.transform(spec.transform)
     checked = (
         validate(df)
         .withColumn("pk", R.primary_key(F.col("key")))
-        .withColumn("error", record_error(replace(spec, mappings={})))
+        .withColumn("error", record_error(spec))
     )
     plain = F.when(F.col("op") == UPDATE_REPLICATE, R.without_reserved(F.col("fields")))
     return _log_record(checked, spec, [plain.alias("fields")], F.col("fields"))
@@ -175,7 +175,8 @@ def _log_record(
 
 def capture(df: DataFrame, spec: ReplicationSpec) -> DataFrame:
     """Raw change records to log records: select, transform, validate, route, map, cast."""
-    return normalize(select_events(df, spec), spec)
+    selected = select_events(df, spec)
+    return normalize_copies(selected, spec) if spec.whole_hashes else normalize(selected, spec)
 
 
 def capture_documents(df: DataFrame, spec: ReplicationSpec) -> DataFrame:

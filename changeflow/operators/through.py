@@ -32,6 +32,7 @@ from changeflow.spec import (
 
 NO_REAL_KEY = "no real key in the staging key"
 TARGET_DOWN = "target not available"
+_SLOT = "_slot"
 
 
 def select_staged(staged: DataFrame, spec: ReplicationSpec) -> DataFrame:
@@ -93,13 +94,16 @@ def decide(
     fit = {c: _fits(own[c], spec.type_of(c)) for c in spec.columns}
 
     base = source.select("key", *[own[c].alias(f"_base_{c}") for c in spec.columns])
-    valid_writes, hot = cut_hot_keys(validate_staged(staged), ["key"], rows_per_task)
-    rows = valid_writes.join(base, "key", "left")
+    # Writes without a real key have nothing in common: each is a key of its own.
+    own_slot = F.coalesce("key", F.concat_ws("-", "ms", "n"))
+    writes = validate_staged(staged).withColumn(_SLOT, own_slot)
+    writes, hot = cut_hot_keys(writes, [_SLOT], rows_per_task)
+    rows = writes.join(base, "key", "left")
 
     # The last delete and the last local write of each field before the record.
     rows = running(
         rows,
-        ["key"],
+        [_SLOT],
         hot,
         maxima={
             "_barrier": F.when(valid & removes, R.log_id()),
@@ -137,17 +141,17 @@ def decide(
     for c in spec.columns:
         if spec.type_of(c) != "string":
             unfit_local = unfit_local | (is_plus & has[c] & ~fit[c])
-    settled_at_once = valid_writes.where(valid & unfit_local).isEmpty()
+    settled_at_once = writes.where(valid & unfit_local).isEmpty()
     rows = _successes(rows, hot, settled_at_once)
 
     # The value of each mapped field before the record: its last write since the last delete.
-    writes = F.col("_ok") | (valid & is_plus)
+    stays = F.col("_ok") | (valid & is_plus)
     rows = running(
         rows,
-        ["key"],
+        [_SLOT],
         hot,
         maxima={
-            f"_last_{c}": F.when(writes & has[c], F.struct("ms", "n", own[c].alias("value")))
+            f"_last_{c}": F.when(stays & has[c], F.struct("ms", "n", own[c].alias("value")))
             for c in spec.columns
         },
     )
@@ -213,7 +217,7 @@ def _successes(rows: DataFrame, hot: bool, settled_at_once: bool) -> DataFrame:
     """
 
     def step(known: DataFrame) -> DataFrame:
-        after = running(known, ["key"], hot, maxima={"_won": F.when(F.col("_ok"), R.log_id())})
+        after = running(known, [_SLOT], hot, maxima={"_won": F.when(F.col("_ok"), R.log_id())})
         reached = F.col("_deficit").isNull() | F.coalesce(
             F.col("_won") > F.col("_deficit"), F.lit(False)
         )

@@ -41,6 +41,14 @@ GUESTS = ReplicationSpec(
     shards=SHARDS,
     shard_by=_pk_mod,
 )
+COPIES = ReplicationSpec(
+    target="copies",
+    pk="key",
+    keys_prefix="user",
+    whole_hashes=True,
+    shards=SHARDS,
+    shard_by=_pk_mod,
+)
 DOCUMENTS = ReplicationSpec(
     target="profiles",
     pk="user_id",

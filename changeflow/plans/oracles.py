@@ -284,6 +284,13 @@ def oracle_sql() -> dict[str, str]:
     merge = _hashes(_MERGED, _net())
     documents = "WITH " + _DOCUMENTS + _DOCUMENT_ROWS
     users = "key LIKE 'user:%'"
+    copies = _hashes(
+            """
+, plain AS (SELECT * FROM cap WHERE op_error IS NULL AND op = '=')
+SELECT 'copy:' || pk AS key, arg_max(f_type, n) AS f_type, arg_max(f_k, n) AS f_k,
+  arg_max(f_value, n) FILTER (f_value IS NOT NULL) AS f_value
+FROM plain GROUP BY pk"""
+        )
     return {
         "a1_hash_changes": _hashes(
             "\nSELECT n, ms, event, key, kind, CASE WHEN NOT gone THEN f_type END AS f_type, "
@@ -397,13 +404,7 @@ FROM (SELECT CAST(c_custkey AS VARCHAR) AS src_pk, c_name AS f_name, c_mktsegmen
 FULL JOIN net ON src_pk = net.pk WHERE net.op IS NULL OR net.op <> '~'""",
             _net(),
         ),
-        "d7_hash_copy": _hashes(
-            """
-, plain AS (SELECT * FROM cap WHERE op_error IS NULL AND op = '=')
-SELECT 'copy:' || pk AS key, arg_max(f_type, n) AS f_type, arg_max(f_k, n) AS f_k,
-  arg_max(f_value, n) FILTER (f_value IS NOT NULL) AS f_value
-FROM plain GROUP BY pk"""
-        ),
+        "d7_hash_copy": copies,
         "d8_source_state": _hashes(
             "\nSELECT key, f_name, f_type, f_value, f_k, f_seq FROM state", _SOURCE
         ),
@@ -471,5 +472,6 @@ SELECT 'customer' AS target, c_custkey AS pk, c_mktsegment AS last_type FROM mer
 UNION ALL SELECT 'guests', pk, f_type FROM gcap WHERE rn = 1 AND op = '='""",
             _net(),
         ),
+        "h12_hash_copy": copies,
         "h13_versioned_table": merge,
     }

@@ -16,7 +16,7 @@ from changeflow.plans.recipes import DocumentWriteBehind, WriteBehind, WriteThro
 from changeflow.session import new_dir, shared_dir
 from changeflow.sinks.table import TableSink
 from changeflow.sources import log as log_source
-from changeflow.streaming.apply_log import apply_batch
+from changeflow.streaming.apply_log import apply_batch, net_of
 from changeflow.streaming.fan_out import start_fan_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -334,8 +334,8 @@ def d6_hash_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def d7_hash_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = capture.replicated(capture.normalize_copies(_selected(spark, sf_dir), V.USERS))
-    net = apply.with_prefix(fold.net_fields(log.where(F.col("op") == "=")), "copy")
+    log = capture.replicated(capture.capture(V.hash_changes(spark, sf_dir), V.COPIES))
+    net = apply.with_prefix(net_of(log, V.COPIES), "copy")
     return net.select(F.col("pk").alias("key"), _field("type"), _field("k"), _field("value"))
 
 
@@ -590,5 +590,17 @@ def h13_versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark)
 
 
+@_query
+def h12_hash_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole hashes copied under a new prefix, in two batches."""
+    sink = TableSink(new_dir(spark, "copies"), V.COPIES, "fields", buckets=8, new_prefix="copy")
+    sink.create(spark.createDataFrame([], "key string, fields map<string,string>"))
+    log = capture.replicated(capture.capture(V.hash_changes(spark, sf_dir), V.COPIES))
+    middle = F.unix_millis(F.to_timestamp(F.lit("2024-01-16T00:00:00Z")))
+    apply_batch(log.where(F.col("ms") < middle), V.COPIES, sink)
+    apply_batch(log.where(F.col("ms") >= middle), V.COPIES, sink)
+    return sink.read(spark).select("key", _field("type"), _field("k"), _field("value"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)

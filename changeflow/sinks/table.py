@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from changeflow.operators import apply
 from changeflow.operators.delivery import WATERMARK
+from changeflow.operators.fold import mapped_as_fields
 from changeflow.session import SharedFiles
 from changeflow.spec import ReplicationSpec
 
@@ -31,11 +32,18 @@ class TableSink:
     """``mode`` says how an update meets the row that is there.
 
     ``merge`` sets the mapped columns, ``replace`` replaces the row, ``fields``
-    sets the fields of a map column one by one.
+    sets the fields of a map column one by one. With ``new_prefix`` rows are named
+    ``prefix:pk``. Give as many ``buckets`` as keep one well within the memory of
+    a task: it is the unit that a batch rewrites.
     """
 
     def __init__(
-        self, path: str, spec: ReplicationSpec, mode: str = "merge", buckets: int = 64
+        self,
+        path: str,
+        spec: ReplicationSpec,
+        mode: str = "merge",
+        buckets: int = 64,
+        new_prefix: str | None = None,
     ) -> None:
         if mode not in ("merge", "replace", "fields"):
             raise ValueError(f"unknown mode {mode}")
@@ -43,6 +51,7 @@ class TableSink:
         self.spec = spec
         self.mode = mode
         self.buckets = buckets
+        self.new_prefix = new_prefix
 
     def create(self, rows: DataFrame) -> None:
         """First version of the table, with no position applied yet."""
@@ -76,6 +85,8 @@ class TableSink:
             if not moved:
                 return
             applied = applied | moved
+        if self.new_prefix is not None:
+            net = apply.with_prefix(net, self.new_prefix)
         # One number per bucket, of which the table has a fixed count.
         touched = [r[0] for r in net.select(self._bucket("pk")).distinct().collect()]
         folders = dict(manifest["buckets"])
@@ -93,6 +104,8 @@ class TableSink:
             return apply.upsert_merge(present, net, self.spec)
         if self.mode == "replace":
             return apply.upsert_replace(present, net, self.spec)
+        if "fields" not in net.columns:
+            net = net.withColumn("fields", mapped_as_fields(self.spec))
         return apply.merge_fields(present, net, self.spec.pk)
 
     def _bucket(self, key: str):

@@ -7,6 +7,7 @@ route never open the files of the others.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from changeflow.spec import ReplicationSpec
@@ -15,6 +16,8 @@ from changeflow.spec import ReplicationSpec
 def log_schema(spec: ReplicationSpec, documents: bool = False) -> T.StructType:
     if documents:
         payload, raw = ["fields map<string,variant>"], "raw string"
+    elif spec.whole_hashes:
+        payload, raw = ["fields map<string,string>"], "raw map<string,string>"
     else:
         payload = [f"`{c}` {spec.type_of(c)}" for c in spec.columns]
         raw = "raw map<string,string>"
@@ -45,3 +48,21 @@ def read(
 ) -> DataFrame:
     reader = spark.readStream if stream else spark.read
     return reader.schema(log_schema(spec, documents)).parquet(path)
+
+
+def read_after(
+    spark: SparkSession,
+    path: str,
+    spec: ReplicationSpec,
+    watermark: DataFrame,
+    documents: bool = False,
+) -> DataFrame:
+    """The log without the part that every shard has behind it.
+
+    The bound is a plain value, so Parquet skips the files and row groups below
+    it. What single shards have behind them is for ``skip_applied``.
+    """
+    log = read(spark, path, spec, documents)
+    # At most one row per shard, and the spec fixes the number of shards.
+    shards, lowest = watermark.agg(F.count("shard"), F.min("ms")).first()
+    return log.where(F.col("ms") >= lowest) if shards == spec.shards else log

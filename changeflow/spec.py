@@ -45,7 +45,8 @@ class ReplicationSpec:
     ``mappings`` goes from source field to target column; a source field that
     starts with ``_`` is ignored. ``types`` gives the target column types
     (string where absent). ``shard_by`` turns the pk column into a shard number
-    in ``[0, shards)``.
+    in ``[0, shards)``. ``whole_hashes`` copies every plain field under its own
+    name, without a mapping, and no deletes.
     """
 
     target: str
@@ -57,6 +58,7 @@ class ReplicationSpec:
     transform: Callable[[DataFrame], DataFrame] | None = None
     shards: int = 16
     shard_by: Callable[[Column], Column] | None = None
+    whole_hashes: bool = False
     exactly_once: bool = True
     batch: int = DEFAULT_BATCH
     duration_ms: int = DEFAULT_DURATION_MS
@@ -68,6 +70,8 @@ class ReplicationSpec:
             raise ValueError("keys_prefix must not be empty")
         if self.shards < 1 or self.batch < 1:
             raise ValueError("shards and batch must be positive")
+        if self.whole_hashes and self.mappings:
+            raise ValueError("whole hashes take no mapping")
         columns = list(self.columns)
         if len(set(columns)) != len(columns):
             raise ValueError("two source fields map to one target column")

@@ -14,13 +14,15 @@ from changeflow.operators.capture import REPLICATE, replicated
 from changeflow.operators.fold import net_change, net_fields
 from changeflow.sinks.base import Sink
 from changeflow.sources import log as log_source
-from changeflow.spec import ReplicationSpec
+from changeflow.spec import UPDATE_REPLICATE, ReplicationSpec
 
 Trigger = dict[str, object]
 
 
 def net_of(log: DataFrame, spec: ReplicationSpec) -> DataFrame:
     """Net changes of a log, by what it carries: fields (documents, whole hashes) or columns."""
+    if spec.whole_hashes:
+        log = log.where(F.col("op") == UPDATE_REPLICATE)
     if "fields" in log.columns:
         return net_fields(log)
     return net_change(log, spec.columns)
@@ -96,4 +98,8 @@ def catch_up(
     documents: bool = False,
 ) -> None:
     """Apply in one batch job whatever the log holds past the sink's watermark."""
-    apply_batch(replicated(log_source.read(spark, log_path, spec, documents)), spec, sink)
+    if spec.exactly_once:
+        log = log_source.read_after(spark, log_path, spec, sink.watermark(spark), documents)
+    else:
+        log = log_source.read(spark, log_path, spec, documents)
+    apply_batch(replicated(log), spec, sink)

@@ -312,3 +312,40 @@ def test_document_write_through(spark, tmp_path):
         assert {r[0]: json.loads(r["f"]) for r in rows} == {key: want}
     fields = spark.createDataFrame([('{"a": 1}',)], "d string").select(document_fields(F.col("d"))).first()[0]
     assert fields["a"].toPython() == 1
+
+
+def test_catch_up_skips_what_all_shards_have_behind_them(spark, behind):
+    source, recipe = behind
+    source.add(*[(f"person:{i}", person("a", i)) for i in range(30)])
+    recipe.run_once(source.stream())
+    source.add(*[(f"person:{i}", person("b", i)) for i in range(30)])
+    recipe.capture(source.stream(), NOW).awaitTermination()
+    held = recipe.sink.watermark(spark)
+    rest = log.read_after(spark, recipe.log_path, SPEC, held)
+    assert held.count() == SPEC.shards and 30 <= rest.count() < 60
+    recipe.catch_up(spark)
+    assert set(persons(spark, recipe).values()) == {("b", i) for i in range(30)}
+
+
+def test_whole_hashes_are_copied_without_deletes(spark, tmp_path):
+    spec = ReplicationSpec(target="copies", pk="key", keys_prefix="key", whole_hashes=True, shards=2)
+    sink = TableSink(str(tmp_path / "copies"), spec, "fields", buckets=2, new_prefix="copy")
+    sink.create(spark.createDataFrame([], "key string, fields map<string,string>"))
+    recipe = WriteBehind(spec, sink, "copies", str(tmp_path))
+    source = Source(spark, tmp_path / "changes")
+    source.add(("key:1", {"bin1": "a", "bin2": "b", "_x": "no"}), ("key:1", None), ("key:2", {"bin1": "c", "#": "+"}))
+    recipe.run_once(source.stream())
+    source.add(("key:1", {"bin1": "z"}))
+    recipe.run_once(source.stream())
+    assert {r["key"]: r["fields"] for r in sink.read(spark).collect()} == {"copy:1": {"bin1": "z", "bin2": "b"}}
+
+
+def test_mapped_columns_as_prefixed_hashes(spark, tmp_path):
+    sink = TableSink(str(tmp_path / "hashes"), replace(SPEC, pk="key"), "fields", buckets=2, new_prefix="p")
+    sink.create(spark.createDataFrame([("p:1", {"age": "1", "other": "x"})], "key string, fields map<string,string>"))
+    recipe = WriteBehind(replace(SPEC, pk="key"), sink, "hashes", str(tmp_path))
+    source = Source(spark, tmp_path / "changes")
+    source.add(("person:1", person("foo", 22)), ("person:2", person("bar", 3)), ("person:2", None))
+    recipe.run_once(source.stream())
+    got = {r["key"]: r["fields"] for r in sink.read(spark).collect()}
+    assert got == {"p:1": {"first": "foo", "last": "bar", "age": "22", "other": "x"}}

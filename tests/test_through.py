@@ -144,3 +144,11 @@ def test_staged_documents(spark):
         "p:2": ("=", False, "not a JSON object"),
         "p:3": ("~", True, None),
     }
+
+
+def test_writes_without_a_real_key_are_refused_one_by_one(spark):
+    writes = [(i, 0, "__broken", {"f": "x"}) for i in range(300)] + [(1, 1, "__{person:1}", {"f": "F", "l": "L", "a": "1"})]
+    staged = through.select_staged(spark.createDataFrame(writes, STAGED), SPEC)
+    decided = through.decide(staged, source_frame(spark, {"q": {}}), SPEC, rows_per_task=20)
+    got = decided.groupBy("done", "error").count().collect()
+    assert sorted(tuple(r) for r in got) == [(False, "no real key in the staging key", 300), (True, None, 1)]

@@ -13,7 +13,7 @@ from changeflow.functions.documents import lift
 from changeflow.operators import apply, batches, capture, delivery, fold, through
 from changeflow.plans import change_views as V
 from changeflow.plans.recipes import DocumentWriteBehind, WriteBehind, WriteThrough
-from changeflow.session import new_dir, shared_dir
+from changeflow.session import new_dir, shared_dir, stored
 from changeflow.sinks.table import TableSink
 from changeflow.sources import log as log_source
 from changeflow.streaming.apply_log import apply_batch, net_of
@@ -467,8 +467,13 @@ def _staged(spark: SparkSession, sf_dir: str) -> DataFrame:
     return through.select_staged(V.staged_writes(spark, sf_dir), V.STAGED)
 
 
+def _stored_staged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    writes = stored(V.staged_writes(spark, sf_dir), "staged")
+    return through.select_staged(writes, V.STAGED)
+
+
 def _decided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return through.decide(_staged(spark, sf_dir), V.source_hashes(spark, sf_dir), V.STAGED)
+    return through.decide(_stored_staged(spark, sf_dir), V.source_hashes(spark, sf_dir), V.STAGED)
 
 
 def _through_source(spark: SparkSession, sf_dir: str, decided: DataFrame) -> DataFrame:
@@ -554,7 +559,7 @@ def g3_write_through(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = replace(V.STAGED, target="source", pk="key")
     source = TableSink(new_dir(spark, "source"), keyed, "fields", buckets=8)
     source.create(V.source_hashes(spark, sf_dir))
-    WriteThrough(V.STAGED, sink, source).commit(V.staged_writes(spark, sf_dir))
+    WriteThrough(V.STAGED, sink, source).commit(stored(V.staged_writes(spark, sf_dir), "staged"))
     return sink.read(spark)
 
 

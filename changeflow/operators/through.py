@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from changeflow.functions import record as R
 from changeflow.functions.documents import overlaid
-from changeflow.functions.running import ROWS_PER_TASK, cut_hot_keys, running
+from changeflow.functions.running import ROWS_PER_TASK, cut_hot_keys, running, with_order
 from changeflow.operators import capture
 from changeflow.session import stored
 from changeflow.spec import (
@@ -32,7 +32,7 @@ from changeflow.spec import (
 
 NO_REAL_KEY = "no real key in the staging key"
 TARGET_DOWN = "target not available"
-_SLOT = "_slot"
+_SLOT, _PLACE = "_slot", "_place"
 
 
 def select_staged(staged: DataFrame, spec: ReplicationSpec) -> DataFrame:
@@ -100,16 +100,17 @@ def decide(
     writes, hot = cut_hot_keys(writes, [_SLOT], rows_per_task)
     rows = writes.join(base, "key", "left")
 
-    # The last delete and the last local write of each field before the record.
+    # The last delete and the last local write of each field before the record. A local
+    # write is noted as twice its place, plus one if its value fits.
     rows = running(
-        rows,
+        with_order(rows, [_SLOT], _PLACE),
         [_SLOT],
         hot,
         maxima={
-            "_barrier": F.when(valid & removes, R.log_id()),
+            "_barrier": F.when(valid & removes, F.col(_PLACE)),
             **{
                 f"_plus_{c}": F.when(
-                    valid & is_plus & has[c], F.struct("ms", "n", fit[c].alias("fit"))
+                    valid & is_plus & has[c], F.col(_PLACE) * 2 + fit[c].cast("bigint")
                 )
                 for c in spec.columns
             },
@@ -118,20 +119,22 @@ def decide(
     if hot:
         # Each running aggregate reads its input twice then, so keep the inputs short.
         rows = stored(rows, "through")
-    before_all = R.log_id(F.lit(-1).cast("bigint"), F.lit(-1).cast("bigint"))
+
+    def in_force(place: Column) -> Column:
+        return place.isNotNull() & (F.col("_barrier").isNull() | (place > F.col("_barrier")))
 
     def deficit(c: str) -> Column:
-        plus = F.col(f"_plus_{c}")
-        plus_id = R.log_id(plus["ms"], plus["n"])
-        in_force = plus.isNotNull() & (F.col("_barrier").isNull() | (plus_id > F.col("_barrier")))
+        """Place since which the field is open, 0 for the state before the batch."""
+        plus = F.shiftright(f"_plus_{c}", 1)
+        fits = F.col(f"_plus_{c}") % 2 == 1
         return (
-            F.when(in_force, F.when(~plus["fit"], plus_id))
+            F.when(in_force(plus), F.when(~fits, plus))
             .when(F.col("_barrier").isNotNull(), F.col("_barrier"))
-            .when(~_fits(F.col(f"_base_{c}"), spec.type_of(c)), before_all)
+            .when(~_fits(F.col(f"_base_{c}"), spec.type_of(c)), F.lit(0).cast("bigint"))
         )
 
     own_unfit = F.lit(False)
-    unfilled = [F.lit(None).cast("struct<ms:bigint,n:bigint>")] * 2
+    unfilled = [F.lit(None).cast("bigint")] * 2
     for c in spec.columns:
         own_unfit = own_unfit | (has[c] & ~fit[c])
         unfilled.append(F.when(~has[c], deficit(c)))
@@ -150,20 +153,14 @@ def decide(
         rows,
         [_SLOT],
         hot,
-        maxima={
-            f"_last_{c}": F.when(stays & has[c], F.struct("ms", "n", own[c].alias("value")))
-            for c in spec.columns
-        },
+        maxima={f"_last_at_{c}": F.when(stays & has[c], F.col(_PLACE)) for c in spec.columns},
+        lasts={f"_last_{c}": F.when(stays & has[c], own[c]) for c in spec.columns},
     )
 
     def image(c: str) -> Column:
-        last = F.col(f"_last_{c}")
-        in_force = last.isNotNull() & (
-            F.col("_barrier").isNull() | (R.log_id(last["ms"], last["n"]) > F.col("_barrier"))
-        )
         return (
             F.when(has[c], own[c])
-            .when(in_force, last["value"])
+            .when(in_force(F.col(f"_last_at_{c}")), F.col(f"_last_{c}"))
             .when(F.col("_barrier").isNull(), F.col(f"_base_{c}"))
         )
 
@@ -217,7 +214,7 @@ def _successes(rows: DataFrame, hot: bool, settled_at_once: bool) -> DataFrame:
     """
 
     def step(known: DataFrame) -> DataFrame:
-        after = running(known, [_SLOT], hot, maxima={"_won": F.when(F.col("_ok"), R.log_id())})
+        after = running(known, [_SLOT], hot, maxima={"_won": F.when(F.col("_ok"), F.col(_PLACE))})
         reached = F.col("_deficit").isNull() | F.coalesce(
             F.col("_won") > F.col("_deficit"), F.lit(False)
         )

@@ -8,7 +8,7 @@ import pytest
 import replay
 from pyspark.sql import functions as F
 
-from changeflow.functions.running import cut_hot_keys, running
+from changeflow.functions.running import cut_hot_keys, running, with_order
 from changeflow.operators import batches
 
 
@@ -39,16 +39,27 @@ def test_running_equals_a_loop(spark, rows_per_task, same_ms):
         hot,
         maxima={"top": F.struct("v"), "high": F.col("v")},
         sums={"total": F.col("v"), "seen": F.lit(1)},
+        lasts={"latest": F.col("v")},
     )
-    got = {(r["key"], r["ms"], r["n"]): (r["high"], r["total"], r["seen"]) for r in out.collect()}
+    fields = ("high", "total", "seen", "latest")
+    got = {(r["key"], r["ms"], r["n"]): tuple(r[f] for f in fields) for r in out.collect()}
     state: dict[str, list[int | None]] = {}
     want = {}
     for key, ms, n, v in data:
         before = state.setdefault(key, [])
         known = [x for x in before if x is not None]
-        want[(key, ms, n)] = (max(known, default=None), sum(known), len(before))
+        want[(key, ms, n)] = (
+            max(known, default=None),
+            sum(known),
+            len(before),
+            known[-1] if known else None,
+        )
         before.append(v)
     assert got == want
+    order = with_order(cut, ["key"], "at").orderBy("ms", "n").select("key", "at").collect()
+    for name in {r["key"] for r in order}:
+        places = [r["at"] for r in order if r["key"] == name]
+        assert places == sorted(set(places)) and places[0] > 0
 
 
 @pytest.mark.parametrize("rows_per_task", [10, 1_000_000])

@@ -89,14 +89,19 @@ def decide(
     removes = F.col("op") == DELETE_LOCAL
     if target_up:
         removes = removes | (F.col("op") == DELETE_REPLICATE)
-    has = {c: F.col("fields")[s].isNotNull() for s, c in fields.items()}
-    own = {c: F.col("fields")[s] for s, c in fields.items()}
-    fit = {c: _fits(own[c], spec.type_of(c)) for c in spec.columns}
+    has = {c: F.col(f"_own_{c}").isNotNull() for c in spec.columns}
+    own = {c: F.col(f"_own_{c}") for c in spec.columns}
+    fit = {c: F.col(f"_fit_{c}") for c in spec.columns}
 
-    base = source.select("key", *[own[c].alias(f"_base_{c}") for c in spec.columns])
+    base = source.select("key", *[F.col("fields")[s].alias(f"_base_{c}") for s, c in fields.items()])
     # Writes without a real key have nothing in common: each is a key of its own.
     own_slot = F.coalesce("key", F.concat_ws("-", "ms", "n"))
     writes = validate_staged(staged).withColumn(_SLOT, own_slot)
+    # Taken out of the map once; what follows only handles plain columns.
+    writes = writes.withColumns({f"_own_{c}": F.col("fields")[s] for s, c in fields.items()})
+    writes = writes.withColumns(
+        {f"_fit_{c}": _fits(own[c], spec.type_of(c)) for c in spec.columns}
+    )
     writes, hot = cut_hot_keys(writes, [_SLOT], rows_per_task)
     rows = writes.join(base, "key", "left")
 

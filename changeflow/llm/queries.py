@@ -6,15 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.llm import exact_dedup, quality
+from changeflow.llm import exact_dedup, jaccard, packing, quality, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
+        "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+        "op4_jaccard_join": jaccard.op4_jaccard_join,
+        "op7_best_fit_packing": packing.op7_best_fit_packing,
         "op9_quality_classifier": quality.op9_quality_classifier,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": exact_dedup.OP1_SQL}
+    return {
+        "op1_exact_dedup": exact_dedup.OP1_SQL,
+        "op2_substring_dedup": substring_dedup.OP2_SQL,
+        "op4_jaccard_join": jaccard.OP4_SQL,
+    }

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.llm import exact_dedup, jaccard, packing, quality, substring_dedup
+from changeflow.llm import exact_dedup, jaccard, licenses, packing, quality, quality_rules, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,8 +14,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
         "op2_substring_dedup": substring_dedup.op2_substring_dedup,
         "op4_jaccard_join": jaccard.op4_jaccard_join,
+        "op6_license_scan": licenses.op6_license_scan,
         "op7_best_fit_packing": packing.op7_best_fit_packing,
         "op9_quality_classifier": quality.op9_quality_classifier,
+        "op10_quality_rules": quality_rules.op10_quality_rules,
     }
 
 
@@ -24,4 +26,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_exact_dedup": exact_dedup.OP1_SQL,
         "op2_substring_dedup": substring_dedup.OP2_SQL,
         "op4_jaccard_join": jaccard.OP4_SQL,
+        "op6_license_scan": licenses.OP6_SQL,
+        "op10_quality_rules": quality_rules.OP10_SQL,
     }

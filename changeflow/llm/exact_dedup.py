@@ -51,7 +51,8 @@ def _numbered(distinct: DataFrame, by: list[str]) -> DataFrame:
 
 def _named_blocks(texts: DataFrame, size: int, seed: int) -> DataFrame | None:
     """(d1, d2, name) of each distinct block, or None if a key stands for two blocks."""
-    cells = texts.select(F.explode(_blocks(F.col("bytes"), size, lambda b: b)).alias("block"))
+    # The outer form, because the plain one computes the blocks again for a filter on their number.
+    cells = texts.select(F.explode_outer(_blocks(F.col("bytes"), size, lambda b: b)).alias("block"))
     cells = cells.select("block", _key(F.col("block"), seed).alias("d")).select("d.*", "block")
     names = stored(_numbered(cells.distinct(), ["d1", "d2", "block"]).select("d1", "d2", "name"), "block-names")
     return names if names.count() == names.select("d1", "d2").distinct().count() else None
@@ -129,6 +130,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.count("*").alias("group_size"),
         F.min(F.struct(-F.col("n_points"), F.col("id").isNull(), "id", "uid")).alias("first"),
     )
+    # Stored, so that the join reads two plain exchanges and a large group can be split.
+    groups = stored(groups, "groups")
     return rows.join(groups, ["n_blocks", "name"]).select(
         "id",
         F.col("first.id").alias("keep_id"),

@@ -115,24 +115,25 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     lines = F.transform(lines, lambda x, i: F.struct((i + 1).alias("line"), x.alias("unit")))
     whole = F.when(F.col("text").contains("\n"), F.array(F.struct(F.lit(0).alias("line"), F.col("text").alias("unit"))))
+    # The row numbers keep the optimiser from copying a step into the filters of the next.
     units = (
-        rows.select(F.monotonically_increasing_id().alias("uid"), "id", F.explode(F.concat(lines, F.coalesce(whole, F.array().cast("array<struct<line:int,unit:string>>")))).alias("u"))
-        .select("uid", "id", "u.line", F.split(normalised(F.col("u.unit")), " ").alias("words"))
+        rows.select("id", F.explode(F.concat(lines, F.coalesce(whole, F.array().cast("array<struct<line:int,unit:string>>")))).alias("u"))
+        .select(F.monotonically_increasing_id().alias("uid"), "id", "u.line", F.split(normalised(F.col("u.unit")), " ").alias("words"))
         .where(F.size("words") - 1 >= low)
     )
     bigrams = F.array_distinct(
         F.transform(F.slice("words", F.lit(2), F.size("words")), lambda w, i: F.concat(F.get("words", i), F.lit(" "), w))
     )
-    sets = units.select("uid", "id", "line", bigrams.alias("bigrams")).withColumn("n", F.size("bigrams")).where(F.col("n").between(low, high))
-    pairs = sets.select("uid", "id", "line", "n", F.explode("bigrams").alias("bigram")).join(
+    sets = units.select(F.monotonically_increasing_id().alias("unit"), "uid", "id", "line", bigrams.alias("bigrams")).withColumn("n", F.size("bigrams"))
+    sets = sets.where(F.col("n").between(low, high))
+    pairs = sets.select("unit", "uid", "id", "line", "n", F.explode("bigrams").alias("bigram")).join(
         F.broadcast(known), "bigram"
     ).where((F.col("n") >= ratio * F.col("m")) & (F.col("m") >= ratio * F.col("n")))
     return (
-        pairs.groupBy("uid", "id", "line", "license_id", "n", "m")
+        pairs.groupBy("unit", "uid", "id", "line", "license_id", "n", "m")
         .agg(F.count("*").alias("common"))
-        .select("uid", "id", "line", "license_id", (2 * F.col("common") / (F.col("n") + F.col("m"))).alias("dice"))
+        .select("id", "line", "license_id", (2 * F.col("common") / (F.col("n") + F.col("m"))).alias("dice"))
         .where(F.col("dice") >= threshold)
-        .drop("uid")
     )
 
 

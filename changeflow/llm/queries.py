@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.llm import exact_dedup, jaccard, licenses, packing, quality, quality_rules, substring_dedup
+from changeflow.llm import archives, exact_dedup, jaccard, licenses, packing, quality, quality_rules, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
         "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+        "op3_toxicity": toxicity.op3_toxicity,
         "op4_jaccard_join": jaccard.op4_jaccard_join,
+        "op5_warc_from_arc": archives.op5_warc_from_arc,
         "op6_license_scan": licenses.op6_license_scan,
         "op7_best_fit_packing": packing.op7_best_fit_packing,
         "op9_quality_classifier": quality.op9_quality_classifier,
@@ -26,6 +28,7 @@ def oracle_sql() -> dict[str, str]:
         "op1_exact_dedup": exact_dedup.OP1_SQL,
         "op2_substring_dedup": substring_dedup.OP2_SQL,
         "op4_jaccard_join": jaccard.OP4_SQL,
+        "op5_warc_from_arc": archives.OP5_SQL,
         "op6_license_scan": licenses.OP6_SQL,
         "op10_quality_rules": quality_rules.OP10_SQL,
     }

@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.llm import archives, exact_dedup, jaccard, licenses, packing, quality, quality_rules, substring_dedup, toxicity
+from changeflow.llm import (
+    archives,
+    exact_dedup,
+    jaccard,
+    licenses,
+    packing,
+    pieces,
+    quality,
+    quality_rules,
+    substring_dedup,
+    toxicity,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -18,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_warc_from_arc": archives.op5_warc_from_arc,
         "op6_license_scan": licenses.op6_license_scan,
         "op7_best_fit_packing": packing.op7_best_fit_packing,
+        "op8_sampled_pieces": pieces.op8_sampled_pieces,
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_quality_rules": quality_rules.op10_quality_rules,
     }

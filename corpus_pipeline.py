@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from changeflow.llm import exact_dedup, quality
+from changeflow.llm import exact_dedup, jaccard, packing, quality, substring_dedup
 from changeflow.llm.common import read
 from changeflow.session import new_dir
 
 STAGES = [
     ("quality classifier", quality.stage),
     ("exact dedup", exact_dedup.stage),
+    ("n-gram Jaccard join", jaccard.stage),
+    ("substring dedup", substring_dedup.stage),
+    ("best-fit packing", packing.stage),
 ]
 
 # The first stage is a trained classifier, which SQL cannot express.

@@ -91,6 +91,14 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h
 
 
+def unused(name: str, taken: list[str]) -> str:
+    """The name, or one made of it that no column has."""
+    known = {c.lower() for c in taken}
+    while name.lower() in known:
+        name = f"_{name}"
+    return name
+
+
 def keep_rows(docs: DataFrame, keep: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` whose (id, hash of the text) ``keep`` holds, each such pair once.
 
@@ -98,13 +106,12 @@ def keep_rows(docs: DataFrame, keep: DataFrame, id_col: str = "doc_id", text_col
     pair). All columns of ``docs`` stay as they are. Only pairs that stand for several rows
     pay for a second shuffle.
     """
-    keep = stored(keep.select("keep_key", "keep_hash", "n_rows"), "keep-rows")
-    matches = docs[id_col].eqNullSafe(F.col("keep_key")) & (
-        F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col("keep_hash")
-    )
-    repeated = keep.where("n_rows > 1")
+    key, digest, count = (unused(f"keep_{c}", docs.columns) for c in ("key", "hash", "rows"))
+    keep = stored(keep.select(F.col("keep_key").alias(key), F.col("keep_hash").alias(digest), F.col("n_rows").alias(count)), "keep-rows")
+    matches = docs[id_col].eqNullSafe(F.col(key)) & (F.xxhash64(F.coalesce(docs[text_col], F.lit(""))) == F.col(digest))
+    repeated = keep.where(F.col(count) > 1)
     if repeated.isEmpty():
         return docs.join(keep, matches, "left_semi")
-    return docs.join(keep.where("n_rows = 1"), matches, "left_semi").unionByName(
+    return docs.join(keep.where(F.col(count) == 1), matches, "left_semi").unionByName(
         docs.join(repeated, matches, "left_semi").dropDuplicates([id_col, text_col])
     )

@@ -7,8 +7,8 @@ class; classes link when 100 * |intersection| >= 75 * |union|.
    the sorted shingles.
 2. ``frequent_sets``: a second scan sends the shingles of the classes to buckets, packed as
    arrays. A bucket finds those that two classes or more have; only they can ever be common
-   to two sets. They get keys that ascend with document frequency (its power of two, then
-   the hash), and go back to their classes. Shingles of one class only come first in the
+   to two sets. They get keys that ascend with document frequency (its power of two, with
+   hot shingles last, then the hash), and go back to their classes. Shingles of one class only come first in the
    rare-first order; it is enough to know how many they are. A class with too few frequent
    shingles for any partner leaves here, which is the prefix filter for rare shingles.
 3. ``candidates``: classes meet on the frequent shingles of their prefix. The length filter
@@ -22,7 +22,7 @@ list (the one with the fewest shingles of its own), and then only pairs whose tw
 in different components so far. No link between components is lost: all such pairs are tried.
 
 At scale: a shingle that many classes of a chunk share is taken out of the bucket traffic.
-Its entries travel by class, and one count per chunk by shingle, so no bucket gets more than
+Its entries travel by class, and one mark per chunk by shingle, so no bucket gets more than
 ``HOT`` entries per chunk of one shingle. The number of buckets follows the number of
 shingles. Joins on prefix keys and on classes are sort-merge joins that adaptive execution
 can split. Shingles are 58-bit hashes and classes 64-bit hashes.
@@ -51,8 +51,7 @@ PERCENT = 75
 GRAM_BITS = 58
 HOT = 16
 CHUNK_GRAMS = 1_000_000
-BUCKET_GRAMS = 3_000_000
-_MASK = np.uint64((1 << GRAM_BITS) - 1)
+BUCKET_GRAMS = 1_500_000
 # Odd multipliers, one for each place of a shingle.
 _PLACES = np.cumprod(np.full(WORDS + 1, 0x9E3779B97F4A7C15, np.uint64), dtype=np.uint64)
 
@@ -106,13 +105,13 @@ def members(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 # What travels to a bucket. kind 0: (class, shingle), packed with a table of the classes of the
-# chunk; kind 1: (class, hot shingle); kind 2: (hot shingle, count); kind 3: (class, size).
+# chunk; kind 1: (class, hot shingle); kind 2: hot shingles; kind 3: (class, size).
 _TRAFFIC = "bucket int, kind int, a binary, b binary, c binary"
 _TRAFFIC_ARROW = pa.schema([("bucket", pa.int32()), ("kind", pa.int32()), ("a", pa.binary()), ("b", pa.binary()), ("c", pa.binary())])
-_SETS = "class long, n long, keys array<long>, hot array<long>, gram long, frequency long"
-_SETS_ARROW = pa.schema(
-    [("class", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64())), ("hot", pa.list_(pa.int64())), ("gram", pa.int64()), ("frequency", pa.int64())]
-)
+_SETS = "class long, n long, keys array<long>"
+_SETS_ARROW = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("keys", pa.list_(pa.int64()))])
+# The place in the order of a shingle that is hot in any chunk: after all others.
+_HOT_LEVEL = 31
 
 
 def _rows(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -158,9 +157,9 @@ def _chunk_rows(sets: dict[int, np.ndarray], buckets: int) -> list[tuple]:
     for bucket, part in _split((classes.view(np.uint64) % np.uint64(buckets)).astype(np.int64)):
         rows.append((bucket, 3, classes[part].tobytes(), sizes[part].tobytes(), None))
     if hot.any():
-        marks, marked = grams[begins][counts >= HOT], counts[counts >= HOT]
+        marks = grams[begins][counts >= HOT]
         for bucket, part in _split((marks % np.uint64(buckets)).astype(np.int64)):
-            rows.append((bucket, 2, marks[part].tobytes(), marked[part].astype(np.int64).tobytes(), None))
+            rows.append((bucket, 2, marks[part].tobytes(), None, None))
         names, values = classes[owner[hot]], grams[hot]
         for bucket, part in _split((names.view(np.uint64) % np.uint64(buckets)).astype(np.int64)):
             rows.append((bucket, 1, names[part].tobytes(), values[part].tobytes(), None))
@@ -201,7 +200,7 @@ def _by_gram(table: pa.Table, buckets: int) -> list[tuple]:
     a, b, c = (table[x].to_pylist() for x in "abc")
     of = lambda kind, values: [values[i] for i in np.flatnonzero(kinds == kind)]
     rows = [(int(table["bucket"][0].as_py()), int(k), a[i], b[i], None) for i, k in enumerate(kinds) if k in (1, 3)]
-    marks, marked = _longs(of(2, a), np.uint64), _longs(of(2, b))
+    marks = _longs(of(2, a), np.uint64)
     grams, names = [], []
     for data, places, classes in zip(of(0, a), of(0, b), of(0, c), strict=True):
         found = _from_planes(data, np.uint64)
@@ -222,27 +221,14 @@ def _by_gram(table: pa.Table, buckets: int) -> list[tuple]:
     fresh = np.concatenate(([True], (gram[1:] != gram[:-1]) | (name[1:] != name[:-1]))) if len(gram) else np.empty(0, bool)
     gram, name = gram[fresh], name[fresh]
     begins, counts = _runs(gram)
-    unique_marks, where = np.unique(marks, return_inverse=True)
-    mark_counts = np.bincount(where, weights=marked, minlength=len(unique_marks)).astype(np.int64)
-    frequency = counts.copy()
-    if len(unique_marks) and len(begins):
-        at = np.minimum(np.searchsorted(unique_marks, gram[begins]), len(unique_marks) - 1)
-        frequency = frequency + np.where(unique_marks[at] == gram[begins], mark_counts[at], 0)
-    level = np.minimum(np.log2(np.maximum(frequency, 1)).astype(np.int64), 31)
+    marked_run = np.isin(gram[begins], marks)
+    level = np.where(marked_run, _HOT_LEVEL, np.minimum(np.log2(np.maximum(counts, 1)).astype(np.int64), _HOT_LEVEL - 1))
     # Of one class only, through copies in several chunks: not frequent.
-    keep = np.repeat(frequency > 1, counts)
+    keep = np.repeat((counts > 1) | marked_run, counts)
     keys = ((np.repeat(level, counts).astype(np.uint64) << np.uint64(GRAM_BITS)) | gram).view(np.int64)[keep]
     name = name[keep]
     for bucket, part in _split((name.view(np.uint64) % np.uint64(buckets)).astype(np.int64)):
         rows.append((bucket, 0, name[part].tobytes(), keys[part].tobytes(), None))
-    if len(unique_marks):
-        total = mark_counts.copy()
-        if len(begins):
-            at = np.minimum(np.searchsorted(gram[begins], unique_marks), len(begins) - 1)
-            total += np.where(gram[begins][at] == unique_marks, counts[at], 0)
-        rank = np.minimum(np.log2(total).astype(np.int64), 31)
-        bucket = int(table["bucket"][0].as_py())
-        rows.append((bucket, 2, unique_marks.tobytes(), rank.tobytes(), None))
     return rows
 
 
@@ -252,44 +238,23 @@ def _least(n: np.ndarray) -> np.ndarray:
 
 
 def _by_class(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    """The frequent shingles of each class that may have a partner, and the hot shingles' ranks."""
+    """The frequent shingles of each class that may have a partner."""
     kinds = table["kind"].to_numpy()
     a, b = table["a"].to_pylist(), table["b"].to_pylist()
     of = lambda kind, values: [values[i] for i in np.flatnonzero(kinds == kind)]
-    marks, ranks = _longs(of(2, a)), _longs(of(2, b))
-    if len(marks):
-        none = pa.nulls(len(marks))
-        yield pa.RecordBatch.from_arrays(
-            [none.cast(pa.int64()), none.cast(pa.int64()), none.cast(pa.list_(pa.int64())), none.cast(pa.list_(pa.int64())), pa.array(marks), pa.array(ranks)],
-            schema=_SETS_ARROW,
-        )
     classes, first = np.unique(_longs(of(3, a)), return_index=True)
-    if not len(classes):
-        return
     sizes = _longs(of(3, b))[first]
-    lists = []
-    for kind in (0, 1):
-        names, values = _longs(of(kind, a)), _longs(of(kind, b))
-        order = np.lexsort((values, names))
-        names, values = names[order], values[order]
-        fresh = np.concatenate(([True], (names[1:] != names[:-1]) | (values[1:] != values[:-1]))) if len(names) else np.empty(0, bool)
-        names, values = names[fresh], values[fresh]
-        lists.append((values, np.searchsorted(names, classes), np.searchsorted(names, classes, "right")))
-    (keys, k0, k1), (hot, h0, h1) = lists
-    may = np.flatnonzero((k1 - k0) + (h1 - h0) >= _least(sizes))
-    rows: list[tuple] = []
-    for i in may.tolist():
-        own, warm = keys[k0[i] : k1[i]], hot[h0[i] : h1[i]]
-        if len(warm):
-            # A shingle can be hot in one chunk and not in another.
-            own = own[~np.isin(own.view(np.uint64) & _MASK, warm.view(np.uint64))]
-            if len(own) + len(warm) < _least(sizes[i]):
-                continue
-        rows.append((int(classes[i]), int(sizes[i]), own, warm if len(warm) else None, None, None))
-        if len(rows) >= 2000:
-            yield _rows(rows, _SETS_ARROW)
-            rows = []
-    yield _rows(rows, _SETS_ARROW)
+    hot = (np.uint64(_HOT_LEVEL << GRAM_BITS) | _longs(of(1, b), np.uint64)).view(np.int64)
+    # A class is in several chunks, and a shingle can be hot in one of them and not in another.
+    names, keys = np.concatenate((_longs(of(0, a)), _longs(of(1, a)))), np.concatenate((_longs(of(0, b)), hot))
+    order = np.lexsort((keys, names))
+    names, keys = names[order], keys[order]
+    fresh = np.concatenate(([True], (names[1:] != names[:-1]) | (keys[1:] != keys[:-1]))) if len(names) else np.empty(0, bool)
+    names, keys = names[fresh], keys[fresh]
+    begin, end = np.searchsorted(names, classes), np.searchsorted(names, classes, "right")
+    may = np.flatnonzero(end - begin >= _least(sizes))
+    for at in range(0, len(may), 2000):
+        yield _rows([(int(classes[i]), int(sizes[i]), keys[begin[i] : end[i]]) for i in may[at : at + 2000].tolist()], _SETS_ARROW)
 
 
 def frequent_sets(docs: DataFrame, total_grams: int, text_col: str = "text") -> DataFrame:
@@ -302,22 +267,9 @@ def frequent_sets(docs: DataFrame, total_grams: int, text_col: str = "text") ->
     def by_class(table: pa.Table) -> pa.Table:
         return pa.Table.from_batches(list(_by_class(table)), _SETS_ARROW)
 
-    found = stored(
-        _traffic(docs, text_col, buckets).groupBy("bucket").applyInArrow(by_gram, _TRAFFIC).groupBy("bucket").applyInArrow(by_class, _SETS),
-        "frequent-sets",
-    )
-    sets = found.where(F.col("class").isNotNull())
-    ranks = found.where(F.col("gram").isNotNull()).select("gram", "frequency")
-    hot = (
-        sets.where(F.col("hot").isNotNull())
-        .select("class", F.explode("hot").alias("gram"))
-        .join(ranks, "gram")
-        .groupBy("class")
-        .agg(F.collect_list(F.col("frequency") * (1 << GRAM_BITS) + F.col("gram")).alias("warm"))
-    )
-    cold = sets.where(F.col("hot").isNull()).select("class", "n", "keys")
-    warm = sets.where(F.col("hot").isNotNull()).join(hot, "class").select("class", "n", F.array_sort(F.concat("keys", "warm")).alias("keys"))
-    return stored(cold.unionByName(warm), "class-sets")
+    traffic = _traffic(docs, text_col, buckets)
+    found = traffic.groupBy("bucket").applyInArrow(by_gram, _TRAFFIC).groupBy("bucket").applyInArrow(by_class, _SETS)
+    return stored(found, "class-sets")
 
 
 def _needed(n: Column, m: Column) -> Column:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import read
+from changeflow.llm.common import read, unused
 from changeflow.session import stored
 
 MIN_WORDS = 5
@@ -117,27 +117,27 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     If ``docs`` has columns of these names already, the new ones take their place.
     """
+    text_, id_, hash_, spans_ = (unused(f"span_{c}", docs.columns) for c in ("text", "id", "hash", "spans"))
     spans = repeated_spans(docs, id_col, text_col, unit, min_words).select(
-        F.col("id").alias("__span_id"), F.col("text_hash").alias("__span_hash"), F.col("spans").alias("__spans")
+        F.col("id").alias(id_), F.col("text_hash").alias(hash_), F.col("spans").alias(spans_)
     )
-    rows = docs.withColumn("__text", F.col(text_col)).join(
-        spans, docs[id_col].eqNullSafe(F.col("__span_id")) & (_text_hash(text_col) == F.col("__span_hash")), "left"
+    rows = docs.withColumn(text_, F.col(text_col)).join(
+        spans, docs[id_col].eqNullSafe(F.col(id_)) & (_text_hash(text_col) == F.col(hash_)), "left"
     )
+    kept = [c for c in docs.columns if c not in ("clean_text", "removed_spans")]
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
                 text.as_py() if not span.is_valid else remove(text.as_py(), [(s["start"], s["length"]) for s in span.as_py()])
-                for text, span in zip(batch["__text"], batch["__spans"], strict=True)
+                for text, span in zip(batch[text_], batch[spans_], strict=True)
             ]
-            columns = {n: batch[n] for n in batch.schema.names if n not in ("__text", "__span_id", "__span_hash", "__spans", "clean_text", "removed_spans")}
-            columns |= {"clean_text": pa.array(texts, pa.string()), "removed_spans": batch["__spans"]}
-            yield pa.RecordBatch.from_pydict(columns)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch[c] for c in kept), pa.array(texts, pa.string()), batch[spans_]], [*kept, "clean_text", "removed_spans"]
+            )
 
-    kept = [c for c in docs.columns if c not in ("clean_text", "removed_spans")]
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    rows = rows.drop(*[c for c in docs.columns if c in ("clean_text", "removed_spans")])
-    return rows.mapInArrow(clean, f"{fields}, clean_text string, removed_spans array<struct<start:bigint,length:bigint>>")
+    return rows.select(*kept, text_, spans_).mapInArrow(clean, f"{fields}, clean_text string, removed_spans array<struct<start:bigint,length:bigint>>")
 
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -153,8 +153,15 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, their texts without what earlier documents or lines have already."""
-    return substring_dedup(docs).select(*(F.col("clean_text").alias("text") if c == "text" else F.col(c) for c in docs.columns))
+    """All documents, their texts without what earlier documents or lines have already.
+
+    Where a text became shorter, ``n_chars`` follows it.
+    """
+    changed = {"text": F.col("clean_text")}
+    if "n_chars" in docs.columns:
+        length = F.char_length("clean_text").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("removed_spans").isNull(), F.col("n_chars")).otherwise(length)
+    return substring_dedup(docs).select(*(changed.get(c, F.col(c)).alias(c) for c in docs.columns))
 
 
 OP2_SQL = r"""

@@ -8,7 +8,7 @@ the emptiest. A partition with a gap gives up all bins that are not full. What w
 is exchanged: it is dealt anew, to as few partitions as hold it, and packed again, until a
 round saves nothing. A round that would need more bins than it was given is not used.
 
-At scale: tokens are counted by one scan with a cache of words per task (the encoding of a
+At scale: tokens are counted by one scan with a cache of words per process (the encoding of a
 text is that of its words between ASCII white space, one after the other; the tests hold
 this against whole texts). Only numbers are shuffled, about 60 bytes for each piece. A
 partition has about ``PARTITION_PIECES`` pieces, whatever the corpus has; later rounds see
@@ -23,7 +23,9 @@ from __future__ import annotations
 
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +39,7 @@ SEQUENCE = 4096
 END_ID = 1
 PARTITION_PIECES = 100_000
 MAX_ROUNDS = 6
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 _BLOCK = 1_000_000
 
 
@@ -48,34 +50,43 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
 
 
 class Encoder:
-    """Token ids of texts as little-endian unsigned 32-bit numbers, word by word from a cache."""
+    """Token ids of texts as little-endian unsigned 32-bit numbers, word by word from a cache.
+
+    The cache has at most twice ``CACHED_WORDS`` words and those of a block.
+    """
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._cache: dict[bytes, bytes] = {}
-
-    def _learn(self, words: list[bytes]) -> None:
-        found = self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        if len(self._cache) + len(words) > CACHED_WORDS:
-            self._cache.clear()
-        for word, encoding in zip(words, found, strict=True):
-            self._cache[word] = np.array(encoding.ids, "<u4").tobytes()
+        # Words are looked up in the young half; when that is full it becomes the old one,
+        # from which words in use come back.
+        self._young: dict[bytes, bytes] = {}
+        self._old: dict[bytes, bytes] = {}
+
+    def _learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of these words, which are not in the young half."""
+        found = {w: self._old[w] for w in words if w in self._old}
+        fresh = [w for w in words if w not in found]
+        encoded = self._tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in fresh], add_special_tokens=False)
+        for word, encoding in zip(fresh, encoded, strict=True):
+            found[word] = array("I", encoding.ids).tobytes()
+        return found
 
     def _block(self, text: bytes) -> bytes:
         # bytes.split cuts at ASCII white space only.
         words = text.split()
-        cache = self._cache
+        young = self._young
         try:
-            return b"".join([cache[w] for w in words])
+            return b"".join([young[w] for w in words])
         except KeyError:
-            fresh = set(words)
-            # After a clearing, the words of this block that were known have to be learned again.
-            missing = [w for w in fresh if w not in cache]
-            self._learn(missing if len(cache) + len(missing) <= CACHED_WORDS else list(fresh))
-            return b"".join([self._cache[w] for w in words])
+            found = self._learn({w for w in words if w not in young})
+        young.update(found)
+        out = b"".join([young[w] for w in words])
+        if len(young) > CACHED_WORDS:
+            self._young, self._old = {}, young
+        return out
 
     def ids(self, text: str | None) -> bytes:
         data = (text or "").encode("utf-8", "replace")
@@ -90,13 +101,19 @@ class Encoder:
         return b"".join(out)
 
 
+@lru_cache
+def encoder_of(path: str) -> Encoder:
+    """The encoder of a process; tasks that run one after the other share its cache."""
+    return Encoder(path)
+
+
 def pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", size: int = SEQUENCE, with_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32[, ids]) of every piece of every row."""
     kind = docs.schema[id_col].dataType.simpleString()
     end = np.array([END_ID], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        encoder = encoder_of(path)
         for batch in batches:
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, text in enumerate(batch["text"]):

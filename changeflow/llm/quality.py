@@ -40,23 +40,28 @@ _ODD = 0x9E3779B97F4A7C15
 _POWERS = np.cumprod(np.full(256, _ODD, np.uint64), dtype=np.uint64)
 
 
-def _features(block: str) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket and place in the block of each word, repetition and n-gram of 3 and 4 characters."""
-    c = code_points(block).astype(np.uint64)
+def _features(block: str, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket and place of each word, repetition and n-gram of 3 and 4 characters.
+
+    A place counts the characters before, and one space in front of the block. ``starts`` are
+    the begins of the texts in it, which repetitions do not cross.
+    """
+    c = np.concatenate(([np.uint32(32)], code_points(block))).astype(np.uint64)
     space = is_space(c)
     c[space] = 32
-    begins = np.flatnonzero(~space & np.concatenate(([True], space[:-1])))
+    begins = np.flatnonzero(~space[1:] & space[:-1]) + 1
     if not len(begins):
         return np.empty(0, np.int64), np.empty(0, np.int64)
-    ends = np.flatnonzero(~space & np.concatenate((space[1:], [True]))) + 1
+    ends = np.flatnonzero(~space[:-1] & space[1:]) + 1
     own = np.concatenate((np.zeros(begins[0], np.int64), np.repeat(begins, np.diff(np.append(begins, len(c))))))
     inside = np.arange(len(c)) - own
     weighed = np.where(space, np.uint64(0), (c + np.uint64(1)) * _POWERS[inside & 255])
     words = np.add.reduceat(weighed, begins) + (ends - begins).astype(np.uint64)
     found, places = [mix(words)], [begins]
+    owner = np.searchsorted(starts, begins - 1, "right")
     for lag in range(1, LAGS + 1):
         # A word that stood ``lag`` words before has one bucket, whatever the word.
-        again = begins[lag:][words[lag:] == words[:-lag]] if len(words) > lag else begins[:0]
+        again = begins[lag:][(words[lag:] == words[:-lag]) & (owner[lag:] == owner[:-lag])]
         found.append(np.full(len(again), lag, np.uint64))
         places.append(again)
     a3 = (c[:-2] * np.uint64(_POWERS[0]) + c[1:-1] * np.uint64(_POWERS[1]) + c[2:] * np.uint64(_POWERS[2])) + np.uint64(3)
@@ -74,16 +79,8 @@ def _features(block: str) -> tuple[np.ndarray, np.ndarray]:
 
 def counted_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The buckets of a text and how often each occurs."""
-    total: dict[int, int] = {}
-    arrays = []
-    for block, _ in blocks([text], _BLOCK):
-        arrays.append(np.unique(_features(block)[0], return_counts=True))
-    if len(arrays) == 1:
-        return arrays[0]
-    for ids, counts in arrays:
-        for i, n in zip(ids.tolist(), counts.tolist(), strict=True):
-            total[i] = total.get(i, 0) + n
-    return np.array(sorted(total), np.int64), np.array([total[i] for i in sorted(total)], np.int64)
+    arrays = [_features(block, np.array([s[1] for s in spans]))[0] for block, spans in blocks([text], _BLOCK)]
+    return np.unique(np.concatenate(arrays), return_counts=True)
 
 
 @dataclass
@@ -97,17 +94,15 @@ class Model:
         total = np.zeros(len(texts))
         count = np.zeros(len(texts))
         for block, spans in blocks(texts, _BLOCK):
-            ids, places = _features(block)
-            adds = np.bincount(places, weights=self.table[ids], minlength=len(block))
-            ones = np.bincount(places, minlength=len(block))
+            which, at, to = (np.array(x) for x in zip(*spans, strict=True))
+            ids, places = _features(block, at)
+            adds = np.bincount(places, weights=self.table[ids], minlength=len(block) + 1)
+            ones = np.bincount(places, minlength=len(block) + 1)
             adds = np.concatenate(([0.0], np.cumsum(adds)))
             ones = np.concatenate(([0], np.cumsum(ones)))
-            which = np.array([s[0] for s in spans])
-            # An n-gram may begin with the space before the first word of a text.
-            at = np.array([max(s[1] - 1, 0) for s in spans])
-            to = np.array([s[2] for s in spans])
-            np.add.at(total, which, adds[to] - adds[at])
-            np.add.at(count, which, ones[to] - ones[at])
+            # An n-gram may begin with the space in front of a text.
+            np.add.at(total, which, adds[to + 1] - adds[at])
+            np.add.at(count, which, ones[to + 1] - ones[at])
         return 1 / (1 + np.exp(-np.clip(self.bias + total / np.maximum(count, 1), -30, 30)))
 
 

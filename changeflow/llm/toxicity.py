@@ -184,11 +184,13 @@ class Field:
             np.add.at(out[:, 0], which[owner], np.log1p(-np.minimum(p, 1 - 1e-9)))
             np.add.at(out[:, 1], which[owner], p)
             if spans_too:
-                for k in np.flatnonzero(p >= MARGINAL).tolist():
-                    i, at, _ = spans[owner[k]]
-                    found[i].append((int(begins[k]) - at + shift[i], int(ends[k] - begins[k])))
+                moves = []
                 for i, at, to in spans:
+                    moves.append(shift[i] - at)
                     shift[i] += to - at
+                for k in np.flatnonzero(p >= MARGINAL).tolist():
+                    j = owner[k]
+                    found[spans[j][0]].append((int(begins[k]) + moves[j], int(ends[k] - begins[k])))
         return out, found
 
     def scores(self, sums: np.ndarray) -> np.ndarray:

@@ -92,7 +92,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     found = stored(units(docs, id_col, text_col, unit, min_words), "units")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "unit")
     first = found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("final")).where("first <> final")
-    lost = found.join(first.select("d1", "d2", "first"), ["d1", "d2"]).where(place != F.col("first"))
+    # Stored, so that the join reads two plain exchanges and a frequent line can be split.
+    first = stored(first.select("d1", "d2", "first"), "first-places")
+    lost = found.join(first, ["d1", "d2"]).where(place != F.col("first"))
     # Repeated rows give the same spans twice.
     return lost.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"))
 

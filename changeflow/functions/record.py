@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from changeflow.spec import (
@@ -90,6 +90,20 @@ def log_id(ms: Column | None = None, n: Column | None = None) -> Column:
     )
 
 
+def positioned(log: DataFrame) -> DataFrame:
+    """The log with the time of each record's arrival; 0 where it was not appended by a capture."""
+    return log if "arrived" in log.columns else log.withColumn("arrived", F.lit(0).cast("bigint"))
+
+
+def position() -> Column:
+    """Place in the log: order of arrival between capture batches, log id within one.
+
+    Ids come with the records, so a file that arrives late may hold low ones. The arrival
+    makes it the later part of the log all the same.
+    """
+    return F.struct("arrived", "ms", "n")
+
+
 def parse_log_id(text: Column) -> Column:
     """``<ms>-<counter>`` to the struct."""
     parts = F.split(text, "-")

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.record import ack_key, log_id
+from changeflow.functions.record import ack_key, position, positioned
 from changeflow.spec import ACK_TTL_SECONDS, LOCAL_OPERATIONS
 
-WATERMARK = "target string, shard int, ms bigint, n bigint"
+WATERMARK = "target string, shard int, arrived bigint, ms bigint, n bigint"
 ACKS = (
     "ack_key string, key string, uuid string, status string, error string, "
     "ack_ts timestamp, expires_at timestamp"
@@ -22,26 +22,35 @@ def skip_applied(log: DataFrame, watermark: DataFrame) -> DataFrame:
     The watermark has one row per shard, and a spec fixes the number of shards,
     so it is small whatever the log holds.
     """
-    applied = watermark.select(*_SHARD, log_id().alias("_applied"))
-    return (
-        log.join(F.broadcast(applied), _SHARD, "left")
-        .where(F.col("_applied").isNull() | (log_id() > F.col("_applied")))
-        .select(*log.columns)
-    )
+    return _beside(log, watermark).where(~_reached()).select(*log.columns)
+
+
+def applied(log: DataFrame, watermark: DataFrame) -> DataFrame:
+    """The other records: those that the target has."""
+    return _beside(log, watermark).where(_reached()).select(*log.columns)
+
+
+def _beside(log: DataFrame, watermark: DataFrame) -> DataFrame:
+    held = positioned(watermark).select(*_SHARD, position().alias("_applied"))
+    return positioned(log).join(F.broadcast(held), _SHARD, "left")
+
+
+def _reached() -> Column:
+    return F.col("_applied").isNotNull() & (position() <= F.col("_applied"))
 
 
 def positions(log: DataFrame) -> DataFrame:
     """Last position per shard; skipped records count as seen."""
     return (
-        log.groupBy(*_SHARD)
-        .agg(F.max(log_id()).alias("last"))
-        .select(*_SHARD, "last.ms", "last.n")
+        positioned(log).groupBy(*_SHARD)
+        .agg(F.max(position()).alias("last"))
+        .select(*_SHARD, "last.*")
     )
 
 
 def advance(watermark: DataFrame, log: DataFrame) -> DataFrame:
     """The watermark once the batch is in; it never moves back."""
-    return positions(watermark.unionByName(positions(log)))
+    return positions(positioned(watermark).unionByName(positions(log)))
 
 
 def _acks(records: DataFrame, status: Column, error: Column, at: Column) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from changeflow.functions.record import log_id, without_control
+from changeflow.functions.record import position, positioned, without_control
 from changeflow.spec import (
     DELETE_LOCAL,
     DELETE_REPLICATE,
@@ -26,9 +26,9 @@ def net_change(log: DataFrame, columns: tuple[str, ...], key: str = "pk") -> Dat
     the target holds for it must not survive.
     """
     # Ids are unique within a key, so the rest of the struct never decides.
-    last = F.max(F.struct("ms", "n", "op", *columns)).alias("last")
+    last = F.max(F.struct("arrived", "ms", "n", "op", *columns)).alias("last")
     return (
-        log.groupBy(key)
+        positioned(log).groupBy(key)
         .agg(last, F.bool_or(F.col("op") == DELETE_REPLICATE).alias("deleted"))
         .select(
             key,
@@ -48,16 +48,17 @@ def net_fields(changes: DataFrame, key: str = "pk") -> DataFrame:
     """
     deletes = F.col("op") == DELETE_REPLICATE
     # A record without fields still makes one entry, with a null field; so does a delete.
-    entries = changes.select(
+    entries = positioned(changes).select(
         key,
+        "arrived",
         "ms",
         "n",
         deletes.alias("deletes"),
         F.posexplode_outer(F.when(~deletes, F.col("fields"))).alias("at", "field", "value"),
     )
-    last = F.max_by(F.struct("ms", "n", "value"), F.struct("ms", "n", "at"))
+    last = F.max_by(F.struct("arrived", "ms", "n", "value"), F.struct("arrived", "ms", "n", "at"))
     per_field = entries.groupBy(key, "field", "deletes").agg(last.alias("last"))
-    at = F.struct("last.ms", "last.n")
+    at = F.struct("last.arrived", "last.ms", "last.n")
     per_key = per_field.groupBy(key).agg(
         F.max(F.when(F.col("deletes"), at)).alias("deleted_at"),
         F.max(at).alias("seen_at"),
@@ -71,8 +72,7 @@ def net_fields(changes: DataFrame, key: str = "pk") -> DataFrame:
     gone = F.coalesce(F.col("seen_at") == F.col("deleted_at"), F.lit(False))
     return per_key.select(
         key,
-        "seen_at.ms",
-        "seen_at.n",
+        "seen_at.*",
         F.when(gone, DELETE_REPLICATE).otherwise(UPDATE_REPLICATE).alias("op"),
         (F.col("deleted_at").isNotNull() & ~gone).alias("reset"),
         F.map_from_entries(F.transform(alive, lambda e: F.struct(e["field"], e["value"]))).alias("fields"),
@@ -92,8 +92,8 @@ def last_image(records: DataFrame) -> DataFrame:
     """
     removed = F.col("op").isin(DELETE_REPLICATE, DELETE_LOCAL)
     return (
-        records.select("key", "ms", "n", F.when(~removed, F.col("fields")).alias("fields"))
+        positioned(records).select("key", "arrived", "ms", "n", F.when(~removed, F.col("fields")).alias("fields"))
         .groupBy("key")
-        .agg(F.max_by(F.struct("fields"), log_id()).alias("last"))
+        .agg(F.max_by(F.struct("fields"), position()).alias("last"))
         .select("key", without_control(F.col("last.fields")).alias("fields"))
     )

@@ -98,6 +98,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log id of each event, and its user."""
+    return _events(spark, sf_dir).select("n", "ms", "user_id")
+
+
 def _control_text() -> Column:
     """Null where the record carries no control field."""
     operation = (
@@ -256,5 +261,5 @@ def watermark(spark: SparkSession, sf_dir: str, spec: ReplicationSpec = USERS) -
         .where(F.col("shard") != 0)
         .groupBy(F.lit(spec.target).alias("target"), "shard")
         .agg(F.max("id").alias("id"))
-        .select("target", "shard", "id.ms", "id.n")
+        .select("target", "shard", F.lit(0).cast("bigint").alias("arrived"), "id.ms", "id.n")
     )

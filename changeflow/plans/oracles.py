@@ -459,6 +459,12 @@ FROM sval LEFT JOIN ssrc USING (key)""",
         "f3_source": "WITH " + _STAGED + _through_source("error IS NULL"),
         "f4_json_through": documents,
         "g1_write_behind_stream": merge,
+        "g1_acks": _hashes(
+            "\nSELECT ack_key, key, uuid, status, error FROM acks WHERE status = 'done'", _ACKS
+        ),
+        "e1_late_records": _hashes(
+            _MERGED, _net().replace("ORDER BY ms DESC", "ORDER BY n % 2 DESC, ms DESC")
+        ),
         "g2_json_behind_stream": documents,
         "g3_write_through": "WITH "
         + _STAGED
@@ -468,10 +474,35 @@ FROM sval LEFT JOIN ssrc USING (key)""",
 , gcap AS (
   SELECT *, row_number() OVER (PARTITION BY pk ORDER BY ms DESC, n DESC) AS rn FROM chk
   WHERE key LIKE 'guest:%' AND event IN ('hset', 'hmset', 'del', 'change') AND op_error IS NULL AND op IN ('=', '~'))
-SELECT 'customer' AS target, c_custkey AS pk, c_mktsegment AS last_type FROM merged
-UNION ALL SELECT 'guests', pk, f_type FROM gcap WHERE rn = 1 AND op = '='""",
+SELECT 'customer' AS target, c_custkey AS pk, c_name, c_mktsegment, c_acctbal,
+  CAST(NULL AS VARCHAR) AS last_type, CAST(NULL AS INTEGER) AS last_k FROM merged
+UNION ALL SELECT 'guests', pk, NULL, NULL, NULL, f_type, CAST(f_k AS INTEGER) FROM gcap WHERE rn = 1 AND op = '='""",
             _net(),
         ),
+        "g4_rejects": _hashes(
+            """
+SELECT target, n, key, uuid, error FROM cap WHERE route = 'reject'
+UNION ALL
+SELECT 'guests', n, key, uuid, error FROM (
+  SELECT *, coalesce(op_error,
+    CASE WHEN op = '=' AND f_k IS NULL THEN 'missing field k'
+         WHEN op = '=' AND TRY_CAST(f_k AS INTEGER) IS NULL THEN 'bad value for last_k' END) AS error
+  FROM chk WHERE key LIKE 'guest:%' AND event IN ('hset', 'hmset', 'del', 'change'))
+WHERE error IS NOT NULL"""
+        ),
+        "g3_source": "WITH " + _STAGED + _through_source("error IS NULL"),
+        "g3_acks": "WITH "
+        + _STAGED
+        + """
+SELECT '{' || key || '}' || uuid AS ack_key, key, uuid,
+  CASE WHEN error IS NULL THEN 'done' ELSE 'failed' END AS status, error
+FROM decided WHERE uuid IS NOT NULL""",
+        "g3_repeat": "WITH "
+        + _STAGED
+        + _through_source("error IS NULL").replace("\nSELECT coalesce(ssrc.key", ",\nsource_rows AS (SELECT coalesce(ssrc.key", 1)
+        + """)
+SELECT coalesce(s.key, 'user:' || t.c_custkey) AS key, s.f_type, s.f_value, s.f_seq, t.c_name, t.c_mktsegment, t.c_acctbal, t.c_k
+FROM source_rows s FULL JOIN starget t ON s.key = 'user:' || t.c_custkey""",
         "h12_hash_copy": copies,
         "h13_versioned_table": merge,
     }

@@ -17,7 +17,7 @@ from changeflow.session import new_dir, shared_dir, stored
 from changeflow.sinks.table import TableSink
 from changeflow.sources import log as log_source
 from changeflow.streaming.apply_log import apply_batch, net_of
-from changeflow.streaming.fan_out import start_fan_out
+from changeflow.streaming.fan_out import read_log, start_fan_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -31,7 +31,12 @@ def _query(fn: Query) -> Query:
 
 
 def _captured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return capture.capture(V.hash_changes(spark, sf_dir), V.USERS)
+    return capture.capture(_at_once(V.hash_changes(spark, sf_dir)), V.USERS)
+
+
+def _at_once(changes: DataFrame) -> DataFrame:
+    """Changes that all arrive together, so that their ids alone order them."""
+    return changes.withColumn("arrived", F.lit(0).cast("bigint"))
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,7 +132,7 @@ def _loud_type(changes: DataFrame) -> DataFrame:
 @_query
 def b3_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = replace(V.USERS, transform=_loud_type)
-    captured = capture.capture(V.hash_changes(spark, sf_dir), spec)
+    captured = capture.capture(_at_once(V.hash_changes(spark, sf_dir)), spec)
     return capture.replicated(captured).select("n", *spec.columns)
 
 
@@ -200,9 +205,9 @@ def b13_strip_reserved(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def b14_log_id_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event against the last one of its user; ids go through their text form."""
-    events = V.hash_changes(spark, sf_dir).select(
-        "n", R.parse_log_id(F.concat_ws("-", "ms", "n")).alias("id")
-    ).join(V.table(spark, sf_dir, "events").select(F.col("event_id").alias("n"), "user_id"), "n")
+    events = V.event_ids(spark, sf_dir).select(
+        "n", "user_id", R.parse_log_id(F.concat_ws("-", "ms", "n")).alias("id")
+    )
     last = events.groupBy("user_id").agg(F.max("id").alias("last"))
     return events.join(last, "user_id").select(
         "n", R.compare_ids(F.col("id"), F.col("last")).alias("compared")
@@ -259,7 +264,7 @@ def c4_op_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def c5_net_change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _net(spark, sf_dir)
+    return _net(spark, sf_dir).drop("arrived")
 
 
 # Target state
@@ -288,7 +293,7 @@ def d3_upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captured = capture.capture_documents(V.document_changes(spark, sf_dir), V.DOCUMENTS)
+    captured = capture.capture_documents(_at_once(V.document_changes(spark, sf_dir)), V.DOCUMENTS)
     return capture.replicated(captured)
 
 
@@ -334,7 +339,7 @@ def d6_hash_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def d7_hash_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = capture.replicated(capture.capture(V.hash_changes(spark, sf_dir), V.COPIES))
+    log = capture.replicated(capture.capture(_at_once(V.hash_changes(spark, sf_dir)), V.COPIES))
     net = apply.with_prefix(net_of(log, V.COPIES), "copy")
     return net.select(F.col("pk").alias("key"), _field("type"), _field("k"), _field("value"))
 
@@ -377,18 +382,18 @@ def e1_exactly_once(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def e2_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return delivery.advance(V.watermark(spark, sf_dir), _log(spark, sf_dir))
+    return delivery.advance(V.watermark(spark, sf_dir), _log(spark, sf_dir)).drop("arrived")
 
 
 def _customer_sink(spark: SparkSession, sf_dir: str, mode: str = "merge") -> TableSink:
-    sink = TableSink(new_dir(spark, "customer"), V.USERS, mode, buckets=8)
+    sink = TableSink(new_dir(spark, "customer"), V.USERS, mode)
     sink.create(V.customers(spark, sf_dir))
     return sink
 
 
 @_query
 def e3_atomic_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two commits of a table: each publishes rows and positions in one manifest."""
+    """Two batches of a table: each is seen with its positions, or not at all."""
     sink = _customer_sink(spark, sf_dir)
     log = _log(spark, sf_dir)
     middle = F.unix_millis(F.to_timestamp(F.lit("2024-01-11T00:00:00Z")))
@@ -523,23 +528,49 @@ def f4_json_through(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Whole replications
 
 
-def _as_stream(spark: SparkSession, changes: DataFrame) -> DataFrame:
+def _as_stream(spark: SparkSession, changes: DataFrame, path: str | None = None) -> DataFrame:
     """Change records written out in order of their ids, and read back as a stream."""
-    path = new_dir(spark, "changes")
-    changes.repartitionByRange("ms", "n").sortWithinPartitions("ms", "n").write.parquet(path)
+    path = path or new_dir(spark, "changes")
+    ordered = changes.repartitionByRange("ms", "n").sortWithinPartitions("ms", "n")
+    ordered.write.mode("append").parquet(path)
     return spark.readStream.schema(changes.schema).parquet(path)
 
 
+def _ran_behind(spark: SparkSession, sf_dir: str) -> WriteBehind:
+    recipe = WriteBehind(V.USERS, _customer_sink(spark, sf_dir), "users", new_dir(spark, "behind"))
+    recipe.run_once(_as_stream(spark, V.hash_changes(spark, sf_dir)))
+    return recipe
+
+
 @_query
 def g1_write_behind_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ran_behind(spark, sf_dir).sink.read(spark)
+
+
+def _lasting(acks: DataFrame) -> DataFrame:
+    """Acknowledgements without their times, which no two runs share."""
+    return acks.select("ack_key", "key", "uuid", "status", "error")
+
+
+@_query
+def g1_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a write-behind acknowledges: what the target has, and what it is not meant for."""
+    return _lasting(spark.read.parquet(_ran_behind(spark, sf_dir).acks_path))
+
+
+@_query
+def e1_late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Even ids first, odd ids in a later batch: lower ids that arrive late are not skipped."""
     sink = _customer_sink(spark, sf_dir)
     recipe = WriteBehind(V.USERS, sink, "users", new_dir(spark, "behind"))
-    recipe.run_once(_as_stream(spark, V.hash_changes(spark, sf_dir)))
+    changes, path = V.hash_changes(spark, sf_dir), new_dir(spark, "changes")
+    for half in (0, 1):
+        recipe.run_once(_as_stream(spark, changes.where(F.col("n") % 2 == half), path))
     return sink.read(spark)
 
 
 def _profile_sink(spark: SparkSession, sf_dir: str) -> TableSink:
-    sink = TableSink(new_dir(spark, "profiles"), V.DOCUMENTS, "fields", buckets=8)
+    sink = TableSink(new_dir(spark, "profiles"), V.DOCUMENTS, "fields")
     sink.create(V.profile_documents(spark, sf_dir))
     return sink
 
@@ -552,34 +583,73 @@ def g2_json_behind_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _document_rows(sink.read(spark), V.DOCUMENTS.pk)
 
 
-@_query
-def g3_write_through(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sink = TableSink(new_dir(spark, "customer"), V.STAGED, buckets=8)
+def _ran_through(spark: SparkSession, sf_dir: str, times: int = 1) -> WriteThrough:
+    """The staged writes as one batch of a stream, committed as often as asked for."""
+    sink = TableSink(new_dir(spark, "customer"), V.STAGED)
     sink.create(V.customers_with_k(spark, sf_dir))
     keyed = replace(V.STAGED, target="source", pk="key")
-    source = TableSink(new_dir(spark, "source"), keyed, "fields", buckets=8)
+    source = TableSink(new_dir(spark, "source"), keyed, "fields")
     source.create(V.source_hashes(spark, sf_dir))
-    WriteThrough(V.STAGED, sink, source).commit(stored(V.staged_writes(spark, sf_dir), "staged"))
-    return sink.read(spark)
+    recipe = WriteThrough(replace(V.STAGED, max_retries=0), sink, source, new_dir(spark, "through"))
+    staged = stored(V.staged_writes(spark, sf_dir), "staged")
+    for _ in range(times):
+        recipe.commit(staged, 0)
+    return recipe
 
 
 @_query
-def g4_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+def g3_write_through(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ran_through(spark, sf_dir).sink.read(spark)
+
+
+@_query
+def g3_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ran_through(spark, sf_dir).source.read(spark).select(
+        "key", _field("name"), _field("type"), _field("value"), _field("k"), _field("_seq")
+    )
+
+
+@_query
+def g3_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lasting(spark.read.parquet(_ran_through(spark, sf_dir).acks_path))
+
+
+@_query
+def g3_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A batch that comes twice, as after a crash, leaves source and target as one does."""
+    recipe = _ran_through(spark, sf_dir, times=2)
+    source = recipe.source.read(spark).select("key", _field("type"), _field("value"), _field("_seq"))
+    key = F.concat(F.lit("user:"), F.col("c_custkey"))
+    target = recipe.sink.read(spark).select(key.alias("key"), "c_name", "c_mktsegment", "c_acctbal", "c_k")
+    return source.join(target, "key", "full_outer")
+
+
+def _ran_fan_out(spark: SparkSession, sf_dir: str) -> tuple[str, TableSink, TableSink]:
     users = _customer_sink(spark, sf_dir)
-    guests = TableSink(new_dir(spark, "guests"), V.GUESTS, buckets=8)
+    guests = TableSink(new_dir(spark, "guests"), V.GUESTS)
     guests.create(spark.createDataFrame([], V.GUESTS.target_schema))
     changes = _as_stream(spark, V.hash_changes(spark, sf_dir))
-    routes = [(V.USERS, users), (V.GUESTS, guests)]
-    start_fan_out(changes, routes, new_dir(spark, "checkpoint"), _ONCE).awaitTermination()
-
-    def rows(sink: TableSink, last_type: str) -> DataFrame:
-        return sink.read(spark).select(
-            F.lit(sink.spec.target).alias("target"),
-            F.col(sink.spec.pk).alias("pk"),
-            F.col(last_type).alias("last_type"),
-        )
+    folder = new_dir(spark, "fan-out")
+    start_fan_out(changes, [(V.USERS, users), (V.GUESTS, guests)], folder, _ONCE).awaitTermination()
+    return folder, users, guests
+
+
+@_query
+def g4_fan_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, users, guests = _ran_fan_out(spark, sf_dir)
+
+    def rows(sink: TableSink) -> DataFrame:
+        return sink.read(spark).withColumn("target", F.lit(sink.spec.target)).withColumnRenamed(sink.spec.pk, "pk")
+
+    return rows(users).unionByName(rows(guests), allowMissingColumns=True)
 
-    return rows(users, "c_mktsegment").unionByName(rows(guests, "last_type"))
+
+@_query
+def g4_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dead letters of both targets of a fan-out."""
+    folder, users, guests = _ran_fan_out(spark, sf_dir)
+    found = [capture.dead_letters(read_log(spark, folder, sink.spec)) for sink in (users, guests)]
+    return found[0].unionByName(found[1]).select("target", "n", "key", "uuid", "error")
 
 
 # Sinks
@@ -598,9 +668,9 @@ def h13_versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def h12_hash_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole hashes copied under a new prefix, in two batches."""
-    sink = TableSink(new_dir(spark, "copies"), V.COPIES, "fields", buckets=8, new_prefix="copy")
+    sink = TableSink(new_dir(spark, "copies"), V.COPIES, "fields", new_prefix="copy")
     sink.create(spark.createDataFrame([], "key string, fields map<string,string>"))
-    log = capture.replicated(capture.capture(V.hash_changes(spark, sf_dir), V.COPIES))
+    log = capture.replicated(capture.capture(_at_once(V.hash_changes(spark, sf_dir)), V.COPIES))
     middle = F.unix_millis(F.to_timestamp(F.lit("2024-01-16T00:00:00Z")))
     apply_batch(log.where(F.col("ms") < middle), V.COPIES, sink)
     apply_batch(log.where(F.col("ms") >= middle), V.COPIES, sink)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -11,7 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators import delivery, through
 from changeflow.operators.fold import net_change, net_fields
-from changeflow.session import stored
+from changeflow.session import complete_folders, stored
 from changeflow.sinks.base import Sink
 from changeflow.sinks.table import TableSink
 from changeflow.spec import (
@@ -23,7 +24,7 @@ from changeflow.spec import (
     STAGED_EVENTS,
     ReplicationSpec,
 )
-from changeflow.streaming.apply_log import catch_up, start_apply, with_retries
+from changeflow.streaming.apply_log import catch_up, query_name, start_apply, with_retries
 from changeflow.streaming.capture_log import start_capture
 
 
@@ -113,6 +114,7 @@ def write_behind(
     event_types: tuple[str, ...] = HASH_EVENTS,
     exactly_once: bool = True,
     shards: int = 16,
+    max_retries: int | None = None,
 ) -> WriteBehind:
     """Replicate hashes under ``keys_prefix:`` to ``target``."""
     spec = ReplicationSpec(
@@ -128,6 +130,7 @@ def write_behind(
         batch=batch,
         duration_ms=duration,
         retry_seconds=on_failed_retry_interval,
+        max_retries=max_retries,
     )
     return WriteBehind(spec, sink(spec), name, folder, version)
 
@@ -146,6 +149,7 @@ def document_write_behind(
     event_types: tuple[str, ...] = DOCUMENT_EVENTS,
     exactly_once: bool = True,
     shards: int = 16,
+    max_retries: int | None = None,
 ) -> DocumentWriteBehind:
     """Replicate JSON documents under ``keys_prefix:`` to ``target``, field by field."""
     spec = ReplicationSpec(
@@ -158,6 +162,7 @@ def document_write_behind(
         batch=batch,
         duration_ms=duration,
         retry_seconds=on_failed_retry_interval,
+        max_retries=max_retries,
     )
     return DocumentWriteBehind(spec, sink(spec), name, folder, version)
 
@@ -166,12 +171,23 @@ def document_write_behind(
 class WriteThrough:
     """Staged hash writes: target first, source only if that worked.
 
-    ``source`` is the source table in ``fields`` mode, keyed by ``key``.
+    ``source`` is the source table in ``fields`` mode, keyed by ``key``. The target must take
+    a batch as a whole or not at all. ``folder`` holds the outcome of each batch and its
+    acknowledgements; a batch that comes again is not decided again.
     """
 
     spec: ReplicationSpec
     sink: Sink
     source: TableSink
+    folder: str | None = None
+
+    def __post_init__(self) -> None:
+        if not getattr(self.sink, "transactional", True):
+            raise ValueError("write-through needs a target that takes a batch as a whole")
+
+    @property
+    def acks_path(self) -> str:
+        return f"{self.folder.rstrip('/')}/acks"
 
     def decide(self, staged: DataFrame, current: DataFrame, target_up: bool = True) -> DataFrame:
         writes = through.select_staged(staged, self.spec)
@@ -180,36 +196,77 @@ class WriteThrough:
     def net(self, log: DataFrame) -> DataFrame:
         return net_change(log, self.spec.columns)
 
-    def commit(self, staged: DataFrame) -> DataFrame:
+    def start(self, staged: DataFrame, trigger: dict | None = None) -> StreamingQuery:
+        """Write a stream of staged records through; the acknowledgements are in ``acks_path``."""
+        checkpoint = f"{self.folder.rstrip('/')}/checkpoint"
+        return (
+            staged.writeStream.queryName(query_name(checkpoint))
+            .foreachBatch(lambda batch, batch_id: self.commit(batch, batch_id) and None)
+            .option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": f"{self.spec.duration_ms} milliseconds"}))
+            .start()
+        )
+
+    def commit(self, staged: DataFrame, batch_id: int | None = None) -> DataFrame:
         """Write a batch of staged records; returns its acknowledgements.
 
         If the target refuses the batch nothing of it is replicated and every
-        record meant for it fails; writes to the source alone still count.
+        record meant for it fails; writes to the source alone still count. Batches rank by
+        their number (or the time, without one), whatever ids they hold. A batch with a number
+        that was committed before leaves what it left then.
         """
         spark = staged.sparkSession
-        # The source as it was before the batch: later versions leave its files alone.
+        if batch_id is not None and self.folder is None:
+            raise ValueError("numbered batches need a folder for their outcomes")
+        arrived = time.time_ns() // 1_000_000 if batch_id is None else batch_id
+        # The source as it was before the batch, unless the outcome is known already.
         current = self.source.read(spark)
-        decided = stored(self.decide(staged, current), "decided")
+        decided = self._outcome(batch_id, "up", lambda: self.decide(staged, current))
         failure = None
-        try:
-            log = through.replicated_log(decided)
-            fresh, positions = log, None
-            if self.spec.exactly_once:
-                fresh = delivery.skip_applied(log, self.sink.watermark(spark))
-                positions = delivery.positions(log)
-            with_retries(lambda: self.sink.apply(self.net(fresh), positions), self.spec)
-        except Exception as error:
-            failure = str(error)
-            decided = stored(self.decide(staged, current, target_up=False), "decided")
-        changes = through.source_changes(decided)
-        self.source.apply(net_fields(changes, "key").withColumnRenamed("key", "pk"), None)
+        refused = batch_id is not None and f"{batch_id:012d}-down" in complete_folders(spark, f"{self.folder}/decided")
+        if not refused:
+            try:
+                log = through.replicated_log(decided).withColumn("arrived", F.lit(arrived).cast("bigint"))
+                fresh, positions = log, None
+                if self.spec.exactly_once:
+                    fresh = delivery.skip_applied(log, self.sink.watermark(spark))
+                    positions = delivery.positions(log)
+                with_retries(lambda: self.sink.apply(self.net(fresh), positions), self.spec)
+            except Exception as error:
+                refused, failure = True, str(error)
+        if refused:
+            def down() -> DataFrame:
+                found = self.decide(staged, current, target_up=False)
+                reason = F.when(F.col("error") == through.TARGET_DOWN, F.lit(failure)).otherwise(F.col("error"))
+                return found.withColumn("error", reason)
+
+            decided = self._outcome(batch_id, "down", down)
+        changes = through.source_changes(decided).withColumn("arrived", F.lit(arrived).cast("bigint"))
+        net = net_fields(changes, "key").withColumnRenamed("key", "pk")
+        if batch_id is None:
+            self.source.apply(net, None)
+        else:
+            own = net.select(F.lit(self.source.spec.target).alias("target"), self.source.spec.shard(F.col("pk")).alias("shard"), "*")
+            fresh = delivery.skip_applied(own, self.source.watermark(spark)).drop("target", "shard")
+            self.source.apply(fresh, delivery.positions(own))
         done = delivery.acks_done(decided.where("done"), F.current_timestamp())
-        reason = F.when(F.col("error") == through.TARGET_DOWN, F.lit(failure)).otherwise(F.col("error"))
-        failed = delivery.acks_failed(
-            decided.where(~F.col("done")), F.current_timestamp(), reason
-        )
-        return done.unionByName(failed)
-
+        failed = delivery.acks_failed(decided.where(~F.col("done")), F.current_timestamp())
+        given = done.unionByName(failed)
+        if self.folder is None:
+            return given
+        path = f"{self.acks_path}/batch={arrived}"
+        given.write.mode("overwrite").parquet(path)
+        return spark.read.schema(given.schema).parquet(path)
+
+    def _outcome(self, batch_id: int | None, kind: str, decide: Callable[[], DataFrame]) -> DataFrame:
+        """The decided batch from the folder, decided and written there if it is not yet."""
+        if batch_id is None:
+            return stored(decide(), "decided")
+        root, name = f"{self.folder.rstrip('/')}/decided", f"{batch_id:012d}-{kind}"
+        spark = SparkSession.getActiveSession()
+        if name not in complete_folders(spark, root):
+            decide().write.mode("overwrite").parquet(f"{root}/{name}")
+        return spark.read.parquet(f"{root}/{name}")
 
 class DocumentWriteThrough(WriteThrough):
     """Staged documents: target first, source only if that worked."""
@@ -232,6 +289,7 @@ def write_through(
     types: dict[str, str] | None = None,
     exactly_once: bool = True,
     shards: int = 16,
+    folder: str | None = None,
 ) -> WriteThrough:
     """Write hashes staged under ``keys_prefix{key}`` through to ``target``."""
     spec = ReplicationSpec(
@@ -243,8 +301,9 @@ def write_through(
         event_types=STAGED_EVENTS,
         shards=shards,
         exactly_once=exactly_once,
+        max_retries=0,
     )
-    return WriteThrough(spec, sink(spec), source)
+    return WriteThrough(spec, sink(spec), source, folder)
 
 
 def document_write_through(
@@ -255,6 +314,7 @@ def document_write_through(
     pk: str,
     exactly_once: bool = True,
     shards: int = 16,
+    folder: str | None = None,
 ) -> DocumentWriteThrough:
     """Write documents staged under ``keys_prefix{key}`` through to ``target``."""
     spec = ReplicationSpec(
@@ -264,5 +324,6 @@ def document_write_through(
         event_types=DOCUMENT_EVENTS,
         shards=shards,
         exactly_once=exactly_once,
+        max_retries=0,
     )
-    return DocumentWriteThrough(spec, sink(spec), source)
+    return DocumentWriteThrough(spec, sink(spec), source, folder)

@@ -1,7 +1,8 @@
-"""Session helpers: the shared work folder and small files on it."""
+"""Session helpers: the shared work folder and the folders on it."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +21,8 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     current = context.getCheckpointDir()
     if current is None:
-        if not context.master.startswith("local"):
+        # Not local-cluster: its executors have folders of their own.
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="changeflow-"))
         current = context.getCheckpointDir()
@@ -43,41 +45,28 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-class SharedFiles:
-    """List, read and publish small files through the Hadoop file system."""
-
-    def __init__(self, spark: SparkSession, root: str) -> None:
-        jvm = spark.sparkContext._jvm
-        self._path = jvm.org.apache.hadoop.fs.Path
-        self._io = jvm.org.apache.commons.io.IOUtils
-        self.root = root.rstrip("/")
-        base = self._path(self.root)
-        self._fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-    def names(self, folder: str) -> list[str]:
-        path = self._path(f"{self.root}/{folder}")
-        if not self._fs.exists(path):
-            return []
-        return sorted(status.getPath().getName() for status in self._fs.listStatus(path))
-
-    def read(self, name: str) -> str:
-        stream = self._fs.open(self._path(f"{self.root}/{name}"))
-        try:
-            return bytes(self._io.toByteArray(stream)).decode("utf-8")
-        finally:
-            stream.close()
-
-    def publish(self, name: str, text: str) -> None:
-        """Write aside, then rename: readers see the whole file or none."""
-        final = self._path(f"{self.root}/{name}")
-        if self._fs.exists(final):
-            raise FileExistsError(f"{name} is already published, is there a second writer?")
-        aside = self._path(f"{self.root}/_{uuid.uuid4().hex}.tmp")
-        stream = self._fs.create(aside, True)
-        try:
-            stream.write(bytearray(text.encode("utf-8")))
-        finally:
-            stream.close()
-        self._fs.mkdirs(final.getParent())
-        if not self._fs.rename(aside, final):
-            raise OSError(f"could not publish {name}")
+def complete_folders(spark: SparkSession, root: str) -> list[str]:
+    """The folders under ``root`` that Spark's writer has marked as complete, in order."""
+    path, fs = _path(spark, root)
+    if not fs.exists(path):
+        return []
+    inside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return sorted(
+        s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory() and fs.exists(inside(s.getPath(), "_SUCCESS"))
+    )
+
+
+def drop_folder(spark: SparkSession, root: str) -> None:
+    path, fs = _path(spark, root)
+    fs.delete(path, True)
+
+
+def make_folder(spark: SparkSession, root: str) -> None:
+    """Make a folder, where a stream can look for files before there are any."""
+    path, fs = _path(spark, root)
+    fs.mkdirs(path)
+
+
+def _path(spark: SparkSession, root: str):
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

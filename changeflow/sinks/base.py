@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Sink(Protocol):
+    """``transactional`` says that a batch that fails leaves nothing behind; True where absent."""
+
     def watermark(self, spark: SparkSession) -> DataFrame:
         """Last applied position per shard: ``target, shard, ms, n``."""
 

@@ -15,6 +15,8 @@ class MergeSink:
     A crash between the two repeats the batch, which leaves the same rows.
     """
 
+    transactional = False
+
     def __init__(self, table: str, spec: ReplicationSpec, positions_table: str | None = None) -> None:
         if spec.exactly_once and positions_table is None:
             raise ValueError("exactly-once delivery needs a table for the positions")
@@ -26,7 +28,7 @@ class MergeSink:
         if self.positions_table is None:
             return spark.createDataFrame([], WATERMARK)
         applied = spark.table(self.positions_table).where(F.col("target") == self.spec.target)
-        return applied.select("target", "shard", "ms", "n")
+        return applied.select("target", "shard", "arrived", "ms", "n")
 
     def apply(self, net: DataFrame, positions: DataFrame | None) -> None:
         spark, spec = net.sparkSession, self.spec
@@ -54,7 +56,7 @@ class MergeSink:
         same = (F.col(f"{held}.target") == F.col("new.target")) & (
             F.col(f"{held}.shard") == F.col("new.shard")
         )
-        columns = {c: F.col(f"new.{c}") for c in ("ms", "n")}
+        columns = {c: F.col(f"new.{c}") for c in ("arrived", "ms", "n")}
         (
             positions.alias("new")
             .mergeInto(held, same)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 from typing import TypeVar
 
+from changeflow.spec import ReplicationSpec
+
 Value = TypeVar("Value")
 Lazy = Value | Callable[[], Value]
 
@@ -14,18 +16,27 @@ def resolve(option: Lazy[Value]) -> Value:
     return option() if callable(option) else option
 
 
-def shard_name(shard: int) -> str:
-    return f"shard-{shard}"
+def shard_name(spec: ReplicationSpec, shard: int) -> str:
+    """Name of a position: one table holds those of several replications."""
+    return f"{_named(spec)}shard-{shard}"
+
+
+def own_positions(spec: ReplicationSpec, rows: Iterable[tuple[str, str]]) -> list[tuple]:
+    """Rows of the watermark from the names and texts in a positions table."""
+    own = _named(spec)
+    found = [(name.removeprefix(own), text) for name, text in rows if name.startswith(own)]
+    return [(spec.target, int(s.removeprefix("shard-")), *position_of(text)) for s, text in found]
 
 
-def shard_number(name: str) -> int:
-    return int(name.removeprefix("shard-"))
+def _named(spec: ReplicationSpec) -> str:
+    # Shards of another count are others, so they are named by it.
+    return f"{spec.target}:{spec.keys_prefix}:{spec.shards}:".replace("'", "")
 
 
-def position_text(ms: int, n: int) -> str:
-    return f"{ms}-{n}"
+def position_text(arrived: int, ms: int, n: int) -> str:
+    return f"{arrived}-{ms}-{n}"
 
 
-def position_of(text: str) -> tuple[int, int]:
-    ms, n = text.split("-")
-    return int(ms), int(n)
+def position_of(text: str) -> tuple[int, int, int]:
+    arrived, ms, n = text.split("-")
+    return int(arrived), int(ms), int(n)

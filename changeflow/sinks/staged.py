@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from changeflow.operators.delivery import WATERMARK
 from changeflow.sinks.dialects import GONE, PUT, Dialect
-from changeflow.sinks.options import position_of, position_text, shard_name, shard_number
+from changeflow.sinks.options import own_positions, position_text, shard_name
 from changeflow.spec import DELETE_REPLICATE, UPDATE_REPLICATE, ReplicationSpec
 
 
@@ -28,11 +28,7 @@ class StagedSink(ABC):
         self.positions_table = positions_table
 
     def watermark(self, spark: SparkSession) -> DataFrame:
-        rows = [
-            (self.spec.target, shard_number(name), *position_of(val))
-            for name, val in self._applied(spark)
-        ]
-        return spark.createDataFrame(rows, WATERMARK)
+        return spark.createDataFrame(own_positions(self.spec, self._applied(spark)), WATERMARK)
 
     def apply(self, net: DataFrame, positions: DataFrame | None) -> None:
         spark = net.sparkSession
@@ -42,7 +38,8 @@ class StagedSink(ABC):
         if positions is not None:
             # One row per shard, and the spec fixes the number of shards.
             moved = [
-                (shard_name(r["shard"]), position_text(r["ms"], r["n"])) for r in positions.collect()
+                (shard_name(self.spec, r["shard"]), position_text(r["arrived"], r["ms"], r["n"]))
+                for r in positions.collect()
             ]
         try:
             self._stage(self.staged(net), stage)
@@ -54,7 +51,7 @@ class StagedSink(ABC):
         """The rows of the staging table."""
         put = F.col("op") == UPDATE_REPLICATE
         return net.select(
-            F.col("pk").alias(self.spec.pk),
+            F.col("pk").try_cast(self.spec.type_of(self.spec.pk)).alias(self.spec.pk),
             *self.spec.columns,
             ((F.col("op") == DELETE_REPLICATE) | F.col("reset")).cast("int").alias(GONE),
             put.cast("int").alias(PUT),

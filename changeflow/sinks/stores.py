@@ -21,11 +21,10 @@ from pyspark.sql.types import VariantVal
 from changeflow.operators.delivery import WATERMARK
 from changeflow.sinks.options import (
     Lazy,
-    position_of,
+    own_positions,
     position_text,
     resolve,
     shard_name,
-    shard_number,
 )
 from changeflow.spec import DELETE_REPLICATE, ReplicationSpec
 
@@ -33,7 +32,23 @@ Connect = Callable[[], Any]
 Positions = list[tuple[str, str]]
 
 
+def close(client: Any) -> None:
+    """Close what ``connect`` opened, if the client can be closed.
+
+    A session or a database hangs on a client of its own, which is what has to be closed.
+    """
+    for owner in (getattr(client, "cluster", None), getattr(client, "client", None), client):
+        for name in ("shutdown", "close"):
+            end = getattr(owner, name, None) if owner is not None else None
+            if callable(end):
+                end()
+                return
+
+
 class StoreSink(ABC):
+    # Chunks that are written stay written when a later one fails.
+    transactional = False
+
     def __init__(
         self, connect: Connect, spec: ReplicationSpec, positions_table: str | None = None
     ) -> None:
@@ -44,26 +59,39 @@ class StoreSink(ABC):
         self.positions_table = positions_table
 
     def watermark(self, spark: SparkSession) -> DataFrame:
-        applied = self.read_positions(self.connect()) if self.positions_table else []
-        rows = [(self.spec.target, shard_number(s), *position_of(p)) for s, p in applied]
-        return spark.createDataFrame(rows, WATERMARK)
+        applied = []
+        if self.positions_table:
+            client = self.connect()
+            try:
+                applied = self.read_positions(client)
+            finally:
+                close(client)
+        return spark.createDataFrame(own_positions(self.spec, applied), WATERMARK)
 
     def apply(self, net: DataFrame, positions: DataFrame | None) -> None:
         connect, size, write = self.connect, self.spec.batch, self.writer()
 
         def put(part: Iterator[Row]) -> None:
             client = None
-            while chunk := list(islice(part, size)):
-                client = connect() if client is None else client
-                write(client, chunk)
+            try:
+                while chunk := list(islice(part, size)):
+                    client = connect() if client is None else client
+                    write(client, chunk)
+            finally:
+                close(client)
 
         net.foreachPartition(put)
         if positions is not None:
             # One row per shard, and the spec fixes the number of shards.
             moved = [
-                (shard_name(r["shard"]), position_text(r["ms"], r["n"])) for r in positions.collect()
+                (shard_name(self.spec, r["shard"]), position_text(r["arrived"], r["ms"], r["n"]))
+                for r in positions.collect()
             ]
-            self.write_positions(self.connect(), moved)
+            client = self.connect()
+            try:
+                self.write_positions(client, moved)
+            finally:
+                close(client)
 
     @abstractmethod
     def writer(self) -> Callable[[Any, list[Row]], None]:
@@ -215,7 +243,9 @@ class HashStoreSink(StoreSink):
                     pipe.delete(name)
                 if row["op"] != DELETE_REPLICATE:
                     fields = row["fields"] if "fields" in row else {c: row[c] for c in columns}
-                    pipe.hset(name, mapping=fields)
+                    # The client refuses to set nothing.
+                    if fields:
+                        pipe.hset(name, mapping=fields)
             pipe.execute()
 
         return write

@@ -1,31 +1,25 @@
-"""Replication target on plain Parquet files, with atomic batches.
-
-A table is a fixed number of buckets by hash of the key. A batch rewrites the
-buckets it touches into a new folder and then publishes one manifest file that
-names the folder of every bucket and the applied position of every shard. So
-readers see a whole batch with its positions, or nothing of it. There is one
-writer per table. In a catalog with ``MERGE INTO`` use
+"""Replication target on plain Parquet: base rows, and the net changes of each batch beside them.
+
+A batch appends its net changes as a folder of its own, which counts once Spark has marked it
+as complete; so readers see a whole batch, with the positions that its rows carry, or nothing
+of it. Reading folds the changes since the base, one row per key and batch, and merges them
+into the base. Every ``compact_every`` batches a plain job writes the merged rows as the next
+base. The cost of a batch follows the batch, that of a read what has changed since the base.
+There is one writer per table. In a catalog with ``MERGE INTO`` use
 :class:`changeflow.sinks.merge.MergeSink` instead.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from changeflow.operators import apply
+from changeflow.functions.record import positioned
+from changeflow.operators import apply, delivery
 from changeflow.operators.delivery import WATERMARK
-from changeflow.operators.fold import mapped_as_fields
-from changeflow.session import SharedFiles
-from changeflow.spec import ReplicationSpec
-
-_BUCKET = "cf_bucket"
-_MANIFESTS = "_manifest"
+from changeflow.operators.fold import mapped_as_fields, net_fields
+from changeflow.session import complete_folders, drop_folder
+from changeflow.spec import DELETE_REPLICATE, UPDATE_REPLICATE, ReplicationSpec
 
 
 class TableSink:
@@ -33,122 +27,133 @@ class TableSink:
 
     ``merge`` sets the mapped columns, ``replace`` replaces the row, ``fields``
     sets the fields of a map column one by one. With ``new_prefix`` rows are named
-    ``prefix:pk``. Give as many ``buckets`` as keep one well within the memory of
-    a task: it is the unit that a batch rewrites.
+    ``prefix:pk``.
     """
 
+    transactional = True
+
     def __init__(
         self,
         path: str,
         spec: ReplicationSpec,
         mode: str = "merge",
-        buckets: int = 64,
         new_prefix: str | None = None,
+        compact_every: int = 64,
     ) -> None:
         if mode not in ("merge", "replace", "fields"):
             raise ValueError(f"unknown mode {mode}")
+        if compact_every < 1:
+            raise ValueError("compact_every must be positive")
         self.path = path.rstrip("/")
         self.spec = spec
         self.mode = mode
-        self.buckets = buckets
         self.new_prefix = new_prefix
+        self.compact_every = compact_every
 
     def create(self, rows: DataFrame) -> None:
-        """First version of the table, with no position applied yet."""
-        spark = rows.sparkSession
-        folders = self._write(rows.repartition(self.buckets, self.spec.pk), range(self.buckets))
-        self._publish(spark, 0, rows.schema, folders, {})
+        """The table before the first batch, with no position applied yet."""
+        self._write_base(rows, rows.sparkSession.createDataFrame([], WATERMARK), 0)
 
     def exists(self, spark: SparkSession) -> bool:
-        return bool(SharedFiles(spark, self.path).names(_MANIFESTS))
+        return bool(self._folders(spark, "positions"))
 
     def version(self, spark: SparkSession) -> int:
-        return self._manifest(spark)["version"]
+        """The number of the last batch."""
+        return max([self._base(spark), *self._changes_since(spark, 0)])
 
     def read(self, spark: SparkSession) -> DataFrame:
-        manifest = self._manifest(spark)
-        return self._read(spark, manifest, manifest["buckets"])
+        base = self._base(spark)
+        rows = spark.read.parquet(f"{self.path}/base/{_folder(base)}")
+        changes = self._changes(spark, base)
+        return rows if changes is None else self._merged(rows, changes)
 
     def watermark(self, spark: SparkSession) -> DataFrame:
-        applied = self._manifest(spark)["positions"]
-        rows = [(self.spec.target, int(shard), ms, n) for shard, (ms, n) in applied.items()]
-        return spark.createDataFrame(rows, WATERMARK)
+        """The position of each shard, from the rows of the batches themselves."""
+        base = self._base(spark)
+        held = spark.read.schema(WATERMARK).parquet(f"{self.path}/positions/{_folder(base)}")
+        changes = self._changes(spark, base)
+        if changes is None:
+            return held
+        seen = changes.where("with_positions").select(F.lit(self.spec.target).alias("target"), "shard", "arrived", "ms", "n")
+        return delivery.positions(held.unionByName(seen))
 
     def apply(self, net: DataFrame, positions: DataFrame | None) -> None:
         spark = net.sparkSession
-        manifest = self._manifest(spark)
-        applied = manifest["positions"]
-        if positions is not None:
-            # One row per shard, and the spec fixes the number of shards.
-            seen = {str(r["shard"]): [r["ms"], r["n"]] for r in positions.collect()}
-            moved = {s: p for s, p in seen.items() if p > applied.get(s, [-1, -1])}
-            if not moved:
-                return
-            applied = applied | moved
-        if self.new_prefix is not None:
-            net = apply.with_prefix(net, self.new_prefix)
-        # One number per bucket, of which the table has a fixed count.
-        touched = [r[0] for r in net.select(self._bucket("pk")).distinct().collect()]
-        folders = dict(manifest["buckets"])
-        if touched:
-            named = {str(b): folders[str(b)] for b in touched if str(b) in folders}
-            present = self._read(spark, manifest, named).repartition(self.buckets, self.spec.pk)
-            merged = self._merge(present, net.repartition(self.buckets, "pk"))
-            written = self._write(merged, touched)
-            folders = {b: f for b, f in folders.items() if int(b) not in touched} | written
-        schema = T.StructType.fromJson(manifest["schema"])
-        self._publish(spark, manifest["version"] + 1, schema, folders, applied)
-
-    def _merge(self, present: DataFrame, net: DataFrame) -> DataFrame:
-        if self.mode == "merge":
-            return apply.upsert_merge(present, net, self.spec)
-        if self.mode == "replace":
-            return apply.upsert_replace(present, net, self.spec)
-        if "fields" not in net.columns:
-            net = net.withColumn("fields", mapped_as_fields(self.spec))
-        return apply.merge_fields(present, net, self.spec.pk)
-
-    def _bucket(self, key: str):
-        # The same hash that repartition() uses: a task holds one bucket, and writes one file.
-        return F.pmod(F.hash(key), F.lit(self.buckets)).alias(_BUCKET)
-
-    def _write(self, rows: DataFrame, touched: Iterable[int]) -> dict[str, str]:
-        folder = f"data/{uuid.uuid4().hex}"
-        rows.withColumn(_BUCKET, self._bucket(self.spec.pk)).write.partitionBy(_BUCKET).parquet(
-            f"{self.path}/{folder}"
+        rows = positioned(net).withColumns(
+            {"shard": self.spec.shard(F.col("pk")), "with_positions": F.lit(positions is not None)}
         )
-        names = SharedFiles(rows.sparkSession, self.path).names(folder)
-        filled = {int(name.split("=")[1]) for name in names if name.startswith(_BUCKET)}
-        return {str(b): folder for b in touched if b in filled}
-
-    def _read(self, spark: SparkSession, manifest: dict, folders: dict[str, str]) -> DataFrame:
-        schema = T.StructType.fromJson(manifest["schema"])
-        if not folders:
-            return spark.createDataFrame([], schema)
-        paths = [f"{self.path}/{folder}/{_BUCKET}={b}" for b, folder in folders.items()]
-        return spark.read.schema(schema).parquet(*paths)
-
-    def _manifest(self, spark: SparkSession) -> dict:
-        files = SharedFiles(spark, self.path)
-        names = files.names(_MANIFESTS)
-        if not names:
+        if self.new_prefix is not None:
+            rows = apply.with_prefix(rows, self.new_prefix)
+        batch = self.version(spark) + 1
+        # What a broken try left under this number is not complete, and is replaced.
+        rows.write.mode("overwrite").parquet(f"{self.path}/changes/{_folder(batch)}")
+        if batch - self._base(spark) >= self.compact_every:
+            self.compact(spark)
+
+    def compact(self, spark: SparkSession) -> None:
+        """Write the rows as they are now as the next base.
+
+        What the base before this one made needless goes; its own files stay, for readers that
+        began before this compaction.
+        """
+        last, base = self.version(spark), self._base(spark)
+        if last == base:
+            return
+        self._write_base(self.read(spark), self.watermark(spark), last)
+        for kind, needless in (("changes", lambda b: b <= base), ("positions", lambda b: b < base), ("base", lambda b: b < base)):
+            for batch in filter(needless, self._folders(spark, kind)):
+                drop_folder(spark, f"{self.path}/{kind}/{_folder(batch)}")
+
+    def _merged(self, rows: DataFrame, changes: DataFrame) -> DataFrame:
+        if self.mode == "fields":
+            if "fields" not in changes.columns:
+                changes = changes.withColumn("fields", mapped_as_fields(self.spec))
+            return apply.merge_fields(rows, net_fields(_as_log(changes)), self.spec.pk)
+        wiped = (F.col("op") == DELETE_REPLICATE) | F.col("reset")
+        last = F.max_by(F.struct("op", *self.spec.columns), "batch").alias("last")
+        net = changes.groupBy("pk").agg(last, F.bool_or(wiped).alias("wiped"))
+        net = net.select("pk", "last.*", (F.col("wiped") & (F.col("last.op") == UPDATE_REPLICATE)).alias("reset"))
+        merge = apply.upsert_merge if self.mode == "merge" else apply.upsert_replace
+        return merge(rows, net, self.spec)
+
+    def _write_base(self, rows: DataFrame, positions: DataFrame, batch: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{self.path}/base/{_folder(batch)}")
+        # Written last: a base without its positions does not count.
+        positions.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/positions/{_folder(batch)}")
+
+    def _folders(self, spark: SparkSession, kind: str) -> list[int]:
+        return [int(name.removeprefix("batch=")) for name in complete_folders(spark, f"{self.path}/{kind}")]
+
+    def _base(self, spark: SparkSession) -> int:
+        found = self._folders(spark, "positions")
+        if not found:
             raise FileNotFoundError(f"{self.path} holds no table, call create() first")
-        return json.loads(files.read(f"{_MANIFESTS}/{names[-1]}"))
-
-    def _publish(
-        self,
-        spark: SparkSession,
-        version: int,
-        schema: T.StructType,
-        folders: dict[str, str],
-        positions: dict[str, list[int]],
-    ) -> None:
-        text = json.dumps(
-            {
-                "version": version,
-                "schema": schema.jsonValue(),
-                "buckets": folders,
-                "positions": positions,
-            }
-        )
-        SharedFiles(spark, self.path).publish(f"{_MANIFESTS}/v{version:012d}.json", text)
+        return max(found)
+
+    def _changes_since(self, spark: SparkSession, batch: int) -> list[int]:
+        return sorted(b for b in self._folders(spark, "changes") if b > batch)
+
+    def _changes(self, spark: SparkSession, base: int) -> DataFrame | None:
+        """Net changes since a base, with the number of their batch."""
+        batches = self._changes_since(spark, base)
+        if not batches:
+            return None
+        root = f"{self.path}/changes"
+        paths = [f"{root}/{_folder(b)}" for b in batches]
+        return spark.read.option("basePath", root).parquet(*paths).withColumn("batch", F.col("batch").cast("bigint"))
+
+
+def _folder(batch: int) -> str:
+    return f"batch={batch:012d}"
+
+
+def _as_log(changes: DataFrame) -> DataFrame:
+    """Net changes as records: what wipes a key comes before what its batch sets."""
+    gone = (F.col("op") == DELETE_REPLICATE) | F.col("reset")
+    nothing = F.lit(None).cast(changes.schema["fields"].dataType)
+    record = [
+        F.when(gone, F.struct(F.lit(DELETE_REPLICATE).alias("op"), F.lit(0).alias("n"), nothing.alias("fields"))),
+        F.when(F.col("op") == UPDATE_REPLICATE, F.struct(F.lit(UPDATE_REPLICATE).alias("op"), F.lit(1).alias("n"), F.col("fields").alias("fields"))),
+    ]
+    records = F.filter(F.array(*record), lambda r: r.isNotNull())
+    return changes.select("pk", F.col("batch").alias("ms"), F.explode(records).alias("r")).select("pk", "ms", "r.*")

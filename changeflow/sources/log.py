@@ -24,7 +24,7 @@ def log_schema(spec: ReplicationSpec, documents: bool = False) -> T.StructType:
     return T.StructType.fromDDL(
         ", ".join(
             [
-                "target string, shard int, ms bigint, n bigint, key string, pk string",
+                "target string, shard int, arrived bigint, ms bigint, n bigint, key string, pk string",
                 "op string, uuid string, error string",
                 *payload,
                 raw,
@@ -63,6 +63,8 @@ def read_after(
     it. What single shards have behind them is for ``skip_applied``.
     """
     log = read(spark, path, spec, documents)
-    # At most one row per shard, and the spec fixes the number of shards.
-    shards, lowest = watermark.agg(F.count("shard"), F.min("ms")).first()
-    return log.where(F.col("ms") >= lowest) if shards == spec.shards else log
+    # At most one row per shard, and the spec fixes the number of shards. Later batches
+    # have later arrivals, whatever ids they hold.
+    own = watermark.where(F.col("target") == spec.target)
+    shards, lowest = own.agg(F.count_distinct("shard"), F.min("arrived")).first()
+    return log.where(F.col("arrived") >= lowest) if shards == spec.shards else log

@@ -43,8 +43,9 @@ class ReplicationSpec:
     """One prefix of a source, replicated to one target table.
 
     ``mappings`` goes from source field to target column; a source field that
-    starts with ``_`` is ignored. ``types`` gives the target column types
-    (string where absent). ``shard_by`` turns the pk column into a shard number
+    starts with ``_`` is ignored. ``types`` gives the types of the target columns and of the
+    key (string where absent). ``max_retries`` ends the attempts to write a batch; None goes on
+    until the target is back. ``shard_by`` turns the pk column into a shard number
     in ``[0, shards)``. ``whole_hashes`` copies every plain field under its own
     name, without a mapping, and no deletes.
     """
@@ -63,7 +64,7 @@ class ReplicationSpec:
     batch: int = DEFAULT_BATCH
     duration_ms: int = DEFAULT_DURATION_MS
     retry_seconds: float = DEFAULT_RETRY_SECONDS
-    max_retries: int = 3
+    max_retries: int | None = None
 
     def __post_init__(self) -> None:
         if not self.keys_prefix:
@@ -75,6 +76,8 @@ class ReplicationSpec:
         columns = list(self.columns)
         if len(set(columns)) != len(columns):
             raise ValueError("two source fields map to one target column")
+        if any(not isinstance(t, str) for t in self.types.values()):
+            raise ValueError("types are names of types")
         if self.pk in columns:
             raise ValueError(f"column {self.pk} is the primary key, it takes no mapping")
 
@@ -98,5 +101,7 @@ class ReplicationSpec:
     def shard(self, pk: Column) -> Column:
         """Shard number of a primary key."""
         if self.shard_by is not None:
-            return self.shard_by(pk).cast("int")
+            given = self.shard_by(pk).cast("int")
+            # Null, and numbers out of range, go to a shard all the same.
+            return F.pmod(F.coalesce(given, F.lit(0)), F.lit(self.shards))
         return F.pmod(F.xxhash64(pk), F.lit(self.shards)).cast("int")

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import logging
 import time
+import zlib
 from collections.abc import Callable
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators import delivery
-from changeflow.operators.capture import REPLICATE, replicated
+from changeflow.operators.capture import REJECT, local_only, replicated
 from changeflow.operators.fold import net_change, net_fields
+from changeflow.session import make_folder
 from changeflow.sinks.base import Sink
 from changeflow.sources import log as log_source
 from changeflow.spec import UPDATE_REPLICATE, ReplicationSpec
@@ -42,19 +46,36 @@ def apply_batch(log: DataFrame, spec: ReplicationSpec, sink: Sink) -> None:
 
 
 def with_retries(write: Callable[[], None], spec: ReplicationSpec) -> None:
-    """Try a write again after a pause; when that keeps failing the query stops.
+    """Try a write again after a pause, until it works or ``max_retries`` are used up.
 
-    A restarted query gets the same offsets again, so nothing is lost by stopping.
+    A query that stops for that gets the same offsets again when it is restarted, so nothing
+    is lost.
     """
-    for attempt in range(spec.max_retries + 1):
+    for attempt in count():
         try:
             return write()
-        except Exception:
+        except Exception as error:
             if attempt == spec.max_retries:
                 raise
+            logging.getLogger(__name__).warning("%s: attempt %d failed: %s", spec.target, attempt + 1, error)
             time.sleep(spec.retry_seconds)
 
 
+def acks_of(batch: DataFrame, spec: ReplicationSpec, sink: Sink) -> DataFrame:
+    """Acknowledgements of an applied batch: what the target has, and what it is not meant for."""
+    records = replicated(batch)
+    if spec.exactly_once:
+        records = delivery.applied(records, sink.watermark(batch.sparkSession))
+    now = F.current_timestamp()
+    return delivery.acks_done(records, now).unionByName(delivery.acks_local(local_only(batch), now))
+
+
+def query_name(checkpoint: str) -> str:
+    """A name that no other replication in this session has."""
+    parts = checkpoint.rstrip("/").split("/")
+    return f"{'-'.join(parts[-2:])}-{zlib.crc32(checkpoint.encode()):08x}"
+
+
 def start_apply(
     spark: SparkSession,
     spec: ReplicationSpec,
@@ -68,21 +89,21 @@ def start_apply(
     """Stream the log into a sink.
 
     A micro-batch takes every capture batch that is complete, never a part of
-    one: ids of a shard would otherwise reach the watermark out of order.
+    one: records of a shard would otherwise reach the watermark out of order.
+    Operations that the target is not meant for are acknowledged in the same batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        records = replicated(batch)
-        apply_batch(records, spec, sink)
+        apply_batch(replicated(batch), spec, sink)
         # Overwritten as a whole when the batch is replayed.
-        delivery.acks_done(records, F.current_timestamp()).write.mode("overwrite").parquet(
-            f"{acks_path}/batch={batch_id}"
-        )
+        acks_of(batch, spec, sink).write.mode("overwrite").parquet(f"{acks_path}/batch={batch_id}")
 
+    # Before the first capture there is nothing to read, but a place to look at.
+    make_folder(spark, log_path)
     log = log_source.read(spark, log_path, spec, documents, stream=True)
     return (
-        log.where(F.col("route") == REPLICATE)
-        .writeStream.queryName(f"{spec.target}-apply-{checkpoint.rsplit('/', 1)[-1]}")
+        log.where(F.col("route") != REJECT)
+        .writeStream.queryName(query_name(checkpoint))
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": f"{spec.duration_ms} milliseconds"}))

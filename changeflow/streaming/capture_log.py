@@ -7,6 +7,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.capture import capture, capture_documents
 from changeflow.spec import ReplicationSpec
+from changeflow.streaming.apply_log import query_name
 
 
 def start_capture(
@@ -25,7 +26,7 @@ def start_capture(
     """
     captured = capture_documents(changes, spec) if documents else capture(changes, spec)
     return (
-        captured.writeStream.queryName(f"{spec.target}-capture-{checkpoint.rsplit('/', 1)[-1]}")
+        captured.writeStream.queryName(query_name(checkpoint))
         .format("parquet")
         .partitionBy("route")
         .option("checkpointLocation", checkpoint)

@@ -1,40 +1,63 @@
-"""Several prefixes of one source to several targets, from one read."""
+"""Several prefixes of one source to several targets, from one stream."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.capture import capture, capture_documents, replicated
 from changeflow.sinks.base import Sink
+from changeflow.sources import log as log_source
 from changeflow.spec import ReplicationSpec
-from changeflow.streaming.apply_log import apply_batch
+from changeflow.streaming.apply_log import acks_of, apply_batch, query_name
 
 
 def start_fan_out(
     changes: DataFrame,
     routes: Sequence[tuple[ReplicationSpec, Sink]],
-    checkpoint: str,
+    folder: str,
     trigger: dict[str, object],
 ) -> StreamingQuery:
-    """Replicate each prefix to its sink; each sink keeps its own positions."""
+    """Replicate each prefix to its sink; each has a log, acknowledgements and positions.
+
+    A batch goes to the log of each target first, all three routes of it, and is applied and
+    acknowledged from there. A repeated batch replaces its part of the log. The number of the
+    batch is the arrival of its records.
+    """
     documents = "doc" in changes.columns
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            for spec, sink in routes:
-                captured = capture_documents(batch, spec) if documents else capture(batch, spec)
-                apply_batch(replicated(captured), spec, sink)
-        finally:
-            batch.unpersist()
-
+        spark = batch.sparkSession
+        arrived = batch.withColumn("arrived", F.lit(batch_id).cast("bigint"))
+        for spec, sink in routes:
+            captured = capture_documents(arrived, spec) if documents else capture(arrived, spec)
+            path = f"{log_folder(folder, spec)}/batch={batch_id}"
+            captured.write.mode("overwrite").partitionBy("route").parquet(path)
+            logged = log_source.read(spark, path, spec, documents)
+            apply_batch(replicated(logged), spec, sink)
+            acks_of(logged, spec, sink).write.mode("overwrite").parquet(f"{acks_folder(folder, spec)}/batch={batch_id}")
+
+    checkpoint = f"{folder.rstrip('/')}/checkpoint"
     return (
-        changes.writeStream.queryName(f"fan-out-{checkpoint.rsplit('/', 1)[-1]}")
+        changes.writeStream.queryName(query_name(checkpoint))
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()
     )
+
+
+def log_folder(folder: str, spec: ReplicationSpec) -> str:
+    return f"{folder.rstrip('/')}/{spec.target}/log"
+
+
+def acks_folder(folder: str, spec: ReplicationSpec) -> str:
+    return f"{folder.rstrip('/')}/{spec.target}/acks"
+
+
+def read_log(spark: SparkSession, folder: str, spec: ReplicationSpec, documents: bool = False) -> DataFrame:
+    """All that was captured for one target: replicated, local and rejected records."""
+    return log_source.read(spark, log_folder(folder, spec), spec, documents)

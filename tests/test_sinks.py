@@ -24,7 +24,7 @@ from changeflow.spec import ReplicationSpec
 from changeflow.streaming.apply_log import apply_batch
 
 SPEC = ReplicationSpec(
-    target="persons", pk="id", keys_prefix="k", mappings={"a": "x", "b": "y"}, shards=3, retry_seconds=0
+    target="persons", pk="id", keys_prefix="k", mappings={"a": "x", "b": "y"}, shards=3, retry_seconds=0, max_retries=2
 )
 LOG = "target string, ms bigint, n bigint, pk string, op string, x string, y string"
 
@@ -39,7 +39,7 @@ def put(pk, x, ms, op="="):
 
 
 def table(spark, tmp_path, mode="merge", rows=(("1", "o", "o", "z1"), ("2", "o", "o", "z2"))):
-    sink = TableSink(str(tmp_path / "table"), SPEC, mode, buckets=5)
+    sink = TableSink(str(tmp_path / "table"), SPEC, mode)
     sink.create(spark.createDataFrame(list(rows), "id string, x string, y string, z string"))
     return sink
 
@@ -60,24 +60,62 @@ def test_table_commits_rows_with_positions(spark, tmp_path):
     assert {(r["shard"], r["ms"], r["n"]) for r in sink.watermark(spark).collect()} == want
 
 
-def test_table_repeats_change_nothing_and_publish_nothing(spark, tmp_path):
+def test_table_repeats_change_nothing(spark, tmp_path):
     sink = table(spark, tmp_path)
     log = log_frame(spark, [put("1", "n", 5), put("2", "", 6, "~")])
     apply_batch(log, SPEC, sink)
-    version, before = sink.version(spark), content(spark, sink)
+    before = content(spark, sink)
     apply_batch(log, SPEC, sink)
-    apply_batch(log_frame(spark, [put("1", "late", 4)]), SPEC, sink)
-    assert (sink.version(spark), content(spark, sink)) == (version, before)
+    assert content(spark, sink) == before
+
+
+def test_late_ids_of_a_later_batch_are_not_skipped(spark, tmp_path):
+    sink = table(spark, tmp_path)
+    for arrived, ms in ((1, 9), (2, 4)):
+        log = log_frame(spark, [put("1", f"at {ms}", ms)]).withColumn("arrived", F.lit(arrived).cast("bigint"))
+        apply_batch(log, SPEC, sink)
+    assert content(spark, sink)["1"] == ("at 4", "z1")
 
 
-def test_table_rewrites_touched_buckets_only(spark, tmp_path):
-    rows = [(str(i), "o", "o", "z") for i in range(200)]
+def test_a_batch_reads_its_input_once_and_writes_only_its_size(spark, tmp_path):
+    rows = [(str(i), "o", "o", "z") for i in range(2000)]
     sink = table(spark, tmp_path, rows=rows)
-    before = sink._manifest(spark)["buckets"]
-    apply_batch(log_frame(spark, [put("7", "n", 5)]), SPEC, sink)
-    after = sink._manifest(spark)["buckets"]
-    assert sum(before[b] != after[b] for b in before) == 1
-    assert sink.read(spark).count() == 200
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    log = log_frame(spark, [put("7", "n", 5), put("8", "n", 6)])
+    sink.apply(fold.net_change(log.mapInArrow(counted, log.schema), SPEC.columns), delivery.positions(log))
+    assert reads.value == 2
+    assert spark.read.parquet(f"{sink.path}/changes").count() == 2
+    assert sink.read(spark).count() == 2000
+
+
+def test_compaction_changes_nothing_and_drops_what_it_replaces(spark, tmp_path):
+    sink = table(spark, tmp_path)
+    sink.compact_every = 2
+    logs = [[put("1", "a", 1)], [put("2", "", 2, "~")], [put("2", "b", 3)], [put("3", "c", 4)], [put("1", "d", 5)]]
+    for log in logs:
+        apply_batch(log_frame(spark, log), SPEC, sink)
+    assert content(spark, sink) == {"1": ("d", "z1"), "2": ("b", None), "3": ("c", None)}
+    assert sink.version(spark) == 5 and sink._base(spark) == 4
+    assert sink._folders(spark, "changes") == [3, 4, 5] and sink._folders(spark, "base") == [2, 4]
+    again = TableSink(sink.path, SPEC, "merge")
+    assert content(spark, again) == content(spark, sink)
+    want = {(r["shard"], r["ms"]) for r in delivery.positions(log_frame(spark, [x for log in logs for x in log])).collect()}
+    assert {(r["shard"], r["ms"]) for r in again.watermark(spark).collect()} == want
+
+
+def test_a_batch_without_its_mark_does_not_count(spark, tmp_path):
+    sink = table(spark, tmp_path)
+    apply_batch(log_frame(spark, [put("1", "n", 5)]), SPEC, sink)
+    (tmp_path / "table" / "changes" / "batch=000000000001" / "_SUCCESS").unlink()
+    assert content(spark, sink)["1"] == ("o", "z1") and sink.watermark(spark).count() == 0
+    apply_batch(log_frame(spark, [put("1", "m", 5)]), SPEC, sink)
+    assert content(spark, sink)["1"] == ("m", "z1")
 
 
 def test_table_is_untouched_where_a_write_breaks(spark, tmp_path):
@@ -105,16 +143,6 @@ def test_table_replaces_rows(spark, tmp_path):
     assert content(spark, sink) == {"1": ("n", None), "2": ("o", "z2")}
 
 
-def test_second_writer_is_refused(spark, tmp_path):
-    sink = table(spark, tmp_path)
-    manifest = sink._manifest(spark)
-    sink._manifest = lambda _: manifest
-    net = fold.net_change(log_frame(spark, [put("1", "n", 5)]), SPEC.columns)
-    sink.apply(net, None)
-    with pytest.raises(FileExistsError):
-        sink.apply(net, None)
-
-
 def test_without_exactly_once_old_ids_are_written_again(spark, tmp_path):
     sink = table(spark, tmp_path)
     spec = replace(SPEC, exactly_once=False)
@@ -503,7 +531,7 @@ def test_dialects_are_complete():
 
 def test_document_table(spark, tmp_path):
     spec = replace(SPEC, mappings={})
-    sink = TableSink(str(tmp_path / "docs"), spec, "fields", buckets=3)
+    sink = TableSink(str(tmp_path / "docs"), spec, "fields")
     old = spark.createDataFrame([("1", '{"keep": 1, "set": 1}'), ("9", '{"a": 1}')], "id string, doc string")
     sink.create(old.select("id", document_fields(F.col("doc")).alias("fields")))
     rows = [(1, "1", '{"set": "it\'s"}'), (2, "9", None), (3, "9", "{}"), (4, "5", '{"n": null}')]

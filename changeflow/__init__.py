@@ -12,7 +12,6 @@ from changeflow.plans.recipes import (
 )
 from changeflow.sinks.jdbc import JdbcSink
 from changeflow.sinks.merge import MergeSink
-from changeflow.sinks.sqlite import SqliteSink
 from changeflow.sinks.stores import DocumentStoreSink, HashStoreSink, WideColumnSink
 from changeflow.sinks.table import TableSink
 from changeflow.spec import ReplicationSpec
@@ -25,7 +24,6 @@ __all__ = [
     "JdbcSink",
     "MergeSink",
     "ReplicationSpec",
-    "SqliteSink",
     "TableSink",
     "WideColumnSink",
     "WriteBehind",

@@ -1,4 +1,4 @@
-"""SQLite files as targets."""
+"""SQLite files as targets: they let tests run staging and transaction for real, in one process."""
 
 from __future__ import annotations
 

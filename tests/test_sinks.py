@@ -11,13 +11,13 @@ import duckdb
 import pytest
 import replay
 from pyspark.sql import functions as F
+from sqlite_target import SqliteSink
 
 from changeflow.functions.documents import document_fields
 from changeflow.operators import delivery, fold
 from changeflow.sinks import jdbc
 from changeflow.sinks.dialects import DIALECTS
 from changeflow.sinks.merge import MergeSink
-from changeflow.sinks.sqlite import SqliteSink
 from changeflow.sinks.stores import DocumentStoreSink, HashStoreSink, WideColumnSink
 from changeflow.sinks.table import TableSink
 from changeflow.spec import ReplicationSpec
@@ -542,3 +542,32 @@ def test_document_table(spark, tmp_path):
     apply_batch(frame, spec, sink)
     got = {r["id"]: json.loads(r["f"]) for r in sink.read(spark).select("id", F.to_json("fields").alias("f")).collect()}
     assert got == {"1": {"keep": 1, "set": "it's"}, "9": {}, "5": {"n": None}}
+
+
+def test_staging_columns_have_types_of_the_spec():
+    connection = jdbc.oracle("u", "p", "host:1521/db")
+    typed = replace(SPEC, types={"id": "int", "y": "double"})
+    assert jdbc.JdbcSink(connection, typed, "held").column_types() == "`x` VARCHAR(4000)"
+    plain = jdbc.JdbcSink(connection, SPEC, "held", text_length=100, key_length=20)
+    assert plain.column_types() == "`id` VARCHAR(20), `x` VARCHAR(100), `y` VARCHAR(100)"
+
+
+def test_staged_keys_have_the_type_of_the_target(spark):
+    sink = jdbc.JdbcSink(jdbc.postgres("u", "p", "host/db"), replace(SPEC, types={"id": "int"}), "held")
+    rows = sink.staged(fold.net_change(log_frame(spark, [put("7", "n", 5)]), SPEC.columns))
+    assert rows.schema["id"].dataType.simpleString() == "int" and rows.first()["id"] == 7
+
+
+def test_positions_of_several_replications_share_a_table():
+    from changeflow.sinks.options import own_positions, position_text, shard_name
+
+    other = replace(SPEC, target="persons2")
+    rows = [(shard_name(s, 1), position_text(9, 5, k)) for k, s in enumerate((SPEC, other, replace(SPEC, shards=4)))]
+    assert own_positions(SPEC, rows) == [("persons", 1, 9, 5, 0)]
+    assert own_positions(other, rows) == [("persons2", 1, 9, 5, 1)]
+
+
+def test_shards_stay_in_range(spark):
+    spec = replace(SPEC, shard_by=lambda pk: F.when(pk != "n", pk.cast("int")))
+    rows = spark.createDataFrame([("-7",), ("8",), ("n",)], "pk string").select(spec.shard(F.col("pk")).alias("s")).collect()
+    assert [r["s"] for r in rows] == [2, 2, 0]

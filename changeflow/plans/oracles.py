@@ -291,7 +291,7 @@ SELECT 'copy:' || pk AS key, arg_max(f_type, n) AS f_type, arg_max(f_k, n) AS f_
   arg_max(f_value, n) FILTER (f_value IS NOT NULL) AS f_value
 FROM plain GROUP BY pk"""
         )
-    return {
+    twins = {
         "a1_hash_changes": _hashes(
             "\nSELECT n, ms, event, key, kind, CASE WHEN NOT gone THEN f_type END AS f_type, "
             "CASE WHEN NOT gone THEN f_value END AS f_value, CASE WHEN NOT gone THEN f_k END AS f_k, "
@@ -506,3 +506,12 @@ FROM source_rows s FULL JOIN starget t ON s.key = 'user:' || t.c_custkey""",
         "h12_hash_copy": copies,
         "h13_versioned_table": merge,
     }
+    # The same results by other paths.
+    for name, path in (
+        ("c1_batches", "c1_batches_hot_shards"),
+        ("c4_op_runs", "c4_op_runs_hot_shards"),
+        ("e3_atomic_commit", "e3_default_shards"),
+        ("f3_gated_commit", "f3_gated_commit_hot_keys"),
+    ):
+        twins[path] = twins[name]
+    return twins

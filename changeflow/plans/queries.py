@@ -245,6 +245,18 @@ def c1_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batched(spark, sf_dir).select("shard", "n", "batch_no")
 
 
+#: So few that every shard of the test data counts as hot.
+_FEW_ROWS = 200
+
+
+@_query
+def c1_batches_hot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same numbers where shards are cut into segments."""
+    log = _written_log(spark, sf_dir).select("target", "shard", "ms", "n", "pk")
+    numbered = batches.number_batches(log, V.USERS.batch, _FEW_ROWS)
+    return numbered.select("shard", "n", "batch_no")
+
+
 @_query
 def c2_batch_gather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.changed_keys(_batched(spark, sf_dir)).select(
@@ -262,6 +274,11 @@ def c4_op_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batches.op_runs(_written_log(spark, sf_dir)).drop("target")
 
 
+@_query
+def c4_op_runs_hot_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return batches.op_runs(_written_log(spark, sf_dir), _FEW_ROWS).drop("target")
+
+
 @_query
 def c5_net_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _net(spark, sf_dir).drop("arrived")
@@ -402,6 +419,19 @@ def e3_atomic_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark)
 
 
+@_query
+def e3_default_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches with shards by the default hash: the rows do not depend on the shard."""
+    spec = replace(V.USERS, shard_by=None, shards=16)
+    sink = TableSink(new_dir(spark, "customer"), spec)
+    sink.create(V.customers(spark, sf_dir))
+    log = capture.replicated(capture.capture(_at_once(V.hash_changes(spark, sf_dir)), spec))
+    middle = F.unix_millis(F.to_timestamp(F.lit("2024-01-11T00:00:00Z")))
+    apply_batch(log.where(F.col("ms") < middle), spec, sink)
+    apply_batch(log, spec, sink)
+    return sink.read(spark)
+
+
 @_query
 def e4_replay_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Batches that overlap and come twice leave what one pass leaves."""
@@ -510,6 +540,14 @@ def f3_gated_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def f3_gated_commit_hot_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same outcome where keys are cut into segments."""
+    staged, source = _stored_staged(spark, sf_dir), V.source_hashes(spark, sf_dir)
+    decided = through.decide(staged, source, V.STAGED, rows_per_task=_FEW_ROWS)
+    return decided.select("n", "key", "op", "uuid", "done", "error", *V.STAGED.columns)
+
+
 @_query
 def f3_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _through_source(spark, sf_dir, _decided(spark, sf_dir))

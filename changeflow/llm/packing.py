@@ -39,7 +39,7 @@ SEQUENCE = 4096
 END_ID = 1
 PARTITION_PIECES = 100_000
 MAX_ROUNDS = 6
-CACHED_WORDS = 250_000
+CACHED_WORDS = 500_000
 _BLOCK = 1_000_000
 
 

@@ -1,14 +1,17 @@
-"""Substring dedup by line or paragraph hashing.
-
-A text is cut into units: lines (ended by a line feed) or paragraphs (lines between blank
-lines). Units are normalised (lower case, runs of white space to one space, ends trimmed) and
-named by a 128-bit digest. Of all equal units in the corpus the first stays, in the order of
-(document id, hash of the text, place); all others are removed. Units of fewer than
-``MIN_WORDS`` words are no passages and stay: a short line repeats by chance.
-
-At scale: one scan writes a narrow table of units (five numbers each, no text). First places
-are a minimum that tasks combine before the shuffle, so a line that every document has costs
-one row per task. Only units that occur twice or more are joined back, by a sort-merge join
+"""Substring dedup by hashing lines, their sentences, or paragraphs.
+
+A text is cut into units: lines (ended by a line feed), the sentences of lines (up to and
+including full stops, question and exclamation marks and the white space after them) or
+paragraphs (lines between blank lines). Units are normalised (lower case, runs of white space
+to one space, ends trimmed) and named by a 128-bit digest. Of all equal units in the corpus
+the first stays, in the order of (document id, hash of the text, place); all others are
+removed. Units of fewer than ``MIN_WORDS`` words are no passages and stay: they repeat by
+chance. Sentences are the default, because passages are quoted in the middle of lines, where
+hashes of whole lines do not meet.
+
+At scale: one scan writes a narrow table of units (six numbers each, no text). Digests are
+counted first, combined before the shuffle, so a unit that every document has costs one row
+per task; only what occurs twice or more is joined back, by sort-merge joins of stored tables
 that adaptive execution can split at hot digests. The text travels once, to meet the spans
 that its document loses; offsets are code points of the original text.
 
@@ -34,21 +37,32 @@ from changeflow.session import stored
 
 MIN_WORDS = 5
 _SPACES = re.compile(r"[\x20\x09-\x0D]+")
+_SENTENCE = re.compile(r"[^.!?]+[.!?]*[\x20\x09\x0B-\x0D]*|[.!?]+[\x20\x09\x0B-\x0D]*")
 _PARAGRAPH = re.compile(r"\n[\x20\x09\x0B-\x0D]*(?:\n[\x20\x09\x0B-\x0D]*)+")
 
 
-def cut(text: str, unit: str = "line") -> Iterator[tuple[int, int]]:
-    """Begin and end of each unit."""
+def _lines(text: str) -> Iterator[tuple[int, int]]:
     begin = 0
+    while (end := text.find("\n", begin)) >= 0:
+        yield begin, end
+        begin = end + 1
+    yield begin, len(text)
+
+
+def cut(text: str, unit: str = "sentence") -> Iterator[tuple[int, int]]:
+    """Begin and end of each unit."""
     if unit == "line":
-        while (end := text.find("\n", begin)) >= 0:
-            yield begin, end
-            begin = end + 1
+        yield from _lines(text)
+    elif unit == "sentence":
+        for begin, end in _lines(text):
+            for found in _SENTENCE.finditer(text, begin, end):
+                yield found.span()
     else:
+        begin = 0
         for gap in _PARAGRAPH.finditer(text):
             yield begin, gap.start()
             begin = gap.end()
-    yield begin, len(text)
+        yield begin, len(text)
 
 
 def normalise(unit: str) -> str:
@@ -87,34 +101,38 @@ def units(docs: DataFrame, id_col: str, text_col: str, unit: str, min_words: int
     return rows.mapInArrow(describe, f"id {kind}, text_hash long, unit long, start long, length long, d1 long, d2 long")
 
 
-def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """(id, text_hash, spans): what each document that repeats others, or itself, loses."""
     found = stored(units(docs, id_col, text_col, unit, min_words), "units")
+    often = stored(found.groupBy("d1", "d2").agg(F.count("*").alias("n")).where("n > 1").select("d1", "d2"), "digests")
+    again = stored(found.join(often, ["d1", "d2"], "left_semi"), "repeated-units")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "unit")
-    first = found.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.max(place).alias("final")).where("first <> final")
-    # Stored, so that the join reads two plain exchanges and a frequent line can be split.
-    first = stored(first.select("d1", "d2", "first"), "first-places")
-    lost = found.join(first, ["d1", "d2"]).where(place != F.col("first"))
+    # Stored, so that the join reads two plain exchanges and a frequent unit can be split.
+    first = stored(again.groupBy("d1", "d2").agg(F.min(place).alias("first")), "first-places")
+    lost = again.join(first, ["d1", "d2"]).where(place != F.col("first"))
     # Repeated rows give the same spans twice.
     return lost.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"))
 
 
-def remove(text: str, spans: list[tuple[int, int]]) -> str:
-    """The text without its spans; what ended a removed unit goes with it."""
-    out, at = [], 0
-    for start, length in spans:
-        out.append(text[at:start])
-        at = start + length
-        while at < len(text) and text[at] in "\n":
-            at += 1
-            break
-    out.append(text[at:])
-    kept = "".join(out)
-    # Where the last units went, the end of the unit before them remains.
-    return kept[:-1] if spans and at >= len(text) and kept.endswith("\n") and not text.endswith("\n") else kept
-
-
-def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "line", min_words: int = MIN_WORDS) -> DataFrame:
+def remove(text: str, spans: list[tuple[int, int]], unit: str = "sentence") -> str:
+    """The text without its spans; the line feed of a line that loses all it has goes with it."""
+    lost = {start for start, _ in spans}
+    if unit == "paragraph":
+        out, at = [], 0
+        for start, length in spans:
+            out.append(text[at:start])
+            at = start + length
+        return "".join(out) + text[at:]
+    lines = []
+    for begin, end in _lines(text):
+        units = [(begin, end)] if unit == "line" else [m.span() for m in _SENTENCE.finditer(text, begin, end)]
+        kept = [text[a:b] for a, b in units if a not in lost]
+        if kept or not units:
+            lines.append("".join(kept))
+    return "\n".join(lines)
+
+
+def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """``docs`` with two more columns: ``clean_text`` and ``removed_spans`` (start, length), null if none.
 
     If ``docs`` has columns of these names already, the new ones take their place.
@@ -131,7 +149,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = [
-                text.as_py() if not span.is_valid else remove(text.as_py(), [(s["start"], s["length"]) for s in span.as_py()])
+                text.as_py() if not span.is_valid else remove(text.as_py(), [(s["start"], s["length"]) for s in span.as_py()], unit)
                 for text, span in zip(batch[text_], batch[spans_], strict=True)
             ]
             yield pa.RecordBatch.from_arrays(
@@ -167,21 +185,32 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 OP2_SQL = r"""
-WITH parts AS (SELECT doc_id, text, string_split(text, chr(10)) AS p FROM documents),
+WITH parts AS (SELECT doc_id, string_split(text, chr(10)) AS p FROM documents),
 lines AS (
-  SELECT doc_id, text, i AS unit, p[i] AS line,
-    CAST(coalesce(list_sum(list_transform(p[1:i - 1], lambda x: length(x) + 1)), 0) AS BIGINT) AS start
+  SELECT doc_id, i AS line, p[i] AS body,
+    CAST(coalesce(list_sum(list_transform(p[1:i - 1], lambda x: length(x) + 1)), 0) AS BIGINT) AS start,
+    regexp_extract_all(p[i], '[^.!?]+[.!?]*[\x20\x09\x0B-\x0D]*|[.!?]+[\x20\x09\x0B-\x0D]*') AS u
   FROM (SELECT *, unnest(range(1, len(p) + 1)) AS i FROM parts)),
-plain AS (
-  SELECT *, trim(regexp_replace(lower(line), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm FROM lines),
+units AS (
+  SELECT doc_id, line, k, u[k] AS unit,
+    start + CAST(coalesce(list_sum(list_transform(u[1:k - 1], lambda x: length(x))), 0) AS BIGINT) AS start,
+    trim(regexp_replace(lower(u[k]), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm
+  FROM (SELECT *, unnest(range(1, len(u) + 1)) AS k FROM lines)),
 marked AS (
   SELECT *, len(string_split(norm, ' ')) >= 5
-    AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) > 1 AS lost
-  FROM plain)
-SELECT doc_id,
-  count(*) FILTER (lost) AS n_removed,
-  CAST(coalesce(sum(length(line)) FILTER (lost), 0) AS BIGINT) AS removed_chars,
-  coalesce(string_agg(start || ':' || length(line), ',' ORDER BY unit) FILTER (lost), '') AS removed_spans,
-  coalesce(string_agg(line, chr(10) ORDER BY unit) FILTER (NOT lost), '') AS clean_text
-FROM marked GROUP BY doc_id
+    AND row_number() OVER (PARTITION BY norm ORDER BY doc_id, start) > 1 AS lost
+  FROM units),
+spans AS (
+  SELECT doc_id, count(*) AS n_removed, CAST(sum(length(unit)) AS BIGINT) AS removed_chars,
+    string_agg(start || ':' || length(unit), ',' ORDER BY start) AS removed_spans
+  FROM marked WHERE lost GROUP BY doc_id),
+kept AS (
+  SELECT doc_id, line, string_agg(unit, '' ORDER BY k) FILTER (NOT lost) AS body FROM marked GROUP BY doc_id, line),
+clean AS (
+  SELECT lines.doc_id, string_agg(coalesce(kept.body, ''), chr(10) ORDER BY lines.line) AS clean_text
+  FROM lines LEFT JOIN kept ON kept.doc_id = lines.doc_id AND kept.line = lines.line
+  WHERE len(lines.u) = 0 OR kept.body IS NOT NULL GROUP BY lines.doc_id)
+SELECT d.doc_id, coalesce(n_removed, 0) AS n_removed, coalesce(removed_chars, 0) AS removed_chars,
+  coalesce(removed_spans, '') AS removed_spans, CASE WHEN d.text IS NOT NULL THEN coalesce(clean_text, '') END AS clean_text
+FROM documents d LEFT JOIN spans ON spans.doc_id = d.doc_id LEFT JOIN clean ON clean.doc_id = d.doc_id
 """

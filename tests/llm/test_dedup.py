@@ -159,32 +159,46 @@ def test_components_of_a_path_a_star_and_a_ring(spark):
     assert sorted(map(len, groups.values())) == [9, 51, 101]
 
 
-def brute_lines(rows, unit="line"):
+def brute_lines(rows, unit="sentence"):
     order = sorted({(r[0] is None, r[0], r[1]) for r in rows if r[1] is not None}, key=lambda x: (x[0], x[1] or 0))
     seen, out = set(), {}
     for _, i, text in order:
-        kept = []
-        for part in text.split("\n"):
-            norm = re.sub(r"[\x20\x09-\x0D]+", " ", part.lower()).strip(" ")
-            if norm and len(norm.split(" ")) >= 5:
-                if norm in seen:
-                    continue
-                seen.add(norm)
-            kept.append(part)
-        out[(i, text)] = "\n".join(kept)
+        lines = []
+        for line in text.split("\n"):
+            units = re.findall(r"[^.!?]+[.!?]*[ \t\v\f\r]*|[.!?]+[ \t\v\f\r]*", line) if unit == "sentence" else [line]
+            kept = []
+            for part in units:
+                norm = re.sub(r"[\x20\x09-\x0D]+", " ", part.lower()).strip(" ")
+                if norm and len(norm.split(" ")) >= 5:
+                    if norm in seen:
+                        continue
+                    seen.add(norm)
+                kept.append(part)
+            if kept or not units:
+                lines.append("".join(kept))
+        out[(i, text)] = "\n".join(lines)
     return out
 
 
-def test_substring_dedup_equals_brute_force(docs, corpus):
-    rows = [r for r in corpus if r[0] not in (107, None)]
-    want = brute_lines(rows)
-    found = substring_dedup.substring_dedup(docs.where("doc_id <> 107")).collect()
+@pytest.mark.parametrize("unit", ["sentence", "line"])
+def test_substring_dedup_equals_brute_force(spark, docs, corpus, unit):
+    rng = random.Random(8)
+    passage = ". ".join(words(rng, 12) for _ in range(5)) + "."
+    extra = [(i, f"{words(rng, 9)}! {words(rng, 4)} {passage} {words(rng, 7)}\n{words(rng, 3)}.", "en", "s", 1) for i in range(700, 712)]
+    rows = [r for r in corpus if r[0] not in (107, None)] + extra
+    more = docs.where("doc_id <> 107").unionByName(spark.createDataFrame(extra, docs.schema))
+    want = brute_lines(rows, unit)
+    found = substring_dedup.substring_dedup(more, unit=unit).collect()
     assert len(found) == len(rows)
     for r in found:
         assert r["clean_text"] == (None if r["text"] is None else want[(r["doc_id"], r["text"])])
         for s in r["removed_spans"] or ():
             piece = r["text"][s["start"] : s["start"] + s["length"]]
             assert "\n" not in piece and len(piece.split()) >= 5
+    if unit == "sentence":
+        # Of a passage in the middle of a line all whole sentences go but in its first document.
+        inner = passage.split(". ")[1:-1]
+        assert all(x not in r["clean_text"] for r in found if r["doc_id"] in range(701, 712) for x in inner)
 
 
 def test_paragraphs_are_units_too(spark):

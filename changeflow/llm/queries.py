@@ -24,6 +24,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_exact_dedup": exact_dedup.op1_exact_dedup,
         "op2_substring_dedup": substring_dedup.op2_substring_dedup,
+        "op2_passage_dedup": substring_dedup.op2_passage_dedup,
         "op3_toxicity": toxicity.op3_toxicity,
         "op4_jaccard_join": jaccard.op4_jaccard_join,
         "op5_warc_from_arc": archives.op5_warc_from_arc,

@@ -1,4 +1,4 @@
-"""Substring dedup by hashing lines, their sentences, or paragraphs.
+"""Substring dedup by hashing lines, their sentences, or paragraphs, and passages of any place.
 
 A text is cut into units: lines (ended by a line feed), the sentences of lines (up to and
 including full stops, question and exclamation marks and the white space after them) or
@@ -9,6 +9,16 @@ removed. Units of fewer than ``MIN_WORDS`` words are no passages and stay: they
 chance. Sentences are the default, because passages are quoted in the middle of lines, where
 hashes of whole lines do not meet.
 
+The unit ``passage`` loses what sentences lose, and all runs of ``PASSAGE`` words or more that
+stand earlier word by word, wherever they begin and end, also across lines: of all equal
+windows of ``PASSAGE`` words the first stays, the words of the others go. A window that
+overlaps its own first place loses only the words after that. Words are compared in lower
+case; in scripts without spaces each character is a word. Not all windows are hashed: of every
+35 runs of 16 words in a row the one with the least hash is the anchor of the window that they
+fill, so equal windows have equal anchors. The windows in a row that share an anchor have one
+name, by which copies are found; single windows are named, by 128 bits, only where an anchor has
+groups of several names, that is at the ends of passages. Both are treated like units.
+
 At scale: one scan writes a narrow table of units (six numbers each, no text). Digests are
 counted first, combined before the shuffle, so a unit that every document has costs one row
 per task; only what occurs twice or more is joined back, by sort-merge joins of stored tables
@@ -32,10 +42,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.llm.common import read, unused
+from changeflow.llm.common import code_points, is_space, mix, read, unused
 from changeflow.session import stored
 
 MIN_WORDS = 5
+PASSAGE = 50
+ANCHOR = 16
+# Scripts without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
+_UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
+_SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
 _SPACES = re.compile(r"[\x20\x09-\x0D]+")
 _SENTENCE = re.compile(r"[^.!?]+[.!?]*[\x20\x09\x0B-\x0D]*|[.!?]+[\x20\x09\x0B-\x0D]*")
 _PARAGRAPH = re.compile(r"\n[\x20\x09\x0B-\x0D]*(?:\n[\x20\x09\x0B-\x0D]*)+")
@@ -101,6 +116,173 @@ def units(docs: DataFrame, id_col: str, text_col: str, unit: str, min_words: int
     return rows.mapInArrow(describe, f"id {kind}, text_hash long, unit long, start long, length long, d1 long, d2 long")
 
 
+def tokens(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of each word, and its code points in lower case as one array over the text."""
+    lower = text.lower()
+    if len(lower) != len(text):
+        lower = "".join(x if len(x := c.lower()) == 1 else c for c in text)
+    points = code_points(lower)
+    alone = np.zeros(len(points), bool)
+    if len(points) and points.max() >= _UNSPACED[0][0]:
+        for low, high in _UNSPACED:
+            alone |= (points >= low) & (points <= high)
+    inside = ~is_space(points)
+    before = np.concatenate([[False], inside[:-1] & ~alone[:-1]])
+    after = np.concatenate([inside[1:] & ~alone[1:], [False]])
+    return np.flatnonzero(inside & (alone | ~before)), np.flatnonzero(inside & (alone | ~after)) + 1, points
+
+
+def _word_hashes(begin: np.ndarray, end: np.ndarray, points: np.ndarray, seed: int) -> np.ndarray:
+    if not len(begin):
+        return np.zeros(0, np.uint64)
+    word = np.repeat(np.arange(len(begin)), end - begin)
+    first = np.concatenate([[0], np.cumsum(end - begin)[:-1]])
+    offset = np.arange(len(word)) - first[word]
+    letters = points[begin[word] + offset].astype(np.uint64)
+    return mix(np.add.reduceat(mix((letters << np.uint64(32)) + offset.astype(np.uint64) + np.uint64(seed)), first))
+
+
+def _run_hashes(words: np.ndarray, n: int) -> np.ndarray:
+    """The hash of each run of n words."""
+    runs, size, found, done = words, 1, None, 0
+    count = max(len(words) - n + 1, 0)
+    while True:
+        if n & size:
+            part = runs[done : done + count]
+            found = part if found is None else mix(found * np.uint64(_SEEDS[0]) + part)
+            done += size
+        if size * 2 > n:
+            return found
+        runs = mix(runs[: max(len(runs) - size, 0)] * np.uint64(_SEEDS[1]) + runs[size:])
+        size *= 2
+
+
+def _sliding(values: np.ndarray, n: int, pick) -> np.ndarray:
+    """``pick`` of each n values in a row."""
+    size = 1
+    while size * 2 <= n:
+        values, size = pick(values[:-size], values[size:]), size * 2
+    return pick(values[: len(values) - (n - size)], values[n - size :])
+
+
+def groups(words: np.ndarray, passage: int) -> tuple[np.ndarray, ...]:
+    """(start, number, anchor, name) of the windows in a row that have the same anchor; and all windows' hashes."""
+    if len(words) < passage:
+        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 3
+    runs, w = _run_hashes(words, ANCHOR), passage - ANCHOR + 1
+    least = _sliding(runs, w, np.minimum)
+    edge = np.zeros(w - 1, np.uint64)
+    anchors = np.flatnonzero(_sliding(np.concatenate([edge, least, edge]), w, np.maximum) == runs)
+    # The first run in each window that has the least hash.
+    k = np.searchsorted(anchors, np.arange(len(least)))
+    while len(ahead := np.flatnonzero(runs[anchors[k]] != least)):
+        k[ahead] += 1
+    start = np.flatnonzero(np.diff(k, prepend=-1))
+    number = np.diff(start, append=len(k))
+    windows = _run_hashes(words, passage)
+    offset = (np.arange(len(k)) - np.repeat(start, number)).astype(np.uint64)
+    name = np.add.reduceat(mix(windows + offset * np.uint64(_SEEDS[1])), start)
+    anchor = anchors[k[start]]
+    return start, number, runs[anchor], mix(name + (anchor - start).astype(np.uint64)), windows
+
+
+def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:
+    """(id, text_hash, runs): first and last word, exclusive, of what each document loses."""
+    kind = docs.schema[id_col].dataType.simpleString()
+    rows = docs.select(F.col(id_col).alias("id"), _text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
+
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, parts = [np.zeros(0, np.int64)], [groups(np.zeros(0, np.uint64), passage)]
+            for i, text in enumerate(batch["text"]):
+                parts.append(groups(_word_hashes(*tokens(text.as_py() or ""), _SEEDS[0]), passage))
+                row.append(np.full(len(parts[-1][0]), i))
+            own = pa.array(np.concatenate(row))
+            start, number, h, g = (pa.array(np.concatenate(x).view(np.int64)) for x in list(zip(*parts, strict=True))[:4])
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"].take(own), batch["text_hash"].take(own), start, number, h, g], ["id", "text_hash", "at", "number", "h", "g"]
+            )
+
+    found = stored(rows.mapInArrow(describe, f"id {kind}, text_hash long, at long, number long, h long, g long"), "window-groups")
+    often = stored(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-anchors")
+    again = stored(found.join(often, "h", "left_semi"), "repeated-groups")
+    place = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "at")
+    first = stored(again.groupBy("h", "g").agg(F.min(place).alias("first"), F.min("number").alias("number"), F.count("*").alias("n")), "first-groups")
+    # Equal windows have equal anchors. Where all groups of an anchor are equal, all has been said;
+    # else the windows of one group of each name are compared, as the others lose theirs.
+    mixed = stored(first.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "mixed-anchors")
+    here = (
+        first.join(mixed, "h", "left_semi")
+        .groupBy(F.col("first.id").alias("of"), F.col("first.text_hash").alias("of_hash"))
+        .agg(F.collect_list(F.struct("first.at", "number")).alias("groups"))
+    )
+    here = stored(here, "groups-of-documents")
+
+    def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (text, own) in enumerate(zip(batch["text"], batch["groups"], strict=True)):
+                parts = tokens(text.as_py())
+                start, number = (own.values.field(x).to_numpy(zero_copy_only=False) for x in ("at", "number"))
+                at = np.repeat(start, number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+                d1, d2 = (_run_hashes(_word_hashes(*parts, seed), passage)[at].view(np.int64) for seed in _SEEDS)
+                of = pa.array(np.full(len(at), i))
+                yield pa.RecordBatch.from_arrays(
+                    [batch["id"].take(of), batch["text_hash"].take(of), pa.array(at), pa.array(d1), pa.array(d2)],
+                    ["id", "text_hash", "at", "d1", "d2"],
+                )
+
+    # Repeated rows are one document.
+    texts = rows.join(here, rows["id"].eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))).select("id", "text_hash", "text", "groups")
+    windows = stored(texts.mapInArrow(name, f"id {kind}, text_hash long, at long, d1 long, d2 long"), "windows")
+    first_windows = stored(
+        windows.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first-windows"
+    )
+    lost = again.drop("number").join(first.where("n > 1"), ["h", "g"]).select("id", "text_hash", "at", "number", "first")
+    lost = lost.unionByName(windows.join(first_windows, ["d1", "d2"]).select("id", "text_hash", "at", F.lit(1).cast("long").alias("number"), "first"))
+    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))
+    begin = F.when(same, F.greatest("at", F.col("first.at") + passage)).otherwise(F.col("at"))
+    run = F.struct(begin.alias("begin"), (F.col("at") + F.col("number") - 1 + passage).alias("end"))
+    return lost.where(place != F.col("first")).groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(run)).alias("runs"))
+
+
+def merged(text: str, spans: list[tuple[int, int]], runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Sentences (start, length) and runs of words as spans that do not touch; white space after a run goes with it."""
+    begins, ends, _ = tokens(text) if runs else ((), (), ())
+    pieces = [(start, start + length) for start, length in spans]
+    for begin, end in runs:
+        # Up to the next word, but a line feed between lines stays.
+        stop = int(ends[end - 1])
+        while stop < len(text) and text[stop] in " \t\v\f\r":
+            stop += 1
+        pieces.append((int(begins[begin]), stop))
+    out: list[tuple[int, int]] = []
+    for begin, end in sorted(pieces):
+        if out and begin <= out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((begin, end))
+    return [(begin, end - begin) for begin, end in out]
+
+
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without spans as ``merged`` gives them; lines that lose all their words go whole."""
+    lines, k = [], 0
+    for begin, end in _lines(text):
+        kept, at = [], begin
+        while k < len(spans) and spans[k][0] + spans[k][1] <= begin:
+            k += 1
+        j = k
+        while j < len(spans) and spans[j][0] < end:
+            kept.append(text[at : max(spans[j][0], at)])
+            at = min(max(spans[j][0] + spans[j][1], at), end)
+            j += 1
+        kept.append(text[at:end])
+        rest = "".join(kept)
+        if j == k or rest.strip(" \t\v\f\r"):
+            lines.append(rest)
+    return "\n".join(lines)
+
+
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", unit: str = "sentence", min_words: int = MIN_WORDS) -> DataFrame:
     """(id, text_hash, spans): what each document that repeats others, or itself, loses."""
     found = stored(units(docs, id_col, text_col, unit, min_words), "units")
@@ -138,9 +320,14 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     If ``docs`` has columns of these names already, the new ones take their place.
     """
     text_, id_, hash_, spans_ = (unused(f"span_{c}", docs.columns) for c in ("text", "id", "hash", "spans"))
-    spans = repeated_spans(docs, id_col, text_col, unit, min_words).select(
-        F.col("id").alias(id_), F.col("text_hash").alias(hash_), F.col("spans").alias(spans_)
-    )
+    runs_ = unused("span_runs", docs.columns)
+    spans = repeated_spans(docs, id_col, text_col, "sentence" if unit == "passage" else unit, min_words)
+    nothing = F.lit(None).cast("array<struct<begin:bigint,end:bigint>>")
+    spans = spans.withColumn("runs", nothing)
+    if unit == "passage":
+        runs = repeated_passages(docs, id_col, text_col).select("id", "text_hash", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), "runs")
+        spans = spans.unionByName(runs).groupBy("id", "text_hash").agg(F.first("spans", True).alias("spans"), F.first("runs", True).alias("runs"))
+    spans = spans.select(F.col("id").alias(id_), F.col("text_hash").alias(hash_), F.col("spans").alias(spans_), F.col("runs").alias(runs_))
     rows = docs.withColumn(text_, F.col(text_col)).join(
         spans, docs[id_col].eqNullSafe(F.col(id_)) & (_text_hash(text_col) == F.col(hash_)), "left"
     )
@@ -156,12 +343,26 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 [*(batch[c] for c in kept), pa.array(texts, pa.string()), batch[spans_]], [*kept, "clean_text", "removed_spans"]
             )
 
+    def clean_passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, lost = [], []
+            for text, span, run in zip(batch[text_], batch[spans_], batch[runs_], strict=True):
+                text, span, run = text.as_py(), span.as_py(), run.as_py()
+                if span or run:
+                    lost.append(merged(text, [(s["start"], s["length"]) for s in span or ()], [(r["begin"], r["end"]) for r in run or ()]))
+                    text = without(text, lost[-1])
+                else:
+                    lost.append(None)
+                texts.append(text)
+            spans = pa.array([x and [{"start": a, "length": b} for a, b in x] for x in lost], batch[spans_].type)
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in kept), pa.array(texts, pa.string()), spans], [*kept, "clean_text", "removed_spans"])
+
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
-    return rows.select(*kept, text_, spans_).mapInArrow(clean, f"{fields}, clean_text string, removed_spans array<struct<start:bigint,length:bigint>>")
+    step = clean_passages if unit == "passage" else clean
+    return rows.select(*kept, text_, spans_, runs_).mapInArrow(step, f"{fields}, clean_text string, removed_spans array<struct<start:bigint,length:bigint>>")
 
 
-def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = substring_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"))
+def _described(found: DataFrame) -> DataFrame:
     spans = F.coalesce("removed_spans", F.array())
     return found.select(
         "doc_id",
@@ -172,6 +373,14 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _described(substring_dedup(read(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op2_passage_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _described(substring_dedup(read(spark, sf_dir, "documents").select("doc_id", "text"), unit="passage"))
+
+
 def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their texts without what earlier documents or lines have already.
 
@@ -181,7 +390,7 @@ def stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         length = F.char_length("clean_text").cast(docs.schema["n_chars"].dataType)
         changed["n_chars"] = F.when(F.col("removed_spans").isNull(), F.col("n_chars")).otherwise(length)
-    return substring_dedup(docs).select(*(changed.get(c, F.col(c)).alias(c) for c in docs.columns))
+    return substring_dedup(docs, unit="passage").select(*(changed.get(c, F.col(c)).alias(c) for c in docs.columns))
 
 
 OP2_SQL = r"""

@@ -201,6 +201,43 @@ def test_substring_dedup_equals_brute_force(spark, docs, corpus, unit):
         assert all(x not in r["clean_text"] for r in found if r["doc_id"] in range(701, 712) for x in inner)
 
 
+def brute_passages(texts, n):
+    """The words of each text that stay: of equal windows of n words the first stays."""
+    first, out = {}, {}
+    for i, text in sorted(texts.items()):
+        own = text.lower().split() if not re.search("[\u4e00-\u9fff]", text) else re.findall(r"[\u4e00-\u9fff]|[^\s\u4e00-\u9fff]+", text.lower())
+        lost = set()
+        for at in range(len(own) - n + 1):
+            where, q = first.setdefault(tuple(own[at : at + n]), (i, at))
+            if (where, q) != (i, at):
+                lost |= set(range(max(at, q + n) if where == i else at, at + n))
+        out[i] = [w for k, w in enumerate(own) if k not in lost]
+    return out
+
+
+def test_passages_in_mid_sentence_go_whole(spark):
+    rng = random.Random(12)
+    long, short = words(rng, 59), words(rng, 44)
+    han = "".join(chr(0x4E00 + rng.randrange(3000)) for _ in range(80))
+    texts = {i: f"{words(rng, 40)} {long if i % 2 else long.upper()} {words(rng, 30)}, {short}\t{words(rng, 7)}" for i in range(8)}
+    texts |= {20: f"{words(rng, 9)} {han}", 21: f"{words(rng, 12)} {han}{words(rng, 3)}", 22: "no end " * 200}
+    texts |= {23: words(rng, 6) + " " + long.replace(" ", "\n", 30) + "\nİ " + long, 24: words(rng, 2000)}
+    texts[25] = " ".join(texts[24].split()[400:1700])
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    want = brute_passages(texts, 50)
+    clean = {}
+    for r in substring_dedup.substring_dedup(df, unit="passage").collect():
+        clean[r["doc_id"]] = r["clean_text"]
+        # Characters, as the words at both sides of a passage meet where there was no space.
+        assert "".join(r["clean_text"].lower().split()) == "".join(want[r["doc_id"]]), r["doc_id"]
+        last = -1
+        for s in r["removed_spans"] or ():
+            assert s["start"] > last
+            last = s["start"] + s["length"]
+    for r in substring_dedup.stage(spark, df, "").where("doc_id between 1 and 7").collect():
+        assert r["text"] == clean[r["doc_id"]] and long.lower() not in r["text"].lower() and short in r["text"]
+
+
 def test_paragraphs_are_units_too(spark):
     a, b = "first words of a paragraph\nand its second line", "something that stands only here once"
     df = spark.createDataFrame([(1, f"{a}\n\n{b}"), (2, f"{b}s\n \n\n{a}"), (3, a.upper())], "doc_id long, text string")

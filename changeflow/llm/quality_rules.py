@@ -3,8 +3,7 @@
 Lines are normalised (lower case, runs of white space to one space, ends trimmed) and hashed.
 For each host the distinct documents with a line are counted; documents with equal texts
 count once, so copies do not make their own lines frequent. A line in more documents than
-``MIN_DOCUMENTS`` and more than ``SHARE`` of the host's documents is over the limit and is
-removed. A document is rejected if the base rules fail (fewer than 50 words, or more than
+``MIN_DOCUMENTS`` is over the limit and is removed; the limit does not grow with the host. A document is rejected if the base rules fail (fewer than 50 words, or more than
 half of its words in repeated 3-word windows) or if it is depleted: less than ``LEFT`` of
 its words remain.
 
@@ -30,7 +29,6 @@ from changeflow.session import stored
 MIN_WORDS = 50
 REPEAT_PERCENT = 50
 MIN_DOCUMENTS = 10
-SHARE = 0.01
 LEFT = 0.5
 WINDOW = 3
 
@@ -101,22 +99,19 @@ def measured(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ho
     )
 
 
-def frequent_lines(rows: DataFrame, min_documents: int = MIN_DOCUMENTS, share: float = SHARE) -> DataFrame:
+def frequent_lines(rows: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """(host, h) of the lines over the limit, from the rows of ``measured``."""
     texts = rows.groupBy("host", "text_hash").agg(F.first("lines").alias("lines"))
     texts = stored(texts.select("host", F.array_distinct(F.transform("lines", lambda x: x["h"])).alias("hashes")), "host-lines")
-    hosts = texts.groupBy("host").agg(F.count("*").alias("documents"))
     counts = texts.select("host", F.explode("hashes").alias("h")).groupBy("host", "h").agg(F.count("*").alias("n"))
-    return (
-        counts.where(F.col("n") > min_documents).join(hosts, "host").where(F.col("n") > share * F.col("documents")).select("host", "h")
-    )
+    return counts.where(F.col("n") > min_documents).select("host", "h")
 
 
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-           min_documents: int = MIN_DOCUMENTS, share: float = SHARE, left: float = LEFT) -> DataFrame:
+           min_documents: int = MIN_DOCUMENTS, left: float = LEFT) -> DataFrame:
     """One row per row of ``docs``: the statistics, what is lost, and whether the row is kept."""
     rows = stored(measured(docs, id_col, text_col, host_col), "measured")
-    frequent = stored(frequent_lines(rows, min_documents, share), "frequent-lines")
+    frequent = stored(frequent_lines(rows, min_documents), "frequent-lines")
     lost = (
         rows.select("uid", "host", F.explode("lines").alias("line"))
         .select("uid", "host", "line.*")

@@ -187,6 +187,16 @@ def test_quality_rules_equal_brute_force(spark, corpus):
     assert kept and all(line not in t and line.upper() not in t for t in kept.values())
 
 
+def test_lines_are_judged_alike_in_large_and_small_hosts(spark):
+    rng = random.Random(13)
+    line, rare = words(rng, 12), words(rng, 12)
+    rows = [(k, f"{words(rng, 3)} {k}" + f"\n{line}" * (k < 11) + f"\n{rare}" * (k < 10), "large") for k in range(1500)]
+    rows += [(2000 + k, f"{words(rng, 3)} {k}" + f"\n{line}\n{rare}" * (k < 11), "small") for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    found = {r["id"]: r["n_removed_lines"] for r in quality_rules.judged(df).collect()}
+    assert found == {k: int(k < 11) for k in range(1500)} | {2000 + k: 2 * (k < 11) for k in range(20)}
+
+
 def test_license_scan_by_hand(spark):
     mit = licenses.TEMPLATES["MIT"]
     rows = [

@@ -11,6 +11,10 @@ templates, about a thousand rows) and are broadcast; a unit meets only templates
 bigram with it. Common bigrams are summed before the shuffle. Nothing else is shuffled, and no
 key can be hot: groups are (row, unit, template).
 
+``scan_blocks`` finds licences of several lines inside longer texts: windows of the length of
+each template, across lines. Its words are stored once, and only texts that have enough of a
+template's bigrams are cut to windows.
+
 Edge cases: null and empty texts and units of fewer than two words match nothing; a null id
 is kept; repeated rows are reported each; equal scores are all reported (the best of a
 document is the higher score, then the smaller licence id); extra columns are ignored; an
@@ -21,10 +25,11 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from changeflow.llm.common import read
+from changeflow.session import stored
 
 THRESHOLD = 0.8
 # Wordings of licences and licence notices, as their publishers give them.
@@ -137,6 +142,53 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     )
 
 
+def scan_blocks(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, line, license_id, dice) of the windows of each template's length, across lines, that reach the threshold.
+
+    Windows begin at each line and at each tenth of the template's words; ``line`` is that of
+    the first word, from 1. Of overlapping windows the one with the highest score is reported.
+    A text that has not the bigrams that the threshold asks for is dropped before it is cut.
+    """
+    templates = TEMPLATES if templates is None else templates
+    table = template_bigrams(templates)
+    spark = docs.sparkSession
+    known = spark.createDataFrame(table, "license_id string, m int, bigram string")
+    lengths = {name: len(re.sub(r"[\W_]+", " ", text.lower()).split()) for name, text in templates.items()}
+    lengths = spark.createDataFrame(list(lengths.items()), "license_id string, size int")
+    ratio = threshold / (2 - threshold)
+    lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
+    tagged = F.transform(lines, lambda x, i: F.transform(F.filter(F.split(normalised(x), " "), lambda w: w != ""), lambda w: F.struct(w.alias("w"), (i + 1).alias("line"))))
+    # Read twice, so the numbers of the rows are kept.
+    rows = stored(docs.select(F.monotonically_increasing_id().alias("uid"), F.col(id_col).alias("id"), F.flatten(tagged).alias("words")), "licence-words")
+
+    def pairs(words: Column) -> Column:
+        return F.array_distinct(F.transform(F.slice(words, F.lit(2), F.size(words)), lambda w, i: F.concat(F.get(words, i)["w"], F.lit(" "), w["w"])))
+
+    # No window has more of a template than the text; at least ratio * m are needed.
+    near = rows.select("uid", F.explode(pairs(F.col("words"))).alias("bigram")).join(F.broadcast(known), "bigram")
+    near = near.groupBy("uid", "license_id", "m").agg(F.count("*").alias("common")).where(F.col("common") >= ratio * F.col("m"))
+    near = stored(near.select("uid", "license_id", "m").join(F.broadcast(lengths), "license_id"), "near-licences")
+    n = F.size("words")
+    begins = F.filter(
+        F.sequence(F.lit(0), n - 1),
+        lambda i: (i == 0) | (i % F.greatest(F.floor(F.col("size") / 10), F.lit(1)) == 0) | (F.get(F.col("words"), i)["line"] != F.get(F.col("words"), i - 1)["line"]),
+    )
+    windows = (
+        rows.join(near, "uid")
+        .select("uid", "id", "words", "license_id", "m", "size", F.explode(begins).alias("at"))
+        .select("uid", "id", "license_id", "m", "size", "at", F.slice("words", F.col("at") + 1, F.col("size")).alias("part"))
+        .select("uid", "id", "license_id", "m", "size", "at", F.get(F.col("part"), F.lit(0))["line"].alias("line"), pairs(F.col("part")).alias("bigrams"))
+    )
+    own = known.groupBy("license_id").agg(F.collect_list("bigram").alias("template"))
+    common = F.size(F.array_intersect("bigrams", "template"))
+    scored = windows.join(F.broadcast(own), "license_id").withColumn("dice", 2 * common / (F.size("bigrams") + F.col("m"))).where(F.col("dice") >= threshold)
+    # Less than a length apart, in thousandths of lengths.
+    around = Window.partitionBy("uid", "license_id").orderBy(F.floor(1000 * F.col("at") / F.col("size"))).rangeBetween(-999, 999)
+    top = F.max(F.struct("dice", (-F.col("at")).alias("at"))).over(around)
+    return scored.withColumn("top", top).where(F.col("top.at") == -F.col("at")).select("id", "line", "license_id", "dice")
+
+
 def best(found: DataFrame) -> DataFrame:
     """(id, license_id, dice): the best match of each id in the result of ``scan``."""
     top = F.min(F.struct(-F.col("dice"), "license_id")).alias("top")
@@ -148,6 +200,11 @@ def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "line", "license_id", F.round("dice", 9).alias("dice"))
 
 
+def op6_license_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_blocks(read(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "line", "license_id", F.round("dice", 9).alias("dice"))
+
+
 def _quoted(text: str) -> str:
     return "'" + text.replace("'", "''") + "'"
 

@@ -29,6 +29,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_jaccard_join": jaccard.op4_jaccard_join,
         "op5_warc_from_arc": archives.op5_warc_from_arc,
         "op6_license_scan": licenses.op6_license_scan,
+        "op6_license_blocks": licenses.op6_license_blocks,
         "op7_best_fit_packing": packing.op7_best_fit_packing,
         "op8_sampled_pieces": pieces.op8_sampled_pieces,
         "op9_quality_classifier": quality.op9_quality_classifier,

@@ -214,6 +214,22 @@ def test_license_scan_by_hand(spark):
     assert top["license_id"] == "MIT-notice" and top["dice"] == 1.0
 
 
+def test_wrapped_licences_inside_long_documents(spark):
+    import textwrap
+
+    rng = random.Random(14)
+    other = lambda: "\n".join(words(rng, 12) for _ in range(30))
+    names = ("MIT", "ISC", "GPL-3.0-header", "Apache-2.0-header")
+    body = {n: "\n".join("# " + x for x in textwrap.wrap(licenses.TEMPLATES[n], 76)) for n in names}
+    rows = [(i, f"{other()}\n{body[n]}\n{other()}") for i, n in enumerate(names)]
+    rows += [(8, f"{other()}\n{body['MIT']}\n{other()}\n{body['MIT']}"), (9, other()), (10, None), (11, "")]
+    rows += [(12, f"{words(rng, 300)} {licenses.TEMPLATES['ISC']} {words(rng, 300)}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = sorted((r["id"], r["line"], r["license_id"]) for r in licenses.scan_blocks(df).collect() if r["license_id"] in names)
+    last = 31 + len(body["MIT"].split("\n")) + 30
+    assert found == [*((i, 31, n) for i, n in enumerate(names)), (8, 31, "MIT"), (8, last, "MIT"), (12, 1, "ISC")]
+
+
 def test_license_sizes_prune_nothing_that_counts(spark):
     """Every pair at every threshold, with and without the bounds."""
     rng = random.Random(2)

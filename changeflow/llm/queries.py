@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from changeflow.llm import (
     archives,
     exact_dedup,
+    filter_audit,
     jaccard,
     licenses,
     packing,
@@ -17,6 +18,7 @@ from changeflow.llm import (
     quality_rules,
     substring_dedup,
     toxicity,
+    vector_codes,
 )
 
 
@@ -34,6 +36,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_sampled_pieces": pieces.op8_sampled_pieces,
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_quality_rules": quality_rules.op10_quality_rules,
+        "op11_filter_audit": filter_audit.op11_filter_audit,
+        "op13_vector_codes": vector_codes.op13_vector_codes,
     }
 
 
@@ -45,4 +49,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_warc_from_arc": archives.OP5_SQL,
         "op6_license_scan": licenses.OP6_SQL,
         "op10_quality_rules": quality_rules.OP10_SQL,
+        "op11_filter_audit": filter_audit.OP11_SQL,
+        "op13_vector_codes": vector_codes.OP13_SQL,
     }

@@ -10,6 +10,7 @@ from changeflow.llm import (
     archives,
     exact_dedup,
     filter_audit,
+    grid_join,
     jaccard,
     licenses,
     packing,
@@ -37,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality_classifier": quality.op9_quality_classifier,
         "op10_quality_rules": quality_rules.op10_quality_rules,
         "op11_filter_audit": filter_audit.op11_filter_audit,
+        "op12_grid_order_join": grid_join.op12_grid_order_join,
         "op13_vector_codes": vector_codes.op13_vector_codes,
     }
 
@@ -50,5 +52,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_license_scan": licenses.OP6_SQL,
         "op10_quality_rules": quality_rules.OP10_SQL,
         "op11_filter_audit": filter_audit.OP11_SQL,
+        "op12_grid_order_join": grid_join.OP12_SQL,
         "op13_vector_codes": vector_codes.OP13_SQL,
     }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from changeflow.spec import (
     DELETE_REPLICATE,
@@ -91,15 +92,15 @@ def log_id(ms: Column | None = None, n: Column | None = None) -> Column:
 
 
 def positioned(log: DataFrame) -> DataFrame:
-    """The log with the time of each record's arrival; 0 where it was not appended by a capture."""
+    """The log with the number that each record's batch has in it; 0 where it was not appended to a log."""
     return log if "arrived" in log.columns else log.withColumn("arrived", F.lit(0).cast("bigint"))
 
 
 def position() -> Column:
-    """Place in the log: order of arrival between capture batches, log id within one.
+    """Place in the log: number of the capture batch, log id within one.
 
-    Ids come with the records, so a file that arrives late may hold low ones. The arrival
-    makes it the later part of the log all the same.
+    Ids come with the records, so a file that arrives late may hold low ones. The number, which
+    the log gives out, makes it the later part of the log all the same.
     """
     return F.struct("arrived", "ms", "n")
 
@@ -128,3 +129,22 @@ def once(column: Column) -> Column:
     that is dear (a parse, a map that is put together) is better generated.
     """
     return F.explode(F.array(column))
+
+
+def digest_of(df: DataFrame, columns: list[str]) -> tuple[int, str]:
+    """Number of the records and a digest of what they hold in ``columns``, whatever their order.
+
+    Sums of two hashes per record; maps count by their sorted entries.
+    """
+
+    def plain(name: str) -> Column:
+        kind = df.schema[name].dataType
+        if isinstance(kind, T.MapType):
+            return F.to_json(name) if isinstance(kind.valueType, T.VariantType) else F.array_sort(F.map_entries(name))
+        return F.col(name)
+
+    values = [plain(c) for c in columns]
+    # As decimals, because a sum of longs may leave their range.
+    sums = [F.sum(F.xxhash64(F.lit(seed), *values).cast("decimal(38,0)")).cast("string") for seed in (1, 2)]
+    count, *parts = df.agg(F.count(F.lit(1)), *sums).first()
+    return count, "/".join(p or "" for p in parts)

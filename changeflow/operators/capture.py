@@ -155,17 +155,6 @@ def normalize_documents(df: DataFrame, spec: ReplicationSpec) -> DataFrame:
     return _log_record(checked, spec, [F.col("fields")], F.col("doc"))
 
 
-def _arrived(changes: DataFrame) -> Column:
-    """When the record enters the log: given with it, or now.
-
-    In a stream the time is that of the micro-batch; it rises from batch to batch and is kept
-    in the checkpoint, so a repeated batch gets the same.
-    """
-    if "arrived" in changes.columns:
-        return F.col("arrived")
-    return F.unix_millis(F.current_timestamp())
-
-
 def _log_record(
     checked: DataFrame, spec: ReplicationSpec, columns: list[Column], raw: Column
 ) -> DataFrame:
@@ -174,7 +163,6 @@ def _log_record(
         F.lit(spec.target).alias("target"),
         route(F.col("op"), F.col("error")).alias("route"),
         spec.shard(F.col("pk")).alias("shard"),
-        _arrived(checked).alias("arrived"),
         "ms",
         "n",
         "key",

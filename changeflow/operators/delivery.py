@@ -49,7 +49,7 @@ def positions(log: DataFrame) -> DataFrame:
 
 
 def advance(watermark: DataFrame, log: DataFrame) -> DataFrame:
-    """The watermark once the batch is in; it never moves back."""
+    """The watermark once the batch is in; it never moves back, also where the batch came before."""
     return positions(positioned(watermark).unionByName(positions(log)))
 
 

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from changeflow.functions import record as R
 from changeflow.functions.documents import overlaid
 from changeflow.functions.running import ROWS_PER_TASK, cut_hot_keys, running, with_order
+from changeflow.functions.states import function, states_before
 from changeflow.operators import capture
 from changeflow.session import stored
 from changeflow.spec import (
@@ -150,7 +151,7 @@ def decide(
         if spec.type_of(c) != "string":
             unfit_local = unfit_local | (is_plus & has[c] & ~fit[c])
     settled_at_once = writes.where(valid & unfit_local).isEmpty()
-    rows = _successes(rows, hot, settled_at_once)
+    rows = _successes(rows, hot, settled_at_once, removes, spec)
 
     # The value of each mapped field before the record: its last write since the last delete.
     stays = F.col("_ok") | (valid & is_plus)
@@ -210,30 +211,43 @@ def decide(
     )
 
 
-def _successes(rows: DataFrame, hot: bool, settled_at_once: bool) -> DataFrame:
+def _successes(rows: DataFrame, hot: bool, settled_at_once: bool, removes: Column, spec: ReplicationSpec) -> DataFrame:
     """Mark the replicated updates that succeed as ``_ok``.
 
     Without unfit local updates all deficits of a key start at one point, and the
-    first success after it has none open, so one step settles everything. Each
-    unfit local update may add a step; they go on until nothing changes.
+    first success after it has none open, so one step settles everything. Else the open fields of a
+    key are bits, and each write is a function on them: a delete opens all fields, a local update
+    closes its fit fields and opens its unfit ones, and a replicated update closes all if it fills
+    those that are open, and else does nothing.
     """
-
-    def step(known: DataFrame) -> DataFrame:
-        after = running(known, [_SLOT], hot, maxima={"_won": F.when(F.col("_ok"), F.col(_PLACE))})
-        reached = F.col("_deficit").isNull() | F.coalesce(
-            F.col("_won") > F.col("_deficit"), F.lit(False)
-        )
-        return after.withColumn("_ok", F.col("_may") & reached).drop("_won")
-
-    settled = step(rows.withColumn("_ok", F.col("_may") & F.col("_deficit").isNull()))
     if settled_at_once:
+        known = rows.withColumn("_ok", F.col("_may") & F.col("_deficit").isNull())
+        after = running(known, [_SLOT], hot, maxima={"_won": F.when(F.col("_ok"), F.col(_PLACE))})
+        reached = F.col("_deficit").isNull() | F.coalesce(F.col("_won") > F.col("_deficit"), F.lit(False))
+        settled = after.withColumn("_ok", F.col("_may") & reached).drop("_won")
         return stored(settled, "through") if hot else settled
-    while True:
-        settled = stored(settled, "through")
-        following = step(settled.withColumn("_was", F.col("_ok")))
-        if following.where(F.col("_ok") != F.col("_was")).isEmpty():
-            return settled
-        settled = following.drop("_was")
+
+    def bits(conditions: dict[str, Column]) -> Column:
+        return sum((F.when(c, 1 << k).otherwise(0) for k, c in enumerate(conditions.values())), F.lit(0)).cast("bigint")
+
+    everything = F.lit((1 << len(spec.columns)) - 1).cast("bigint")
+    has = {c: F.col(f"_own_{c}").isNotNull() for c in spec.columns}
+    rows = stored(rows, "through")
+    valid = F.col("error").isNull()
+    plus = valid & (F.col("op") == UPDATE_LOCAL)
+    own, unfit = bits(has), bits({c: h & ~F.col(f"_fit_{c}") for c, h in has.items()})
+    others = everything.bitwiseAND(F.bitwise_not(own))
+    change = (
+        F.when(valid & removes, function(F.lit(0), everything))
+        .when(plus, function(others, unfit))
+        .when(F.col("_may"), function(everything, F.lit(0), guard=others))
+    )
+    writes = rows.select(_SLOT, F.col(_PLACE).alias("at"), change.alias("f")).where("f IS NOT NULL")
+    base = bits({c: ~_fits(F.col(f"_base_{c}"), spec.type_of(c)) for c in spec.columns})
+    states = states_before(writes, rows.groupBy(_SLOT).agg(F.max(base).alias("s")), _SLOT)
+    found = rows.join(states.withColumnRenamed("at", _PLACE), [_SLOT, _PLACE], "left")
+    closed = F.coalesce(F.col("s").bitwiseAND(others) == 0, F.lit(False))
+    return stored(found.withColumn("_ok", F.col("_may") & closed).drop("s"), "through")
 
 
 def replicated_log(decided: DataFrame) -> DataFrame:
@@ -252,8 +266,9 @@ def source_changes(decided: DataFrame) -> DataFrame:
     Fields without the control field; both kinds of delete remove the record.
     """
     removes = F.col("op").isin(DELETE_REPLICATE, DELETE_LOCAL)
-    return decided.where("done").select(
+    return R.positioned(decided).where("done").select(
         "key",
+        "arrived",
         "ms",
         "n",
         F.when(removes, DELETE_REPLICATE).otherwise(UPDATE_REPLICATE).alias("op"),

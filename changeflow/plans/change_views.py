@@ -190,10 +190,8 @@ def document_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def staged_writes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same events as writes to staging keys; only replicated ones have unfit values."""
-    control = _control_text()
-    unfit = F.when(F.coalesce(F.substring(control, 1, 1) != "+", F.lit(True)), F.lit("n/a"))
-    fields = _hash(control, unfit)
+    """The same events as writes to staging keys, unfit values in replicated and local ones."""
+    fields = _hash(_control_text(), F.lit("n/a"))
     key = F.when(_every(79), F.lit("__")).otherwise(
         F.concat(F.lit("__{user:"), F.col("account"), F.lit("}"))
     )

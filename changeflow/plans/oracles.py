@@ -178,7 +178,7 @@ stg AS (
   SELECT n, ms, CASE WHEN n % 79 = 0 THEN NULL ELSE 'user:' || account END AS key,
     CASE WHEN n % 79 = 0 THEN NULL ELSE account END AS pk,
     event_type AS f_type, CAST(n AS VARCHAR) AS f_seq, f_k,
-    CASE WHEN NOT (substr(control, 1, 1) IS NOT DISTINCT FROM '+' AND f_value = 'n/a') THEN f_value END AS f_value,
+    f_value,
     coalesce(control, '=') AS txt
   FROM ctl WHERE n % 11 <> 0),
 sval AS (
@@ -193,32 +193,19 @@ ssrc AS (
     CAST(c_nationkey AS VARCHAR) AS b_k,
     CASE WHEN c_custkey % 2 = 0 THEN CAST(c_acctbal AS VARCHAR) END AS b_value
   FROM customer),
-sjoin AS (
-  SELECT sval.*, b_type, b_k, b_value,
-    max(n) FILTER (op_error IS NULL AND op IN ('~', '-')) OVER before AS barrier,
-    max(n) FILTER (op_error IS NULL AND op = '+' AND f_value IS NOT NULL) OVER before AS plus_value
-  FROM sval LEFT JOIN ssrc USING (key)
-  WINDOW before AS (PARTITION BY key ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-sopen AS (
-  SELECT *, op_error IS NULL AND op = '=' AND f_value IS DISTINCT FROM 'n/a' AS may,
-    f_value IS NULL AND coalesce(plus_value, -1) <= coalesce(barrier, -1)
-      AND (barrier IS NOT NULL OR b_value IS NULL) AS open
-  FROM sjoin),
-swon AS (
-  SELECT *, may AND (NOT open OR coalesce(max(n) FILTER (may AND NOT open) OVER before, -1) > coalesce(barrier, -1)) AS ok
-  FROM sopen
-  WINDOW before AS (PARTITION BY key ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-slast AS (
-  SELECT *,
-    max(CASE WHEN (ok OR (op_error IS NULL AND op = '+')) AND f_value IS NOT NULL
-        THEN {'n': n, 'v': f_value} END) OVER before AS last_value
-  FROM swon
-  WINDOW before AS (PARTITION BY key ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+snum AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY n) AS i FROM sval WHERE key IS NOT NULL),
+sreplay AS (
+  SELECT key, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS n, b_value AS i_value, b_value AS held, false AS ok
+  FROM (SELECT DISTINCT key FROM snum) LEFT JOIN ssrc USING (key)
+  UNION ALL
+  SELECT key, i, n, over, CASE WHEN op_error IS NULL AND op IN ('~', '-') THEN NULL
+    WHEN ok OR (op_error IS NULL AND op = '+') THEN over ELSE held END, ok
+  FROM (
+    SELECT s.key, s.i, s.n, s.op, s.op_error, r.held, coalesce(s.f_value, r.held) AS over,
+      s.op_error IS NULL AND s.op = '=' AND TRY_CAST(coalesce(s.f_value, r.held) AS DOUBLE) IS NOT NULL AS ok
+    FROM sreplay r JOIN snum s ON s.key = r.key AND s.i = r.i + 1)),
 simg AS (
-  SELECT *, CASE WHEN f_value IS NOT NULL THEN f_value
-    WHEN last_value IS NOT NULL AND (barrier IS NULL OR last_value.n > barrier) THEN last_value.v
-    WHEN barrier IS NULL THEN b_value END AS i_value
-  FROM slast),
+  SELECT sval.*, coalesce(ok, false) AS ok, i_value FROM sval LEFT JOIN (SELECT n, ok, i_value FROM sreplay) USING (n)),
 decided AS (
   SELECT *, CASE WHEN op_error IS NOT NULL THEN op_error
       WHEN op = '=' AND NOT ok AND i_value IS NULL THEN 'missing field value'
@@ -314,7 +301,7 @@ FROM plain GROUP BY pk"""
         "b4_pk_extract": _hashes(
             "\nSELECT n, key, nullif(split_part(key, ':', 2), '') AS pk FROM chg"
         ),
-        "b5_real_key": "WITH "
+        "b5_real_key": "WITH RECURSIVE "
         + _STAGED
         + "\nSELECT n, key FROM stg UNION ALL SELECT n, NULL FROM ctl WHERE false",
         "b6_validate_hash": _hashes("\nSELECT n, key, op, uuid, op_error AS error FROM chk"),
@@ -445,18 +432,18 @@ FROM asked LEFT JOIN acks ON acks.key = asked.key AND acks.uuid = asked.uuid""",
             _ACKS,
         ),
         "e8_acks_failed": _hashes("\nSELECT * FROM acks WHERE status = 'failed'", _ACKS),
-        "f1_overlay": "WITH "
+        "f1_overlay": "WITH RECURSIVE "
         + _STAGED
         + """
 SELECT sval.n, key, f_name, f_type, coalesce(f_value, b_value) AS f_value, f_k, f_seq
 FROM sval LEFT JOIN ssrc USING (key)""",
-        "f2_through_norepl": "WITH "
+        "f2_through_norepl": "WITH RECURSIVE "
         + _STAGED
         + _through_source("error IS NULL AND op IN ('+', '-')"),
-        "f3_gated_commit": "WITH "
+        "f3_gated_commit": "WITH RECURSIVE "
         + _STAGED
         + "\nSELECT n, key, op, uuid, error IS NULL AS done, error, c_mktsegment, c_acctbal, c_k FROM decided",
-        "f3_source": "WITH " + _STAGED + _through_source("error IS NULL"),
+        "f3_source": "WITH RECURSIVE " + _STAGED + _through_source("error IS NULL"),
         "f4_json_through": documents,
         "g1_write_behind_stream": merge,
         "g1_acks": _hashes(
@@ -465,8 +452,11 @@ FROM sval LEFT JOIN ssrc USING (key)""",
         "e1_late_records": _hashes(
             _MERGED, _net().replace("ORDER BY ms DESC", "ORDER BY n % 2 DESC, ms DESC")
         ),
+        "e1_clock_back": _hashes(
+            _MERGED, _net().replace("ORDER BY ms DESC", "ORDER BY n % 2 DESC, ms DESC")
+        ),
         "g2_json_behind_stream": documents,
-        "g3_write_through": "WITH "
+        "g3_write_through": "WITH RECURSIVE "
         + _STAGED
         + "\nSELECT c_custkey, c_name, c_mktsegment, c_acctbal, c_k FROM starget",
         "g4_fan_out": _hashes(
@@ -490,14 +480,14 @@ SELECT 'guests', n, key, uuid, error FROM (
   FROM chk WHERE key LIKE 'guest:%' AND event IN ('hset', 'hmset', 'del', 'change'))
 WHERE error IS NOT NULL"""
         ),
-        "g3_source": "WITH " + _STAGED + _through_source("error IS NULL"),
-        "g3_acks": "WITH "
+        "g3_source": "WITH RECURSIVE " + _STAGED + _through_source("error IS NULL"),
+        "g3_acks": "WITH RECURSIVE "
         + _STAGED
         + """
 SELECT '{' || key || '}' || uuid AS ack_key, key, uuid,
   CASE WHEN error IS NULL THEN 'done' ELSE 'failed' END AS status, error
 FROM decided WHERE uuid IS NOT NULL""",
-        "g3_repeat": "WITH "
+        "g3_repeat": "WITH RECURSIVE "
         + _STAGED
         + _through_source("error IS NULL").replace("\nSELECT coalesce(ssrc.key", ",\nsource_rows AS (SELECT coalesce(ssrc.key", 1)
         + """)

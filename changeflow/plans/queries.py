@@ -17,6 +17,7 @@ from changeflow.session import new_dir, shared_dir, stored
 from changeflow.sinks.table import TableSink
 from changeflow.sources import log as log_source
 from changeflow.streaming.apply_log import apply_batch, net_of
+from changeflow.streaming.capture_log import start_capture
 from changeflow.streaming.fan_out import read_log, start_fan_out
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,12 +32,7 @@ def _query(fn: Query) -> Query:
 
 
 def _captured(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return capture.capture(_at_once(V.hash_changes(spark, sf_dir)), V.USERS)
-
-
-def _at_once(changes: DataFrame) -> DataFrame:
-    """Changes that all arrive together, so that their ids alone order them."""
-    return changes.withColumn("arrived", F.lit(0).cast("bigint"))
+    return capture.capture(V.hash_changes(spark, sf_dir), V.USERS)
 
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -89,7 +85,7 @@ def a3_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The captured records as a log table: all three routes."""
     path = new_dir(spark, "log")
-    log_source.append(_captured(spark, sf_dir), path)
+    log_source.append(_captured(spark, sf_dir), path, V.USERS)
     return log_source.read(spark, path, V.USERS)
 
 
@@ -132,7 +128,7 @@ def _loud_type(changes: DataFrame) -> DataFrame:
 @_query
 def b3_transform(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = replace(V.USERS, transform=_loud_type)
-    captured = capture.capture(_at_once(V.hash_changes(spark, sf_dir)), spec)
+    captured = capture.capture(V.hash_changes(spark, sf_dir), spec)
     return capture.replicated(captured).select("n", *spec.columns)
 
 
@@ -310,7 +306,7 @@ def d3_upsert_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    captured = capture.capture_documents(_at_once(V.document_changes(spark, sf_dir)), V.DOCUMENTS)
+    captured = capture.capture_documents(V.document_changes(spark, sf_dir), V.DOCUMENTS)
     return capture.replicated(captured)
 
 
@@ -356,7 +352,7 @@ def d6_hash_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def d7_hash_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = capture.replicated(capture.capture(_at_once(V.hash_changes(spark, sf_dir)), V.COPIES))
+    log = capture.replicated(capture.capture(V.hash_changes(spark, sf_dir), V.COPIES))
     net = apply.with_prefix(net_of(log, V.COPIES), "copy")
     return net.select(F.col("pk").alias("key"), _field("type"), _field("k"), _field("value"))
 
@@ -425,7 +421,7 @@ def e3_default_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = replace(V.USERS, shard_by=None, shards=16)
     sink = TableSink(new_dir(spark, "customer"), spec)
     sink.create(V.customers(spark, sf_dir))
-    log = capture.replicated(capture.capture(_at_once(V.hash_changes(spark, sf_dir)), spec))
+    log = capture.replicated(capture.capture(V.hash_changes(spark, sf_dir), spec))
     middle = F.unix_millis(F.to_timestamp(F.lit("2024-01-11T00:00:00Z")))
     apply_batch(log.where(F.col("ms") < middle), spec, sink)
     apply_batch(log, spec, sink)
@@ -607,6 +603,22 @@ def e1_late_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sink.read(spark)
 
 
+@_query
+def e1_clock_back(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two captures into one log, the second with a checkpoint of its own and lower ids.
+
+    As after the loss of a checkpoint, or on a host whose clock is behind: nothing is skipped.
+    """
+    sink = _customer_sink(spark, sf_dir)
+    recipe = WriteBehind(V.USERS, sink, "users", new_dir(spark, "behind"))
+    changes = V.hash_changes(spark, sf_dir)
+    for half in (0, 1):
+        stream = _as_stream(spark, changes.where(F.col("n") % 2 == half))
+        start_capture(stream, V.USERS, recipe.log_path, f"{recipe.root}/capture-{half}", trigger=_ONCE).awaitTermination()
+        recipe.apply(spark, _ONCE).awaitTermination()
+    return sink.read(spark)
+
+
 def _profile_sink(spark: SparkSession, sf_dir: str) -> TableSink:
     sink = TableSink(new_dir(spark, "profiles"), V.DOCUMENTS, "fields")
     sink.create(V.profile_documents(spark, sf_dir))
@@ -698,7 +710,7 @@ def h13_versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A log appended to a table, and caught up with in one batch job."""
     sink = _customer_sink(spark, sf_dir)
     recipe = WriteBehind(V.USERS, sink, "users", new_dir(spark, "behind"))
-    log_source.append(_captured(spark, sf_dir), recipe.log_path)
+    log_source.append(_captured(spark, sf_dir), recipe.log_path, V.USERS)
     recipe.catch_up(spark)
     return sink.read(spark)
 
@@ -708,7 +720,7 @@ def h12_hash_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole hashes copied under a new prefix, in two batches."""
     sink = TableSink(new_dir(spark, "copies"), V.COPIES, "fields", new_prefix="copy")
     sink.create(spark.createDataFrame([], "key string, fields map<string,string>"))
-    log = capture.replicated(capture.capture(_at_once(V.hash_changes(spark, sf_dir)), V.COPIES))
+    log = capture.replicated(capture.capture(V.hash_changes(spark, sf_dir), V.COPIES))
     middle = F.unix_millis(F.to_timestamp(F.lit("2024-01-16T00:00:00Z")))
     apply_batch(log.where(F.col("ms") < middle), V.COPIES, sink)
     apply_batch(log.where(F.col("ms") >= middle), V.COPIES, sink)

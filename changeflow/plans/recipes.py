@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import time
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from changeflow.functions.record import digest_of
 from changeflow.operators import delivery, through
 from changeflow.operators.fold import net_change, net_fields
-from changeflow.session import complete_folders, stored
+from changeflow.session import is_complete, stored
 from changeflow.sinks.base import Sink
 from changeflow.sinks.table import TableSink
 from changeflow.spec import (
@@ -24,7 +25,7 @@ from changeflow.spec import (
     STAGED_EVENTS,
     ReplicationSpec,
 )
-from changeflow.streaming.apply_log import catch_up, query_name, start_apply, with_retries
+from changeflow.streaming.apply_log import catch_up, own_positions, query_name, start_apply, with_retries
 from changeflow.streaming.capture_log import start_capture
 
 
@@ -211,62 +212,77 @@ class WriteThrough:
         """Write a batch of staged records; returns its acknowledgements.
 
         If the target refuses the batch nothing of it is replicated and every
-        record meant for it fails; writes to the source alone still count. Batches rank by
-        their number (or the time, without one), whatever ids they hold. A batch with a number
-        that was committed before leaves what it left then.
+        record meant for it fails; writes to the source alone still count. Batches rank in the
+        order of their commits, by a number that goes on from the positions of target and source,
+        whatever ids they hold. A numbered batch whose records were committed under this number
+        before leaves what it left then; other records under an old number are another batch.
         """
         spark = staged.sparkSession
         if batch_id is not None and self.folder is None:
             raise ValueError("numbered batches need a folder for their outcomes")
-        arrived = time.time_ns() // 1_000_000 if batch_id is None else batch_id
+        name = None
+        if batch_id is not None:
+            records, digest = digest_of(staged, staged.columns)
+            name = f"{batch_id:012d}-{records}-{hashlib.sha256(digest.encode()).hexdigest()[:32]}"
+        number = F.lit(self._next_number(spark)).cast("bigint").alias("arrived")
         # The source as it was before the batch, unless the outcome is known already.
         current = self.source.read(spark)
-        decided = self._outcome(batch_id, "up", lambda: self.decide(staged, current))
+        decided = self._outcome(spark, name, "up", lambda: self.decide(staged, current).select("*", number))
         failure = None
-        refused = batch_id is not None and f"{batch_id:012d}-down" in complete_folders(spark, f"{self.folder}/decided")
+        refused = name is not None and is_complete(spark, self._outcome_path(name, "down"))
         if not refused:
             try:
-                log = through.replicated_log(decided).withColumn("arrived", F.lit(arrived).cast("bigint"))
-                fresh, positions = log, None
-                if self.spec.exactly_once:
-                    fresh = delivery.skip_applied(log, self.sink.watermark(spark))
-                    positions = delivery.positions(log)
-                with_retries(lambda: self.sink.apply(self.net(fresh), positions), self.spec)
+                with_retries(lambda: self._replicate(through.replicated_log(decided)), self.spec)
             except Exception as error:
                 refused, failure = True, str(error)
         if refused:
             def down() -> DataFrame:
                 found = self.decide(staged, current, target_up=False)
                 reason = F.when(F.col("error") == through.TARGET_DOWN, F.lit(failure)).otherwise(F.col("error"))
-                return found.withColumn("error", reason)
+                return found.withColumn("error", reason).select("*", number)
 
-            decided = self._outcome(batch_id, "down", down)
-        changes = through.source_changes(decided).withColumn("arrived", F.lit(arrived).cast("bigint"))
+            decided = self._outcome(spark, name, "down", down)
+        changes = through.source_changes(decided)
         net = net_fields(changes, "key").withColumnRenamed("key", "pk")
-        if batch_id is None:
-            self.source.apply(net, None)
-        else:
-            own = net.select(F.lit(self.source.spec.target).alias("target"), self.source.spec.shard(F.col("pk")).alias("shard"), "*")
-            fresh = delivery.skip_applied(own, self.source.watermark(spark)).drop("target", "shard")
-            self.source.apply(fresh, delivery.positions(own))
+        own = net.select(F.lit(self.source.spec.target).alias("target"), self.source.spec.shard(F.col("pk")).alias("shard"), "*")
+        held = own_positions(self.source.watermark(spark), self.source.spec)
+        fresh = delivery.skip_applied(own, held).drop("target", "shard")
+        self.source.apply(fresh, delivery.advance(held, own))
         done = delivery.acks_done(decided.where("done"), F.current_timestamp())
         failed = delivery.acks_failed(decided.where(~F.col("done")), F.current_timestamp())
         given = done.unionByName(failed)
         if self.folder is None:
             return given
-        path = f"{self.acks_path}/batch={arrived}"
+        first = decided.select("arrived").first()
+        path = f"{self.acks_path}/batch={'none' if first is None else first['arrived']}"
         given.write.mode("overwrite").parquet(path)
         return spark.read.schema(given.schema).parquet(path)
 
-    def _outcome(self, batch_id: int | None, kind: str, decide: Callable[[], DataFrame]) -> DataFrame:
+    def _next_number(self, spark: SparkSession) -> int:
+        """One more than any batch that target or source have; both rise only."""
+        held = self.sink.watermark(spark).select("target", "arrived").where(F.col("target") == self.spec.target)
+        both = held.union(self.source.watermark(spark).select("target", "arrived"))
+        return (both.agg(F.max("arrived")).first()[0] or 0) + 1
+
+    def _replicate(self, log: DataFrame) -> None:
+        fresh, positions = log, None
+        if self.spec.exactly_once:
+            held = own_positions(self.sink.watermark(log.sparkSession), self.spec)
+            fresh, positions = delivery.skip_applied(log, held), delivery.advance(held, log)
+        self.sink.apply(self.net(fresh), positions)
+
+    def _outcome_path(self, name: str, kind: str) -> str:
+        return f"{self.folder.rstrip('/')}/decided/{name}-{kind}"
+
+    def _outcome(self, spark: SparkSession, name: str | None, kind: str, decide: Callable[[], DataFrame]) -> DataFrame:
         """The decided batch from the folder, decided and written there if it is not yet."""
-        if batch_id is None:
+        if name is None:
             return stored(decide(), "decided")
-        root, name = f"{self.folder.rstrip('/')}/decided", f"{batch_id:012d}-{kind}"
-        spark = SparkSession.getActiveSession()
-        if name not in complete_folders(spark, root):
-            decide().write.mode("overwrite").parquet(f"{root}/{name}")
-        return spark.read.parquet(f"{root}/{name}")
+        path = self._outcome_path(name, kind)
+        if not is_complete(spark, path):
+            decide().write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
 
 class DocumentWriteThrough(WriteThrough):
     """Staged documents: target first, source only if that worked."""

@@ -45,6 +45,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def is_complete(spark: SparkSession, root: str) -> bool:
+    """Whether Spark's writer has finished the table at ``root``."""
+    path, fs = _path(spark, f"{root.rstrip('/')}/_SUCCESS")
+    return fs.exists(path)
+
+
 def complete_folders(spark: SparkSession, root: str) -> list[str]:
     """The folders under ``root`` that Spark's writer has marked as complete, in order."""
     path, fs = _path(spark, root)

@@ -8,7 +8,7 @@ size of the batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 
 GONE, PUT = "cf_gone", "cf_put"
@@ -37,12 +37,17 @@ class Dialect:
     def put(self, table: str, stage: str, pk: str, columns: Sequence[str]) -> str:
         return self.upsert(self, table, stage, pk, columns)
 
-    def positions(self, table: str, rows: Sequence[tuple[str, str]]) -> list[str]:
-        """Replace the position of each shard; names and values hold no quotes."""
-        names = ", ".join(f"'{name}'" for name, _ in rows)
+    def positions(self, table: str, rows: Sequence[tuple[str, str]], held: Collection[str]) -> list[str]:
+        """Move the position of each shard, upwards only; names and values hold no quotes.
+
+        A position that another writer has set in the meantime breaks the transaction by its key if
+        it is new, and stays if it is higher.
+        """
         return [
-            f"DELETE FROM {table} WHERE id IN ({names})",
-            *[f"INSERT INTO {table} (id, val) VALUES ('{name}', '{val}')" for name, val in rows],
+            f"UPDATE {table} SET val = '{val}' WHERE id = '{name}' AND val < '{val}'"
+            if name in held
+            else f"INSERT INTO {table} (id, val) VALUES ('{name}', '{val}')"
+            for name, val in rows
         ]
 
 

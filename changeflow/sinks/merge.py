@@ -12,7 +12,7 @@ from changeflow.spec import DELETE_REPLICATE, ReplicationSpec
 class MergeSink:
     """The catalog finds and rewrites the touched files; a second merge moves the positions.
 
-    A crash between the two repeats the batch, which leaves the same rows.
+    A crash between the two repeats the batch, which leaves the same rows. Positions only rise.
     """
 
     transactional = False
@@ -60,7 +60,7 @@ class MergeSink:
         (
             positions.alias("new")
             .mergeInto(held, same)
-            .whenMatched()
+            .whenMatched(F.struct(*columns.values()) > F.struct(*(F.col(f"{held}.{c}") for c in columns)))
             .update(columns)
             .whenNotMatched()
             .insert({"target": F.col("new.target"), "shard": F.col("new.shard"), **columns})

@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from typing import TypeVar
 
+from pyspark.sql import DataFrame
+
 from changeflow.spec import ReplicationSpec
 
 Value = TypeVar("Value")
@@ -28,13 +30,19 @@ def own_positions(spec: ReplicationSpec, rows: Iterable[tuple[str, str]]) -> lis
     return [(spec.target, int(s.removeprefix("shard-")), *position_of(text)) for s, text in found]
 
 
+def moved_positions(spec: ReplicationSpec, positions: DataFrame) -> list[tuple[str, str]]:
+    """Names and texts of the positions of a batch: one row per shard, whose number the spec fixes."""
+    return [(shard_name(spec, r["shard"]), position_text(r["arrived"], r["ms"], r["n"])) for r in positions.collect()]
+
+
 def _named(spec: ReplicationSpec) -> str:
     # Shards of another count are others, so they are named by it.
     return f"{spec.target}:{spec.keys_prefix}:{spec.shards}:".replace("'", "")
 
 
 def position_text(arrived: int, ms: int, n: int) -> str:
-    return f"{arrived}-{ms}-{n}"
+    """Of fixed width, so that texts compare as positions do."""
+    return f"{arrived:019d}-{ms:019d}-{n:019d}"
 
 
 def position_of(text: str) -> tuple[int, int, int]:

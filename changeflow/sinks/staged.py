@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import uuid
 from abc import ABC, abstractmethod
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from changeflow.operators.delivery import WATERMARK
 from changeflow.sinks.dialects import GONE, PUT, Dialect
-from changeflow.sinks.options import own_positions, position_text, shard_name
+from changeflow.sinks.options import moved_positions, own_positions
 from changeflow.spec import DELETE_REPLICATE, UPDATE_REPLICATE, ReplicationSpec
 
 
@@ -34,16 +34,12 @@ class StagedSink(ABC):
         spark = net.sparkSession
         # A name of its own: a straggler of an earlier try cannot write into this batch.
         stage = f"cf_{uuid.uuid4().hex[:24]}"
-        moved = []
+        moved, held = [], set()
         if positions is not None:
-            # One row per shard, and the spec fixes the number of shards.
-            moved = [
-                (shard_name(self.spec, r["shard"]), position_text(r["arrived"], r["ms"], r["n"]))
-                for r in positions.collect()
-            ]
+            moved, held = moved_positions(self.spec, positions), {name for name, _ in self._applied(spark)}
         try:
             self._stage(self.staged(net), stage)
-            self._transaction(spark, self.statements(stage, moved))
+            self._transaction(spark, self.statements(stage, moved, held))
         finally:
             self._drop(spark, stage)
 
@@ -57,15 +53,15 @@ class StagedSink(ABC):
             put.cast("int").alias(PUT),
         )
 
-    def statements(self, stage: str, moved: Sequence[tuple[str, str]]) -> list[str]:
-        """Everything that one batch does to the target, in order."""
+    def statements(self, stage: str, moved: Sequence[tuple[str, str]], held: Collection[str] = ()) -> list[str]:
+        """Everything that one batch does to the target, in order; ``held`` names the positions that are there."""
         spec, d = self.spec, self.dialect
         out = [
             d.delete(spec.target, stage, spec.pk),
             d.put(spec.target, stage, spec.pk, spec.columns),
         ]
         if moved:
-            out += d.positions(self.positions_table, moved)
+            out += d.positions(self.positions_table, moved, held)
         return out
 
     @abstractmethod

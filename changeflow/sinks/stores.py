@@ -19,13 +19,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.types import VariantVal
 
 from changeflow.operators.delivery import WATERMARK
-from changeflow.sinks.options import (
-    Lazy,
-    own_positions,
-    position_text,
-    resolve,
-    shard_name,
-)
+from changeflow.sinks.options import Lazy, moved_positions, own_positions, resolve
 from changeflow.spec import DELETE_REPLICATE, ReplicationSpec
 
 Connect = Callable[[], Any]
@@ -82,14 +76,9 @@ class StoreSink(ABC):
 
         net.foreachPartition(put)
         if positions is not None:
-            # One row per shard, and the spec fixes the number of shards.
-            moved = [
-                (shard_name(self.spec, r["shard"]), position_text(r["arrived"], r["ms"], r["n"]))
-                for r in positions.collect()
-            ]
             client = self.connect()
             try:
-                self.write_positions(client, moved)
+                self.write_positions(client, moved_positions(self.spec, positions))
             finally:
                 close(client)
 
@@ -101,11 +90,16 @@ class StoreSink(ABC):
     def read_positions(self, client: Any) -> Positions: ...
 
     @abstractmethod
-    def write_positions(self, client: Any, moved: Positions) -> None: ...
+    def write_positions(self, client: Any, moved: Positions) -> None:
+        """Raise positions; the store itself compares, so one that is higher by now stays."""
 
 
 class WideColumnSink(StoreSink):
-    """Cassandra tables: an update sets its columns and creates the row where needed."""
+    """Cassandra tables: an update sets its columns and creates the row where needed.
+
+    A task has up to ``batch`` prepared statements under way at a time: rows of a table lie on many
+    hosts, so each statement goes to the host of its row, and nothing waits for a round trip of another.
+    """
 
     def statements(self) -> tuple[str, str]:
         spec = self.spec
@@ -121,11 +115,13 @@ class WideColumnSink(StoreSink):
         def write(session: Any, chunk: list[Row]) -> None:
             # The driver library keeps prepared statements, asking again costs nothing.
             put, drop = session.prepare(update), session.prepare(delete)
-            for row in chunk:
-                if row["op"] == DELETE_REPLICATE or row["reset"]:
-                    session.execute(drop, [row["pk"]])
-                if row["op"] != DELETE_REPLICATE:
-                    session.execute(put, [*[row[c] for c in columns], row["pk"]])
+            gone = [[row["pk"]] for row in chunk if row["op"] == DELETE_REPLICATE or row["reset"]]
+            new = [[*[row[c] for c in columns], row["pk"]] for row in chunk if row["op"] != DELETE_REPLICATE]
+            # A deleted row may come again in the same chunk, so all deletes are through first.
+            for statement, all_values in ((drop, gone), (put, new)):
+                under_way = [session.execute_async(statement, values) for values in all_values]
+                for each in under_way:
+                    each.result()
 
         return write
 
@@ -133,9 +129,14 @@ class WideColumnSink(StoreSink):
         return [(r[0], r[1]) for r in session.execute(f"SELECT id, val FROM {self.positions_table}")]
 
     def write_positions(self, session: Any, moved: Positions) -> None:
-        statement = session.prepare(f"UPDATE {self.positions_table} SET val = ? WHERE id = ?")
+        held = dict(self.read_positions(session))
+        add = session.prepare(f"INSERT INTO {self.positions_table} (id, val) VALUES (?, ?) IF NOT EXISTS")
+        rise = session.prepare(f"UPDATE {self.positions_table} SET val = ? WHERE id = ? IF val < ?")
         for name, position in moved:
-            session.execute(statement, [position, name])
+            if name in held:
+                session.execute(rise, [position, name, position])
+            else:
+                session.execute(add, [name, position])
 
 
 def cassandra(user: Lazy[str], password: Lazy[str], db: Lazy[str], keyspace: Lazy[str] = "") -> Connect:
@@ -156,9 +157,20 @@ def _plain(value: Any) -> Any:
     return json.loads(value.toJson()) if isinstance(value, VariantVal) else value
 
 
+def _bulk(database: Any, command: str, collection: str, **requests: list) -> None:
+    """One round trip for all requests; a request that the store refuses fails the chunk."""
+    if not any(requests.values()):
+        return
+    given = database.command(command, collection, ordered=False, **requests)
+    if errors := given.get("writeErrors"):
+        raise RuntimeError(f"{len(errors)} writes to {collection} refused, the first: {errors[0]}")
+
+
 class DocumentStoreSink(StoreSink):
     """MongoDB collections: fields of a document are set one by one, others stay.
 
+    A chunk takes two round trips, one for its updates and one for its deletes.
+
     ``connect`` gives a database; the target is a collection of it.
     """
 
@@ -166,17 +178,18 @@ class DocumentStoreSink(StoreSink):
         collection, pk = self.spec.target, self.spec.pk
 
         def write(database: Any, chunk: list[Row]) -> None:
-            bulk = database[collection]
+            updates, deletes = [], []
             for row in chunk:
                 this = {pk: row["pk"]}
                 if row["op"] == DELETE_REPLICATE:
-                    bulk.delete_one(this)
+                    deletes.append({"q": this, "limit": 1})
                     continue
                 fields = {name: _plain(v) for name, v in row["fields"].items()}
-                if row["reset"]:
-                    bulk.replace_one(this, {**fields, **this}, upsert=True)
-                else:
-                    bulk.update_one(this, {"$set": {**fields, **this}}, upsert=True)
+                change = {**fields, **this} if row["reset"] else {"$set": {**fields, **this}}
+                updates.append({"q": this, "u": change, "upsert": True})
+            # Keys are unique within a chunk, so the requests need no order.
+            _bulk(database, "update", collection, updates=updates)
+            _bulk(database, "delete", collection, deletes=deletes)
 
         return write
 
@@ -184,10 +197,8 @@ class DocumentStoreSink(StoreSink):
         return [(d["_id"], d["val"]) for d in database[self.positions_table].find({})]
 
     def write_positions(self, database: Any, moved: Positions) -> None:
-        for name, position in moved:
-            database[self.positions_table].replace_one(
-                {"_id": name}, {"_id": name, "val": position}, upsert=True
-            )
+        rises = [{"q": {"_id": name}, "u": {"$max": {"val": position}}, "upsert": True} for name, position in moved]
+        _bulk(database, "update", self.positions_table, updates=rises)
 
 
 def mongo(
@@ -211,6 +222,13 @@ def mongo(
     return connect
 
 
+#: Run by the store: sets a field of a hash unless it holds a higher text.
+_RISE = """
+local held = redis.call('HGET', KEYS[1], ARGV[1])
+if not held or held < ARGV[2] then redis.call('HSET', KEYS[1], ARGV[1], ARGV[2]) end
+"""
+
+
 class HashStoreSink(StoreSink):
     """Hashes named ``prefix:pk`` in a key-value store.
 
@@ -254,4 +272,20 @@ class HashStoreSink(StoreSink):
         return list(client.hgetall(self.positions_table).items())
 
     def write_positions(self, client: Any, moved: Positions) -> None:
-        client.hset(self.positions_table, mapping=dict(moved))
+        pipe = client.pipeline()
+        for name, position in moved:
+            pipe.eval(_RISE, 1, self.positions_table, name, position)
+        pipe.execute()
+
+
+def redis(host: Lazy[str], port: Lazy[int] = 6379, password: Lazy[str] | None = None, cluster: bool = False, **options: Any) -> Connect:
+    """Opens clients of a hash store or, with ``cluster``, of a cluster of them."""
+
+    def connect() -> Any:
+        import redis as library
+
+        kind = library.RedisCluster if cluster else library.Redis
+        secret = None if password is None else resolve(password)
+        return kind(host=resolve(host), port=int(resolve(port)), password=secret, decode_responses=True, **options)
+
+    return connect

@@ -1,7 +1,7 @@
 """Replication target on plain Parquet: base rows, and the net changes of each batch beside them.
 
 A batch appends its net changes as a folder of its own, which counts once Spark has marked it
-as complete; so readers see a whole batch, with the positions that its rows carry, or nothing
+as complete; so readers see a whole batch, with the positions that stand beside its rows, or nothing
 of it. Reading folds the changes since the base, one row per key and batch, and merges them
 into the base. Every ``compact_every`` batches a plain job writes the merged rows as the next
 base. The cost of a batch follows the batch, that of a read what has changed since the base.
@@ -65,25 +65,26 @@ class TableSink:
         base = self._base(spark)
         rows = spark.read.parquet(f"{self.path}/base/{_folder(base)}")
         changes = self._changes(spark, base)
-        return rows if changes is None else self._merged(rows, changes)
+        return rows if changes is None else self._merged(rows, changes.where("op IS NOT NULL"))
 
     def watermark(self, spark: SparkSession) -> DataFrame:
-        """The position of each shard, from the rows of the batches themselves."""
+        """The position of each shard, from the folders of the batches themselves."""
         base = self._base(spark)
         held = spark.read.schema(WATERMARK).parquet(f"{self.path}/positions/{_folder(base)}")
         changes = self._changes(spark, base)
         if changes is None:
             return held
-        seen = changes.where("with_positions").select(F.lit(self.spec.target).alias("target"), "shard", "arrived", "ms", "n")
+        seen = changes.where("op IS NULL").select(F.lit(self.spec.target).alias("target"), "shard", "arrived", "ms", "n")
         return delivery.positions(held.unionByName(seen))
 
     def apply(self, net: DataFrame, positions: DataFrame | None) -> None:
         spark = net.sparkSession
-        rows = positioned(net).withColumns(
-            {"shard": self.spec.shard(F.col("pk")), "with_positions": F.lit(positions is not None)}
-        )
+        rows = positioned(net).withColumn("shard", F.lit(None).cast("int"))
         if self.new_prefix is not None:
             rows = apply.with_prefix(rows, self.new_prefix)
+        if positions is not None:
+            # Rows of their own, without an operation: a batch may move positions and change nothing.
+            rows = rows.unionByName(positions.select("shard", "arrived", "ms", "n"), allowMissingColumns=True)
         batch = self.version(spark) + 1
         # What a broken try left under this number is not complete, and is replaced.
         rows.write.mode("overwrite").parquet(f"{self.path}/changes/{_folder(batch)}")

@@ -15,12 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 from changeflow.operators import delivery
 from changeflow.operators.capture import REJECT, local_only, replicated
 from changeflow.operators.fold import net_change, net_fields
-from changeflow.session import make_folder
 from changeflow.sinks.base import Sink
 from changeflow.sources import log as log_source
 from changeflow.spec import UPDATE_REPLICATE, ReplicationSpec
 
 Trigger = dict[str, object]
+#: Capture batches that one micro-batch applies at most.
+BATCHES_AT_ONCE = 1000
 
 
 def net_of(log: DataFrame, spec: ReplicationSpec) -> DataFrame:
@@ -38,11 +39,20 @@ def apply_batch(log: DataFrame, spec: ReplicationSpec, sink: Sink) -> None:
     Nothing is cached: the log is immutable, and every use of it reads only the
     columns it needs.
     """
-    fresh, positions = log, None
-    if spec.exactly_once:
-        fresh = delivery.skip_applied(log, sink.watermark(log.sparkSession))
-        positions = delivery.positions(log)
-    with_retries(lambda: sink.apply(net_of(fresh, spec), positions), spec)
+
+    def write() -> None:
+        fresh, positions = log, None
+        if spec.exactly_once:
+            # Asked again for each try: the positions may have moved meanwhile.
+            held = sink.watermark(log.sparkSession)
+            fresh, positions = delivery.skip_applied(log, held), delivery.advance(own_positions(held, spec), log)
+        sink.apply(net_of(fresh, spec), positions)
+
+    with_retries(write, spec)
+
+
+def own_positions(watermark: DataFrame, spec: ReplicationSpec) -> DataFrame:
+    return watermark.where(F.col("target") == spec.target)
 
 
 def with_retries(write: Callable[[], None], spec: ReplicationSpec) -> None:
@@ -62,7 +72,10 @@ def with_retries(write: Callable[[], None], spec: ReplicationSpec) -> None:
 
 
 def acks_of(batch: DataFrame, spec: ReplicationSpec, sink: Sink) -> DataFrame:
-    """Acknowledgements of an applied batch: what the target has, and what it is not meant for."""
+    """Acknowledgements of an applied batch: what the target has, and what it is not meant for.
+
+    What the target has is what lies at or before its position, read after the write.
+    """
     records = replicated(batch)
     if spec.exactly_once:
         records = delivery.applied(records, sink.watermark(batch.sparkSession))
@@ -88,21 +101,23 @@ def start_apply(
 ) -> StreamingQuery:
     """Stream the log into a sink.
 
-    A micro-batch takes every capture batch that is complete, never a part of
+    A micro-batch takes whole capture batches, in the order of their numbers, never a part of
     one: records of a shard would otherwise reach the watermark out of order.
     Operations that the target is not meant for are acknowledged in the same batch.
     """
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        apply_batch(replicated(batch), spec, sink)
-        # Overwritten as a whole when the batch is replayed.
-        acks_of(batch, spec, sink).write.mode("overwrite").parquet(f"{acks_path}/batch={batch_id}")
+    def write(new: DataFrame, batch_id: int) -> None:
+        # A row per capture batch, of which a micro-batch takes a bounded number.
+        arrived = [r["arrived"] for r in new.select("arrived").distinct().collect()]
+        if not arrived:
+            return
+        log = log_source.read_batches(spark, log_path, spec, arrived, documents).where(F.col("route") != REJECT)
+        apply_batch(replicated(log), spec, sink)
+        # Named by the batches: whoever applies them again replaces their acknowledgements.
+        acks_of(log, spec, sink).write.mode("overwrite").parquet(f"{acks_path}/batch={min(arrived)}-{max(arrived)}")
 
-    # Before the first capture there is nothing to read, but a place to look at.
-    make_folder(spark, log_path)
-    log = log_source.read(spark, log_path, spec, documents, stream=True)
     return (
-        log.where(F.col("route") != REJECT)
+        log_source.batches(spark, log_path, stream=True, maxFilesPerTrigger=str(BATCHES_AT_ONCE))
         .writeStream.queryName(query_name(checkpoint))
         .foreachBatch(write)
         .option("checkpointLocation", checkpoint)

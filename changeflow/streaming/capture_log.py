@@ -2,35 +2,47 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from changeflow.operators.capture import capture, capture_documents
-from changeflow.spec import ReplicationSpec
+from changeflow.sources.log import LogWriter
+from changeflow.spec import DEFAULT_DURATION_MS, ReplicationSpec
 from changeflow.streaming.apply_log import query_name
 
 
 def start_capture(
     changes: DataFrame,
-    spec: ReplicationSpec,
+    specs: ReplicationSpec | Sequence[ReplicationSpec],
     log_path: str,
     checkpoint: str,
     documents: bool = False,
     trigger: dict[str, object] | None = None,
 ) -> StreamingQuery:
-    """Append a stream of changes to the log.
+    """Append a stream of changes to the log, for one target or several.
 
-    The file sink lists the files of a micro-batch in its own log when all of
-    them are written, and readers of the folder go by that list: the log grows by
-    whole batches, once each, also over restarts.
+    A micro-batch is one batch of the log, also over restarts: see
+    :class:`changeflow.sources.log.LogWriter`. With several targets a micro-batch is kept for the time of its
+    writes, so its source is read once.
     """
-    captured = capture_documents(changes, spec) if documents else capture(changes, spec)
+    specs = [specs] if isinstance(specs, ReplicationSpec) else list(specs)
+    writer, normalise = LogWriter(log_path), capture_documents if documents else capture
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        kept = batch.persist() if len(specs) > 1 else batch
+        try:
+            writer.add(kept, [(spec, normalise(kept, spec)) for spec in specs], batch_id)
+        finally:
+            if len(specs) > 1:
+                kept.unpersist()
+
+    pause = min((spec.duration_ms for spec in specs), default=DEFAULT_DURATION_MS)
     return (
-        captured.writeStream.queryName(query_name(checkpoint))
-        .format("parquet")
-        .partitionBy("route")
+        changes.writeStream.queryName(query_name(checkpoint))
+        .foreachBatch(write)
         .option("checkpointLocation", checkpoint)
-        .option("path", log_path)
-        .trigger(**(trigger or {"processingTime": f"{spec.duration_ms} milliseconds"}))
+        .trigger(**(trigger or {"processingTime": f"{pause} milliseconds"}))
         .start()
     )

@@ -1,57 +1,73 @@
-"""Several prefixes of one source to several targets, from one stream."""
+"""Several prefixes of one source to several targets: one capture, and one stream per target."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from changeflow.operators.capture import capture, capture_documents, replicated
 from changeflow.sinks.base import Sink
 from changeflow.sources import log as log_source
 from changeflow.spec import ReplicationSpec
-from changeflow.streaming.apply_log import acks_of, apply_batch, query_name
+from changeflow.streaming.apply_log import Trigger, start_apply
+from changeflow.streaming.capture_log import start_capture
+
+
+@dataclass
+class FanOut:
+    """The running streams: ``capture``, and those of the targets by name."""
+
+    capture: StreamingQuery
+    targets: dict[str, StreamingQuery]
+
+    def awaitTermination(self) -> None:  # noqa: N802 - as Spark names it
+        """Wait for all streams; the error of one is raised when all have ended."""
+        errors = []
+        for query in (self.capture, *self.targets.values()):
+            try:
+                query.awaitTermination()
+            except Exception as error:
+                errors.append(error)
+        if errors:
+            raise errors[0]
+
+    def stop(self) -> None:
+        for query in (self.capture, *self.targets.values()):
+            query.stop()
 
 
 def start_fan_out(
     changes: DataFrame,
     routes: Sequence[tuple[ReplicationSpec, Sink]],
     folder: str,
-    trigger: dict[str, object],
-) -> StreamingQuery:
-    """Replicate each prefix to its sink; each has a log, acknowledgements and positions.
+    trigger: Trigger,
+) -> FanOut:
+    """Replicate each prefix to its sink.
 
-    A batch goes to the log of each target first, all three routes of it, and is applied and
-    acknowledged from there. A repeated batch replaces its part of the log. The number of the
-    batch is the arrival of its records.
+    One stream reads the source and writes the log of all targets, batch by batch. Each target has a
+    stream of its own that applies and acknowledges from there, with checkpoint, positions and retries of its
+    own: one that is down holds up no other. Triggers that end take what is there: first the capture, then
+    the targets.
     """
-    documents = "doc" in changes.columns
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        arrived = batch.withColumn("arrived", F.lit(batch_id).cast("bigint"))
-        for spec, sink in routes:
-            captured = capture_documents(arrived, spec) if documents else capture(arrived, spec)
-            path = f"{log_folder(folder, spec)}/batch={batch_id}"
-            captured.write.mode("overwrite").partitionBy("route").parquet(path)
-            logged = log_source.read(spark, path, spec, documents)
-            apply_batch(replicated(logged), spec, sink)
-            acks_of(logged, spec, sink).write.mode("overwrite").parquet(f"{acks_folder(folder, spec)}/batch={batch_id}")
-
-    checkpoint = f"{folder.rstrip('/')}/checkpoint"
-    return (
-        changes.writeStream.queryName(query_name(checkpoint))
-        .foreachBatch(write)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
-    )
+    if len({spec.target for spec, _ in routes}) != len(routes):
+        raise ValueError("each target can be named once")
+    spark, root, documents = changes.sparkSession, folder.rstrip("/"), "doc" in changes.columns
+    capture = start_capture(changes, [spec for spec, _ in routes], log_folder(folder), f"{root}/capture", documents, trigger)
+    if {"availableNow", "once"} & set(trigger):
+        capture.awaitTermination()
+    targets = {
+        spec.target: start_apply(
+            spark, spec, log_folder(folder), sink, acks_folder(folder, spec), f"{root}/{spec.target}/apply", documents, trigger
+        )
+        for spec, sink in routes
+    }
+    return FanOut(capture, targets)
 
 
-def log_folder(folder: str, spec: ReplicationSpec) -> str:
-    return f"{folder.rstrip('/')}/{spec.target}/log"
+def log_folder(folder: str) -> str:
+    return f"{folder.rstrip('/')}/log"
 
 
 def acks_folder(folder: str, spec: ReplicationSpec) -> str:
@@ -60,4 +76,4 @@ def acks_folder(folder: str, spec: ReplicationSpec) -> str:
 
 def read_log(spark: SparkSession, folder: str, spec: ReplicationSpec, documents: bool = False) -> DataFrame:
     """All that was captured for one target: replicated, local and rejected records."""
-    return log_source.read(spark, log_folder(folder, spec), spec, documents)
+    return log_source.read(spark, log_folder(folder), spec, documents)

@@ -15,7 +15,9 @@ from changeflow.plans.recipes import WriteBehind
 from changeflow.sinks.table import TableSink
 from changeflow.sources import changes, log
 from changeflow.spec import ReplicationSpec
-from changeflow.streaming.fan_out import acks_folder, read_log, start_fan_out
+from changeflow.streaming.apply_log import start_apply
+from changeflow.streaming.capture_log import start_capture
+from changeflow.streaming.fan_out import acks_folder, log_folder, read_log, start_fan_out
 
 PERSONS = {"first_name": "first", "last_name": "last", "age": "age"}
 SPEC = ReplicationSpec(
@@ -197,6 +199,18 @@ def test_write_through_takes_late_and_repeated_batches(spark, tmp_path):
         assert held == {"person:1": "b", "person:2": "q"}
 
 
+def test_other_records_under_an_old_number_are_another_batch(spark, tmp_path):
+    """As where the checkpoint is lost and the folder is not."""
+    recipe = through(spark, tmp_path)
+    recipe.folder = str(tmp_path / "through")
+    for first in ("a", "b"):
+        batch = stage(spark, 9, (f"person:{first}", person(first, 1, f"={first}")), ("person:1", person(first, 1)))
+        for _ in range(2):
+            assert [r["ack_key"] for r in recipe.commit(batch, 0).collect()] == [f"{{person:{first}}}{first}"]
+    assert {r["person_id"]: r["first"] for r in recipe.sink.read(spark).collect()} == {"a": "a", "b": "b", "1": "b"}
+    assert recipe.source.read(spark).count() == 3
+
+
 def test_write_through_as_a_stream(spark, tmp_path):
     recipe = through(spark, tmp_path)
     recipe.folder = str(tmp_path / "through")
@@ -279,6 +293,103 @@ def test_fan_out(spark, tmp_path):
     assert got == [[("1", "p1", "bar", 1)], [("1", "t1", "bar", 1)]]
 
 
+def fan_out_parts(spark, tmp_path):
+    things = replace(SPEC, target="things", keys_prefix="thing", pk="thing_id")
+    routes = []
+    for spec in (SPEC, things):
+        sink = TableSink(str(tmp_path / spec.target), spec)
+        sink.create(spark.createDataFrame([], spec.target_schema))
+        routes.append((spec, sink))
+    return routes
+
+
+def test_fan_out_with_a_lost_checkpoint_loses_nothing(spark, tmp_path):
+    """Three batches, then a new checkpoint of the capture, whose batches are numbered from 0 again."""
+    routes, folder = fan_out_parts(spark, tmp_path), str(tmp_path / "cp")
+    for run in (0, 1):
+        for part in range(3):
+            source = Source(spark, tmp_path / f"changes{run}")
+            source.n = 10 * part
+            source.add(*[(f"person:{run}-{part}-{i}", person("a", i, f"=u{i}")) for i in range(10)])
+            specs = [spec for spec, _ in routes]
+            start_capture(source.stream(), specs, log_folder(folder), f"{folder}/capture{run}", trigger=NOW).awaitTermination()
+            for spec, sink in routes:
+                own = f"{folder}/{spec.target}"
+                start_apply(spark, spec, log_folder(folder), sink, f"{own}/acks", f"{own}/apply", trigger=NOW).awaitTermination()
+    assert routes[0][1].read(spark).count() == 60
+    assert spark.read.parquet(acks_folder(folder, SPEC)).where("status = 'done'").count() == 60
+
+
+def test_capture_with_a_lost_checkpoint_and_ids_that_step_back(spark, behind):
+    """The second capture has lower ids and a checkpoint of its own: nothing is skipped."""
+    source, recipe = behind
+    for run, ms in ((0, 5000), (1, 1000)):
+        rows = [(i, ms, "hset", f"person:{run}-{i}", person("a", i, f"=u{i}")) for i in range(10)]
+        path = f"{source.path}{run}"
+        spark.createDataFrame(rows, source.schema).write.parquet(path)
+        stream = changes.hash_changes(spark, path, stream=True)
+        start_capture(stream, SPEC, recipe.log_path, f"{recipe.root}/capture{run}", trigger=NOW).awaitTermination()
+        recipe.apply(spark, NOW).awaitTermination()
+    assert len(persons(spark, recipe)) == 20 and len(acks(spark, recipe)) == 20
+
+
+def test_a_repeated_capture_batch_is_in_the_log_once(spark, tmp_path):
+    rows = [(i, 1, "hset", f"person:{i}", person("a", i)) for i in range(5)]
+    batch = spark.createDataFrame(rows, changes.HASH_CHANGES)
+    captured = [(SPEC, capture.capture(batch, SPEC))]
+    path = str(tmp_path / "log")
+    assert log.LogWriter(path).add(batch, captured, 0) == 1
+    assert log.LogWriter(path).add(batch, captured, 0) is None
+    other = batch.withColumn("ms", F.lit(2).cast("bigint"))
+    writer = log.LogWriter(path)
+    assert writer.add(other, [(SPEC, capture.capture(other, SPEC))], 0) == 2
+    assert writer.add(batch.limit(0), captured, 1) is None
+    # What a broken try wrote beside the log does not count.
+    capture.capture(batch, SPEC).drop("target").write.partitionBy("route").parquet(f"{path}/records/persons/arrived=3")
+    assert {r["arrived"] for r in log.read(spark, path, SPEC).collect()} == {1, 2}
+    assert writer.add(batch, captured, 1) == 3 and log.read(spark, path, SPEC).count() == 15
+
+
+def test_a_dead_target_holds_up_no_other(spark, tmp_path):
+    routes, folder = fan_out_parts(spark, tmp_path), str(tmp_path / "cp")
+    source = Source(spark, tmp_path / "changes")
+    source.add(("person:1", person("p", 1)), ("thing:1", person("t", 1)))
+    write, routes[0][1].apply = routes[0][1].apply, lambda *_: (_ for _ in ()).throw(OSError("down"))
+    with pytest.raises(Exception, match="down"):
+        start_fan_out(source.stream(), routes, folder, NOW).awaitTermination()
+    assert [r["first"] for r in routes[1][1].read(spark).collect()] == ["t"]
+    routes[0][1].apply = write
+    start_fan_out(source.stream(), routes, folder, NOW).awaitTermination()
+    assert [r["first"] for r in routes[0][1].read(spark).collect()] == ["p"]
+
+
+def test_fan_out_reads_its_source_once(spark, tmp_path):
+    routes = fan_out_parts(spark, tmp_path)
+    source = Source(spark, tmp_path / "changes")
+    source.add(*[(f"person:{i}", person("p", i)) for i in range(7)], ("thing:1", person("t", 1)))
+    reads = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    stream = source.stream()
+    start_fan_out(stream.mapInArrow(counted, stream.schema), routes, str(tmp_path / "cp"), NOW).awaitTermination()
+    assert reads.value == 8 and [sink.read(spark).count() for _, sink in routes] == [7, 1]
+
+
+def test_a_batch_of_deletes_only_moves_the_position_of_copies(spark, tmp_path):
+    spec = ReplicationSpec(target="copies", pk="key", keys_prefix="key", whole_hashes=True, shards=1)
+    sink = TableSink(str(tmp_path / "copies"), spec, "fields", new_prefix="copy")
+    sink.create(spark.createDataFrame([], "key string, fields map<string,string>"))
+    recipe = WriteBehind(spec, sink, "copies", str(tmp_path))
+    source = Source(spark, tmp_path / "changes")
+    source.add(("key:1", {"#": "~9"}))
+    recipe.run_once(source.stream())
+    assert acks(spark, recipe) == [("{key:1}9", "done")]
+
+
 def test_ack_status(spark):
     at = F.to_timestamp(F.lit("2024-01-01 00:00:00"))
     rows = spark.createDataFrame([("p:1", "a", "e1"), ("p:2", "b", "e2"), ("p:3", None, None)], "key string, uuid string, error string")

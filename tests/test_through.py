@@ -8,7 +8,9 @@ import pytest
 import replay
 from pyspark.sql import functions as F
 
+from changeflow.functions import states
 from changeflow.operators import apply, fold, through
+from changeflow.session import stored
 from changeflow.spec import ReplicationSpec
 
 SPEC = ReplicationSpec(
@@ -76,6 +78,43 @@ def test_outcomes_equal_replay(spark, seed, unfit_local, rows_per_task):
     assert {r["key"]: r["fields"] for r in after} == state
 
 
+def alternations(spark, monkeypatch, times):
+    """Tables that are written to decide on a key whose number of unfit local updates grows."""
+    written = []
+    for module in (through, states):
+        monkeypatch.setattr(module, "stored", lambda df, purpose: written.append(purpose) or stored(df, purpose))
+    writes = [(0, 0, "person:1", "=", {"f": "f", "l": "l", "a": "1"})]
+    for i in range(1, times + 1):
+        writes += [(i, 0, "person:1", "+", {"a": "bad"}), (i, 1, "person:1", "=", {"f": "no"}), (i, 2, "person:1", "=", {"a": str(i)})]
+    frame = spark.createDataFrame([(ms, n, key, {**v, "#": op}) for ms, n, key, op, v in writes], STAGED)
+    got = through.decide(frame, source_frame(spark, {"q": {}}), SPEC).select("ms", "n", "done").collect()
+    assert {(r["ms"], r["n"]): r["done"] for r in got} == {(ms, n): not (ms and n == 1) for ms, n, *_ in writes}
+    return written
+
+
+def test_the_number_of_passes_does_not_depend_on_the_writes(spark, monkeypatch):
+    assert alternations(spark, monkeypatch, 4) == alternations(spark, monkeypatch, 80)
+
+
+@pytest.mark.parametrize("seed", [5, 6])
+def test_states_before_equal_a_replay(spark, seed):
+    rnd = random.Random(seed)
+    kinds, rows, want = [], [], {}
+    for key in range(4):
+        s = rnd.randrange(16)
+        kinds.append((key, s))
+        for at in sorted(rnd.sample(range(70_000), (700, 3, 300, 1)[key])):
+            kind, x, y = rnd.choice("sgg"), rnd.randrange(16), rnd.randrange(16)
+            rows.append((key, at, kind, x, y))
+            want[key, at] = s
+            s = (s & x) | y if kind == "s" else 0 if s & x == 0 else s
+    every = F.lit(15)
+    f = F.when(F.col("kind") == "s", states.function(F.col("x"), F.col("y"))).otherwise(states.function(every, F.lit(0), guard=F.col("x")))
+    records = spark.createDataFrame(rows, "key int, at long, kind string, x int, y int").select("key", "at", f.alias("f"))
+    got = states.states_before(records, spark.createDataFrame(kinds, "key int, s long"), "key").collect()
+    assert {(r["key"], r["at"]): r["s"] for r in got} == want
+
+
 def test_partial_update_takes_the_rest_from_the_record(spark):
     writes = [
         (1, 0, "person:1", "=", {"f": "foo", "l": "bar", "a": "20"}),

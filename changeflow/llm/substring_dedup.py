@@ -15,9 +15,12 @@ windows of ``PASSAGE`` words the first stays, the words of the others go. A wind
 overlaps its own first place loses only the words after that. Words are compared in lower
 case; in scripts without spaces each character is a word. Not all windows are hashed: of every
 35 runs of 16 words in a row the one with the least hash is the anchor of the window that they
-fill, so equal windows have equal anchors. The windows in a row that share an anchor have one
-name, by which copies are found; single windows are named, by 128 bits, only where an anchor has
-groups of several names, that is at the ends of passages. Both are treated like units.
+fill, so equal windows have equal anchors. The windows in a row that share an anchor are a group with
+one name, groups in a row are a chain with one name, whose ends some anchors set. Copies of a chain
+are found by its name; only the first of each name is looked at group by group. Where an anchor has
+groups of several names, that is at the ends of passages, runs of windows are named, by 128 bits, and
+of the first of each name the single windows. All are treated like units. So a passage in
+many documents costs a row per chain in each, and few more at its ends.
 
 At scale: one scan writes a narrow table of units (six numbers each, no text). Digests are
 counted first, combined before the shuffle, so a unit that every document has costs one row
@@ -48,6 +51,9 @@ from changeflow.session import stored
 MIN_WORDS = 5
 PASSAGE = 50
 ANCHOR = 16
+#: Groups of a chain, on average; windows of a run within a group, as a power of two.
+CHAIN = 4
+RUN_BITS = 3
 # Scripts without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
 _UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -166,9 +172,12 @@ def _sliding(values: np.ndarray, n: int, pick) -> np.ndarray:
 
 
 def groups(words: np.ndarray, passage: int) -> tuple[np.ndarray, ...]:
-    """(start, number, anchor, name) of the windows in a row that have the same anchor; and all windows' hashes."""
+    """(start, number, lead, anchor, name) of the windows in a row that have the same anchor.
+
+    ``lead`` is the distance from the first of the windows to the anchor.
+    """
     if len(words) < passage:
-        return (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 3
+        return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),) * 2
     runs, w = _run_hashes(words, ANCHOR), passage - ANCHOR + 1
     least = _sliding(runs, w, np.minimum)
     edge = np.zeros(w - 1, np.uint64)
@@ -183,7 +192,48 @@ def groups(words: np.ndarray, passage: int) -> tuple[np.ndarray, ...]:
     offset = (np.arange(len(k)) - np.repeat(start, number)).astype(np.uint64)
     name = np.add.reduceat(mix(windows + offset * np.uint64(_SEEDS[1])), start)
     anchor = anchors[k[start]]
-    return start, number, runs[anchor], mix(name + (anchor - start).astype(np.uint64)), windows
+    return start, number, anchor - start, runs[anchor], mix(name + (anchor - start).astype(np.uint64))
+
+
+def _joined(names: np.ndarray, first: np.ndarray, seed: int) -> np.ndarray:
+    """The name of each run of names, by their order; ``first`` are the places where runs begin."""
+    place = np.arange(len(names)) - np.repeat(first, np.diff(np.append(first, len(names))))
+    return mix(np.add.reduceat(mix(names + place.astype(np.uint64) * np.uint64(_SEEDS[1]) + np.uint64(seed)), first))
+
+
+_PLACE = ["id", "text_hash", "at"]
+
+
+def _place():
+    return F.struct(F.col("id").isNull().alias("last"), *_PLACE)
+
+
+def _told_apart(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of rows (id, text_hash, at, number, k1, k2, parts): what is not the first of its name, and the parts of the firsts.
+
+    The first of each name is found together with its parts, combined before the shuffle. So what
+    stands in many documents is looked at part by part in one of them only.
+    """
+    least = F.min(F.struct(_place().alias("place"), "parts")).alias("least")
+    names = stored(rows.groupBy("k1", "k2").agg(least, F.count("*").alias("n")), "first-names")
+    again = names.where("n > 1").select("k1", "k2", F.col("least.place").alias("first"))
+    lost = rows.drop("parts").join(again, ["k1", "k2"]).where(_place() != F.col("first")).select(*_PLACE, "number", "first")
+    parts = names.select("least.place.id", "least.place.text_hash", F.explode("least.parts").alias("part"))
+    return stored(lost, "later-places"), parts.select("id", "text_hash", "part.*")
+
+
+def _rows_of(batch: pa.RecordBatch, row: list, columns: dict[str, list[np.ndarray]], sizes: list[np.ndarray], parts: dict[str, list[np.ndarray]]) -> pa.RecordBatch:
+    """Arrow rows with the id and text hash of their text, and a list of parts each."""
+
+    def whole(pieces: list[np.ndarray]) -> pa.Array:
+        return pa.array(np.concatenate([np.zeros(0, np.int64), *(np.asarray(x).view(np.int64) for x in pieces)]))
+
+    own = pa.array(np.concatenate([np.zeros(0, np.int64), *row]))
+    offsets = np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes]))])
+    lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays([whole(x) for x in parts.values()], list(parts)))
+    return pa.RecordBatch.from_arrays(
+        [batch["id"].take(own), batch["text_hash"].take(own), *map(whole, columns.values()), lists], ["id", "text_hash", *columns, "parts"]
+    )
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:
@@ -193,52 +243,72 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, parts = [np.zeros(0, np.int64)], [groups(np.zeros(0, np.uint64), passage)]
+            row, sizes, columns, parts = [], [], {c: [] for c in ("at", "number", "k1", "k2")}, {c: [] for c in ("at", "number", "lead", "h", "g")}
             for i, text in enumerate(batch["text"]):
-                parts.append(groups(_word_hashes(*tokens(text.as_py() or ""), _SEEDS[0]), passage))
-                row.append(np.full(len(parts[-1][0]), i))
-            own = pa.array(np.concatenate(row))
-            start, number, h, g = (pa.array(np.concatenate(x).view(np.int64)) for x in list(zip(*parts, strict=True))[:4])
-            yield pa.RecordBatch.from_arrays(
-                [batch["id"].take(own), batch["text_hash"].take(own), start, number, h, g], ["id", "text_hash", "at", "number", "h", "g"]
-            )
-
-    found = stored(rows.mapInArrow(describe, f"id {kind}, text_hash long, at long, number long, h long, g long"), "window-groups")
+                own = groups(_word_hashes(*tokens(text.as_py() or ""), _SEEDS[0]), passage)
+                start, number, _, h, g = own
+                if not len(start):
+                    continue
+                # A chain of groups ends where an anchor says so, wherever the text around begins.
+                first = np.flatnonzero((h % np.uint64(CHAIN) == 0) | (np.arange(len(h)) == 0))
+                chain = (start[first], np.add.reduceat(number, first), _joined(g, first, _SEEDS[0]), _joined(g ^ mix(h), first, _SEEDS[1]))
+                for held, values in ((columns, chain), (parts, own)):
+                    for c, x in zip(held, values, strict=True):
+                        held[c].append(x)
+                row.append(np.full(len(first), i))
+                sizes.append(np.diff(np.append(first, len(start))))
+            yield _rows_of(batch, row, columns, sizes, parts)
+
+    unit = f"id {kind}, text_hash long, at long, number long, k1 long, k2 long, parts array<struct<"
+    chains = stored(rows.mapInArrow(describe, f"{unit}at:long,number:long,lead:long,h:long,g:long>>"), "window-chains")
+    lost_chains, found = _told_apart(chains)
+    found = stored(found, "window-groups")
     often = stored(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-anchors")
     again = stored(found.join(often, "h", "left_semi"), "repeated-groups")
-    place = F.struct(F.col("id").isNull().alias("last"), "id", "text_hash", "at")
-    first = stored(again.groupBy("h", "g").agg(F.min(place).alias("first"), F.min("number").alias("number"), F.count("*").alias("n")), "first-groups")
+    place = _place()
+    first = stored(again.groupBy("h", "g").agg(F.min(place).alias("first"), F.min("number").alias("number"), F.min("lead").alias("lead"), F.count("*").alias("n")), "first-groups")
     # Equal windows have equal anchors. Where all groups of an anchor are equal, all has been said;
     # else the windows of one group of each name are compared, as the others lose theirs.
     mixed = stored(first.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "mixed-anchors")
     here = (
         first.join(mixed, "h", "left_semi")
         .groupBy(F.col("first.id").alias("of"), F.col("first.text_hash").alias("of_hash"))
-        .agg(F.collect_list(F.struct("first.at", "number")).alias("groups"))
+        .agg(F.collect_list(F.struct("first.at", "number", "lead")).alias("groups"))
     )
     here = stored(here, "groups-of-documents")
 
     def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            row, sizes, columns, parts = [], [], {c: [] for c in ("at", "number", "k1", "k2")}, {c: [] for c in ("at", "d1", "d2")}
             for i, (text, own) in enumerate(zip(batch["text"], batch["groups"], strict=True)):
-                parts = tokens(text.as_py())
-                start, number = (own.values.field(x).to_numpy(zero_copy_only=False) for x in ("at", "number"))
-                at = np.repeat(start, number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-                d1, d2 = (_run_hashes(_word_hashes(*parts, seed), passage)[at].view(np.int64) for seed in _SEEDS)
-                of = pa.array(np.full(len(at), i))
-                yield pa.RecordBatch.from_arrays(
-                    [batch["id"].take(of), batch["text_hash"].take(of), pa.array(at), pa.array(d1), pa.array(d2)],
-                    ["id", "text_hash", "at", "d1", "d2"],
-                )
+                words = tokens(text.as_py())
+                start, number, lead = (own.values.field(x).to_numpy(zero_copy_only=False) for x in ("at", "number", "lead"))
+                inner = np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+                at = np.repeat(start, number) + inner
+                d1, d2 = (_run_hashes(_word_hashes(*words, seed), passage)[at] for seed in _SEEDS)
+                # Equal windows lie equally far before their anchor, so they are dealt to runs alike.
+                run = np.repeat(lead, number) - inner >> RUN_BITS
+                first = np.flatnonzero((inner == 0) | (np.diff(run, prepend=-1) != 0))
+                count = np.diff(np.append(first, len(at)))
+                for held, values in ((columns, (at[first], count, _joined(d1, first, _SEEDS[0]), _joined(d2, first, _SEEDS[1]))), (parts, (at, d1, d2))):
+                    for c, x in zip(held, values, strict=True):
+                        held[c].append(x)
+                row.append(np.full(len(first), i))
+                sizes.append(count)
+            yield _rows_of(batch, row, columns, sizes, parts)
 
     # Repeated rows are one document.
     texts = rows.join(here, rows["id"].eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))).select("id", "text_hash", "text", "groups")
-    windows = stored(texts.mapInArrow(name, f"id {kind}, text_hash long, at long, d1 long, d2 long"), "windows")
+    runs = stored(texts.mapInArrow(name, f"{unit}at:long,d1:long,d2:long>>"), "window-runs")
+    lost_runs, windows = _told_apart(runs)
+    windows = stored(windows, "windows")
     first_windows = stored(
         windows.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first-windows"
     )
-    lost = again.drop("number").join(first.where("n > 1"), ["h", "g"]).select("id", "text_hash", "at", "number", "first")
-    lost = lost.unionByName(windows.join(first_windows, ["d1", "d2"]).select("id", "text_hash", "at", F.lit(1).cast("long").alias("number"), "first"))
+    one = F.lit(1).cast("long").alias("number")
+    lost = again.drop("number", "lead").join(first.where("n > 1"), ["h", "g"]).select("id", "text_hash", "at", "number", "first")
+    lost = lost.unionByName(windows.join(first_windows, ["d1", "d2"]).select("id", "text_hash", "at", one, "first"))
+    lost = lost.unionByName(lost_chains).unionByName(lost_runs)
     same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))
     begin = F.when(same, F.greatest("at", F.col("first.at") + passage)).otherwise(F.col("at"))
     run = F.struct(begin.alias("begin"), (F.col("at") + F.col("number") - 1 + passage).alias("end"))

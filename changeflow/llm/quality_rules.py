@@ -172,10 +172,8 @@ lines AS (
   SELECT doc_id, host, text, trim(regexp_replace(lower(l), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS line,
     len(list_filter(regexp_split_to_array(l, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n
   FROM (SELECT doc_id, host, text, unnest(lines) AS l FROM w)),
-hosts AS (SELECT host, count(DISTINCT text) AS documents FROM d GROUP BY host),
 frequent AS (
-  SELECT host, line FROM lines JOIN hosts USING (host)
-  GROUP BY host, line, documents HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.01 * documents),
+  SELECT host, line FROM lines GROUP BY host, line HAVING count(DISTINCT text) > 10),
 lost AS (
   SELECT doc_id, count(*) AS lines, CAST(sum(n) AS BIGINT) AS n FROM lines JOIN frequent USING (host, line) GROUP BY doc_id),
 s AS (

@@ -149,10 +149,9 @@ def rules(rows):
     """The rules by hand: per row the statistics, removed lines and words, failed, kept."""
     split = lambda t: re.findall(r"[^\x20\x09-\x0D]+", t)
     norm = lambda x: re.sub(r"[\x20\x09-\x0D]+", " ", x.lower()).strip(" ")
-    texts, hosts = defaultdict(set), defaultdict(set)
+    texts = defaultdict(set)
     for r in rows:
         host, text = r[3] or "", r[1] or ""
-        hosts[host].add(text)
         for line in text.split("\n"):
             if split(line):
                 texts[(host, norm(line))].add(text)
@@ -163,7 +162,7 @@ def rules(rows):
         windows = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
         covered = {i + k for i in range(len(w) - 2) if windows[tuple(w[i : i + 3])] > 1 for k in range(3)}
         lines = [x for x in text.split("\n") if split(x)]
-        lost = [x for x in lines if len(texts[(host, norm(x))]) > max(10, 0.01 * len(hosts[host]))]
+        lost = [x for x in lines if len(texts[(host, norm(x))]) > 10]
         gone = sum(len(split(x)) for x in lost)
         failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
         out[(r[0], len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered),

@@ -410,7 +410,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     groups = linked_groups(sets).select(F.col("node").alias("class"), "component")
     classes = rows.where(F.col("class").isNotNull()).groupBy("class").agg(F.min("id").alias("first"))
     classes = stored(classes.join(groups, "class", "left").select("class", "first", F.coalesce("component", "class").alias("component")), "classes")
-    smallest = classes.groupBy("component").agg(F.min("first").alias("component_id"))
+    # Stored, so that the join reads two plain exchanges and a large component can be split.
+    smallest = stored(classes.groupBy("component").agg(F.min("first").alias("component_id")), "smallest-ids")
     named = stored(classes.join(smallest, "component").select("class", "component_id"), "class-components")
     return rows.join(named, "class", "left").select(
         "id", "text_hash", F.col("n").alias("n_shingles"), "class",

@@ -52,7 +52,7 @@ MIN_WORDS = 5
 PASSAGE = 50
 ANCHOR = 16
 #: Groups of a chain, on average; windows of a run within a group, as a power of two.
-CHAIN = 4
+CHAIN = 2
 RUN_BITS = 3
 # Scripts without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
 _UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
@@ -208,18 +208,54 @@ def _place():
     return F.struct(F.col("id").isNull().alias("last"), *_PLACE)
 
 
-def _told_apart(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of rows (id, text_hash, at, number, k1, k2, parts): what is not the first of its name, and the parts of the firsts.
+def _runs_of_later(rows: DataFrame, firsts: DataFrame, keys: list[str], passage: int) -> DataFrame:
+    """(id, text_hash, runs): the words of the rows (id, text_hash, at, number, keys) that are not the first of their keys.
+
+    ``firsts`` holds the keys and the place ``first`` of each name. A document's places and the first places that
+    lie in it meet as two lists, so what very many documents share is no hot key, and a document is
+    one row. Only a first in the same document is looked up by the keys: a row that overlaps it
+    loses the words after it.
+    """
+    doc = ["id", "text_hash"]
+
+    def packed(at, number):
+        return F.shiftleft(at, 28).bitwiseOR(F.least(number, F.lit((1 << 28) - 1)))
+
+    own = rows.groupBy(*doc).agg(F.collect_set(packed(F.col("at"), F.col("number"))).alias("own"))
+    at_first = firsts.select("first.id", "first.text_hash", packed(F.col("first.at"), F.col("number")).alias("code"))
+    leads = at_first.groupBy(F.col("id").alias("id_"), F.col("text_hash").alias("hash_")).agg(F.collect_set("code").alias("leads"))
+    within = firsts.select(*keys, F.col("first.id").alias("id_"), F.col("first.text_hash").alias("hash_"), F.col("first.at").alias("at_"))
+    here = [rows[k] == within[k] for k in keys]
+    inside = rows.join(within, [*here, rows["id"].eqNullSafe(within["id_"]), rows["text_hash"] == within["hash_"], rows["at"] > within["at_"]])
+    run = F.struct(F.greatest("at", F.col("at_") + passage).alias("begin"), (F.col("at") + F.col("number") - 1 + passage).alias("end"))
+    inside = inside.groupBy(rows["id"].alias("id__"), rows["text_hash"].alias("hash__")).agg(
+        F.collect_set(packed(F.col("at"), F.col("number"))).alias("inner"), F.collect_set(run).alias("runs")
+    )
+    met = own.join(leads, own["id"].eqNullSafe(leads["id_"]) & (own["text_hash"] == leads["hash_"]), "left")
+    met = met.join(inside, own["id"].eqNullSafe(inside["id__"]) & (own["text_hash"] == inside["hash__"]), "left")
+    none = F.array().cast("array<bigint>")
+    later = F.array_except(F.array_except("own", F.coalesce("leads", none)), F.coalesce("inner", none))
+    plain = F.transform(
+        later,
+        lambda x: F.struct(
+            F.shiftright(x, 28).alias("begin"), (F.shiftright(x, 28) + x.bitwiseAND(F.lit((1 << 28) - 1)) - 1 + passage).alias("end")
+        ),
+    )
+    runs = F.concat(plain, F.coalesce("runs", F.array().cast("array<struct<begin:bigint,end:bigint>>")))
+    return met.select("id", "text_hash", runs.alias("runs")).where(F.size("runs") > 0)
+
+
+def _told_apart(rows: DataFrame, passage: int) -> tuple[DataFrame, DataFrame]:
+    """Of rows (id, text_hash, at, number, k1, k2, parts): the runs of what is not the first of its name, and the parts of the firsts.
 
     The first of each name is found together with its parts, combined before the shuffle. So what
     stands in many documents is looked at part by part in one of them only.
     """
-    least = F.min(F.struct(_place().alias("place"), "parts")).alias("least")
-    names = stored(rows.groupBy("k1", "k2").agg(least, F.count("*").alias("n")), "first-names")
-    again = names.where("n > 1").select("k1", "k2", F.col("least.place").alias("first"))
-    lost = rows.drop("parts").join(again, ["k1", "k2"]).where(_place() != F.col("first")).select(*_PLACE, "number", "first")
+    least = F.min(F.struct(_place().alias("place"), "number", "parts")).alias("least")
+    names = stored(rows.groupBy("k1", "k2").agg(least), "first-names")
+    firsts = names.select("k1", "k2", F.col("least.place").alias("first"), F.col("least.number").alias("number"))
     parts = names.select("least.place.id", "least.place.text_hash", F.explode("least.parts").alias("part"))
-    return stored(lost, "later-places"), parts.select("id", "text_hash", "part.*")
+    return _runs_of_later(rows.drop("parts"), firsts, ["k1", "k2"], passage), parts.select("id", "text_hash", "part.*")
 
 
 def _rows_of(batch: pa.RecordBatch, row: list, columns: dict[str, list[np.ndarray]], sizes: list[np.ndarray], parts: dict[str, list[np.ndarray]]) -> pa.RecordBatch:
@@ -261,8 +297,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     unit = f"id {kind}, text_hash long, at long, number long, k1 long, k2 long, parts array<struct<"
     chains = stored(rows.mapInArrow(describe, f"{unit}at:long,number:long,lead:long,h:long,g:long>>"), "window-chains")
-    lost_chains, found = _told_apart(chains)
-    found = stored(found, "window-groups")
+    lost_chains, found = _told_apart(chains, passage)
     often = stored(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-anchors")
     again = stored(found.join(often, "h", "left_semi"), "repeated-groups")
     place = _place()
@@ -300,19 +335,15 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     # Repeated rows are one document.
     texts = rows.join(here, rows["id"].eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))).select("id", "text_hash", "text", "groups")
     runs = stored(texts.mapInArrow(name, f"{unit}at:long,d1:long,d2:long>>"), "window-runs")
-    lost_runs, windows = _told_apart(runs)
-    windows = stored(windows, "windows")
-    first_windows = stored(
-        windows.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"), "first-windows"
+    lost_runs, windows = _told_apart(runs, passage)
+    single = windows.withColumn("number", F.lit(1).cast("long"))
+    first_windows = stored(single.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.min("number").alias("number")), "first-windows")
+    lost = (
+        lost_chains.unionByName(_runs_of_later(again, first, ["h", "g"], passage))
+        .unionByName(lost_runs)
+        .unionByName(_runs_of_later(single, first_windows, ["d1", "d2"], passage))
     )
-    one = F.lit(1).cast("long").alias("number")
-    lost = again.drop("number", "lead").join(first.where("n > 1"), ["h", "g"]).select("id", "text_hash", "at", "number", "first")
-    lost = lost.unionByName(windows.join(first_windows, ["d1", "d2"]).select("id", "text_hash", "at", one, "first"))
-    lost = lost.unionByName(lost_chains).unionByName(lost_runs)
-    same = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))
-    begin = F.when(same, F.greatest("at", F.col("first.at") + passage)).otherwise(F.col("at"))
-    run = F.struct(begin.alias("begin"), (F.col("at") + F.col("number") - 1 + passage).alias("end"))
-    return lost.where(place != F.col("first")).groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(run)).alias("runs"))
+    return lost.groupBy("id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("runs")))).alias("runs"))
 
 
 def merged(text: str, spans: list[tuple[int, int]], runs: list[tuple[int, int]]) -> list[tuple[int, int]]:

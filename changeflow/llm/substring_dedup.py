@@ -16,11 +16,10 @@ overlaps its own first place loses only the words after that. Words are compared
 case; in scripts without spaces each character is a word. Not all windows are hashed: of every
 35 runs of 16 words in a row the one with the least hash is the anchor of the window that they
 fill, so equal windows have equal anchors. The windows in a row that share an anchor are a group with
-one name, groups in a row are a chain with one name, whose ends some anchors set. Copies of a chain
-are found by its name; only the first of each name is looked at group by group. Where an anchor has
-groups of several names, that is at the ends of passages, runs of windows are named, by 128 bits, and
-of the first of each name the single windows. All are treated like units. So a passage in
-many documents costs a row per chain in each, and few more at its ends.
+one name, by which copies are found. Where an anchor has groups of several names, that is at the ends
+of passages, runs of windows are named, by 128 bits, and of the first of each name the single windows.
+All are treated like units. What a document loses is the difference of two lists, its places
+and the first places that lie in it, so a passage in very many documents is no key of a join.
 
 At scale: one scan writes a narrow table of units (six numbers each, no text). Digests are
 counted first, combined before the shuffle, so a unit that every document has costs one row
@@ -51,8 +50,7 @@ from changeflow.session import stored
 MIN_WORDS = 5
 PASSAGE = 50
 ANCHOR = 16
-#: Groups of a chain, on average; windows of a run within a group, as a power of two.
-CHAIN = 2
+#: Windows of a run within a group, as a power of two.
 RUN_BITS = 3
 # Scripts without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
 _UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
@@ -242,7 +240,7 @@ def _runs_of_later(rows: DataFrame, firsts: DataFrame, keys: list[str], passage:
         ),
     )
     runs = F.concat(plain, F.coalesce("runs", F.array().cast("array<struct<begin:bigint,end:bigint>>")))
-    return met.select("id", "text_hash", runs.alias("runs")).where(F.size("runs") > 0)
+    return stored(met.select("id", "text_hash", runs.alias("runs")).where(F.size("runs") > 0), "later-runs")
 
 
 def _told_apart(rows: DataFrame, passage: int) -> tuple[DataFrame, DataFrame]:
@@ -279,29 +277,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, sizes, columns, parts = [], [], {c: [] for c in ("at", "number", "k1", "k2")}, {c: [] for c in ("at", "number", "lead", "h", "g")}
+            row, parts = [np.zeros(0, np.int64)], [groups(np.zeros(0, np.uint64), passage)]
             for i, text in enumerate(batch["text"]):
-                own = groups(_word_hashes(*tokens(text.as_py() or ""), _SEEDS[0]), passage)
-                start, number, _, h, g = own
-                if not len(start):
-                    continue
-                # A chain of groups ends where an anchor says so, wherever the text around begins.
-                first = np.flatnonzero((h % np.uint64(CHAIN) == 0) | (np.arange(len(h)) == 0))
-                chain = (start[first], np.add.reduceat(number, first), _joined(g, first, _SEEDS[0]), _joined(g ^ mix(h), first, _SEEDS[1]))
-                for held, values in ((columns, chain), (parts, own)):
-                    for c, x in zip(held, values, strict=True):
-                        held[c].append(x)
-                row.append(np.full(len(first), i))
-                sizes.append(np.diff(np.append(first, len(start))))
-            yield _rows_of(batch, row, columns, sizes, parts)
+                parts.append(groups(_word_hashes(*tokens(text.as_py() or ""), _SEEDS[0]), passage))
+                row.append(np.full(len(parts[-1][0]), i))
+            own = pa.array(np.concatenate(row))
+            values = [pa.array(np.concatenate(x).view(np.int64)) for x in zip(*parts, strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [batch["id"].take(own), batch["text_hash"].take(own), *values], ["id", "text_hash", "at", "number", "lead", "h", "g"]
+            )
 
-    unit = f"id {kind}, text_hash long, at long, number long, k1 long, k2 long, parts array<struct<"
-    chains = stored(rows.mapInArrow(describe, f"{unit}at:long,number:long,lead:long,h:long,g:long>>"), "window-chains")
-    lost_chains, found = _told_apart(chains, passage)
+    found = stored(rows.mapInArrow(describe, f"id {kind}, text_hash long, at long, number long, lead long, h long, g long"), "window-groups")
     often = stored(found.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "repeated-anchors")
     again = stored(found.join(often, "h", "left_semi"), "repeated-groups")
     place = _place()
     first = stored(again.groupBy("h", "g").agg(F.min(place).alias("first"), F.min("number").alias("number"), F.min("lead").alias("lead"), F.count("*").alias("n")), "first-groups")
+    lost_groups = _runs_of_later(again, first, ["h", "g"], passage)
     # Equal windows have equal anchors. Where all groups of an anchor are equal, all has been said;
     # else the windows of one group of each name are compared, as the others lose theirs.
     mixed = stored(first.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "mixed-anchors")
@@ -334,15 +325,12 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     # Repeated rows are one document.
     texts = rows.join(here, rows["id"].eqNullSafe(F.col("of")) & (F.col("text_hash") == F.col("of_hash"))).select("id", "text_hash", "text", "groups")
-    runs = stored(texts.mapInArrow(name, f"{unit}at:long,d1:long,d2:long>>"), "window-runs")
+    shape = f"id {kind}, text_hash long, at long, number long, k1 long, k2 long, parts array<struct<at:long,d1:long,d2:long>>"
+    runs = stored(texts.mapInArrow(name, shape), "window-runs")
     lost_runs, windows = _told_apart(runs, passage)
     single = windows.withColumn("number", F.lit(1).cast("long"))
     first_windows = stored(single.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.min("number").alias("number")), "first-windows")
-    lost = (
-        lost_chains.unionByName(_runs_of_later(again, first, ["h", "g"], passage))
-        .unionByName(lost_runs)
-        .unionByName(_runs_of_later(single, first_windows, ["d1", "d2"], passage))
-    )
+    lost = lost_groups.unionByName(lost_runs).unionByName(_runs_of_later(single, first_windows, ["d1", "d2"], passage))
     return lost.groupBy("id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("runs")))).alias("runs"))
 
 

@@ -21,12 +21,28 @@ class Dialect:
     name: str
     upsert: Upsert
     quotes: tuple[str, str] = ('"', '"')
+    #: Makes the table ``{stage}`` from the parts of a query.
+    create: str = "CREATE TABLE {stage} AS {select} {source}"
 
     def quote(self, name: str) -> str:
         """Quoted as Spark's JDBC writer quotes the columns of the staging table."""
         left, right = self.quotes
         return f"{left}{name}{right}"
 
+    def staging(self, table: str, stage: str, pk: str, columns: Sequence[str]) -> str:
+        """A staging table without rows, whose columns have the types of the target and take nulls.
+
+        The target stands on the side of an outer join that may be missing, so lengths, character sets and
+        precisions are taken over, but no constraint, default or identity.
+        """
+        listed = [f"t.{c} AS {self.quote(c)}" for c in [pk, *columns]]
+        flags = [f"0 AS {self.quote(c)}" for c in (GONE, PUT)]
+        return self.create.format(
+            stage=stage,
+            select=f"SELECT {', '.join(listed + flags)}",
+            source=f"FROM {table} s LEFT JOIN {table} t ON 1 = 0 WHERE 1 = 0",
+        )
+
     def delete(self, table: str, stage: str, pk: str) -> str:
         key = self.quote(pk)
         return (
@@ -96,8 +112,8 @@ DIALECTS = {
         Dialect("postgres", _on_conflict),
         Dialect("sqlite", _or_replace),
         Dialect("oracle", _merge),
-        Dialect("mssql", _merge_with_end, ("[", "]")),
+        Dialect("mssql", _merge_with_end, ("[", "]"), "{select} INTO {stage} {source}"),
         Dialect("snowflake", _merge),
-        Dialect("db2", _merge),
+        Dialect("db2", _merge, create="CREATE TABLE {stage} AS ({select} {source}) WITH NO DATA"),
     )
 }

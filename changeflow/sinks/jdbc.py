@@ -86,9 +86,9 @@ class JdbcSink(StagedSink):
     """Executors write the staging table, the driver runs one transaction of SQL.
 
     An index on the primary key of the target keeps that transaction short.
-    ``writers`` bounds the connections that a batch opens. Text columns of the staging table
-    have ``text_length`` characters and a text key ``key_length``: the types that Spark would
-    take by default are too short on some databases and cannot be compared on others.
+    ``writers`` bounds the connections that a batch opens. The staging table takes the types of
+    its columns from the target, so whatever fits there fits here, in every alphabet, and keys
+    compare as they do there.
     """
 
     def __init__(
@@ -98,22 +98,11 @@ class JdbcSink(StagedSink):
         positions_table: str | None = None,
         writers: int = 32,
         rows_per_insert: int = 1000,
-        text_length: int = 4000,
-        key_length: int = 255,
     ) -> None:
         super().__init__(spec, DIALECTS[connection.dialect], positions_table)
         self.connection = connection
         self.writers = writers
         self.rows_per_insert = rows_per_insert
-        self.text_length = text_length
-        self.key_length = key_length
-
-    def column_types(self) -> str:
-        """Types of the text columns of a staging table; the others have Spark's own."""
-        spec = self.spec
-        lengths = {spec.pk: self.key_length, **dict.fromkeys(spec.columns, self.text_length)}
-        texts = [c for c in lengths if spec.type_of(c) == "string"]
-        return ", ".join(f"`{c}` VARCHAR({lengths[c]})" for c in texts)
 
     def _applied(self, spark: SparkSession) -> list[tuple[str, str]]:
         if self.positions_table is None:
@@ -130,15 +119,10 @@ class JdbcSink(StagedSink):
         return [(r[0], r[1]) for r in rows]
 
     def _stage(self, rows: DataFrame, stage: str) -> None:
-        writer = rows.write.option("batchsize", self.rows_per_insert)
-        if types := self.column_types():
-            writer = writer.option("createTableColumnTypes", types)
-        writer.option("numPartitions", self.writers).jdbc(
-            resolve(self.connection.url),
-            stage,
-            mode="errorifexists",
-            properties=self.connection.properties(),
-        )
+        spec = self.spec
+        self._transaction(rows.sparkSession, [self.dialect.staging(spec.target, stage, spec.pk, spec.columns)])
+        writer = rows.write.option("batchsize", self.rows_per_insert).option("numPartitions", self.writers)
+        writer.jdbc(resolve(self.connection.url), stage, mode="append", properties=self.connection.properties())
 
     def _open(self, spark: SparkSession):
         jvm = spark.sparkContext._jvm

@@ -596,12 +596,60 @@ def test_document_table(spark, tmp_path):
     assert got == {"1": {"keep": 1, "set": "it's"}, "9": {}, "5": {"n": None}}
 
 
-def test_staging_columns_have_types_of_the_spec():
-    connection = jdbc.oracle("u", "p", "host:1521/db")
-    typed = replace(SPEC, types={"id": "int", "y": "double"})
-    assert jdbc.JdbcSink(connection, typed, "held").column_types() == "`x` VARCHAR(4000)"
-    plain = jdbc.JdbcSink(connection, SPEC, "held", text_length=100, key_length=20)
-    assert plain.column_types() == "`id` VARCHAR(20), `x` VARCHAR(100), `y` VARCHAR(100)"
+@pytest.mark.parametrize("dialect", ["oracle", "snowflake", "db2"])
+def test_staging_tables_take_what_the_target_takes(dialect):
+    """Types come from the target; its constraints do not, as deleted rows have no values."""
+    long = "\u4e2d" * 70_000
+    with closing(duckdb.connect()) as con:
+        con.execute("CREATE TABLE persons (id DECIMAL(30, 0) PRIMARY KEY, x VARCHAR NOT NULL, y DECIMAL(38, 10) NOT NULL DEFAULT 1, z VARCHAR)")
+        con.execute("CREATE TABLE held (id VARCHAR PRIMARY KEY, val VARCHAR)")
+        con.execute("INSERT INTO persons VALUES (1, 'o', 1, 'z1'), (2, 'o', 1, 'z2')")
+        con.execute(DIALECTS[dialect].staging("persons", "stage", "id", ["x", "y"]))
+        shape = con.execute("SELECT column_name, data_type, is_nullable FROM information_schema.columns WHERE table_name = 'stage' ORDER BY ordinal_position")
+        assert shape.fetchall() == [
+            ("id", "DECIMAL(30,0)", "YES"), ("x", "VARCHAR", "YES"), ("y", "DECIMAL(38,10)", "YES"),
+            ("cf_gone", "INTEGER", "YES"), ("cf_put", "INTEGER", "YES"),
+        ]
+        assert con.execute("SELECT count(*) FROM stage").fetchone() == (0,)
+        con.executemany("INSERT INTO stage VALUES (?, ?, ?, ?, ?)", [(1, None, None, 1, 0), (10**25, long, "0.0000000001", 0, 1)])
+        for text in Texts(dialect).statements("stage", [("shard-1", "5-0")]):
+            con.execute(text)
+        assert con.execute("SELECT id, x, CAST(y AS VARCHAR), z FROM persons ORDER BY id").fetchall() == [
+            (2, "o", "1.0000000000", "z2"), (10**25, long, "0.0000000001", None),
+        ]
+
+
+@pytest.mark.parametrize("dialect", ["postgres", "sqlite"])
+def test_staging_tables_of_the_conflict_dialects(dialect):
+    with closing(sqlite3.connect(":memory:")) as con:
+        con.execute("CREATE TABLE persons (id INTEGER PRIMARY KEY, x TEXT NOT NULL, y REAL NOT NULL)")
+        con.execute("INSERT INTO persons VALUES (1, 'o', 1)")
+        con.execute(DIALECTS[dialect].staging("persons", "stage", "id", ["x", "y"]))
+        con.executemany("INSERT INTO stage VALUES (?, ?, ?, ?, ?)", [(1, None, None, 1, 0), (3, "l" * 9000, 2.5, 0, 1)])
+        for text in Texts(dialect).statements("stage", []):
+            con.execute(text)
+        assert con.execute("SELECT * FROM persons").fetchall() == [(3, "l" * 9000, 2.5)]
+
+
+def test_staging_texts_of_the_other_dialects():
+    source = "FROM persons s LEFT JOIN persons t ON 1 = 0 WHERE 1 = 0"
+    assert DIALECTS["mysql"].staging("persons", "stage", "id", ["x"]) == (
+        f"CREATE TABLE stage AS SELECT t.id AS `id`, t.x AS `x`, 0 AS `cf_gone`, 0 AS `cf_put` {source}"
+    )
+    assert DIALECTS["mssql"].staging("persons", "stage", "id", ["x"]) == (
+        f"SELECT t.id AS [id], t.x AS [x], 0 AS [cf_gone], 0 AS [cf_put] INTO stage {source}"
+    )
+
+
+def test_staging_tables_are_made_before_the_tasks_write(spark, monkeypatch):
+    """The table is made by one statement of its own, and Spark's writer only adds rows to it."""
+    steps = []
+    monkeypatch.setattr(jdbc.JdbcSink, "_transaction", lambda self, spark, texts: steps.append(texts))
+    writer = type(spark.range(1).write)
+    monkeypatch.setattr(writer, "jdbc", lambda self, url, table, mode, properties: steps.append((url, table, mode)))
+    sink = Texts("postgres")
+    sink._stage(sink.staged(fold.net_change(log_frame(spark, [put("1", "n", 5)]), SPEC.columns)), "stage")
+    assert steps == [[DIALECTS["postgres"].staging("persons", "stage", "id", ["x", "y"])], ("jdbc:none", "stage", "append")]
 
 
 def test_staged_keys_have_the_type_of_the_target(spark):

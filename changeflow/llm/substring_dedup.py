@@ -417,10 +417,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         runs = repeated_passages(docs, id_col, text_col).select("id", "text_hash", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), "runs")
         spans = spans.unionByName(runs).groupBy("id", "text_hash").agg(F.first("spans", True).alias("spans"), F.first("runs", True).alias("runs"))
     spans = spans.select(F.col("id").alias(id_), F.col("text_hash").alias(hash_), F.col("spans").alias(spans_), F.col("runs").alias(runs_))
-    rows = docs.withColumn(text_, F.col(text_col)).join(
-        spans, docs[id_col].eqNullSafe(F.col(id_)) & (_text_hash(text_col) == F.col(hash_)), "left"
-    )
+    rows = docs.join(spans, docs[id_col].eqNullSafe(F.col(id_)) & (_text_hash(text_col) == F.col(hash_)), "left")
     kept = [c for c in docs.columns if c not in ("clean_text", "removed_spans")]
+    # The texts travel once, also where their column is replaced.
+    rows = rows.select(*kept, *([] if text_col in kept else [F.col(text_col).alias(text_)]), spans_, runs_)
+    text_ = text_col if text_col in kept else text_
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -448,7 +449,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept)
     step = clean_passages if unit == "passage" else clean
-    return rows.select(*kept, text_, spans_, runs_).mapInArrow(step, f"{fields}, clean_text string, removed_spans array<struct<start:bigint,length:bigint>>")
+    return rows.mapInArrow(step, f"{fields}, clean_text string, removed_spans array<struct<start:bigint,length:bigint>>")
 
 
 def _described(found: DataFrame) -> DataFrame:

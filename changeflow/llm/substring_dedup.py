@@ -52,6 +52,8 @@ PASSAGE = 50
 ANCHOR = 16
 #: Windows of a run within a group, as a power of two.
 RUN_BITS = 3
+#: Bits of a length in a long that packs a place and a length.
+_LENGTH_BITS = 28
 # Scripts without spaces: Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han.
 _UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0x20000, 0x3FFFF))
 _SEEDS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
@@ -209,6 +211,8 @@ def _place():
 def _runs_of_later(rows: DataFrame, firsts: DataFrame, keys: list[str], passage: int) -> DataFrame:
     """(id, text_hash, runs): the words of the rows (id, text_hash, at, number, keys) that are not the first of their keys.
 
+    A run is a long that packs the place of its first word and the number of its words.
+
     ``firsts`` holds the keys and the place ``first`` of each name. A document's places and the first places that
     lie in it meet as two lists, so what very many documents share is no hot key, and a document is
     one row. Only a first in the same document is looked up by the keys: a row that overlaps it
@@ -217,7 +221,7 @@ def _runs_of_later(rows: DataFrame, firsts: DataFrame, keys: list[str], passage:
     doc = ["id", "text_hash"]
 
     def packed(at, number):
-        return F.shiftleft(at, 28).bitwiseOR(F.least(number, F.lit((1 << 28) - 1)))
+        return F.shiftleft(at, _LENGTH_BITS).bitwiseOR(number)
 
     own = rows.groupBy(*doc).agg(F.collect_set(packed(F.col("at"), F.col("number"))).alias("own"))
     at_first = firsts.select("first.id", "first.text_hash", packed(F.col("first.at"), F.col("number")).alias("code"))
@@ -225,21 +229,16 @@ def _runs_of_later(rows: DataFrame, firsts: DataFrame, keys: list[str], passage:
     within = firsts.select(*keys, F.col("first.id").alias("id_"), F.col("first.text_hash").alias("hash_"), F.col("first.at").alias("at_"))
     here = [rows[k] == within[k] for k in keys]
     inside = rows.join(within, [*here, rows["id"].eqNullSafe(within["id_"]), rows["text_hash"] == within["hash_"], rows["at"] > within["at_"]])
-    run = F.struct(F.greatest("at", F.col("at_") + passage).alias("begin"), (F.col("at") + F.col("number") - 1 + passage).alias("end"))
+    begin, end = F.greatest("at", F.col("at_") + passage), F.col("at") + F.col("number") - 1 + passage
     inside = inside.groupBy(rows["id"].alias("id__"), rows["text_hash"].alias("hash__")).agg(
-        F.collect_set(packed(F.col("at"), F.col("number"))).alias("inner"), F.collect_set(run).alias("runs")
+        F.collect_set(packed(F.col("at"), F.col("number"))).alias("inner"), F.collect_set(packed(begin, end - begin)).alias("runs")
     )
     met = own.join(leads, own["id"].eqNullSafe(leads["id_"]) & (own["text_hash"] == leads["hash_"]), "left")
     met = met.join(inside, own["id"].eqNullSafe(inside["id__"]) & (own["text_hash"] == inside["hash__"]), "left")
     none = F.array().cast("array<bigint>")
     later = F.array_except(F.array_except("own", F.coalesce("leads", none)), F.coalesce("inner", none))
-    plain = F.transform(
-        later,
-        lambda x: F.struct(
-            F.shiftright(x, 28).alias("begin"), (F.shiftright(x, 28) + x.bitwiseAND(F.lit((1 << 28) - 1)) - 1 + passage).alias("end")
-        ),
-    )
-    runs = F.concat(plain, F.coalesce("runs", F.array().cast("array<struct<begin:bigint,end:bigint>>")))
+    # So many windows in a row are as many words and those of the last window besides.
+    runs = F.concat(F.transform(later, lambda x: x + (passage - 1)), F.coalesce("runs", none))
     return stored(met.select("id", "text_hash", runs.alias("runs")).where(F.size("runs") > 0), "later-runs")
 
 
@@ -271,7 +270,7 @@ def _rows_of(batch: pa.RecordBatch, row: list, columns: dict[str, list[np.ndarra
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passage: int = PASSAGE) -> DataFrame:
-    """(id, text_hash, runs): first and last word, exclusive, of what each document loses."""
+    """(id, text_hash, runs): what each document loses, packed as by ``_runs_of_later``, in order."""
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), _text_hash(text_col).alias("text_hash"), F.col(text_col).alias("text"))
 
@@ -331,7 +330,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     single = windows.withColumn("number", F.lit(1).cast("long"))
     first_windows = stored(single.groupBy("d1", "d2").agg(F.min(place).alias("first"), F.min("number").alias("number")), "first-windows")
     lost = lost_groups.unionByName(lost_runs).unionByName(_runs_of_later(single, first_windows, ["d1", "d2"], passage))
-    return lost.groupBy("id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("runs")))).alias("runs"))
+    return lost.groupBy("id", "text_hash").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("runs")))).alias("runs"))
 
 
 def merged(text: str, spans: list[tuple[int, int]], runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -382,7 +381,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     first = stored(again.groupBy("d1", "d2").agg(F.min(place).alias("first")), "first-places")
     lost = again.join(first, ["d1", "d2"]).where(place != F.col("first"))
     # Repeated rows give the same spans twice.
-    return lost.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set(F.struct("start", "length"))).alias("spans"))
+    return lost.groupBy("id", "text_hash").agg(F.sort_array(F.collect_set(F.struct("start", "length"))).alias("spans"))
 
 
 def remove(text: str, spans: list[tuple[int, int]], unit: str = "sentence") -> str:
@@ -411,7 +410,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     text_, id_, hash_, spans_ = (unused(f"span_{c}", docs.columns) for c in ("text", "id", "hash", "spans"))
     runs_ = unused("span_runs", docs.columns)
     spans = repeated_spans(docs, id_col, text_col, "sentence" if unit == "passage" else unit, min_words)
-    nothing = F.lit(None).cast("array<struct<begin:bigint,end:bigint>>")
+    nothing = F.lit(None).cast("array<bigint>")
     spans = spans.withColumn("runs", nothing)
     if unit == "passage":
         runs = repeated_passages(docs, id_col, text_col).select("id", "text_hash", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"), "runs")
@@ -439,7 +438,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for text, span, run in zip(batch[text_], batch[spans_], batch[runs_], strict=True):
                 text, span, run = text.as_py(), span.as_py(), run.as_py()
                 if span or run:
-                    lost.append(merged(text, [(s["start"], s["length"]) for s in span or ()], [(r["begin"], r["end"]) for r in run or ()]))
+                    lost.append(merged(text, [(s["start"], s["length"]) for s in span or ()], [(at := r >> _LENGTH_BITS, at + (r & (1 << _LENGTH_BITS) - 1)) for r in run or ()]))
                     text = without(text, lost[-1])
                 else:
                     lost.append(None)

@@ -44,6 +44,51 @@ TEMPLATES = {
         "CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing "
         "permissions and limitations under the License."
     ),
+    "BSD-2-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+        "CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+        "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+        "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+        "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+        "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "BSD-3-Clause": (
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+        "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+        "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+        "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or "
+        "other materials provided with the distribution. 3. Neither the name of the copyright holder "
+        "nor the names of its contributors may be used to endorse or promote products derived from this software "
+        "without specific prior written permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND "
+        "CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED "
+        "WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE "
+        "COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR "
+        "CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF "
+        "USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN "
+        "CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF "
+        "THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+    ),
+    "BSL-1.0": (
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software "
+        "and accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, "
+        "distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to "
+        "permit third-parties to whom the Software is furnished to do so, all subject to the following: The copyright "
+        "notices in the Software and this entire statement, including the above license grant, this restriction and "
+        "the following disclaimer, must be included in all copies of the Software, in whole or in part, and all "
+        "derivative works of the Software, unless such copies or derivative works are solely in the form of "
+        "machine-executable object code generated by a source language processor. THE SOFTWARE IS PROVIDED \"AS "
+        "IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE "
+        "COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER "
+        "IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER "
+        "DEALINGS IN THE SOFTWARE."
+    ),
     "CC-BY-4.0-notice": "Licensed under CC BY 4.0.",
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
     "CC-BY-SA-4.0-notice": "Licensed under CC BY-SA 4.0.",
@@ -78,15 +123,47 @@ TEMPLATES = {
         "USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF "
         "OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."
     ),
+    "LGPL-3.0-header": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser "
+        "General Public License as published by the Free Software Foundation, either version 3 of the License, or (at "
+        "your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT "
+        "ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See "
+        "the GNU Lesser General Public License for more details. You should have received a copy of the GNU Lesser "
+        "General Public License along with this program. If not, see <https://www.gnu.org/licenses/>."
+    ),
     "MPL-2.0-header": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL "
         "was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."
     ),
-    "Unlicense": (
+    "Unlicense-header": (
         "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
         "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
         "binary, for any purpose, commercial or non-commercial, and by any means."
     ),
+    "Unlicense": (
+        "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+        "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled "
+        "binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize "
+        "copyright laws, the author or authors of this software dedicate any and all copyright interest in the "
+        "software to the public domain. We make this dedication for the benefit of the public at large and to the "
+        "detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in "
+        "perpetuity of all present and future rights to this software under copyright law. THE SOFTWARE IS PROVIDED "
+        "\"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF "
+        "MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE "
+        "LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, "
+        "ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE. For "
+        "more information, please refer to <https://unlicense.org>"
+    ),
+    "Zlib": (
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software. Permission is granted to anyone to use "
+        "this software for any purpose, including commercial applications, and to alter it and redistribute it "
+        "freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; "
+        "you must not claim that you wrote the original software. If you use this software in a product, an "
+        "acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source "
+        "versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. "
+        "This notice may not be removed or altered from any source distribution."
+    ),
 }
 
 
@@ -146,9 +223,11 @@ def scan_blocks(docs: DataFrame, templates: dict[str, str] | None = None, thresh
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, line, license_id, dice) of the windows of each template's length, across lines, that reach the threshold.
 
-    Windows begin at each line and at each tenth of the template's words; ``line`` is that of
-    the first word, from 1. Of overlapping windows the one with the highest score is reported.
-    A text that has not the bigrams that the threshold asks for is dropped before it is cut.
+    Windows begin at every word; ``line`` is that of the first word, from 1. Of overlapping windows the
+    one with the highest score is reported, the first of equal ones. A text that has not the bigrams that
+    the threshold asks for is dropped before it is cut. Of the others the windows at a grid (each tenth of the
+    template's words) are counted first. A window d words away has at most d bigrams of the template more, so
+    only around those that come near enough all windows are scored, and none is missed.
     """
     templates = TEMPLATES if templates is None else templates
     table = template_bigrams(templates)
@@ -169,20 +248,24 @@ def scan_blocks(docs: DataFrame, templates: dict[str, str] | None = None, thresh
     near = rows.select("uid", F.explode(pairs(F.col("words"))).alias("bigram")).join(F.broadcast(known), "bigram")
     near = near.groupBy("uid", "license_id", "m").agg(F.count("*").alias("common")).where(F.col("common") >= ratio * F.col("m"))
     near = stored(near.select("uid", "license_id", "m").join(F.broadcast(lengths), "license_id"), "near-licences")
-    n = F.size("words")
-    begins = F.filter(
-        F.sequence(F.lit(0), n - 1),
-        lambda i: (i == 0) | (i % F.greatest(F.floor(F.col("size") / 10), F.lit(1)) == 0) | (F.get(F.col("words"), i)["line"] != F.get(F.col("words"), i - 1)["line"]),
-    )
-    windows = (
-        rows.join(near, "uid")
-        .select("uid", "id", "words", "license_id", "m", "size", F.explode(begins).alias("at"))
-        .select("uid", "id", "license_id", "m", "size", "at", F.slice("words", F.col("at") + 1, F.col("size")).alias("part"))
-        .select("uid", "id", "license_id", "m", "size", "at", F.get(F.col("part"), F.lit(0))["line"].alias("line"), pairs(F.col("part")).alias("bigrams"))
-    )
     own = known.groupBy("license_id").agg(F.collect_list("bigram").alias("template"))
-    common = F.size(F.array_intersect("bigrams", "template"))
-    scored = windows.join(F.broadcast(own), "license_id").withColumn("dice", 2 * common / (F.size("bigrams") + F.col("m"))).where(F.col("dice") >= threshold)
+    near = near.join(F.broadcast(own), "license_id").withColumn("step", F.greatest(F.floor(F.col("size") / 10), F.lit(1)))
+    near = near.withColumn("half", F.floor(F.col("step") / 2))
+    n = F.size("words").cast("long")
+    fixed = ["uid", "id", "words", "license_id", "m", "size", "template"]
+
+    def windows(at: DataFrame) -> DataFrame:
+        parts = at.withColumn("part", F.slice("words", (F.col("at") + 1).cast("int"), F.col("size")))
+        parts = parts.withColumn("line", F.get(F.col("part"), F.lit(0))["line"]).withColumn("bigrams", pairs(F.col("part"))).drop("part")
+        return parts.withColumn("common", F.size(F.array_intersect("bigrams", "template")))
+
+    grid = rows.join(near, "uid").select(*fixed, "step", "half", F.explode(F.sequence(F.lit(0).cast("long"), n - 1 + F.col("half"), F.col("step"))).alias("at"))
+    grid = windows(grid).where(F.col("common") >= ratio * F.col("m") - F.col("half"))
+    offsets = F.sequence(F.greatest(F.col("at") - F.col("half"), F.lit(0).cast("long")), F.least(F.col("at") - F.col("half") + F.col("step"), n) - 1)
+    # The last window of the grid may begin behind the text, with nothing before it that is not of another one.
+    close = grid.where(F.col("at") - F.col("half") < n).select(*fixed, F.explode(offsets).alias("at"))
+    scored = windows(close).withColumn("dice", 2 * F.col("common") / (F.size("bigrams") + F.col("m")))
+    scored = scored.where(F.col("dice") >= threshold).drop("words", "bigrams", "template")
     # Less than a length apart, in thousandths of lengths.
     around = Window.partitionBy("uid", "license_id").orderBy(F.floor(1000 * F.col("at") / F.col("size"))).rangeBetween(-999, 999)
     top = F.max(F.struct("dice", (-F.col("at")).alias("at"))).over(around)

@@ -229,6 +229,62 @@ def test_wrapped_licences_inside_long_documents(spark):
     assert found == [*((i, 31, n) for i, n in enumerate(names)), (8, 31, "MIT"), (8, last, "MIT"), (12, 1, "ISC")]
 
 
+def test_every_whole_licence_is_its_own_best_match(spark):
+    rows = [(name, f"Some title\n\n{text}\n") for name, text in licenses.TEMPLATES.items()]
+    rows += [(f"{name} alone", text) for name, text in licenses.TEMPLATES.items()]
+    df = spark.createDataFrame(rows, "doc_id string, text string")
+    found = {r["id"]: (r["license_id"], r["dice"]) for r in licenses.best(licenses.scan(df)).collect()}
+    assert found == {i: (i.removesuffix(" alone"), 1.0) for i, _ in rows}
+
+
+def test_every_window_near_the_threshold_is_found(spark):
+    """Licences with words replaced until they are just at the threshold, in mid-line: every offset by hand."""
+    rng = random.Random(5)
+    templates = {n: licenses.TEMPLATES[n] for n in ("MIT", "Zlib", "MPL-2.0-header", "all-rights-reserved")}
+    templates["of two"] = "two words"
+    plain = lambda t: re.sub(r"[\W_]+", " ", t.lower()).split()
+    pairs = lambda w: {f"{x} {y}" for x, y in zip(w, w[1:], strict=False)}
+    rows = [(0, ""), (1, None), (2, "two"), (3, "two words two words"), (4, "x\n\nTwo\nwords"), (5, "all rights")]
+    for i in range(6, 66):
+        body = plain(templates[rng.choice(("MIT", "Zlib", "MPL-2.0-header"))])
+        if rng.random() < 0.2:
+            body = body[rng.randint(0, 9) :]
+        for k in rng.sample(range(len(body)), int(len(body) * rng.uniform(0.08, 0.12))):
+            body[k] = f"w{rng.randint(0, 999)}"
+        before, after = (words(rng, rng.randint(1, 60)) for _ in range(2))
+        rows.append((i, f"{before}\n{before} {' '.join(body)}" + (f" {after}" if rng.random() < 0.7 else "")))
+    want = {}
+    for i, text in rows:
+        tagged = [(w, k + 1) for k, x in enumerate((text or "").split("\n")) for w in plain(x)]
+        for name, body in templates.items():
+            body, size = pairs(plain(body)), len(plain(body))
+            scores = {}
+            for at in range(len(tagged)):
+                part = pairs([w for w, _ in tagged[at : at + size]])
+                if part and 2 * len(part & body) / (len(part) + len(body)) >= 0.8:
+                    scores[at] = 2 * len(part & body) / (len(part) + len(body))
+            if scores:
+                want[(i, name)] = (max(scores.values()), {tagged[at][1] for at, x in scores.items() if x == max(scores.values())})
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {}
+    for r in licenses.scan_blocks(df, templates).collect():
+        key = (r["id"], r["license_id"])
+        if key not in found or r["dice"] > found[key][0]:
+            found[key] = (r["dice"], r["line"])
+    assert 20 < len([k for k, (x, _) in want.items() if x < 0.85])
+    assert found.keys() == want.keys()
+    for key, (dice, line) in found.items():
+        assert dice == pytest.approx(want[key][0]) and line in want[key][1]
+
+
+def test_blocks_of_empty_tables_and_clashing_columns(spark):
+    shape = "doc_id string, text string, words string, line int, at int, license_id string, size int, n int"
+    assert licenses.scan_blocks(spark.createDataFrame([], shape)).count() == 0
+    row = ("a", f"x\n{licenses.TEMPLATES['ISC']}", "w", 7, 7, "l", 7, 7)
+    found = licenses.scan_blocks(spark.createDataFrame([row, row, (None, *row[1:])], shape), {"ISC": licenses.TEMPLATES["ISC"]})
+    assert sorted((r["id"] or "", r["line"], r["license_id"], r["dice"]) for r in found.collect()) == [("", 2, "ISC", 1.0), ("a", 2, "ISC", 1.0), ("a", 2, "ISC", 1.0)]
+
+
 def test_license_sizes_prune_nothing_that_counts(spark):
     """Every pair at every threshold, with and without the bounds."""
     rng = random.Random(2)

@@ -16,6 +16,7 @@ from changeflow.plans.recipes import DocumentWriteBehind, WriteBehind, WriteThro
 from changeflow.session import new_dir, shared_dir, stored
 from changeflow.sinks.table import TableSink
 from changeflow.sources import log as log_source
+from changeflow.spec import ReplicationSpec
 from changeflow.streaming.apply_log import apply_batch, net_of
 from changeflow.streaming.capture_log import start_capture
 from changeflow.streaming.fan_out import read_log, start_fan_out
@@ -400,8 +401,14 @@ def e2_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     return delivery.advance(V.watermark(spark, sf_dir), _log(spark, sf_dir)).drop("arrived")
 
 
+def _table(spark: SparkSession, purpose: str, spec: ReplicationSpec, mode: str = "merge", **options: str) -> TableSink:
+    """A table that no other run has, with its files in the shared folder."""
+    path = new_dir(spark, purpose)
+    return TableSink(path.rsplit("/", 1)[-1].replace("-", "_"), spec, mode, location=path, **options)
+
+
 def _customer_sink(spark: SparkSession, sf_dir: str, mode: str = "merge") -> TableSink:
-    sink = TableSink(new_dir(spark, "customer"), V.USERS, mode)
+    sink = _table(spark, "customer", V.USERS, mode)
     sink.create(V.customers(spark, sf_dir))
     return sink
 
@@ -421,7 +428,7 @@ def e3_atomic_commit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def e3_default_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two batches with shards by the default hash: the rows do not depend on the shard."""
     spec = replace(V.USERS, shard_by=None, shards=16)
-    sink = TableSink(new_dir(spark, "customer"), spec)
+    sink = _table(spark, "customer", spec)
     sink.create(V.customers(spark, sf_dir))
     log = capture.replicated(capture.capture(V.hash_changes(spark, sf_dir), spec))
     middle = F.unix_millis(F.to_timestamp(F.lit("2024-01-11T00:00:00Z")))
@@ -622,7 +629,7 @@ def e1_clock_back(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _profile_sink(spark: SparkSession, sf_dir: str) -> TableSink:
-    sink = TableSink(new_dir(spark, "profiles"), V.DOCUMENTS, "fields")
+    sink = _table(spark, "profiles", V.DOCUMENTS, "fields")
     sink.create(V.profile_documents(spark, sf_dir))
     return sink
 
@@ -637,10 +644,10 @@ def g2_json_behind_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ran_through(spark: SparkSession, sf_dir: str, times: int = 1) -> WriteThrough:
     """The staged writes as one batch of a stream, committed as often as asked for."""
-    sink = TableSink(new_dir(spark, "customer"), V.STAGED)
+    sink = _table(spark, "customer", V.STAGED)
     sink.create(V.customers_with_k(spark, sf_dir))
     keyed = replace(V.STAGED, target="source", pk="key")
-    source = TableSink(new_dir(spark, "source"), keyed, "fields")
+    source = _table(spark, "source", keyed, "fields")
     source.create(V.source_hashes(spark, sf_dir))
     recipe = WriteThrough(replace(V.STAGED, max_retries=0), sink, source, new_dir(spark, "through"))
     staged = stored(V.staged_writes(spark, sf_dir), "staged")
@@ -678,7 +685,7 @@ def g3_repeat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _ran_fan_out(spark: SparkSession, sf_dir: str) -> tuple[str, TableSink, TableSink]:
     users = _customer_sink(spark, sf_dir)
-    guests = TableSink(new_dir(spark, "guests"), V.GUESTS)
+    guests = _table(spark, "guests", V.GUESTS)
     guests.create(spark.createDataFrame([], V.GUESTS.target_schema))
     changes = _as_stream(spark, V.hash_changes(spark, sf_dir))
     folder = new_dir(spark, "fan-out")
@@ -720,7 +727,7 @@ def h13_versioned_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def h12_hash_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole hashes copied under a new prefix, in two batches."""
-    sink = TableSink(new_dir(spark, "copies"), V.COPIES, "fields", new_prefix="copy")
+    sink = _table(spark, "copies", V.COPIES, "fields", new_prefix="copy")
     sink.create(spark.createDataFrame([], "key string, fields map<string,string>"))
     log = capture.replicated(capture.capture(V.hash_changes(spark, sf_dir), V.COPIES))
     middle = F.unix_millis(F.to_timestamp(F.lit("2024-01-16T00:00:00Z")))

@@ -51,22 +51,6 @@ def is_complete(spark: SparkSession, root: str) -> bool:
     return fs.exists(path)
 
 
-def complete_folders(spark: SparkSession, root: str) -> list[str]:
-    """The folders under ``root`` that Spark's writer has marked as complete, in order."""
-    path, fs = _path(spark, root)
-    if not fs.exists(path):
-        return []
-    inside = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    return sorted(
-        s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory() and fs.exists(inside(s.getPath(), "_SUCCESS"))
-    )
-
-
-def drop_folder(spark: SparkSession, root: str) -> None:
-    path, fs = _path(spark, root)
-    fs.delete(path, True)
-
-
 def make_folder(spark: SparkSession, root: str) -> None:
     """Make a folder, where a stream can look for files before there are any."""
     path, fs = _path(spark, root)

@@ -1,12 +1,11 @@
-"""Replication target on plain Parquet: base rows, and the net changes of each batch beside them.
-
-A batch appends its net changes as a folder of its own, which counts once Spark has marked it
-as complete; so readers see a whole batch, with the positions that stand beside its rows, or nothing
-of it. Reading folds the changes since the base, one row per key and batch, and merges them
-into the base. Every ``compact_every`` batches a plain job writes the merged rows as the next
-base. The cost of a batch follows the batch, that of a read what has changed since the base.
-There is one writer per table. In a catalog with ``MERGE INTO`` use
-:class:`changeflow.sinks.merge.MergeSink` instead.
+"""Replication target in a catalog without ``MERGE INTO``: a view over the one of two tables that counts.
+
+A batch merges its net changes into the rows, overwrites the table that does not count with the
+result, and then points the view to it. The positions are properties of the view, so one statement of the catalog
+makes rows and positions visible together; a try that breaks before it changes nothing.
+
+Each batch rewrites the target. That is the fallback: where the catalog has ``MERGE INTO``, and for targets that
+are large beside their batches, use :class:`changeflow.sinks.merge.MergeSink`.
 """
 
 from __future__ import annotations
@@ -14,12 +13,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from changeflow.functions.record import positioned
-from changeflow.operators import apply, delivery
+from changeflow.operators import apply
 from changeflow.operators.delivery import WATERMARK
-from changeflow.operators.fold import mapped_as_fields, net_fields
-from changeflow.session import complete_folders, drop_folder
-from changeflow.spec import DELETE_REPLICATE, UPDATE_REPLICATE, ReplicationSpec
+from changeflow.operators.fold import mapped_as_fields
+from changeflow.sinks.options import moved_positions, own_positions
+from changeflow.spec import ReplicationSpec
+
+#: Property of the view that names the table it reads.
+_CURRENT = "changeflow.current"
+_SLOTS = ("a", "b")
 
 
 class TableSink:
@@ -27,134 +29,88 @@ class TableSink:
 
     ``merge`` sets the mapped columns, ``replace`` replaces the row, ``fields``
     sets the fields of a map column one by one. With ``new_prefix`` rows are named
-    ``prefix:pk``.
+    ``prefix:pk``. ``table`` is the name of the view; the tables behind it end in ``_a`` and ``_b`` and stand under
+    ``location``, or where the catalog puts them. There is one writer per table. What :meth:`read` gave is to
+    be used before the second batch after it, and the catalog has to outlive the session for the target to do so.
     """
 
     transactional = True
 
     def __init__(
         self,
-        path: str,
+        table: str,
         spec: ReplicationSpec,
         mode: str = "merge",
         new_prefix: str | None = None,
-        compact_every: int = 64,
+        location: str | None = None,
     ) -> None:
         if mode not in ("merge", "replace", "fields"):
             raise ValueError(f"unknown mode {mode}")
-        if compact_every < 1:
-            raise ValueError("compact_every must be positive")
-        self.path = path.rstrip("/")
+        self.table = table
         self.spec = spec
         self.mode = mode
         self.new_prefix = new_prefix
-        self.compact_every = compact_every
+        self.location = location
 
     def create(self, rows: DataFrame) -> None:
         """The table before the first batch, with no position applied yet."""
-        self._write_base(rows, rows.sparkSession.createDataFrame([], WATERMARK), 0)
+        for slot, content in zip(_SLOTS, (rows, rows.where(F.lit(False)))):
+            place = {} if self.location is None else {"path": f"{self.location.rstrip('/')}/{slot}"}
+            content.write.format("parquet").mode("overwrite").options(**place).saveAsTable(self._behind(slot))
+        self._point(rows.sparkSession, _SLOTS[0], {})
 
     def exists(self, spark: SparkSession) -> bool:
-        return bool(self._folders(spark, "positions"))
-
-    def version(self, spark: SparkSession) -> int:
-        """The number of the last batch."""
-        return max([self._base(spark), *self._changes_since(spark, 0)])
+        return spark.catalog.tableExists(self.table)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        base = self._base(spark)
-        rows = spark.read.parquet(f"{self.path}/base/{_folder(base)}")
-        changes = self._changes(spark, base)
-        return rows if changes is None else self._merged(rows, changes.where("op IS NOT NULL"))
+        # Another session, such as that of a stream, may have overwritten files this one has listed.
+        spark.catalog.refreshTable(self._behind(self._properties(spark)[_CURRENT]))
+        return spark.table(self.table)
 
     def watermark(self, spark: SparkSession) -> DataFrame:
-        """The position of each shard, from the folders of the batches themselves."""
-        base = self._base(spark)
-        held = spark.read.schema(WATERMARK).parquet(f"{self.path}/positions/{_folder(base)}")
-        changes = self._changes(spark, base)
-        if changes is None:
-            return held
-        seen = changes.where("op IS NULL").select(F.lit(self.spec.target).alias("target"), "shard", "arrived", "ms", "n")
-        return delivery.positions(held.unionByName(seen))
+        """The position of each shard, from the properties of the view."""
+        return spark.createDataFrame(own_positions(self.spec, self._properties(spark).items()), WATERMARK)
 
     def apply(self, net: DataFrame, positions: DataFrame | None) -> None:
         spark = net.sparkSession
-        rows = positioned(net).withColumn("shard", F.lit(None).cast("int"))
-        if self.new_prefix is not None:
-            rows = apply.with_prefix(rows, self.new_prefix)
+        held = self._properties(spark)
+        other = _SLOTS[1 - _SLOTS.index(held.pop(_CURRENT))]
+        rows = self.read(spark)
+        self._merged(rows, net).select(*rows.columns).write.mode("overwrite").insertInto(self._behind(other))
         if positions is not None:
-            # Rows of their own, without an operation: a batch may move positions and change nothing.
-            rows = rows.unionByName(positions.select("shard", "arrived", "ms", "n"), allowMissingColumns=True)
-        batch = self.version(spark) + 1
-        # What a broken try left under this number is not complete, and is replaced.
-        rows.write.mode("overwrite").parquet(f"{self.path}/changes/{_folder(batch)}")
-        if batch - self._base(spark) >= self.compact_every:
-            self.compact(spark)
-
-    def compact(self, spark: SparkSession) -> None:
-        """Write the rows as they are now as the next base.
-
-        What the base before this one made needless goes; its own files stay, for readers that
-        began before this compaction.
-        """
-        last, base = self.version(spark), self._base(spark)
-        if last == base:
-            return
-        self._write_base(self.read(spark), self.watermark(spark), last)
-        for kind, needless in (("changes", lambda b: b <= base), ("positions", lambda b: b < base), ("base", lambda b: b < base)):
-            for batch in filter(needless, self._folders(spark, kind)):
-                drop_folder(spark, f"{self.path}/{kind}/{_folder(batch)}")
-
-    def _merged(self, rows: DataFrame, changes: DataFrame) -> DataFrame:
+            # Texts of positions compare as positions do.
+            held.update((name, max(text, held.get(name, ""))) for name, text in moved_positions(self.spec, positions))
+        self._point(spark, other, held)
+
+    def _merged(self, rows: DataFrame, net: DataFrame) -> DataFrame:
+        if self.new_prefix is not None:
+            net = apply.with_prefix(net, self.new_prefix)
         if self.mode == "fields":
-            if "fields" not in changes.columns:
-                changes = changes.withColumn("fields", mapped_as_fields(self.spec))
-            return apply.merge_fields(rows, net_fields(_as_log(changes)), self.spec.pk)
-        wiped = (F.col("op") == DELETE_REPLICATE) | F.col("reset")
-        last = F.max_by(F.struct("op", *self.spec.columns), "batch").alias("last")
-        net = changes.groupBy("pk").agg(last, F.bool_or(wiped).alias("wiped"))
-        net = net.select("pk", "last.*", (F.col("wiped") & (F.col("last.op") == UPDATE_REPLICATE)).alias("reset"))
+            if "fields" not in net.columns:
+                net = net.withColumn("fields", mapped_as_fields(self.spec))
+            return apply.merge_fields(rows, net, self.spec.pk)
         merge = apply.upsert_merge if self.mode == "merge" else apply.upsert_replace
         return merge(rows, net, self.spec)
 
-    def _write_base(self, rows: DataFrame, positions: DataFrame, batch: int) -> None:
-        rows.write.mode("overwrite").parquet(f"{self.path}/base/{_folder(batch)}")
-        # Written last: a base without its positions does not count.
-        positions.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/positions/{_folder(batch)}")
-
-    def _folders(self, spark: SparkSession, kind: str) -> list[int]:
-        return [int(name.removeprefix("batch=")) for name in complete_folders(spark, f"{self.path}/{kind}")]
-
-    def _base(self, spark: SparkSession) -> int:
-        found = self._folders(spark, "positions")
-        if not found:
-            raise FileNotFoundError(f"{self.path} holds no table, call create() first")
-        return max(found)
-
-    def _changes_since(self, spark: SparkSession, batch: int) -> list[int]:
-        return sorted(b for b in self._folders(spark, "changes") if b > batch)
-
-    def _changes(self, spark: SparkSession, base: int) -> DataFrame | None:
-        """Net changes since a base, with the number of their batch."""
-        batches = self._changes_since(spark, base)
-        if not batches:
-            return None
-        root = f"{self.path}/changes"
-        paths = [f"{root}/{_folder(b)}" for b in batches]
-        return spark.read.option("basePath", root).parquet(*paths).withColumn("batch", F.col("batch").cast("bigint"))
-
-
-def _folder(batch: int) -> str:
-    return f"batch={batch:012d}"
-
-
-def _as_log(changes: DataFrame) -> DataFrame:
-    """Net changes as records: what wipes a key comes before what its batch sets."""
-    gone = (F.col("op") == DELETE_REPLICATE) | F.col("reset")
-    nothing = F.lit(None).cast(changes.schema["fields"].dataType)
-    record = [
-        F.when(gone, F.struct(F.lit(DELETE_REPLICATE).alias("op"), F.lit(0).alias("n"), nothing.alias("fields"))),
-        F.when(F.col("op") == UPDATE_REPLICATE, F.struct(F.lit(UPDATE_REPLICATE).alias("op"), F.lit(1).alias("n"), F.col("fields").alias("fields"))),
-    ]
-    records = F.filter(F.array(*record), lambda r: r.isNotNull())
-    return changes.select("pk", F.col("batch").alias("ms"), F.explode(records).alias("r")).select("pk", "ms", "r.*")
+    def _point(self, spark: SparkSession, slot: str, positions: dict[str, str]) -> None:
+        properties = ", ".join(f"{_text(k)} = {_text(v)}" for k, v in {**positions, _CURRENT: slot}.items())
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {_quoted(self.table)} TBLPROPERTIES ({properties}) "
+            f"AS SELECT * FROM {_quoted(self._behind(slot))}"
+        )
+
+    def _properties(self, spark: SparkSession) -> dict[str, str]:
+        if not self.exists(spark):
+            raise LookupError(f"there is no table {self.table}, call create() first")
+        return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_quoted(self.table)}").collect()}
+
+    def _behind(self, slot: str) -> str:
+        return f"{self.table}_{slot}"
+
+
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _text(value: str) -> str:
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"

@@ -7,6 +7,7 @@ from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
+from tables import table_name
 
 import changeflow
 from changeflow.functions.documents import document_fields
@@ -58,7 +59,7 @@ def person(first, age, control=None):
 
 @pytest.fixture
 def behind(spark, tmp_path):
-    sink = TableSink(str(tmp_path / "target"), SPEC)
+    sink = TableSink(table_name(tmp_path, "target"), SPEC)
     sink.create(spark.createDataFrame([], SPEC.target_schema))
     return Source(spark, tmp_path / "changes"), WriteBehind(SPEC, sink, "persons", str(tmp_path))
 
@@ -246,7 +247,7 @@ def test_failing_target_stops_the_query_and_loses_nothing(spark, behind):
 def test_documents(spark, tmp_path):
     recipe = changeflow.document_write_behind(
         keys_prefix="person",
-        sink=lambda spec: TableSink(str(tmp_path / "docs"), spec, "fields"),
+        sink=lambda spec: TableSink(table_name(tmp_path, "docs"), spec, "fields"),
         target="persons",
         pk="person_id",
         name="docs",
@@ -276,7 +277,7 @@ def test_fan_out(spark, tmp_path):
     things = replace(SPEC, target="things", keys_prefix="thing", pk="thing_id")
     sinks = []
     for spec in (SPEC, things):
-        sink = TableSink(str(tmp_path / spec.target), spec)
+        sink = TableSink(table_name(tmp_path, spec.target), spec)
         sink.create(spark.createDataFrame([], spec.target_schema))
         sinks.append((spec, sink))
     source = Source(spark, tmp_path / "changes")
@@ -297,7 +298,7 @@ def fan_out_parts(spark, tmp_path):
     things = replace(SPEC, target="things", keys_prefix="thing", pk="thing_id")
     routes = []
     for spec in (SPEC, things):
-        sink = TableSink(str(tmp_path / spec.target), spec)
+        sink = TableSink(table_name(tmp_path, spec.target), spec)
         sink.create(spark.createDataFrame([], spec.target_schema))
         routes.append((spec, sink))
     return routes
@@ -381,7 +382,7 @@ def test_fan_out_reads_its_source_once(spark, tmp_path):
 
 def test_a_batch_of_deletes_only_moves_the_position_of_copies(spark, tmp_path):
     spec = ReplicationSpec(target="copies", pk="key", keys_prefix="key", whole_hashes=True, shards=1)
-    sink = TableSink(str(tmp_path / "copies"), spec, "fields", new_prefix="copy")
+    sink = TableSink(table_name(tmp_path, "copies"), spec, "fields", new_prefix="copy")
     sink.create(spark.createDataFrame([], "key string, fields map<string,string>"))
     recipe = WriteBehind(spec, sink, "copies", str(tmp_path))
     source = Source(spark, tmp_path / "changes")
@@ -409,13 +410,13 @@ def test_ack_status(spark):
 
 def through(spark, tmp_path, documents=False):
     source_spec = ReplicationSpec(target="source", pk="key", keys_prefix="x", exactly_once=False)
-    source = TableSink(str(tmp_path / "source"), source_spec, "fields")
+    source = TableSink(table_name(tmp_path, "source"), source_spec, "fields")
     value = "variant" if documents else "string"
     source.create(spark.createDataFrame([], f"key string, fields map<string,{value}>"))
     mode = "fields" if documents else "merge"
 
     def sink(spec):
-        made = TableSink(str(tmp_path / "target"), replace(spec, retry_seconds=0), mode)
+        made = TableSink(table_name(tmp_path, "target"), replace(spec, retry_seconds=0), mode)
         empty = "person_id string, fields map<string,variant>" if documents else spec.target_schema
         made.create(spark.createDataFrame([], empty))
         return made
@@ -508,7 +509,7 @@ def test_catch_up_skips_what_all_shards_have_behind_them(spark, behind):
 
 def test_whole_hashes_are_copied_without_deletes(spark, tmp_path):
     spec = ReplicationSpec(target="copies", pk="key", keys_prefix="key", whole_hashes=True, shards=2)
-    sink = TableSink(str(tmp_path / "copies"), spec, "fields", new_prefix="copy")
+    sink = TableSink(table_name(tmp_path, "copies"), spec, "fields", new_prefix="copy")
     sink.create(spark.createDataFrame([], "key string, fields map<string,string>"))
     recipe = WriteBehind(spec, sink, "copies", str(tmp_path))
     source = Source(spark, tmp_path / "changes")
@@ -520,7 +521,7 @@ def test_whole_hashes_are_copied_without_deletes(spark, tmp_path):
 
 
 def test_mapped_columns_as_prefixed_hashes(spark, tmp_path):
-    sink = TableSink(str(tmp_path / "hashes"), replace(SPEC, pk="key"), "fields", new_prefix="p")
+    sink = TableSink(table_name(tmp_path, "hashes"), replace(SPEC, pk="key"), "fields", new_prefix="p")
     sink.create(spark.createDataFrame([("p:1", {"age": "1", "other": "x"})], "key string, fields map<string,string>"))
     recipe = WriteBehind(replace(SPEC, pk="key"), sink, "hashes", str(tmp_path))
     source = Source(spark, tmp_path / "changes")

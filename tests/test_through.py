@@ -96,6 +96,17 @@ def test_the_number_of_passes_does_not_depend_on_the_writes(spark, monkeypatch):
     assert alternations(spark, monkeypatch, 4) == alternations(spark, monkeypatch, 80)
 
 
+def test_states_of_writes_are_not_broadcast(spark, monkeypatch):
+    plans = []
+    for module in (through, states):
+        monkeypatch.setattr(module, "stored", lambda df, purpose: plans.append((purpose, df._jdf.queryExecution().executedPlan().toString())) or stored(df, purpose))
+    writes = random_writes(2, 600, 20, True)
+    through.decide(staged_frame(spark, writes), source_frame(spark, {"q": {}}), SPEC)
+    joined = [plan for purpose, plan in plans if purpose == "states"] + [plans[-1][1]]
+    assert plans[-1][0] == "through" and len(joined) >= 2
+    assert all("SortMergeJoin" in plan and "Broadcast" not in plan for plan in joined)
+
+
 @pytest.mark.parametrize("seed", [5, 6])
 def test_states_before_equal_a_replay(spark, seed):
     rnd = random.Random(seed)

@@ -28,8 +28,10 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -126,8 +128,9 @@ class Lattices:
     """The lattices of words that stand one after the other: per position and piece length.
 
     ``log_p`` is the log probability of a piece at a position given that the segmentation
-    passes there, ``cumulative`` the running sum of the probabilities; from the exact sums
-    over all continuations.
+    passes there, ``cumulative`` the running sum of the probabilities (2 from the last piece on,
+    so that a search always ends there); from the exact sums over all continuations. ``best`` is the likeliest
+    piece, ``besides`` the probability of all others, summed without it: it may be far below the last digit of 1.
     """
 
     def __init__(self, words: list[str], vocabulary: Vocabulary) -> None:
@@ -157,6 +160,8 @@ class Lattices:
         single = np.array(vocabulary.byte_ids[:128])
         self.ids[unknown, 0] = np.where(points[unknown] < 0x80, single[np.minimum(points[unknown], 0x7F)], -1 - points[unknown].astype(np.int64))
         after = np.zeros(n + width + 1)
+        self.cumulative = np.zeros((n, width))
+        self.best, self.besides = np.zeros(n, np.int8), np.zeros(n)
         order = np.argsort(left, kind="stable")
         cuts = np.flatnonzero(np.diff(left[order])) + 1
         for at in np.split(order, cuts):
@@ -166,15 +171,22 @@ class Lattices:
             reach = min(r, width)
             values = weight[at, :reach]
             values += after[at[:, None] + np.arange(1, reach + 1)] * (np.arange(1, reach + 1) < r)
-            top = values.max(1)
-            total = top + np.log(np.exp(values - top[:, None]).sum(1))
+            best, rows = values.argmax(1), np.arange(len(at))
+            top = values[rows, best]
+            parts = np.exp(values - top[:, None])
+            parts[rows, best] = 0
+            others = parts.sum(1)
+            parts[rows, best] = 1
+            total = top + np.log1p(others)
             after[at] = total
             weight[at, :reach] = values - total[:, None]
+            parts /= 1 + others[:, None]
+            self.cumulative[at, :reach] = parts
+            self.best[at], self.besides[at] = best, others / (1 + others)
         self.log_p = weight
-        self.cumulative = np.exp(weight)
         for k in range(1, width):
             self.cumulative[:, k] += self.cumulative[:, k - 1]
-        self.left = left
+        self.cumulative[self.cumulative >= self.cumulative[:, -1:]] = 2
 
 
 def _uniform(keys: np.ndarray, places: np.ndarray, turn: int) -> np.ndarray:
@@ -183,61 +195,81 @@ def _uniform(keys: np.ndarray, places: np.ndarray, turn: int) -> np.ndarray:
     return ((h >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53)
 
 
-def _draw(lattices: Lattices, words: np.ndarray, begins: np.ndarray, uniform: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """One segmentation of every token: the piece that begins at each place (0: none), and log p."""
-    out = np.zeros(len(uniform), np.int64)
-    log_p = np.zeros(len(words))
-    at, place = lattices.starts[words].copy(), begins.copy()
+def _draw(lattices: Lattices, words: np.ndarray, begins: np.ndarray, keys: np.ndarray, starts: np.ndarray, turn: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One segmentation of every token: the piece that begins at each of ``size`` places (0: none), log p, and the log mass of all others.
+
+    The mass of the others is summed where they leave the drawn one, so it is exact however small it is.
+    """
+    out = np.zeros(size, np.int64)
+    log_p, rest = np.zeros(len(words)), np.zeros(len(words))
+    at, place = lattices.starts[words], begins.copy()
     end = at + lattices.lengths[words]
     live = np.arange(len(words))
     while len(live):
         p, q = at[live], place[live]
-        k = (lattices.cumulative[p] < uniform[q][:, None]).sum(1)
-        k = np.minimum(k, np.minimum(lattices.left[p], lattices.ids.shape[1]) - 1)
-        found = lattices.ids[p, k].astype(np.int64)
+        k = (lattices.cumulative[p] >= _uniform(keys[live], q - starts[live], turn)[:, None]).argmax(1)
+        found, chosen = lattices.ids[p, k].astype(np.int64), lattices.log_p[p, k]
         out[q] = np.where(found >= 0, found + 1, found)
-        log_p[live] += lattices.log_p[p, k]
+        rest[live] += np.exp(log_p[live]) * np.where(k == lattices.best[p], lattices.besides[p], -np.expm1(chosen))
+        log_p[live] += chosen
         at[live] += k + 1
         place[live] += k + 1
         live = live[at[live] < end[live]]
-    return out, log_p
-
-
-def _other(lattices: Lattices, word: int, taken: list[tuple[tuple[int, ...], float]], uniform: np.ndarray) -> tuple[list[int], list[int], float]:
-    """A segmentation of one word that is none of ``taken`` (piece lengths, log p): lengths, ids, log p."""
-    at, end = int(lattices.starts[word]), int(lattices.starts[word] + lattices.lengths[word])
-    begin, total = at, 0.0
-    lengths: list[int] = []
-    ids: list[int] = []
-    alive = taken
-    while at < end:
-        reach = min(end - at, lattices.ids.shape[1])
-        # Relative to what was chosen so far, less what is taken.
-        mass = np.exp(lattices.log_p[at, :reach])
-        for path, p in alive:
-            mass[path[len(lengths)] - 1] -= np.exp(p - total)
-        some = np.flatnonzero(mass > 1e-15)
-        if not len(some):
-            # Rounding left nothing; any piece that leaves the taken ones will do.
-            last = {path[len(lengths)] - 1 for path, _ in alive}
-            possible = np.flatnonzero(np.isfinite(lattices.log_p[at, :reach]))
-            some = np.array([k for k in possible.tolist() if k not in last] or possible)
-            mass = np.ones(reach)
-        sums = np.cumsum(mass[some])
-        k = int(some[min(int(np.searchsorted(sums, uniform[at - begin] * sums[-1])), len(some) - 1)])
-        found = int(lattices.ids[at, k])
-        ids.append(found + 1 if found >= 0 else found)
-        total += float(lattices.log_p[at, k])
-        alive = [(path, p) for path, p in alive if path[len(lengths)] == k + 1]
-        lengths.append(k + 1)
-        at += k + 1
-    return lengths, ids, total
-
-
-def _log_rest(log_p: np.ndarray) -> np.ndarray:
-    """log(1 - exp(x)), minus infinity where nothing is left."""
-    rest = -np.expm1(np.minimum(log_p, 0))
-    return np.where(rest > 1e-12, np.log(np.maximum(rest, 1e-300)), -np.inf)
+    with np.errstate(divide="ignore"):
+        return out, log_p, np.log(rest)
+
+
+class _Others:
+    """The segmentations of one word that are none of ``taken`` (piece lengths).
+
+    Masses per node of the tree of the taken ones, from its leaves up, each relative to the node: sums of what leaves
+    the tree, without a difference that could lose small ones. ``log_mass`` is that of all.
+    """
+
+    def __init__(self, lattices: Lattices, word: int, taken: list[tuple[int, ...]]) -> None:
+        self.lattices = lattices
+        self.at = int(lattices.starts[word])
+        self.end = int(self.at + lattices.lengths[word])
+        # Paths that share a beginning are at the same node, named by the first of them.
+        nodes: list[tuple[int, int, dict[int, list[int]]]] = []
+        stack = [(self.at, 0, list(range(len(taken))))]
+        while stack:
+            at, depth, here = stack.pop()
+            children: dict[int, list[int]] = {}
+            for i in here:
+                children.setdefault(taken[i][depth], []).append(i)
+            nodes.append((at, here[0], children))
+            stack += [(at + length, depth + 1, group) for length, group in children.items() if at + length < self.end]
+        self.masses: dict[tuple[int, int], tuple[np.ndarray, dict[int, list[int]]]] = {}
+        for at, name, children in reversed(nodes):
+            mass = self._free(at)
+            for length, group in children.items():
+                known = self.masses.get((at + length, group[0]))
+                mass[length - 1] *= known[0].sum() if known else 0.0
+            self.masses[at, name] = mass, children
+        whole = float(self.masses[self.at, 0][0].sum())
+        self.log_mass = float(np.log(whole)) if whole > 0 else -np.inf
+
+    def _free(self, at: int) -> np.ndarray:
+        return np.exp(self.lattices.log_p[at, : min(self.end - at, self.lattices.ids.shape[1])])
+
+    def draw(self, uniform: np.ndarray) -> tuple[list[int], list[int], float]:
+        """Lengths, ids and log p of one of them."""
+        at, name, total = self.at, 0, 0.0
+        lengths: list[int] = []
+        ids: list[int] = []
+        while at < self.end:
+            mass, children = self.masses[at, name] if name >= 0 else (self._free(at), {})
+            some = np.flatnonzero(mass)
+            sums = np.cumsum(mass[some])
+            k = int(some[min(int(np.searchsorted(sums, uniform[at - self.at] * sums[-1])), len(some) - 1)])
+            found = int(self.lattices.ids[at, k])
+            ids.append(found + 1 if found >= 0 else found)
+            total += float(self.lattices.log_p[at, k])
+            lengths.append(k + 1)
+            name = children[k + 1][0] if k + 1 in children else -1
+            at += k + 1
+        return lengths, ids, total
 
 
 def _truncated(mass: np.ndarray, limit: float, uniform: np.ndarray) -> np.ndarray:
@@ -246,7 +278,7 @@ def _truncated(mass: np.ndarray, limit: float, uniform: np.ndarray) -> np.ndarra
     return np.where(np.isfinite(mass), -np.logaddexp(-limit, -free), -np.inf)
 
 
-def _top(lattices: Lattices, words: np.ndarray, begins: np.ndarray, drawn: list[tuple[np.ndarray, np.ndarray]], key: np.uint64, samples: int) -> list[tuple[np.ndarray, float, float, float]]:
+def _top(lattices: Lattices, words: np.ndarray, begins: np.ndarray, drawn: list[tuple[np.ndarray, np.ndarray, np.ndarray]], key: np.uint64, samples: int) -> list[tuple[np.ndarray, float, float, float]]:
     """(pieces by place, log p, value, log inclusion) of the sampled segmentations of a text."""
     n = len(words)
     ends = np.append(begins[1:], len(drawn[0][0]))
@@ -254,14 +286,13 @@ def _top(lattices: Lattices, words: np.ndarray, begins: np.ndarray, drawn: list[
     queue: list[tuple[float, int]] = []
     leaves: list[dict] = []
 
-    def add(out: np.ndarray, log_p: np.ndarray, value: float, at: int, taken: list) -> None:
+    def add(out: np.ndarray, log_p: np.ndarray, rest: np.ndarray, value: float, at: int, taken: list, others: _Others | None = None) -> None:
         turn = len(leaves)
-        mass = np.concatenate(([0.0], np.cumsum(log_p)))[:-1][at:] + _log_rest(log_p[at:])
-        if taken:
-            rest = 1 - sum(np.exp(p) for _, p in taken)
-            mass[0] = log_p[:at].sum() + np.log(rest) if rest > 1e-12 else -np.inf
+        mass = np.concatenate(([0.0], np.cumsum(log_p)))[:-1][at:] + rest[at:]
+        if others is not None:
+            mass[0] = log_p[:at].sum() + others.log_mass
         values = _truncated(mass, value, _uniform(keys[at:], np.arange(at, n), 1000 + turn))
-        leaves.append({"out": out, "log_p": log_p, "value": value, "at": at, "taken": taken, "values": values})
+        leaves.append({"out": out, "log_p": log_p, "rest": rest, "value": value, "at": at, "taken": taken, "others": others, "values": values})
         push(turn)
 
     def push(turn: int) -> None:
@@ -274,22 +305,25 @@ def _top(lattices: Lattices, words: np.ndarray, begins: np.ndarray, drawn: list[
         return tuple(np.diff(np.append(places, ends[t] - begins[t])).tolist())
 
     first = -np.log(-np.log(float(_uniform(keys[:1], np.array([0]), 999)[0]) * (1 - 1e-16)))
-    add(drawn[0][0], drawn[0][1], float(first), 0, [(path(drawn[0][0], 0), float(drawn[0][1][0]))])
+    add(*drawn[0], float(first), 0, [path(drawn[0][0], 0)])
     while len(leaves) < samples and queue:
         value, turn = heapq.heappop(queue)
         leaf = leaves[turn]
         j = int(leaf["values"].argmax())
         leaf["values"][j] = -np.inf
         t = leaf["at"] + j
-        taken = leaf["taken"] if j == 0 else [(path(leaf["out"], t), float(leaf["log_p"][t]))]
+        taken = leaf["taken"] if j == 0 else [path(leaf["out"], t)]
         fresh = len(leaves)
         spread = _uniform(np.full(ends[t] - begins[t], key), np.arange(begins[t], ends[t]), 2000 + fresh)
-        lengths, ids, log_p = _other(lattices, int(words[t]), taken, spread)
-        out, more = drawn[fresh]
+        others = leaf["others"] if j == 0 and leaf["others"] else _Others(lattices, int(words[t]), taken)
+        lengths, ids, log_p = others.draw(spread)
+        out, more, rest = drawn[fresh]
         out = np.concatenate((leaf["out"][: begins[t]], np.zeros(ends[t] - begins[t], np.int64), out[ends[t] :]))
         out[begins[t] + np.concatenate(([0], np.cumsum(lengths)))[:-1].astype(int)] = ids
         all_p = np.concatenate((leaf["log_p"][:t], [log_p], more[t + 1 :]))
-        add(out, all_p, -value, t, [*taken, (tuple(lengths), log_p)])
+        all_rest = np.concatenate((leaf["rest"][:t], [-np.inf], rest[t + 1 :]))
+        taken = [*taken, tuple(lengths)]
+        add(out, all_p, all_rest, -value, t, taken, _Others(lattices, int(words[t]), taken))
         push(turn)
     threshold = -queue[0][0] if queue else -np.inf
     result = []
@@ -316,7 +350,7 @@ def _written(out: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
 def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
     """The text of a segmentation."""
     table = vocabulary.bytes
-    text = b"".join([table[i] for i in ids.tolist()]).decode("utf-8", "surrogatepass")
+    text = b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")
     return text.replace("▁", " ")[1:]
 
 
@@ -328,11 +362,11 @@ def encode(texts: list[str | None], keys: list[object], vocabulary: Vocabulary,
         while to < len(texts) and (to == at or size < BLOCK):
             size += len(texts[to] or "") + 1
             to += 1
-        index: dict[str, int] = {}
+        index: dict[str, int] = defaultdict(count().__next__)
         tokens, borders, lengths, spans = [], [0], [], []
         for text in texts[at:to]:
             found = _WORD.findall(escaped(text))
-            tokens += [index.setdefault(w, len(index)) for w in found]
+            tokens += map(index.__getitem__, found)
             lengths += map(len, found)
             borders.append(len(tokens))
             spans.append(len(text) + 1 if text else 0)
@@ -343,16 +377,16 @@ def encode(texts: list[str | None], keys: list[object], vocabulary: Vocabulary,
             lattices = Lattices(list(index), vocabulary)
             words = np.array(tokens, np.int64)
             begins = np.concatenate(([0], np.cumsum(lengths)))[:-1].astype(np.int64)
-            of = np.repeat(hashes, spans)
-            within = np.arange(len(of)) - np.repeat(starts[:-1], spans)
-            drawn = [_draw(lattices, words, begins, _uniform(of, within, s)) for s in range(samples)]
+            per_text = np.diff(borders)
+            of, first = np.repeat(hashes, per_text), np.repeat(starts[:-1], per_text)
+            drawn = [_draw(lattices, words, begins, of, first, s, int(starts[-1])) for s in range(samples)]
         for i in range(at, to):
             a, b = borders[i - at], borders[i - at + 1]
             if a == b:
                 yield i, 0, np.empty(0, np.int32), 0.0, 0.0, 0.0
                 continue
             c, d = starts[i - at], starts[i - at + 1]
-            own = [(out[c:d], p[a:b]) for out, p in drawn]
+            own = [(out[c:d], p[a:b], rest[a:b]) for out, p, rest in drawn]
             for s, (out, total, value, inclusion) in enumerate(_top(lattices, words[a:b], begins[a:b] - c, own, hashes[i - at], samples)):
                 yield i, s, _written(out, vocabulary), total, value, inclusion
         at = to
@@ -396,4 +430,4 @@ def sampled(docs: DataFrame, path: str | None = None, samples: int = SAMPLES, id
 
 
 def op8_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sampled(read(spark, sf_dir, "documents"), with_ids=False).withColumnRenamed("id", "doc_id")
+    return sampled(read(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")

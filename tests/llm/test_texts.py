@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import itertools
+import math
 import random
 import re
 import zlib
@@ -348,6 +349,25 @@ def test_all_segmentations_come_if_they_are_few(vocabulary):
     assert values == sorted(values, reverse=True)
 
 
+@pytest.mark.parametrize("text", ["th", "the", "of the", "they", "    ", "information", "é of"])
+def test_no_segmentation_is_too_unlikely(vocabulary, text):
+    ids = {b.decode(): i for i, b in enumerate(vocabulary.bytes) if i >= 259}
+    want = set(segmentations(pieces.escaped(text), ids))
+    found = list(pieces.encode([text], [1], vocabulary, len(want) + 5))
+    assert {tuple(x[2].tolist()) for x in found} == want and len(found) == len(want)
+    assert sum(math.exp(x[3]) for x in found) == pytest.approx(1)
+    assert all(x[5] == 0 for x in found)
+
+
+def test_sampled_pieces_are_returned(spark, docs, tmp_path, vocabulary):
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    texts = {(r["doc_id"], (r["text"] or "").replace("▁", " ")) for r in docs.collect()}
+    rows = pieces.op8_sampled_pieces(spark, str(tmp_path)).collect()
+    for r in rows:
+        assert (r["doc_id"], pieces.decode(np.array(r["ids"], np.int32), vocabulary)) in texts
+        assert len(r["ids"]) == r["n_pieces"]
+
+
 def test_round_trip_and_seeds(spark, docs, corpus, vocabulary):
     found = pieces.sampled(docs).collect()
     assert all(r["round_trip"] for r in found)

@@ -26,12 +26,14 @@ rows get equal samples; extra columns are ignored; an empty table gives an empty
 from __future__ import annotations
 
 import heapq
+import math
 import re
 import zlib
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import count
+from itertools import accumulate, count, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,7 @@ from changeflow.llm.common import mix, read
 
 SAMPLES = 2
 BLOCK = 1_500_000
+GROUP = 1 << 17
 _WORD = re.compile("▁*[^▁\n]+|▁+|\n")
 # In place of an id: the beginning of a piece, and nothing of the kind.
 _BEGINNING, _NONE = -1, -2
@@ -74,6 +77,9 @@ class Vocabulary:
                 value = int(texts[i][3:-1], 16)
                 self.byte_ids[value] = i
                 self.bytes[i] = bytes([value])
+        self.letters = np.frombuffer(b"".join(self.bytes), np.uint8)
+        self.sizes = np.fromiter(map(len, self.bytes), np.int64, size)
+        self.begins = np.cumsum(self.sizes) - self.sizes
         ranks = sorted(normal, key=lambda i: (-model.get_score(i), i))
         harmonic = np.log(np.sum(1 / np.arange(1, len(ranks) + 1)))
         self.weight = np.full(size, -np.log(len(ranks) + 1.0) - harmonic)
@@ -107,6 +113,7 @@ class Vocabulary:
             else:
                 return False
         self.shift = np.uint64(40 - bits if bits > 24 else 24)
+        self.single = self.find(mix((np.arange(0x110000, dtype=np.uint64) + np.uint64(1)) * _POWERS[0] + np.uint64(1)))
         return True
 
     def find(self, keys: np.ndarray) -> np.ndarray:
@@ -124,75 +131,119 @@ def escaped(text: str | None) -> str:
     return "▁" + text.replace(" ", "▁") if text else ""
 
 
-class Lattices:
-    """The lattices of words that stand one after the other: per position and piece length.
+def words_of(text: str | None) -> list[str]:
+    """The words of a text, escaped."""
+    found = escaped(text)
+    if "▁▁" in found or "\0" in found:
+        return _WORD.findall(found)
+    # Without runs of spaces a word begins at each of them, and split is faster.
+    return list(filter(None, found.replace("▁", "\0▁").replace("\n", "\0\n\0").split("\0")))
+
 
-    ``log_p`` is the log probability of a piece at a position given that the segmentation
-    passes there, ``cumulative`` the running sum of the probabilities (2 from the last piece on,
-    so that a search always ends there); from the exact sums over all continuations. ``best`` is the likeliest
-    piece, ``besides`` the probability of all others, summed without it: it may be far below the last digit of 1.
+class Lattices:
+    """The lattices of words that stand one after the other: per position the pieces that begin there, by length.
+
+    ``first`` and ``counts`` say where those of a position are. ``log_p`` is the log probability of a piece at its
+    position given that the segmentation passes there, ``cumulative`` the running sum of the probabilities (2 from the
+    last piece on, so that a search always ends there); from the exact sums over all continuations. ``likeliest`` has, for
+    the likeliest piece of each position, the running sums between which it lies, its log probability, the probability of all
+    others, summed without it (it may be far below the last digit of 1), its id and its length. Words are handled in groups of
+    about ``GROUP`` characters, so that what is needed on the way stays small.
     """
 
     def __init__(self, words: list[str], vocabulary: Vocabulary) -> None:
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        self.starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-        self.lengths = lengths
+        self.lengths = np.fromiter(map(len, words), np.int64, len(words))
+        ends = np.cumsum(self.lengths)
+        self.starts = ends - self.lengths
+        cuts = [0, *(np.flatnonzero(np.diff(ends // GROUP)) + 1).tolist(), len(words)]
+        groups = [self._group(words[a:b], self.lengths[a:b], vocabulary) for a, b in pairwise(cuts)]
+        pieces = np.cumsum([0] + [len(g[2]) for g in groups])
+        self.first = np.concatenate([g[0] + shift for g, shift in zip(groups, pieces, strict=False)])
+        self.counts, self.sizes, self.ids, self.log_p, self.cumulative, self.likeliest = map(np.concatenate, list(zip(*groups, strict=True))[1:])
+
+    @staticmethod
+    def _group(words: list[str], lengths: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, ...]:
         n = int(lengths.sum())
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         c = np.concatenate((points.astype(np.uint64), np.zeros(vocabulary.longest, np.uint64))) + np.uint64(1)
-        left = np.repeat(self.starts + lengths, lengths) - np.arange(n)
-        columns, at, h = [], np.arange(n), np.zeros(n, np.uint64)
-        while len(at) and len(columns) < vocabulary.longest:
-            k = len(columns)
+        left = np.repeat(np.cumsum(lengths), lengths) - np.arange(n)
+        found_at: list[tuple[np.ndarray, np.ndarray]] = []
+        at, h = np.arange(n), np.zeros(n, np.uint64)
+        while len(at) and len(found_at) < vocabulary.longest:
+            k = len(found_at)
             h = h + c[at + k] * _POWERS[k]
-            found = vocabulary.find(mix(h + np.uint64(k + 1)))
-            columns.append(np.full(n, -1, np.int32))
-            columns[k][at] = np.maximum(found, -1)
+            found = vocabulary.find(mix(h + np.uint64(k + 1))) if k else vocabulary.single[points]
+            # Every character begins something, its bytes if no piece.
+            here = slice(None) if k == 0 else found >= 0
+            found_at.append((at[here], found[here]))
             more = (found != _NONE) & (left[at] > k + 1)
             at, h = at[more], h[more]
-        width = max(1, len(columns))
-        self.ids = np.stack(columns, 1) if columns else np.empty((0, 1), np.int32)
-        weight = np.where(self.ids >= 0, vocabulary.weight[self.ids], -np.inf)
-        unknown = np.flatnonzero(self.ids[:, 0] < 0)
-        size = 1 + (points[unknown] >= 0x80).astype(int) + (points[unknown] >= 0x800) + (points[unknown] >= 0x10000)
-        weight[unknown, 0] = size * vocabulary.byte_weight
+        # Pieces lie in the order of what is left of the word behind their position, so that sums go from its end on.
+        order = np.argsort(left.astype(np.uint16) if lengths.max(initial=0) < 1 << 16 else left, kind="stable")
+        counts = np.zeros(n, np.int16)
+        for at, _ in found_at:
+            counts[at] += 1
+        ends = np.cumsum(counts[order], dtype=np.int64)
+        first = np.zeros(n, np.int64)
+        first[order] = ends - counts[order]
+        size = int(ends[-1]) if n else 0
+        sizes, ids = np.zeros(size, np.int16), np.zeros(size, np.int32)
+        weight, follows = np.zeros(size), np.zeros(size, np.int64)
+        free = first.copy()
+        for k, (at, found) in enumerate(found_at):
+            slots = free[at]
+            free[at] += 1
+            sizes[slots], ids[slots], weight[slots] = k + 1, found, vocabulary.weight[found]
+            follows[slots] = np.where(left[at] > k + 1, at + k + 1, n)
+        unknown = np.flatnonzero(found_at[0][1] < 0) if found_at else np.zeros(0, np.int64)
+        slots, points = first[unknown], points[unknown]
+        weight[slots] = (1 + (points >= 0x80).astype(int) + (points >= 0x800) + (points >= 0x10000)) * vocabulary.byte_weight
         # One byte is an id; for more, minus the character, until the ids are written.
         single = np.array(vocabulary.byte_ids[:128])
-        self.ids[unknown, 0] = np.where(points[unknown] < 0x80, single[np.minimum(points[unknown], 0x7F)], -1 - points[unknown].astype(np.int64))
-        after = np.zeros(n + width + 1)
-        self.cumulative = np.zeros((n, width))
-        self.best, self.besides = np.zeros(n, np.int8), np.zeros(n)
-        order = np.argsort(left, kind="stable")
-        cuts = np.flatnonzero(np.diff(left[order])) + 1
-        for at in np.split(order, cuts):
-            if not len(at):
-                continue
-            r = int(left[at[0]])
-            reach = min(r, width)
-            values = weight[at, :reach]
-            values += after[at[:, None] + np.arange(1, reach + 1)] * (np.arange(1, reach + 1) < r)
-            best, rows = values.argmax(1), np.arange(len(at))
-            top = values[rows, best]
-            parts = np.exp(values - top[:, None])
-            parts[rows, best] = 0
-            others = parts.sum(1)
-            parts[rows, best] = 1
+        ids[slots] = np.where(points < 0x80, single[np.minimum(points, 0x7F)], -1 - points.astype(np.int64))
+        after = np.zeros(n + 1)
+        log_p, cumulative = np.zeros(size), np.zeros(size)
+        best, besides = np.zeros(n, np.int64), np.zeros(n)
+        cuts = [0, *(np.flatnonzero(np.diff(left[order])) + 1).tolist(), n] if n else []
+        for begin, end in pairwise(cuts):
+            at = order[begin:end]
+            a, b = int(first[at[0]]), int(ends[end - 1])
+            heads = first[at] - a
+            rows = np.repeat(np.arange(end - begin), counts[at])
+            values = weight[a:b] + after[follows[a:b]]
+            top = np.maximum.reduceat(values, heads)
+            parts = np.exp(values - top[rows])
+            equal = np.flatnonzero(values == top[rows])
+            likely = equal[np.concatenate(([True], np.diff(rows[equal]) > 0))]
+            parts[likely] = 0
+            others = np.add.reduceat(parts, heads)
+            parts[likely] = 1
             total = top + np.log1p(others)
             after[at] = total
-            weight[at, :reach] = values - total[:, None]
-            parts /= 1 + others[:, None]
-            self.cumulative[at, :reach] = parts
-            self.best[at], self.besides[at] = best, others / (1 + others)
-        self.log_p = weight
-        for k in range(1, width):
-            self.cumulative[:, k] += self.cumulative[:, k - 1]
-        self.cumulative[self.cumulative >= self.cumulative[:, -1:]] = 2
+            log_p[a:b] = values - total[rows]
+            cumulative[a:b] = parts / (1 + others)[rows]
+            best[at], besides[at] = likely + a, others / (1 + others)
+        for k in range(1, len(found_at)):
+            slots = first[counts > k] + k
+            cumulative[slots] += cumulative[slots - 1]
+        last = np.repeat(cumulative[ends - 1], counts[order]) if n else cumulative
+        cumulative[cumulative >= last] = 2
+        above = np.where(best > first, cumulative[best - 1], 0) if n else besides
+        likeliest = np.stack((above, cumulative[best], log_p[best], besides, ids[best], sizes[best]), 1)
+        return first, counts, sizes, ids, log_p, cumulative, likeliest
+
+
+def _uniform(keys: np.ndarray | np.uint64, places: np.ndarray, turn: int) -> np.ndarray:
+    """Numbers in (0, 1] that depend on key, place and turn only."""
+    return _unit(_places(keys, places, turn))
 
 
-def _uniform(keys: np.ndarray, places: np.ndarray, turn: int) -> np.ndarray:
-    """Numbers in (0, 1] that depend on key, place and turn only."""
-    h = mix(keys + places.astype(np.uint64) * np.uint64(_ODD) + np.uint64((turn + 1) * int(_SECOND) % (1 << 64)))
-    return ((h >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53)
+def _places(keys: np.ndarray | np.uint64, places: np.ndarray, turn: int) -> np.ndarray:
+    return keys + places.astype(np.uint64) * np.uint64(_ODD) + np.uint64((turn + 1) * int(_SECOND) % (1 << 64))
+
+
+def _unit(hashes: np.ndarray) -> np.ndarray:
+    return ((mix(hashes) >> np.uint64(11)).astype(np.float64) + 1) / (1 << 53)
 
 
 def _draw(lattices: Lattices, words: np.ndarray, begins: np.ndarray, keys: np.ndarray, starts: np.ndarray, turn: int, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -200,25 +251,45 @@ def _draw(lattices: Lattices, words: np.ndarray, begins: np.ndarray, keys: np.nd
 
     The mass of the others is summed where they leave the drawn one, so it is exact however small it is.
     """
-    out = np.zeros(size, np.int64)
+    out = np.zeros(size, np.int32)
     log_p, rest = np.zeros(len(words)), np.zeros(len(words))
-    at, place = lattices.starts[words], begins.copy()
-    end = at + lattices.lengths[words]
-    live = np.arange(len(words))
-    while len(live):
-        p, q = at[live], place[live]
-        k = (lattices.cumulative[p] >= _uniform(keys[live], q - starts[live], turn)[:, None]).argmax(1)
-        found, chosen = lattices.ids[p, k].astype(np.int64), lattices.log_p[p, k]
-        out[q] = np.where(found >= 0, found + 1, found)
-        rest[live] += np.exp(log_p[live]) * np.where(k == lattices.best[p], lattices.besides[p], -np.expm1(chosen))
-        log_p[live] += chosen
-        at[live] += k + 1
-        place[live] += k + 1
-        live = live[at[live] < end[live]]
+    for a in range(0, len(words), GROUP):
+        own = slice(a, a + GROUP)
+        _walk(lattices, words[own], begins[own], _places(keys[own], begins[own] - starts[own], turn), out, log_p[own], rest[own])
     with np.errstate(divide="ignore"):
         return out, log_p, np.log(rest)
 
 
+def _walk(lattices: Lattices, words: np.ndarray, begins: np.ndarray, hashes: np.ndarray, out: np.ndarray, log_p: np.ndarray, rest: np.ndarray) -> None:
+    """Fill the last three for these tokens."""
+    p, q, live = lattices.starts[words], begins, np.arange(len(words))
+    end = p + lattices.lengths[words]
+    while len(live):
+        uniform = _unit(hashes)
+        above, to, chosen, leaving, found, sizes = lattices.likeliest.take(p, 0).T
+        found, sizes = found.astype(np.int64), sizes.astype(np.int64)
+        # Most are the likeliest piece; for the others the running sums are gone through.
+        other = np.flatnonzero((uniform <= above) | (uniform > to))
+        if len(other):
+            slots, wanted = lattices.first[p[other]], uniform[other]
+            short = np.flatnonzero(lattices.cumulative[slots] < wanted)
+            while len(short):
+                slots[short] += 1
+                short = short[lattices.cumulative[slots[short]] < wanted[short]]
+            found[other], sizes[other] = lattices.ids[slots], lattices.sizes[slots]
+            chosen[other] = lattices.log_p[slots]
+            leaving[other] = -np.expm1(chosen[other])
+        out[q] = found + (found >= 0)
+        before = log_p[live]
+        rest[live] += np.exp(before) * leaving
+        log_p[live] = before + chosen
+        p = p + sizes
+        more = np.flatnonzero(p < end)
+        sizes = sizes[more]
+        p, q, end, live = p[more], q[more] + sizes, end[more], live[more]
+        hashes = hashes[more] + sizes.astype(np.uint64) * np.uint64(_ODD)
+
+
 class _Others:
     """The segmentations of one word that are none of ``taken`` (piece lengths).
 
@@ -240,18 +311,25 @@ class _Others:
                 children.setdefault(taken[i][depth], []).append(i)
             nodes.append((at, here[0], children))
             stack += [(at + length, depth + 1, group) for length, group in children.items() if at + length < self.end]
-        self.masses: dict[tuple[int, int], tuple[np.ndarray, dict[int, list[int]]]] = {}
+        self.masses: dict[tuple[int, int], tuple[list[float], dict[int, list[int]]]] = {}
         for at, name, children in reversed(nodes):
-            mass = self._free(at)
+            mass, sizes = self._free(at), self._sizes(at)
             for length, group in children.items():
                 known = self.masses.get((at + length, group[0]))
-                mass[length - 1] *= known[0].sum() if known else 0.0
+                mass[sizes.index(length)] *= sum(known[0]) if known else 0.0
             self.masses[at, name] = mass, children
-        whole = float(self.masses[self.at, 0][0].sum())
-        self.log_mass = float(np.log(whole)) if whole > 0 else -np.inf
+        whole = sum(self.masses[self.at, 0][0])
+        self.log_mass = math.log(whole) if whole > 0 else -math.inf
+
+    def _here(self, at: int) -> slice:
+        first = int(self.lattices.first[at])
+        return slice(first, first + int(self.lattices.counts[at]))
 
-    def _free(self, at: int) -> np.ndarray:
-        return np.exp(self.lattices.log_p[at, : min(self.end - at, self.lattices.ids.shape[1])])
+    def _free(self, at: int) -> list[float]:
+        return [math.exp(x) for x in self.lattices.log_p[self._here(at)].tolist()]
+
+    def _sizes(self, at: int) -> list[int]:
+        return self.lattices.sizes[self._here(at)].tolist()
 
     def draw(self, uniform: np.ndarray) -> tuple[list[int], list[int], float]:
         """Lengths, ids and log p of one of them."""
@@ -260,52 +338,68 @@ class _Others:
         ids: list[int] = []
         while at < self.end:
             mass, children = self.masses[at, name] if name >= 0 else (self._free(at), {})
-            some = np.flatnonzero(mass)
-            sums = np.cumsum(mass[some])
-            k = int(some[min(int(np.searchsorted(sums, uniform[at - self.at] * sums[-1])), len(some) - 1)])
-            found = int(self.lattices.ids[at, k])
+            some = [k for k, m in enumerate(mass) if m]
+            sums = list(accumulate(mass[k] for k in some))
+            k = some[min(bisect_left(sums, float(uniform[at - self.at]) * sums[-1]), len(some) - 1)]
+            slot = int(self.lattices.first[at]) + k
+            found, size = int(self.lattices.ids[slot]), int(self.lattices.sizes[slot])
             ids.append(found + 1 if found >= 0 else found)
-            total += float(self.lattices.log_p[at, k])
-            lengths.append(k + 1)
-            name = children[k + 1][0] if k + 1 in children else -1
-            at += k + 1
+            total += float(self.lattices.log_p[slot])
+            lengths.append(size)
+            name = children[size][0] if size in children else -1
+            at += size
         return lengths, ids, total
 
 
-def _truncated(mass: np.ndarray, limit: float, uniform: np.ndarray) -> np.ndarray:
+def _truncated(mass: np.ndarray, limit: np.ndarray | float, uniform: np.ndarray) -> np.ndarray:
     """Gumbels with these log masses, truncated at ``limit``."""
     free = mass - np.log(-np.log(uniform * (1 - 1e-16)))
     return np.where(np.isfinite(mass), -np.logaddexp(-limit, -free), -np.inf)
 
 
-def _top(lattices: Lattices, words: np.ndarray, begins: np.ndarray, drawn: list[tuple[np.ndarray, np.ndarray, np.ndarray]], key: np.uint64, samples: int) -> list[tuple[np.ndarray, float, float, float]]:
-    """(pieces by place, log p, value, log inclusion) of the sampled segmentations of a text."""
+def _first(drawn: tuple[np.ndarray, np.ndarray, np.ndarray], borders: list[int], keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Largest perturbed value of each text, and those of the sets that its first segmentation leaves at each word."""
+    _, log_p, rest = drawn
+    mass, sizes = np.zeros(len(log_p)), np.diff(borders)
+    for a, b in pairwise(borders):
+        if b > a:
+            np.cumsum(log_p[a : b - 1], out=mass[a + 1 : b])
+    mass += rest
+    largest = -np.log(-np.log(_uniform(keys, np.zeros(len(keys), np.int64), 999) * (1 - 1e-16)))
+    places = np.arange(len(mass)) - np.repeat(borders[:-1], sizes)
+    return largest, _truncated(mass, np.repeat(largest, sizes), _uniform(np.repeat(keys, sizes), places, 1000))
+
+
+def _top(
+    lattices: Lattices, words: np.ndarray, begins: np.ndarray, drawn: list[tuple[np.ndarray, np.ndarray, np.ndarray]], key: np.uint64, samples: int, largest: float, values: np.ndarray
+) -> list[tuple[np.ndarray, float, float, float]]:
+    """(pieces by place, log p, value, log inclusion) of the sampled segmentations of a text; the last two arguments are from :func:`_first`."""
     n = len(words)
     ends = np.append(begins[1:], len(drawn[0][0]))
-    keys = np.full(n, key)
     queue: list[tuple[float, int]] = []
     leaves: list[dict] = []
 
-    def add(out: np.ndarray, log_p: np.ndarray, rest: np.ndarray, value: float, at: int, taken: list, others: _Others | None = None) -> None:
-        turn = len(leaves)
-        mass = np.concatenate(([0.0], np.cumsum(log_p)))[:-1][at:] + rest[at:]
-        if others is not None:
-            mass[0] = log_p[:at].sum() + others.log_mass
-        values = _truncated(mass, value, _uniform(keys[at:], np.arange(at, n), 1000 + turn))
+    def add(out: np.ndarray, log_p: np.ndarray, rest: np.ndarray, value: float, at: int, taken: list, others: _Others | None, values: np.ndarray) -> None:
         leaves.append({"out": out, "log_p": log_p, "rest": rest, "value": value, "at": at, "taken": taken, "others": others, "values": values})
-        push(turn)
+        push(len(leaves) - 1)
+
+    def left(log_p: np.ndarray, rest: np.ndarray, value: float, at: int, others: _Others) -> np.ndarray:
+        sums = np.cumsum(log_p)
+        mass = rest[at:].copy()
+        mass[1:] += sums[at:-1]
+        mass[0] = log_p[:at].sum() + others.log_mass
+        return _truncated(mass, value, _uniform(key, np.arange(at, n), 1000 + len(leaves)))
 
     def push(turn: int) -> None:
         values = leaves[turn]["values"]
-        if len(values) and np.isfinite(best := values.max()):
-            heapq.heappush(queue, (-float(best), turn))
+        if len(values) and math.isfinite(best := float(values.max())):
+            heapq.heappush(queue, (-best, turn))
 
     def path(out: np.ndarray, t: int) -> tuple[int, ...]:
-        places = np.flatnonzero(out[begins[t] : ends[t]])
-        return tuple(np.diff(np.append(places, ends[t] - begins[t])).tolist())
+        places = [i for i, piece in enumerate(out[begins[t] : ends[t]].tolist()) if piece]
+        return tuple(b - a for a, b in pairwise([*places, int(ends[t] - begins[t])]))
 
-    first = -np.log(-np.log(float(_uniform(keys[:1], np.array([0]), 999)[0]) * (1 - 1e-16)))
-    add(*drawn[0], float(first), 0, [path(drawn[0][0], 0)])
+    add(*drawn[0], largest, 0, [path(drawn[0][0], 0)], None, values)
     while len(leaves) < samples and queue:
         value, turn = heapq.heappop(queue)
         leaf = leaves[turn]
@@ -314,16 +408,19 @@ def _top(lattices: Lattices, words: np.ndarray, begins: np.ndarray, drawn: list[
         t = leaf["at"] + j
         taken = leaf["taken"] if j == 0 else [path(leaf["out"], t)]
         fresh = len(leaves)
-        spread = _uniform(np.full(ends[t] - begins[t], key), np.arange(begins[t], ends[t]), 2000 + fresh)
+        spread = _uniform(key, np.arange(begins[t], ends[t]), 2000 + fresh)
         others = leaf["others"] if j == 0 and leaf["others"] else _Others(lattices, int(words[t]), taken)
         lengths, ids, log_p = others.draw(spread)
         out, more, rest = drawn[fresh]
-        out = np.concatenate((leaf["out"][: begins[t]], np.zeros(ends[t] - begins[t], np.int64), out[ends[t] :]))
-        out[begins[t] + np.concatenate(([0], np.cumsum(lengths)))[:-1].astype(int)] = ids
+        own = np.zeros(ends[t] - begins[t], np.int32)
+        for i, place in zip(ids, accumulate(lengths[:-1], initial=0), strict=True):
+            own[place] = i
+        out = np.concatenate((leaf["out"][: begins[t]], own, out[ends[t] :]))
         all_p = np.concatenate((leaf["log_p"][:t], [log_p], more[t + 1 :]))
         all_rest = np.concatenate((leaf["rest"][:t], [-np.inf], rest[t + 1 :]))
         taken = [*taken, tuple(lengths)]
-        add(out, all_p, all_rest, -value, t, taken, _Others(lattices, int(words[t]), taken))
+        others = _Others(lattices, int(words[t]), taken)
+        add(out, all_p, all_rest, -value, t, taken, others, left(all_p, all_rest, -value, t, others))
         push(turn)
     threshold = -queue[0][0] if queue else -np.inf
     result = []
@@ -331,7 +428,7 @@ def _top(lattices: Lattices, words: np.ndarray, begins: np.ndarray, drawn: list[
         total = float(leaf["log_p"].sum())
         x = total - threshold
         # log(1 - exp(-exp(x))), which is x itself far below zero.
-        inclusion = 0.0 if x > 5 else x if x < -30 else float(np.log(-np.expm1(-np.exp(x))))
+        inclusion = 0.0 if x > 5 else x if x < -30 else math.log(-math.expm1(-math.exp(x)))
         result.append((leaf["out"], total, leaf["value"], inclusion))
     return result
 
@@ -339,18 +436,23 @@ def _top(lattices: Lattices, words: np.ndarray, begins: np.ndarray, drawn: list[
 def _written(out: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
     """The ids of a segmentation, characters without a piece as their bytes."""
     found = out[out != 0]
-    if (found < 0).any():
-        ids: list[int] = []
-        for i in found.tolist():
-            ids += [i - 1] if i > 0 else [vocabulary.byte_ids[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")]
-        return np.array(ids, np.int32)
+    unknown = np.flatnonzero(found < 0)
+    if len(unknown):
+        spelt = [[vocabulary.byte_ids[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")] for i in found[unknown].tolist()]
+        sizes = np.ones(len(found), np.int64)
+        sizes[unknown] = [len(ids) for ids in spelt]
+        at_byte = np.repeat(found < 0, sizes)
+        found = np.repeat(found, sizes)
+        found[at_byte] = [i + 1 for ids in spelt for i in ids]
     return (found - 1).astype(np.int32)
 
 
 def decode(ids: np.ndarray, vocabulary: Vocabulary) -> str:
     """The text of a segmentation."""
-    table = vocabulary.bytes
-    text = b"".join(map(table.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")
+    sizes = vocabulary.sizes[ids]
+    ends = np.cumsum(sizes)
+    letters = vocabulary.letters[np.repeat(vocabulary.begins[ids] - ends + sizes, sizes) + np.arange(ends[-1] if len(ids) else 0)]
+    text = letters.tobytes().decode("utf-8", "surrogatepass")
     return text.replace("▁", " ")[1:]
 
 
@@ -363,11 +465,10 @@ def encode(texts: list[str | None], keys: list[object], vocabulary: Vocabulary,
             size += len(texts[to] or "") + 1
             to += 1
         index: dict[str, int] = defaultdict(count().__next__)
-        tokens, borders, lengths, spans = [], [0], [], []
+        tokens, borders, spans = [], [0], []
         for text in texts[at:to]:
-            found = _WORD.findall(escaped(text))
+            found = words_of(text)
             tokens += map(index.__getitem__, found)
-            lengths += map(len, found)
             borders.append(len(tokens))
             spans.append(len(text) + 1 if text else 0)
         starts = np.concatenate(([0], np.cumsum(spans)))
@@ -376,10 +477,11 @@ def encode(texts: list[str | None], keys: list[object], vocabulary: Vocabulary,
         if tokens:
             lattices = Lattices(list(index), vocabulary)
             words = np.array(tokens, np.int64)
-            begins = np.concatenate(([0], np.cumsum(lengths)))[:-1].astype(np.int64)
+            begins = np.cumsum(lattices.lengths[words]) - lattices.lengths[words]
             per_text = np.diff(borders)
             of, first = np.repeat(hashes, per_text), np.repeat(starts[:-1], per_text)
             drawn = [_draw(lattices, words, begins, of, first, s, int(starts[-1])) for s in range(samples)]
+            largest, values = _first(drawn[0], borders, hashes)
         for i in range(at, to):
             a, b = borders[i - at], borders[i - at + 1]
             if a == b:
@@ -387,7 +489,7 @@ def encode(texts: list[str | None], keys: list[object], vocabulary: Vocabulary,
                 continue
             c, d = starts[i - at], starts[i - at + 1]
             own = [(out[c:d], p[a:b], rest[a:b]) for out, p, rest in drawn]
-            for s, (out, total, value, inclusion) in enumerate(_top(lattices, words[a:b], begins[a:b] - c, own, hashes[i - at], samples)):
+            for s, (out, total, value, inclusion) in enumerate(_top(lattices, words[a:b], begins[a:b] - c, own, hashes[i - at], samples, float(largest[i - at]), values[a:b])):
                 yield i, s, _written(out, vocabulary), total, value, inclusion
         at = to
 
@@ -409,9 +511,13 @@ def sampled(docs: DataFrame, path: str | None = None, samples: int = SAMPLES, id
 
             def built(rows: list[tuple], batch: pa.RecordBatch = batch) -> pa.RecordBatch:
                 columns = list(zip(*rows, strict=True))
-                kinds = [pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_(), pa.list_(pa.int32())]
+                kinds = [pa.int32(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64(), pa.bool_()]
                 arrays = [batch["id"].take(pa.array(columns[0], pa.int64()))]
-                return pa.RecordBatch.from_arrays(arrays + [pa.array(c, k) for c, k in zip(columns[1:], kinds, strict=False)], names)
+                arrays += [pa.array(c, k) for c, k in zip(columns[1:], kinds, strict=False)]
+                if with_ids:
+                    offsets = np.concatenate(([0], np.cumsum(columns[2]))).astype(np.int32)
+                    arrays.append(pa.ListArray.from_arrays(offsets, np.concatenate(columns[8])))
+                return pa.RecordBatch.from_arrays(arrays, names)
 
             size = 0
             for i, s, ids, total, value, inclusion in encode(texts, keys, vocabulary, samples):

@@ -359,6 +359,37 @@ def test_no_segmentation_is_too_unlikely(vocabulary, text):
     assert all(x[5] == 0 for x in found)
 
 
+def test_words_are_those_of_the_pattern():
+    rnd = random.Random(4)
+    texts = ["", " ", "\n", "a", " a", "a \nb", "a\n b\n\nc ", "a  b", "a\0b c", "\u2581a \u2581"]
+    texts += ["".join(rnd.choices("ab \n\u2581\0", (9, 9, 5, 2, 1, 1), k=rnd.randrange(30))) for _ in range(500)]
+    for text in texts:
+        assert pieces.words_of(text) == pieces._WORD.findall(pieces.escaped(text))
+
+
+def test_lattices_equal_sums_over_segmentations(vocabulary, monkeypatch):
+    """Whatever the groups in which words are handled, and with texts that are empty in front."""
+    words = ["\u2581the", "\u2581hello", "\u2581a\u00e9\u4e16", "\n", "information"]
+    ids = {vocabulary.bytes[i].decode("utf-8", "surrogatepass"): i for i in range(len(vocabulary.bytes)) if i not in vocabulary.byte_ids}
+    whole = pieces.Lattices(words, vocabulary)
+    monkeypatch.setattr(pieces, "GROUP", 4)
+    parts = pieces.Lattices(words, vocabulary)
+    for name in ("starts", "first", "counts"):
+        assert len(getattr(whole, name)) == len(getattr(parts, name))
+    for lattices in (whole, parts):
+        for t, word in enumerate(words[:2]):
+            at = int(lattices.starts[t])
+            begins = [(k, ids[word[:k]]) for k in range(1, len(word) + 1) if word[:k] in ids]
+            here = slice(int(lattices.first[at]), int(lattices.first[at] + lattices.counts[at]))
+            assert list(zip(lattices.sizes[here].tolist(), lattices.ids[here].tolist(), strict=True)) == begins
+            assert np.exp(lattices.log_p[here]).sum() == pytest.approx(1)
+            mass = {k: 0.0 for k, _ in begins}
+            for s in segmentations(word, ids):
+                mass[len(vocabulary.bytes[s[0]].decode())] += float(np.exp(sum(vocabulary.weight[list(s)])))
+            assert np.exp(lattices.log_p[here]).tolist() == pytest.approx([m / sum(mass.values()) for m in mass.values()])
+    assert [r[:2] for r in pieces.encode(["", None, "the", ""], [1, 2, 3, 4], vocabulary, 2)] == [(0, 0), (1, 0), (2, 0), (2, 1), (3, 0)]
+
+
 def test_sampled_pieces_are_returned(spark, docs, tmp_path, vocabulary):
     docs.write.parquet(f"{tmp_path}/documents.parquet")
     texts = {(r["doc_id"], (r["text"] or "").replace("▁", " ")) for r in docs.collect()}

@@ -30,10 +30,11 @@ import math
 import re
 import zlib
 from bisect import bisect_left
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate, count, pairwise
+from itertools import accumulate, pairwise
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -41,17 +42,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from xxhash import xxh3_64_intdigest
 
-from changeflow.llm.common import mix, read
+from changeflow.llm.common import code_points, mix, read
 
 SAMPLES = 2
 BLOCK = 1_500_000
 GROUP = 1 << 17
+FEW = 8
 _WORD = re.compile("▁*[^▁\n]+|▁+|\n")
-# In place of an id: the beginning of a piece, and nothing of the kind.
-_BEGINNING, _NONE = -1, -2
+_SPACE, _LINE = 0x2581, 0x0A
+# In place of an id: no piece.
+_NONE = -1
 _ODD = 0x9E3779B97F4A7C15
 _SECOND = np.uint64(0xD6E8FEB86659FD93)
-_POWERS = np.cumprod(np.full(64, _ODD, np.uint64), dtype=np.uint64)
 
 
 def model_path(name: str = "piece_bpe_32k.model") -> str:
@@ -61,7 +63,7 @@ def model_path(name: str = "piece_bpe_32k.model") -> str:
 
 
 class Vocabulary:
-    """The pieces of a model by a hash of their characters, and their log weights."""
+    """The pieces of a model as a trie of their characters, and their log weights."""
 
     def __init__(self, path: str) -> None:
         import sentencepiece
@@ -85,40 +87,56 @@ class Vocabulary:
         self.weight = np.full(size, -np.log(len(ranks) + 1.0) - harmonic)
         self.weight[ranks] = -np.log(np.arange(1, len(ranks) + 1)) - harmonic
         self.byte_weight = float(self.weight.min())
-        self.longest = max(len(texts[i]) for i in normal)
-        # Beginnings of pieces are in the tables too, so that a search can end early.
-        keys: dict[int, int] = {}
-        for i in normal:
-            points = np.frombuffer(texts[i].encode("utf-32-le"), np.uint32).astype(np.uint64)
-            sums = np.cumsum((points + np.uint64(1)) * _POWERS[: len(points)], dtype=np.uint64)
-            found = mix(sums + np.arange(1, len(points) + 1, dtype=np.uint64)).tolist()
-            for key in found[:-1]:
-                keys.setdefault(key, _BEGINNING)
-            keys[found[-1]] = i
-        bits = 19
-        while not self._placed(keys, bits):
-            bits += 1
-
-    def _placed(self, keys: dict[int, int], bits: int) -> bool:
-        """Every key in one of two tables, or False if some key finds neither place free."""
-        self.mask = np.uint64((1 << bits) - 1)
-        self.keys = np.zeros((2, 1 << bits), np.uint64)
-        self.ids = np.full((2, 1 << bits), _NONE, np.int32)
-        for key, i in keys.items():
-            for t, shift in enumerate((0, 40 - bits if bits > 24 else 24)):
-                slot = (key >> shift) & int(self.mask)
-                if self.ids[t, slot] == _NONE:
-                    self.keys[t, slot], self.ids[t, slot] = key, i
+        self._grow([(texts[i], i) for i in normal])
+
+    def _grow(self, pieces: list[tuple[str, int]]) -> None:
+        """The trie of the pieces, its rows laid into one another.
+
+        The child of a node by a character is at the node's base plus the code of the character, if that place names the
+        node as its parent. Node 0 stands for no node, a base below 0 for no children.
+        """
+        children: list[dict[str, int]] = [{}, {}]
+        ids = [_NONE, _NONE]
+        for text, i in pieces:
+            node = 1
+            for character in text:
+                if character not in children[node]:
+                    children[node][character] = len(children)
+                    children.append({})
+                    ids.append(_NONE)
+                node = children[node][character]
+            ids[node] = i
+        self.ids = np.array(ids, np.int32)
+        # Frequent characters have small codes, which keeps rows short; 0 is for those of no piece.
+        alphabet = {character: code for code, (character, _) in enumerate(Counter(c for row in children for c in row).most_common(), 1)}
+        self.codes = np.zeros(0x110000, np.int32)
+        self.codes[[ord(c) for c in alphabet]] = list(alphabet.values())
+        self.heads = np.zeros(len(alphabet) + 1, np.int64)
+        for character, node in children[1].items():
+            self.heads[alphabet[character]] = node
+        rows = [(node, sorted((alphabet[c], child) for c, child in row.items())) for node, row in enumerate(children) if row and node > 1]
+        rows.sort(key=lambda row: -len(row[1]))
+        self.base = np.full(len(children), -1, np.int64)
+        window, width = 4096, len(alphabet) + 1
+        free = np.ones(4 * (len(children) + window + width), bool)
+        parents, nodes, at = np.zeros(len(free), np.int64), np.zeros(len(free), np.int64), 0
+        for node, row in rows:
+            while True:
+                fits = free[at + row[0][0] : at + row[0][0] + window].copy()
+                for code, _ in row[1:]:
+                    fits &= free[at + code : at + code + window]
+                place = int(fits.argmax())
+                if fits[place]:
                     break
-            else:
-                return False
-        self.shift = np.uint64(40 - bits if bits > 24 else 24)
-        self.single = self.find(mix((np.arange(0x110000, dtype=np.uint64) + np.uint64(1)) * _POWERS[0] + np.uint64(1)))
-        return True
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        a, b = keys & self.mask, (keys >> self.shift) & self.mask
-        return np.where(self.keys[0, a] == keys, self.ids[0, a], np.where(self.keys[1, b] == keys, self.ids[1, b], _NONE))
+                at += window
+                if at + window + width > len(free):
+                    more = len(free)
+                    free, parents, nodes = np.append(free, np.ones(more, bool)), np.append(parents, np.zeros(more, np.int64)), np.append(nodes, np.zeros(more, np.int64))
+            self.base[node] = at + place
+            for code, child in row:
+                free[at + place + code], parents[at + place + code], nodes[at + place + code] = False, node, child
+        size = int(self.base.max(initial=0)) + width
+        self.parents, self.nodes = parents[:size].copy(), nodes[:size].copy()
 
 
 @lru_cache
@@ -131,13 +149,28 @@ def escaped(text: str | None) -> str:
     return "▁" + text.replace(" ", "▁") if text else ""
 
 
+def word_starts(points: np.ndarray) -> np.ndarray:
+    """Whether a word, as ``_WORD`` finds them, begins at each character of an escaped text."""
+    space, line = points == _SPACE, points == _LINE
+    starts = space | line
+    starts[1:] &= ~(space[1:] & space[:-1])
+    starts[1:] |= line[:-1]
+    starts[:1] = True
+    return starts
+
+
 def words_of(text: str | None) -> list[str]:
     """The words of a text, escaped."""
     found = escaped(text)
-    if "▁▁" in found or "\0" in found:
-        return _WORD.findall(found)
-    # Without runs of spaces a word begins at each of them, and split is faster.
-    return list(filter(None, found.replace("▁", "\0▁").replace("\n", "\0\n\0").split("\0")))
+    cuts = np.append(np.flatnonzero(word_starts(code_points(found))), len(found)).tolist()
+    return [found[a:b] for a, b in pairwise(cuts)]
+
+
+def distinct(points: np.ndarray, starts: np.ndarray) -> tuple[pa.LargeBinaryArray, np.ndarray]:
+    """The distinct words among those that begin at ``starts``, as bytes of their characters, and which of them each word is."""
+    offsets = np.append(starts, len(points)) * 4
+    words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(offsets), pa.py_buffer(points)]).dictionary_encode()
+    return words.dictionary, words.indices.to_numpy().astype(np.int64)
 
 
 class Lattices:
@@ -147,43 +180,60 @@ class Lattices:
     position given that the segmentation passes there, ``cumulative`` the running sum of the probabilities (2 from the
     last piece on, so that a search always ends there); from the exact sums over all continuations. ``likeliest`` has, for
     the likeliest piece of each position, the running sums between which it lies, its log probability, the probability of all
-    others, summed without it (it may be far below the last digit of 1), its id and its length. Words are handled in groups of
-    about ``GROUP`` characters, so that what is needed on the way stays small.
+    others, summed without it (it may be far below the last digit of 1), its id (see :func:`_placed`) and its length. Words
+    are handled in groups of about ``GROUP`` characters, so that what is needed on the way stays small.
     """
 
-    def __init__(self, words: list[str], vocabulary: Vocabulary) -> None:
-        self.lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends = np.cumsum(self.lengths)
+    def __init__(self, words: list[str] | pa.LargeBinaryArray, vocabulary: Vocabulary) -> None:
+        if isinstance(words, list):
+            words = pa.array([word.encode("utf-32-le", "surrogatepass") for word in words], pa.large_binary())
+        borders = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1] // 4
+        points = np.frombuffer(words.buffers()[2], np.uint32)[borders[0] : borders[-1]]
+        self.lengths, ends = np.diff(borders), borders[1:] - borders[0]
         self.starts = ends - self.lengths
         cuts = [0, *(np.flatnonzero(np.diff(ends // GROUP)) + 1).tolist(), len(words)]
-        groups = [self._group(words[a:b], self.lengths[a:b], vocabulary) for a, b in pairwise(cuts)]
+        groups = [self._group(points[self.starts[a] : ends[b - 1]], self.lengths[a:b], vocabulary) for a, b in pairwise(cuts)]
         pieces = np.cumsum([0] + [len(g[2]) for g in groups])
         self.first = np.concatenate([g[0] + shift for g, shift in zip(groups, pieces, strict=False)])
         self.counts, self.sizes, self.ids, self.log_p, self.cumulative, self.likeliest = map(np.concatenate, list(zip(*groups, strict=True))[1:])
+        self._choices: dict[int, tuple[list[int], list[float]]] = {}
+
+    def choices(self, at: int) -> tuple[list[int], list[float]]:
+        """Lengths and probabilities of the pieces that begin at a position."""
+        if at not in self._choices:
+            first = int(self.first[at])
+            here = slice(first, first + int(self.counts[at]))
+            self._choices[at] = self.sizes[here].tolist(), [math.exp(x) for x in self.log_p[here].tolist()]
+        return self._choices[at]
 
     @staticmethod
-    def _group(words: list[str], lengths: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, ...]:
-        n = int(lengths.sum())
-        points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
-        c = np.concatenate((points.astype(np.uint64), np.zeros(vocabulary.longest, np.uint64))) + np.uint64(1)
+    def _group(points: np.ndarray, lengths: np.ndarray, vocabulary: Vocabulary) -> tuple[np.ndarray, ...]:
+        n = len(points)
         left = np.repeat(np.cumsum(lengths), lengths) - np.arange(n)
-        found_at: list[tuple[np.ndarray, np.ndarray]] = []
-        at, h = np.arange(n), np.zeros(n, np.uint64)
-        while len(at) and len(found_at) < vocabulary.longest:
-            k = len(found_at)
-            h = h + c[at + k] * _POWERS[k]
-            found = vocabulary.find(mix(h + np.uint64(k + 1))) if k else vocabulary.single[points]
-            # Every character begins something, its bytes if no piece.
-            here = slice(None) if k == 0 else found >= 0
+        codes = vocabulary.codes[points].astype(np.int64)
+        # Every character begins something, its bytes if no piece.
+        at, node = np.arange(n), vocabulary.heads[codes]
+        found_at = [(at, vocabulary.ids[node])]
+        counts = np.ones(n, np.int64)
+        while True:
+            more = np.flatnonzero((vocabulary.base[node] >= 0) & (left[at] > len(found_at)))
+            if not len(more):
+                break
+            at, node = at[more], node[more]
+            slots = vocabulary.base[node] + codes[at + len(found_at)]
+            there = np.flatnonzero(vocabulary.parents[slots] == node)
+            at, node = at[there], vocabulary.nodes[slots[there]]
+            found = vocabulary.ids[node]
+            here = np.flatnonzero(found >= 0)
             found_at.append((at[here], found[here]))
-            more = (found != _NONE) & (left[at] > k + 1)
-            at, h = at[more], h[more]
-        # Pieces lie in the order of what is left of the word behind their position, so that sums go from its end on.
-        order = np.argsort(left.astype(np.uint16) if lengths.max(initial=0) < 1 << 16 else left, kind="stable")
-        counts = np.zeros(n, np.int16)
-        for at, _ in found_at:
-            counts[at] += 1
-        ends = np.cumsum(counts[order], dtype=np.int64)
+            counts[at[here]] += 1
+        # Positions lie in the order of their number of pieces, then of what is left of the word behind them, so that
+        # each number is a table and sums go from the ends of words on.
+        longest = int(left.max(initial=0))
+        most = int(counts.max(initial=0))
+        order = counts * (longest + 1) + left
+        order = np.argsort(order.astype(np.uint16) if (most + 1) * (longest + 1) < 1 << 16 else order, kind="stable")
+        ends = np.cumsum(counts[order])
         first = np.zeros(n, np.int64)
         first[order] = ends - counts[order]
         size = int(ends[-1]) if n else 0
@@ -195,44 +245,85 @@ class Lattices:
             free[at] += 1
             sizes[slots], ids[slots], weight[slots] = k + 1, found, vocabulary.weight[found]
             follows[slots] = np.where(left[at] > k + 1, at + k + 1, n)
-        unknown = np.flatnonzero(found_at[0][1] < 0) if found_at else np.zeros(0, np.int64)
+        unknown = np.flatnonzero(found_at[0][1] < 0)
         slots, points = first[unknown], points[unknown]
         weight[slots] = (1 + (points >= 0x80).astype(int) + (points >= 0x800) + (points >= 0x10000)) * vocabulary.byte_weight
         # One byte is an id; for more, minus the character, until the ids are written.
         single = np.array(vocabulary.byte_ids[:128])
         ids[slots] = np.where(points < 0x80, single[np.minimum(points, 0x7F)], -1 - points.astype(np.int64))
-        after = np.zeros(n + 1)
-        log_p, cumulative = np.zeros(size), np.zeros(size)
-        best, besides = np.zeros(n, np.int64), np.zeros(n)
-        cuts = [0, *(np.flatnonzero(np.diff(left[order])) + 1).tolist(), n] if n else []
-        for begin, end in pairwise(cuts):
-            at = order[begin:end]
-            a, b = int(first[at[0]]), int(ends[end - 1])
-            heads = first[at] - a
-            rows = np.repeat(np.arange(end - begin), counts[at])
-            values = weight[a:b] + after[follows[a:b]]
-            top = np.maximum.reduceat(values, heads)
-            parts = np.exp(values - top[rows])
-            equal = np.flatnonzero(values == top[rows])
-            likely = equal[np.concatenate(([True], np.diff(rows[equal]) > 0))]
-            parts[likely] = 0
-            others = np.add.reduceat(parts, heads)
-            parts[likely] = 1
-            total = top + np.log1p(others)
-            after[at] = total
-            log_p[a:b] = values - total[rows]
-            cumulative[a:b] = parts / (1 + others)[rows]
-            best[at], besides[at] = likely + a, others / (1 + others)
-        for k in range(1, len(found_at)):
-            slots = first[counts > k] + k
-            cumulative[slots] += cumulative[slots - 1]
-        last = np.repeat(cumulative[ends - 1], counts[order]) if n else cumulative
-        cumulative[cumulative >= last] = 2
-        above = np.where(best > first, cumulative[best - 1], 0) if n else besides
-        likeliest = np.stack((above, cumulative[best], log_p[best], besides, ids[best], sizes[best]), 1)
+        cuts = np.searchsorted(counts[order], np.arange(1, most + 2)).tolist()
+        tables = []
+        for number, (a, b) in enumerate(pairwise(cuts), 1):
+            if b > a:
+                here = slice(int(first[order[a]]), int(ends[b - 1]))
+                tables.append((order[a:b], *(np.ascontiguousarray(x[here].reshape(-1, number).T) for x in (weight, follows)), here))
+        after = _after(tables, left, n)
+        log_p, cumulative = np.zeros(size), np.full(size, 2.0)
+        likeliest = np.zeros((n, 6))
+        for at, own, behind, here in tables:
+            likely, above, to, chosen, besides = first[at], 0.0, 2.0, 0.0, 0.0
+            if len(own) > 1:
+                values, columns = own + after[behind], np.arange(len(at))
+                best, top = np.zeros(len(at), np.int64), values[0].copy()
+                for k in range(1, len(values)):
+                    best[values[k] > top] = k
+                    np.maximum(top, values[k], out=top)
+                parts = np.exp(values - top)
+                parts[best, columns] = 0
+                others = parts.sum(0)
+                parts[best, columns] = 1
+                values -= top + np.log1p(others)
+                log_p[here].reshape(len(at), -1)[:] = values.T
+                parts /= 1 + others
+                for k in range(1, len(parts)):
+                    parts[k] += parts[k - 1]
+                parts[parts >= parts[-1]] = 2
+                cumulative[here].reshape(len(at), -1)[:] = parts.T
+                above, to = np.where(best > 0, parts[best - 1, columns], 0), parts[best, columns]
+                likely, chosen, besides = likely + best, values[best, columns], others / (1 + others)
+            rows = np.empty((len(at), 6))
+            for k, column in enumerate((above, to, chosen, besides, _placed(ids[likely]), sizes[likely])):
+                rows[:, k] = column
+            likeliest[at] = rows
         return first, counts, sizes, ids, log_p, cumulative, likeliest
 
 
+def _placed(ids: np.ndarray | int) -> np.ndarray | int:
+    """Ids as they stand at the places of a segmentation, where 0 is for no piece."""
+    return ids + (ids >= 0)
+
+
+def _after(tables: list[tuple[np.ndarray, np.ndarray, np.ndarray, slice]], left: np.ndarray, n: int) -> np.ndarray:
+    """Log mass of all that can follow from each position to the end of its word, and 0 for the end.
+
+    The tables hold positions in the order of what is left, and by piece and position the log weights and where pieces end.
+    """
+    after = np.zeros(n + 1)
+    # Fewer and fewer words are so long; where they are few, plain numbers are faster than arrays.
+    many = int(np.count_nonzero(np.bincount(left) >= FEW))
+    borders = [np.searchsorted(left[at], np.arange(1, many + 2)).tolist() for at, *_ in tables]
+    for level in range(many):
+        for (at, weight, follows, _), cuts in zip(tables, borders, strict=True):
+            here = slice(cuts[level], cuts[level + 1])
+            if here.start == here.stop:
+                continue
+            values = weight[:, here] + after[follows[:, here]]
+            if len(values) == 1:
+                after[at[here]] = values[0]
+                continue
+            top = values.max(0)
+            after[at[here]] = top + np.log(np.exp(values - top).sum(0))
+    rest: list[tuple[int, int, list[float], list[int]]] = []
+    for (at, weight, follows, _), cuts in zip(tables, borders, strict=True):
+        own = at[cuts[-1] :]
+        rest += zip(left[own].tolist(), own.tolist(), weight[:, cuts[-1] :].T.tolist(), follows[:, cuts[-1] :].T.tolist(), strict=True)
+    for _, at, weight, follows in sorted(rest, key=itemgetter(0)):
+        values = [w + float(after[f]) for w, f in zip(weight, follows, strict=True)]
+        top = max(values)
+        after[at] = top + math.log(sum(math.exp(v - top) for v in values))
+    return after
+
+
 def _uniform(keys: np.ndarray | np.uint64, places: np.ndarray, turn: int) -> np.ndarray:
     """Numbers in (0, 1] that depend on key, place and turn only."""
     return _unit(_places(keys, places, turn))
@@ -267,7 +358,7 @@ def _walk(lattices: Lattices, words: np.ndarray, begins: np.ndarray, hashes: np.
     while len(live):
         uniform = _unit(hashes)
         above, to, chosen, leaving, found, sizes = lattices.likeliest.take(p, 0).T
-        found, sizes = found.astype(np.int64), sizes.astype(np.int64)
+        sizes = sizes.astype(np.int64)
         # Most are the likeliest piece; for the others the running sums are gone through.
         other = np.flatnonzero((uniform <= above) | (uniform > to))
         if len(other):
@@ -276,10 +367,10 @@ def _walk(lattices: Lattices, words: np.ndarray, begins: np.ndarray, hashes: np.
             while len(short):
                 slots[short] += 1
                 short = short[lattices.cumulative[slots[short]] < wanted[short]]
-            found[other], sizes[other] = lattices.ids[slots], lattices.sizes[slots]
+            found[other], sizes[other] = _placed(lattices.ids[slots]), lattices.sizes[slots]
             chosen[other] = lattices.log_p[slots]
             leaving[other] = -np.expm1(chosen[other])
-        out[q] = found + (found >= 0)
+        out[q] = found
         before = log_p[live]
         rest[live] += np.exp(before) * leaving
         log_p[live] = before + chosen
@@ -313,7 +404,8 @@ class _Others:
             stack += [(at + length, depth + 1, group) for length, group in children.items() if at + length < self.end]
         self.masses: dict[tuple[int, int], tuple[list[float], dict[int, list[int]]]] = {}
         for at, name, children in reversed(nodes):
-            mass, sizes = self._free(at), self._sizes(at)
+            sizes, free = lattices.choices(at)
+            mass = list(free)
             for length, group in children.items():
                 known = self.masses.get((at + length, group[0]))
                 mass[sizes.index(length)] *= sum(known[0]) if known else 0.0
@@ -321,29 +413,19 @@ class _Others:
         whole = sum(self.masses[self.at, 0][0])
         self.log_mass = math.log(whole) if whole > 0 else -math.inf
 
-    def _here(self, at: int) -> slice:
-        first = int(self.lattices.first[at])
-        return slice(first, first + int(self.lattices.counts[at]))
-
-    def _free(self, at: int) -> list[float]:
-        return [math.exp(x) for x in self.lattices.log_p[self._here(at)].tolist()]
-
-    def _sizes(self, at: int) -> list[int]:
-        return self.lattices.sizes[self._here(at)].tolist()
-
     def draw(self, uniform: np.ndarray) -> tuple[list[int], list[int], float]:
         """Lengths, ids and log p of one of them."""
         at, name, total = self.at, 0, 0.0
         lengths: list[int] = []
         ids: list[int] = []
         while at < self.end:
-            mass, children = self.masses[at, name] if name >= 0 else (self._free(at), {})
+            mass, children = self.masses[at, name] if name >= 0 else (self.lattices.choices(at)[1], {})
             some = [k for k, m in enumerate(mass) if m]
             sums = list(accumulate(mass[k] for k in some))
             k = some[min(bisect_left(sums, float(uniform[at - self.at]) * sums[-1]), len(some) - 1)]
             slot = int(self.lattices.first[at]) + k
             found, size = int(self.lattices.ids[slot]), int(self.lattices.sizes[slot])
-            ids.append(found + 1 if found >= 0 else found)
+            ids.append(_placed(found))
             total += float(self.lattices.log_p[slot])
             lengths.append(size)
             name = children[size][0] if size in children else -1
@@ -435,7 +517,7 @@ def _top(
 
 def _written(out: np.ndarray, vocabulary: Vocabulary) -> np.ndarray:
     """The ids of a segmentation, characters without a piece as their bytes."""
-    found = out[out != 0]
+    found = out.compress(out != 0)
     unknown = np.flatnonzero(found < 0)
     if len(unknown):
         spelt = [[vocabulary.byte_ids[b] for b in chr(-1 - i).encode("utf-8", "surrogatepass")] for i in found[unknown].tolist()]
@@ -464,20 +546,18 @@ def encode(texts: list[str | None], keys: list[object], vocabulary: Vocabulary,
         while to < len(texts) and (to == at or size < BLOCK):
             size += len(texts[to] or "") + 1
             to += 1
-        index: dict[str, int] = defaultdict(count().__next__)
-        tokens, borders, spans = [], [0], []
-        for text in texts[at:to]:
-            found = words_of(text)
-            tokens += map(index.__getitem__, found)
-            borders.append(len(tokens))
-            spans.append(len(text) + 1 if text else 0)
-        starts = np.concatenate(([0], np.cumsum(spans)))
+        found = [escaped(text) for text in texts[at:to]]
+        starts = np.concatenate(([0], np.cumsum([len(text) for text in found])))
+        points = code_points("".join(found))
+        begin = word_starts(points)
+        begin[starts[:-1][np.diff(starts) > 0]] = True
+        begins = np.flatnonzero(begin)
+        borders = np.searchsorted(begins, starts).tolist()
         hashes = np.array([xxh3_64_intdigest(repr(keys[i]).encode()) for i in range(at, to)], np.uint64)
         drawn = []
-        if tokens:
-            lattices = Lattices(list(index), vocabulary)
-            words = np.array(tokens, np.int64)
-            begins = np.cumsum(lattices.lengths[words]) - lattices.lengths[words]
+        if len(begins):
+            index, words = distinct(points, begins)
+            lattices = Lattices(index, vocabulary)
             per_text = np.diff(borders)
             of, first = np.repeat(hashes, per_text), np.repeat(starts[:-1], per_text)
             drawn = [_draw(lattices, words, begins, of, first, s, int(starts[-1])) for s in range(samples)]
